@@ -52,3 +52,14 @@ def scratch_table(spark: SparkSession, name: str) -> str:
     import uuid
 
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stage(df, name: str):
+    """Write ``df`` once to the shared folder and read it back.
+
+    Cuts the lineage of a table that later steps read more than once; the written files
+    outlive any executor.
+    """
+    path = scratch_table(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
