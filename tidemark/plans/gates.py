@@ -281,9 +281,8 @@ def phase_windows(sessions: DataFrame, zone: str = TASK_ZONE) -> DataFrame:
     )
     keyed = sessions.select("session_date", "close_utc", "next_session").withColumn("_sunday", sunday)
     w = Window.partitionBy("_sunday")
-    # sessions of one week share their Sunday; the first session after it opens the next week
-    keyed = keyed.withColumn("_after_sunday", F.max(F.when(nxt > F.col("_sunday"), nxt)).over(w))
-    keyed = keyed.withColumn("_after_sunday", F.when(F.col("_after_sunday") >= F.col("_sunday"), F.col("_after_sunday")))
+    # at most seven sessions share their next Sunday; the last of them leads to the first session from that day on
+    keyed = keyed.withColumn("_after_sunday", F.min(F.when(nxt >= F.col("_sunday"), nxt)).over(w))
     structs = F.array(*[
         F.struct(F.lit(p).alias("phase_id"), F.lit(w_).alias("window_id"), d.alias("decision_cutoff_utc"), n.alias("not_before_utc"), e.alias("expires_at_utc"))
         for p, w_, d, n, e in specs
