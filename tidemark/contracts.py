@@ -37,9 +37,16 @@ POINT_IN_TIME_COLUMNS = tuple(
 )
 
 
+_TYPES = {
+    "string": T.StringType(), "double": T.DoubleType(), "bigint": T.LongType(), "boolean": T.BooleanType(),
+    "date": T.DateType(), "timestamp": T.TimestampType(),
+}
+
+
 def _schema(ddl: str, point_in_time: bool) -> T.StructType:
     text = f"{ddl}, {POINT_IN_TIME_DDL}" if point_in_time else ddl
-    return T.StructType.fromDDL(" ".join(text.split()))
+    pairs = [part.split() for part in text.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 def _contract(

@@ -28,7 +28,7 @@ def split_bytes(df: DataFrame) -> int:
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of the plan; nothing is executed."""
     plan = df._jdf.queryExecution().optimizedPlan()
-    return int(plan.stats().sizeInBytes().toString())
+    return int(plan.stats().sizeInBytes())
 
 
 def fits_one_task(df: DataFrame) -> bool:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import (
     accession_ok, available_date, filing_attribution, filing_url, hash_id, market_time_class, pit_columns,
     ticker_variants,
 )
+from tidemark.operators.skew import OrderedKeys
 
 PARSER_VERSION = "sec-events-1.0.0"
 
@@ -37,17 +38,15 @@ def active_overrides(overrides: DataFrame, cutoff: Column) -> DataFrame:
     ).select("security_id", F.col("cik").alias("override_cik"))
 
 
-def override_overlaps(overrides: DataFrame, key: str = "security_id") -> DataFrame:
-    """WIN-18. Periods starting on or before the end of the previous one of the key.
-
-    Reviewed periods of one key are few, hence a plain window.
-    """
-    w = Window.partitionBy(key).orderBy("effective_from", "effective_to")
-    previous_from = F.lag("effective_from").over(w)
-    previous_to = F.lag(F.coalesce("effective_to", F.lit("9999-12-31").cast("date"))).over(w)
-    return overrides.withColumn("previous_to", previous_to).withColumn("_pf", previous_from).filter(
-        F.col("_pf").isNotNull() & (F.col("effective_from") <= F.col("previous_to"))
-    ).drop("_pf")
+def override_overlaps(overrides: DataFrame, key: str = "security_id", hot_rows: int | None = None) -> DataFrame:
+    """WIN-18. Periods starting on or before the end of the previous one of the key."""
+    ends = overrides.withColumn("_end", F.coalesce("effective_to", F.lit("9999-12-31").cast("date")))
+    ordered = OrderedKeys(ends, [key], ["effective_from", "_end"], hot_rows).running(
+        maxima_before={"_prev": F.struct("effective_from", "_end")}
+    )
+    return ordered.with_columns({"previous_to": F.col("_prev._end")}).result().filter(
+        F.col("effective_from") <= F.col("previous_to")
+    ).drop("_prev", "_end")
 
 
 def build_security_master(

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions import blank_to_null, cik10, finite_number, parse_source_date, parse_utc
 
@@ -14,13 +13,13 @@ __all__ = [
 ]
 
 # Layout of the registrant and fact documents.
-SUBMISSIONS_SCHEMA = T.StructType.fromDDL(
+SUBMISSIONS_SCHEMA = (
     "cik string, name string, sic string, tickers array<string>, filings struct<recent: struct<"
     "accessionNumber: array<string>, filingDate: array<string>, reportDate: array<string>, "
     "acceptanceDateTime: array<string>, form: array<string>, primaryDocument: array<string>, "
     "items: array<string>, fileNumber: array<string>, filmNumber: array<string>>>"
 )
-FACTS_SCHEMA = T.StructType.fromDDL(
+FACTS_SCHEMA = (
     "cik string, entityName string, facts map<string, map<string, struct<label: string, description: string, "
     "units: map<string, array<struct<`start`: string, `end`: string, val: string, accn: string, fy: bigint, "
     "fp: string, form: string, filed: string, frame: string>>>>>>"

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions import clean_symbol, round_half_even_long
 
@@ -90,7 +89,7 @@ def scan_splits(spark: SparkSession, path: str, aliases: DataFrame | None, cutof
 
 
 # Layout of one chart document.
-CHART_SCHEMA = T.StructType.fromDDL(
+CHART_SCHEMA = (
     """chart struct<error: string, result: array<struct<
       meta: struct<symbol: string, currency: string>,
       timestamp: array<bigint>,

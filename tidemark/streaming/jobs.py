@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,11 +62,10 @@ def gate_quotes_stream(
 
 def _table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     """The table at ``path``, or None before its first write."""
-    jvm = spark.sparkContext._jvm
-    hadoop = jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException:
         return None
-    return spark.read.schema(schema).parquet(path)
 
 
 def upsert_batches(
@@ -120,20 +120,17 @@ def segment_batches(
         columns = batch.columns
         state_schema = T.StructType([*[batch.schema[k] for k in keys], batch.schema[time], batch.schema[price], T.StructField("segment_id", T.LongType())])
         carried = _table(spark, f"{state_path}/version={batch_id - 1}", state_schema) if batch_id else None
-        rows = batch.withColumns({"_new": F.lit(True), "_offset": F.lit(None).cast("bigint")})
-        late = None
+        rows, late = batch.withColumn("_new", F.lit(True)), None
         if carried is not None:
-            times = carried.select(*keys, F.col(time).alias("_seen"))
-            marked = batch.join(times, list(keys), "left")
+            marked = batch.join(carried.select(*keys, F.col(time).alias("_seen")), list(keys), "left")
             is_late = F.coalesce(F.col(time) <= F.col("_seen"), F.lit(False))
             late = marked.filter(is_late).select(*columns)
-            fresh = marked.filter(~is_late).select(*columns).withColumns({"_new": F.lit(True), "_offset": F.lit(None).cast("bigint")})
-            rows = fresh.unionByName(
-                carried.withColumn("_offset", F.col("segment_id")).withColumn("_new", F.lit(False)).drop("segment_id"), allowMissingColumns=True
+            rows = marked.filter(~is_late).select(*columns, F.lit(True).alias("_new")).unionByName(
+                carried.drop("segment_id").withColumn("_new", F.lit(False)), allowMissingColumns=True
             )
         cut = segment_history(rows, keys, time, price, gap=gap, ratio=ratio, hot_rows=hot_rows)
-        base = carried.select(*keys, F.col("segment_id").alias("_base")) if carried is not None else None
-        if base is not None:
+        if carried is not None:
+            base = carried.select(*keys, F.col("segment_id").alias("_base"))
             cut = cut.join(base, list(keys), "left").withColumn("segment_id", F.col("segment_id") + F.coalesce("_base", F.lit(0))).drop("_base")
         done = stage(cut, "segments")
         done.filter("_new").select(*columns, "segment_break_reason", "segment_id").write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
