@@ -6,7 +6,7 @@ days for sessions, orders for filings, line items for facts, positions and trade
 
 from tidemark.catalog.base import ENTRIES, SQL
 from tidemark.catalog import (  # noqa: F401  registration
-    quality, history,
+    quality, history, listings, identity,
 )
 
 __all__ = ["ENTRIES", "SQL"]

@@ -8,13 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.keys import recent_n
-from tidemark.operators.skew import OrderedKeys
+from tidemark.operators.skew import OrderedKeys, fits_one_task
 
 
 def segment_history(
     df: DataFrame, keys: Sequence[str], date: str, price: str, *,
     gap: Column, ratio: float, actions: DataFrame | None = None, action_date: str = "event_date",
-    slot: str | None = None, slots: int = 1, hot_rows: int | None = None,
+    slot: str | None = None, slots: int = 1, hot_rows: int | None = None, one_task: bool | None = None,
 ) -> DataFrame:
     """WIN-03. Adds previous_session, previous_close, segment_break_reason, segment_id.
 
@@ -36,7 +36,7 @@ def segment_history(
     else:
         slots = 0
     is_row = F.col("_row") == 1
-    ordered = OrderedKeys(source, keys, ["_t", "_row"], hot_rows).running(
+    ordered = OrderedKeys(source, keys, ["_t", "_row"], hot_rows, one_task).running(
         maxima_before={"_prev": F.when(is_row, F.struct(F.col(date), F.col(price)))},
         maxima={f"_a{i}": F.when(~is_row & (F.col("_slot") == i), F.col("_t")) for i in range(slots)},
     )
@@ -109,8 +109,6 @@ def latest_segment(
     segmented: DataFrame, keys: Sequence[str], date: str, valid: Column, n: int, one_task: bool | None = None
 ) -> DataFrame:
     """WIN-05. Newest ``n`` rows of the last segment, with ``history_rank``."""
-    from tidemark.operators.skew import fits_one_task
-
     if one_task is None:
         one_task = fits_one_task(segmented)
     rows = annotate_latest(segmented, keys, date, valid, one_task)

@@ -25,15 +25,18 @@ def split_bytes(df: DataFrame) -> int:
     return int(digits) * {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(unit, 1)
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the plan; nothing is executed."""
-    plan = df._jdf.queryExecution().optimizedPlan()
-    return int(plan.stats().sizeInBytes())
+def input_bytes(df: DataFrame) -> int:
+    """Catalyst's size of the tables the plan reads; nothing is executed.
+
+    The leaves are summed because estimates above a join multiply both sides.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 
 def fits_one_task(df: DataFrame) -> bool:
-    """True when the whole input is estimated below one scan split."""
-    return estimated_bytes(df) <= split_bytes(df)
+    """True when everything the plan reads is no larger than one scan split."""
+    return input_bytes(df) <= split_bytes(df)
 
 
 def as_columns(order: Sequence[Column | str] | Column | str) -> list[Column]:
@@ -47,15 +50,17 @@ class OrderedKeys:
 
     ``order`` names columns; the first must be numeric, date or timestamp, and together
     they must be a total order within the key. ``hot_rows`` overrides the size check:
-    keys with more rows than it are cut into chunks.
+    keys with more rows than it are cut into chunks. ``one_task`` passes in a check
+    already made.
     """
 
     def __init__(
-        self, df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int | None = None
+        self, df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int | None = None,
+        one_task: bool | None = None,
     ) -> None:
         self.keys = list(keys)
         self.order = list(order)
-        self.split = hot_rows is not None or not fits_one_task(df)
+        self.split = hot_rows is not None or not (fits_one_task(df) if one_task is None else one_task)
         self.df = self._with_chunks(df, hot_rows or HOT_ROWS) if self.split else df
 
     def _with_chunks(self, df: DataFrame, hot_rows: int) -> DataFrame:

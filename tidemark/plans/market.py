@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.contracts import PRICES, SPLITS
@@ -35,22 +35,22 @@ def best_alias(prices: DataFrame, aliases: DataFrame, date: str = "session_date"
 def history_candidates(
     prices: DataFrame, splits: DataFrame, aliases: DataFrame, *, expected: Column, n: int = 320,
     gap_days: int = 45, ratio: float = 4.0, lane: str = REFRESH_LANE, hot_rows: int | None = None,
+    one_task: bool | None = None,
 ) -> DataFrame:
     """WIN-02..05 on the alias-matched rows; invalid rows take part in segmentation.
 
     A split explains a jump only for rows of its own source symbol, so splits carry the
     alias priority as slot.
     """
+    if one_task is None:
+        one_task = hot_rows is None and fits_one_task(prices)
     best = best_alias(prices.filter(F.col("session_date") <= expected), aliases, lane=lane)
-    actions = splits.join(aliases, "source_symbol").select(
-        "security_id", "event_date", F.col("priority").alias("priority")
-    )
+    actions = splits.join(aliases, "source_symbol").select("security_id", "event_date", "priority")
     segmented = segments.segment_history(
         best, ["security_id"], "session_date", "close",
         gap=F.datediff("session_date", "previous_session") > gap_days, ratio=ratio,
-        actions=actions, slot="priority", slots=3, hot_rows=hot_rows,
+        actions=actions, slot="priority", slots=3, hot_rows=hot_rows, one_task=one_task,
     )
-    one_task = hot_rows is None and fits_one_task(segmented)
     if not one_task:
         segmented = stage(segmented, "segmented")
     return segments.latest_segment(segmented, ["security_id"], "session_date", ~is_invalid_ohlcv(), n, one_task)
@@ -62,19 +62,71 @@ def active_securities(candidates: DataFrame, oldest_active: Column) -> tuple[Dat
     return latest.filter(F.col("latest_session") >= oldest_active), latest.filter(F.col("latest_session") < oldest_active)
 
 
-@dataclass(frozen=True)
 class MarketHistory:
-    """Tables of one market build."""
+    """Tables of one market build; each is planned when first asked for."""
+
+    def __init__(self, candidates: DataFrame, splits: DataFrame, aliases: DataFrame, oldest_active: Column, min_session_rows: int) -> None:
+        self.candidates = candidates
+        self._splits, self._aliases = splits, aliases
+        self._oldest, self._min_rows = oldest_active, min_session_rows
+
+    @cached_property
+    def current(self) -> DataFrame:
+        """Candidates of active securities.
+
+        ``n`` bounds the rows per security here, and the window reuses the partitioning
+        of the rank.
+        """
+        newest = F.max("session_date").over(Window.partitionBy("security_id"))
+        return self.candidates.withColumn("_newest", newest).filter(F.col("_newest") >= self._oldest).drop("_newest")
+
+    @cached_property
+    def active(self) -> DataFrame:
+        return active_securities(self.candidates, self._oldest)[0].select("security_id")
+
+    @cached_property
+    def stale(self) -> DataFrame:
+        return active_securities(self.candidates, self._oldest)[1]
+
+    @cached_property
+    def prices(self) -> DataFrame:
+        return self.current.filter(~is_invalid_ohlcv()).select(*PRICES.columns)
+
+    @cached_property
+    def splits(self) -> DataFrame:
+        mine = self._aliases.join(self.active, "security_id", "left_semi")
+        return best_alias(self._splits.join(mine.select("source_symbol"), "source_symbol", "left_semi"), self._aliases, "event_date").select(*SPLITS.columns)
+
+    @cached_property
+    def truncations(self) -> DataFrame:
+        return segments.history_truncations(self.candidates, ["security_id"])
+
+    @cached_property
+    def invalid_rows(self) -> DataFrame:
+        return self.current.filter(is_invalid_ohlcv()).select(
+            "security_id", "source_symbol", "session_date", ohlcv_invalid_reason().alias("reason")
+        )
 
-    prices: DataFrame
-    splits: DataFrame
-    candidates: DataFrame
-    active: DataFrame
-    stale: DataFrame
-    truncations: DataFrame
-    invalid_rows: DataFrame
-    common_mode: DataFrame
-    unmatched: DataFrame
+    @cached_property
+    def common_mode(self) -> DataFrame:
+        """Sessions with affirmative common-mode corruption; their rows stay."""
+        return stats.common_mode_sessions(self.prices, "session_date", BAR, min_rows=self._min_rows)
+
+    @cached_property
+    def unmatched(self) -> DataFrame:
+        spelled = F.array_sort(F.collect_list(F.struct("priority", "source_symbol")))  # at most three per security
+        tried = self._aliases.groupBy("security_id", "ticker").agg(
+            F.array_join(F.transform(spelled, lambda s: s["source_symbol"]), ";").alias("aliases_tried")
+        )
+        why = F.when(
+            F.col("latest_session").isNotNull(),
+            F.concat(F.lit("SOURCE_HISTORY_STALE:latest_session="), F.col("latest_session").cast("string")),
+        ).otherwise(F.lit("NO_SOURCE_SYMBOL_MATCH"))
+        return (
+            tried.join(self.prices.select("security_id").distinct(), "security_id", "left_anti")
+            .join(self.stale, "security_id", "left")
+            .select("security_id", "ticker", "aliases_tried", why.alias("reason"))
+        )
 
 
 def build_market_history(
@@ -82,47 +134,15 @@ def build_market_history(
     n: int = 320, gap_days: int = 45, ratio: float = 4.0, min_session_rows: int = 100,
     lane: str = REFRESH_LANE, hot_rows: int | None = None,
 ) -> MarketHistory:
-    """PIP-02 from scanned, conflict-free rows.
-
-    Common-mode sessions are reported, their rows stay.
-    """
+    """PIP-02 from scanned, conflict-free rows."""
+    one_task = hot_rows is None and fits_one_task(prices)
     prices, splits = prices.distinct(), splits.distinct()
     candidates = history_candidates(
-        prices, splits, aliases, expected=expected, n=n, gap_days=gap_days, ratio=ratio, lane=lane, hot_rows=hot_rows
+        prices, splits, aliases, expected=expected, n=n, gap_days=gap_days, ratio=ratio, lane=lane, hot_rows=hot_rows, one_task=one_task
     )
-    if not fits_one_task(candidates):
+    if not one_task:
         candidates = stage(candidates, "candidates")
-    active, stale = active_securities(candidates, oldest_active)
-    current = candidates.join(active.select("security_id"), "security_id", "left_semi")
-    invalid = is_invalid_ohlcv()
-    bars = current.filter(~invalid).select(*PRICES.columns)
-    split_rows = best_alias(
-        splits.join(aliases.join(active, "security_id", "left_semi").select("source_symbol"), "source_symbol", "left_semi"),
-        aliases, "event_date",
-    ).select(*SPLITS.columns)
-    unmatched = (
-        aliases.groupBy("security_id", "ticker")
-        # at most three spellings per security
-        .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("priority", "source_symbol"))),
-                                      lambda s: s["source_symbol"]), ";").alias("aliases_tried"))
-        .join(bars.select("security_id").distinct(), "security_id", "left_anti")
-        .join(stale, "security_id", "left")
-        .select(
-            "security_id", "ticker", "aliases_tried",
-            F.when(F.col("latest_session").isNotNull(),
-                   F.concat(F.lit("SOURCE_HISTORY_STALE:latest_session="), F.col("latest_session").cast("string")))
-            .otherwise(F.lit("NO_SOURCE_SYMBOL_MATCH")).alias("reason"),
-        )
-    )
-    return MarketHistory(
-        prices=bars, splits=split_rows, candidates=candidates, active=active.select("security_id"), stale=stale,
-        truncations=segments.history_truncations(candidates, ["security_id"]),
-        invalid_rows=current.filter(invalid).select(
-            "security_id", "source_symbol", "session_date", ohlcv_invalid_reason().alias("reason")
-        ),
-        common_mode=stats.common_mode_sessions(current.filter(~invalid), "session_date", BAR, min_rows=min_session_rows),
-        unmatched=unmatched,
-    )
+    return MarketHistory(candidates, splits, aliases, oldest_active, min_session_rows)
 
 
 def market_metrics(
