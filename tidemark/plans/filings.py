@@ -176,7 +176,7 @@ _SPEC = "struct<event_type:string,event_subtype:string,event_confidence:string,m
 
 def report_items(items: str) -> Column:
     """Trimmed, non-blank items of a comma-separated list."""
-    parts = F.transform(F.split(F.coalesce(F.col(items), F.lit("")), ","), F.trim)
+    parts = F.transform(F.split(F.coalesce(F.col(items), F.lit("")), ","), lambda x: F.trim(x))
     return F.filter(parts, lambda x: x != "")
 
 

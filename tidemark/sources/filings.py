@@ -48,7 +48,7 @@ def explode_filings(documents: DataFrame) -> DataFrame:
     """SRC-06. Parallel arrays to filing rows; the accession array sets the length."""
     recent = F.col("filings.recent")
     padded = F.slice(
-        F.arrays_zip(*[recent[a].alias(a) for a, _ in _FILING_ARRAYS]), 1, F.size(recent["accessionNumber"])
+        F.arrays_zip(*[F.coalesce(recent[a], F.array().cast("array<string>")).alias(a) for a, _ in _FILING_ARRAYS]), 1, F.size(recent["accessionNumber"])
     )
     rows = documents.filter(recent["accessionNumber"].isNotNull()).select(
         cik10("cik").alias("cik"), F.explode(padded).alias("_f")
