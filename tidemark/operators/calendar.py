@@ -19,7 +19,7 @@ def session_dimension(dates: DataFrame, date: str = "session_date", *, zone: str
         days = days.join(early_closes.select("session_date", F.col("close_at").alias("_early")), "session_date", "left")
         close = F.coalesce(F.col("_early"), close)
     w = Window.orderBy("session_date")
-    at = lambda t: F.to_utc_timestamp(F.concat_ws(" ", F.col("session_date").cast("string"), t), zone)
+    at = lambda t: F.to_utc_timestamp(F.concat(F.col("session_date").cast("string"), F.lit(" "), t), zone)
     return days.select(
         "session_date", at(F.lit(open_at)).alias("open_utc"), at(close).alias("close_utc"),
         F.row_number().over(w).cast("bigint").alias("ordinal"), F.lead("session_date").over(w).alias("next_session"),

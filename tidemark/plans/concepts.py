@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.session import values_table
+
 # Version, taxonomy order, and concepts of each field in order of preference.
 CONCEPT_MAP_VERSION = "1.0.0"
 TAXONOMIES = ("us-gaap", "ifrs-full")
@@ -61,6 +63,6 @@ def default_concept_map(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
     """(target, concept, concept_rank) and (taxonomy, taxonomy_rank)."""
     concepts = [(t, c, i) for t, names in CONCEPTS.items() for i, c in enumerate(names)]
     return (
-        spark.createDataFrame(concepts, "target string, concept string, concept_rank int"),
-        spark.createDataFrame([(t, i) for i, t in enumerate(TAXONOMIES)], "taxonomy string, taxonomy_rank int"),
+        values_table(spark, "target string, concept string, concept_rank int", concepts),
+        values_table(spark, "taxonomy string, taxonomy_rank int", [(t, i) for i, t in enumerate(TAXONOMIES)]),
     )

@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import values_table
+
 USABLE_STATES = ("READY_NEW", "READY_REUSED", "READY_WITH_EXCLUSIONS")
 CORE_GROUPS = ("identity", "market")
 MAX_LAG_SESSIONS = 2
@@ -66,21 +68,21 @@ PHASES = (
 
 
 def group_dimension(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        [(g, list(d), o) for g, d, o in GROUPS], "group_id string, dependencies array<string>, optional boolean"
+    return values_table(
+        spark, "group_id string, dependencies array<string>, optional boolean", list(GROUPS)
     )
 
 
 def capability_dimension(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        list(CAPABILITIES), "capability_id string, source_group string, maximum_age_seconds int, rule string"
+    return values_table(
+        spark, "capability_id string, source_group string, maximum_age_seconds int, rule string", list(CAPABILITIES)
     )
 
 
 def phase_dimension(spark: SparkSession) -> DataFrame:
     """(phase_id, capability_id, role)."""
     rows = [(p, c, role) for p, req, opt, ext in PHASES for role, cs in (("REQUIRED", req), ("OPTIONAL", opt), ("EXTERNAL", ext)) for c in cs]
-    return spark.createDataFrame(rows, "phase_id string, capability_id string, role string")
+    return values_table(spark, "phase_id string, capability_id string, role string", rows)
 
 
 def group_freshness(observed: DataFrame, as_of: Column, *, group: str = "group_id", at: str = "source_retrieved_at_utc") -> DataFrame:
@@ -107,10 +109,13 @@ def reuse_state(group: Column, lag_hours: Column, lag_sessions: Column, max_lag:
     return F.when(F.coalesce(ok, F.lit(False)), "READY_REUSED").otherwise("STALE_DISABLED")
 
 
-def group_rule_violations(groups: DataFrame, max_lag: int = MAX_LAG_SESSIONS) -> DataFrame:
-    """DQ-12. (group_id, violation) for states that their metrics do not allow."""
+def group_rule_violations(groups: DataFrame, max_lag: int = MAX_LAG_SESSIONS, market: Column | None = None) -> DataFrame:
+    """DQ-12. (group_id, violation) for states that their metrics do not allow.
+
+    ``market`` tells which rows follow the market rules when group ids are qualified.
+    """
     c = F.col
-    market = c("group_id") == "market"
+    market = c("group_id") == "market" if market is None else market
     state, lag, cov = c("state"), c("lag_sessions"), c("coverage")
     no = lambda t: ~F.coalesce(t, F.lit(False))
     rules = {
@@ -263,8 +268,8 @@ def phase_windows(sessions: DataFrame, zone: str = TASK_ZONE) -> DataFrame:
     Sessions without a following session give no row for windows that need it.
     """
     day, nxt = F.col("session_date"), F.col("next_session")
-    local = lambda d, t: F.to_utc_timestamp(F.concat_ws(" ", d.cast("string"), F.lit(t)), zone)
-    after = lambda m: F.timestampadd("MINUTE", F.lit(m), F.col("close_utc"))
+    local = lambda d, t: F.to_utc_timestamp(F.concat(d.cast("string"), F.lit(f" {t}")), zone)
+    after = lambda m: F.col("close_utc") + F.make_dt_interval(mins=F.lit(m))
     weekday = F.weekday(day)  # Monday 0
     ahead = lambda target: F.when(weekday == target, 7).otherwise(F.pmod(F.lit(target) - weekday, F.lit(7)))
     saturday, sunday = F.date_add(day, ahead(5)), F.date_add(day, ahead(6))

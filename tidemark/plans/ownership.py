@@ -308,12 +308,14 @@ def period_over_period(rows: DataFrame, key: str, period: str, member: str, valu
     combines before the shuffle and cannot fan out.
     """
     nearby = period_neighbours(rows, key, period)
-    tagged = rows.join(nearby, [key, period]).select(
-        key, member, F.inline(F.array(
-            F.struct(F.col(period).alias("_p"), F.col(value).alias("_now"), F.lit(1).alias("_n"), F.lit(None).cast("double").alias("_before"), F.lit(0).alias("_b")),
-            F.struct(F.col("next_period").alias("_p"), F.lit(None).cast("double"), F.lit(0), F.col(value), F.lit(1)),
-        ))
-    ).filter("_p is not null")
+    none = F.lit(None).cast("double")
+
+    def side(p: Column, now: Column, n: int, before: Column, b: int) -> Column:
+        return F.struct(p.alias("_p"), now.alias("_now"), F.lit(n).alias("_n"), before.alias("_before"), F.lit(b).alias("_b"))
+
+    held = F.col(value).cast("double")
+    sides = F.array(side(F.col(period), held, 1, none, 0), side(F.col("next_period"), none, 0, held, 1))
+    tagged = rows.join(nearby, [key, period]).select(key, member, F.inline(sides)).filter("_p is not null")
     pairs = tagged.groupBy(key, "_p", member).agg(
         F.max("_now").alias("now"), F.max("_n").alias("n"), F.max("_before").alias("before"), F.max("_b").alias("b")
     )

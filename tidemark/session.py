@@ -63,3 +63,25 @@ def stage(df, name: str):
     path = scratch_table(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def values_table(spark: SparkSession, columns: str, rows: list[tuple]):
+    """A fixed list of rows as a local relation, so its size is known to the planner.
+
+    ``columns`` is a DDL list; values are text, numbers, booleans, None or tuples of text.
+    """
+    def literal(value: object) -> str:
+        if value is None:
+            return "NULL"
+        if isinstance(value, bool):
+            return str(value).lower()
+        if isinstance(value, (int, float)):
+            return repr(value)
+        if isinstance(value, tuple):
+            return f"array({', '.join(literal(v) for v in value)})"
+        return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    pairs = [part.split() for part in columns.split(",")]
+    body = ", ".join(f"({', '.join(literal(v) for v in row)})" for row in rows)
+    casts = ", ".join(f"cast({name} AS {kind}) AS {name}" for name, kind in pairs)
+    return spark.sql(f"SELECT {casts} FROM VALUES {body} AS t({', '.join(name for name, _ in pairs)})")
