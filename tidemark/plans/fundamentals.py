@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.contracts import COMPANY_FACTS, FACTORS, FUNDAMENTALS
 from tidemark.functions import (
-    accession_ok, available_date, fact_is_knowable, growth, null_poisoned_sum, pit_columns, safe_divide, unit_status,
+    accession_ok, available_date, fact_is_knowable, growth, pit_columns, safe_divide, unit_status,
 )
 from tidemark.operators.keys import recent_n
 from tidemark.operators.quality import quarantine
@@ -57,10 +57,12 @@ def choose_facts(
 ) -> DataFrame:
     """SRT-04 / SRT-05. One row per ``group`` with the chosen value and duration per target.
 
-    Four nested aggregations narrow (target, concept, taxonomy) step by step, each
-    combining before its shuffle, so neither a hot issuer nor a hot filing is ever
-    gathered: best row of a taxonomy, first taxonomy with the right unit, first concept
-    with a usable row, and last the newest filing of the group.
+    Nested aggregations narrow (target, concept, taxonomy) step by step, each combining
+    before its shuffle, so neither a hot issuer nor a hot filing is ever gathered. Within
+    a concept the first taxonomy that has a row with the right unit decides, and only
+    then usable rows are told apart: the least (taxonomy, unusable, closeness, ...) tuple
+    is exactly that rule. The first concept with a usable row wins, and last the newest
+    filing of the group.
     """
     days = F.datediff("period_end", "period_start")
     is_flow = F.col("target").isin(*FLOW_FIELDS)
@@ -73,35 +75,30 @@ def choose_facts(
         in_range = F.when(here, days.between(low, high)).otherwise(in_range)
         closeness = F.when(here, F.abs(days - ideal)).otherwise(closeness)
     newest = -F.unix_date("filed_date")
-    flow_rank = F.struct(closeness.alias("a"), newest.alias("b"), F.lit(0).alias("c"), F.col("value").alias("value"), days.alias("days"))
-    stock_rank = F.struct(
-        F.when(F.col("period_end").isNull(), 0).otherwise(1).alias("a"),
-        F.coalesce(-F.unix_date("period_end"), F.lit(0)).alias("b"), newest.alias("c"),
-        F.col("value").alias("value"), days.alias("days"),
-    )
-    candidate = F.when(unit_ok & is_flow & in_range, flow_rank).when(unit_ok & ~is_flow, stock_rank)
+    unusable = F.when(~is_flow | F.coalesce(in_range, F.lit(False)), 0).otherwise(1)
+    # flows: closest duration, newest filing; stocks: NULL end first, newest end, newest filing
+    first = F.when(is_flow, closeness).when(F.col("period_end").isNull(), 0).otherwise(1)
+    second = F.when(is_flow, newest).otherwise(F.coalesce(-F.unix_date("period_end"), F.lit(0)))
+    third = F.when(is_flow, 0).otherwise(newest)
+    candidate = F.when(unit_ok, F.struct(
+        "taxonomy_rank", unusable.alias("unusable"), first.alias("a"), second.alias("b"), third.alias("c"), "value", days.alias("days")
+    ))
 
     filing = [*group, "accession_number"]
     carried = {
-        "filed_date": F.max, "period_start": F.min, "period_end": F.max, "source_acceptance_datetime_utc": F.max,
-        "source_retrieved_at_utc": F.max, "cik": F.min,
+        "filed_date": "max", "period_start": "min", "period_end": "max", "source_acceptance_datetime_utc": "max",
+        "source_retrieved_at_utc": "max", "cik": "min",
     }
-    keep = lambda: [fn(c).alias(c) for c, fn in carried.items()]
+    keep = [F.expr(f"{fn}({c}) AS {c}") for c, fn in carried.items()]
 
+    # both are the reviewed map, a few dozen rows
     mapped = facts.join(F.broadcast(concepts), "concept").join(F.broadcast(taxonomies), "taxonomy", "left")
-    per_taxonomy = mapped.groupBy(*filing, "target", "concept_rank", "taxonomy_rank").agg(
-        F.min(candidate).alias("_best"), F.max(F.when(unit_ok, 1)).alias("_unit"), *keep()
-    )
-    per_concept = per_taxonomy.groupBy(*filing, "target", "concept_rank").agg(
-        F.min(F.when(F.col("_unit") == 1, F.struct("taxonomy_rank", "_best")))["_best"].alias("_best"), *keep()
-    )
-    per_target = per_concept.groupBy(*filing, "target").agg(
-        F.min(F.when(F.col("_best").isNotNull(), F.struct("concept_rank", "_best")))["_best"].alias("_best"), *keep()
-    )
-    of = lambda t, f: F.max(F.when(F.col("target") == t, F.col(f"_best.{f}")))
+    per_concept = mapped.groupBy(*filing, "target", "concept_rank").agg(F.min(candidate).alias("_c"), *keep)
+    usable = F.when(F.col("_c.unusable") == 0, F.struct("concept_rank", F.col("_c.value").alias("value"), F.col("_c.days").alias("days")))
+    per_target = per_concept.groupBy(*filing, "target").agg(F.min(usable).alias("_best"), *keep)
+    of = lambda t, f, name: F.expr(f"max(CASE WHEN target = '{t}' THEN _best.{f} END) AS {name}")
     wide = per_target.groupBy(*filing).agg(
-        *[of(t, "value").alias(t) for t in targets],
-        *[of(t, "days").alias(f"_days_{t}") for t in targets if t in DERIVABLE_FIELDS], *keep(),
+        *[of(t, "value", t) for t in targets], *[of(t, "days", f"_days_{t}") for t in targets if t in DERIVABLE_FIELDS], *keep,
     )
     rest = [c for c in wide.columns if c not in {*filing, "filed_date"}]
     newest_filing = wide.groupBy(*group).agg(F.max(F.struct("filed_date", "accession_number", *rest)).alias("_f"))
@@ -137,53 +134,49 @@ def ytd_to_discrete(
     them is NULL. Q4 needs all three. The four reports of a year are put side by side.
     """
     columns = [c for c in reports.columns if c not in {*keys, period}]
+    fields = list(fields)
+    listed = ", ".join(columns)
     wide = reports.groupBy(*keys).agg(*[
-        F.max(F.when(F.col(period) == p, F.struct(F.lit(1).alias("_here"), *columns))).alias(p) for p in ("Q1", "Q2", "Q3", "FY")
+        F.expr(f"max(CASE WHEN {period} = '{p}' THEN struct({listed}) END) AS {p}") for p in ("Q1", "Q2", "Q3", "FY")
     ])
-    value = lambda p, f: F.col(f"{p}.{f}")
-    here = lambda p: F.col(p).isNotNull()
-
-    def total(parts: list[tuple[Column, Column]]) -> tuple[Column, Column]:
-        """(sum of present values, whether a present one is NULL)."""
-        s, poisoned = F.lit(0.0), F.lit(False)
-        for present, v in parts:
-            s = s + F.when(present, F.coalesce(v, F.lit(0.0))).otherwise(F.lit(0.0))
-            poisoned = poisoned | (present & v.isNull())
-        return s, poisoned
-
-    out: dict[str, Column] = {}
-    for f in fields:
-        done: list[tuple[Column, Column]] = [(here("Q1"), value("Q1", f))]
-        out[f"Q1_{f}"] = value("Q1", f)
-        for p in ("Q2", "Q3"):
-            s, poisoned = total(done)
-            cumulative = (value(p, days[f]) > threshold) if days else F.lit(True)
-            discrete = F.when(F.coalesce(cumulative, F.lit(False)), F.when(~poisoned, value(p, f) - s)).otherwise(value(p, f))
-            out[f"{p}_{f}"] = discrete
-            done.append((here(p), F.col(f"{p}_{f}")))
-        s, poisoned = total(done)
-        complete = here("Q1") & here("Q2") & here("Q3") & ~poisoned
-        out[f"Q4_{f}"] = F.when(complete, value("FY", f) - s)
+
+    def earlier(f: str, done: Sequence[str]) -> tuple[str, str]:
+        """SQL of the sum of the discrete quarters so far and of "none present is NULL"."""
+        total = " + ".join(f"coalesce({p}_{f}, 0D)" for p in done)
+        known = " AND ".join(f"({p} IS NULL OR {p}_{f} IS NOT NULL)" for p in done)
+        return total, known
+
     # Q3 and Q4 refer to the discrete values of earlier quarters, hence one step each.
-    for p in ("Q1", "Q2", "Q3", "Q4"):
-        wide = wide.withColumns({n: e for n, e in out.items() if n.startswith(f"{p}_")})
+    wide = wide.select("*", *[F.expr(f"Q1.{f} AS Q1_{f}") for f in fields])
+    for p, done in (("Q2", ["Q1"]), ("Q3", ["Q1", "Q2"])):
+        steps = []
+        for f in fields:
+            total, known = earlier(f, done)
+            discrete = f"CASE WHEN {known} THEN {p}.{f} - ({total}) END"
+            steps.append(F.expr(f"CASE WHEN {p}.{days[f]} > {threshold} THEN {discrete} ELSE {p}.{f} END AS {p}_{f}" if days else f"{discrete} AS {p}_{f}"))
+        wide = wide.select("*", *steps)
+    last = []
+    for f in fields:
+        total, known = earlier(f, ["Q1", "Q2", "Q3"])
+        last.append(F.expr(
+            f"CASE WHEN Q1 IS NOT NULL AND Q2 IS NOT NULL AND Q3 IS NOT NULL AND {known} THEN FY.{f} - ({total}) END AS Q4_{f}"
+        ))
+    wide = wide.select("*", *last)
 
-    def quarter(p: str) -> Column:
+    def quarter(p: str) -> str:
         source = "FY" if p == "Q4" else p
         parts = []
         for c in columns:
-            if c in fields:
-                v = F.col(f"{p}_{c}")
-            elif p == "Q4" and c == start and end:
-                last = F.coalesce(*[F.when(here(q), F.struct(value(q, end).alias("e"))) for q in ("Q3", "Q2", "Q1")])
-                v = F.coalesce(F.date_add(last["e"], 1), value("FY", c))
-            else:
-                v = value(source, c)
-            parts.append(v.alias(c))
-        return F.when(here(source), F.struct(F.lit(p).alias(period), *parts))
+            value = f"{p}_{c}" if c in fields else f"{source}.{c}"
+            if p == "Q4" and c == start and end:
+                # the end of the last quarter present, even when that end is NULL
+                before = f"CASE WHEN Q3 IS NOT NULL THEN Q3.{end} WHEN Q2 IS NOT NULL THEN Q2.{end} ELSE Q1.{end} END"
+                value = f"coalesce(date_add({before}, 1), FY.{c})"
+            parts.append(f"'{c}', {value}")
+        return f"CASE WHEN {source} IS NOT NULL THEN named_struct('{period}', '{p}', {', '.join(parts)}) END"
 
-    quarters = F.array_compact(F.array(*[quarter(p) for p in ("Q1", "Q2", "Q3", "Q4")]))
-    return wide.select(*keys, F.inline(quarters))
+    quarters = ", ".join(quarter(p) for p in ("Q1", "Q2", "Q3", "Q4"))
+    return wide.select(*keys, F.expr(f"inline(array_compact(array({quarters})))"))
 
 
 def normalize_fundamentals(
@@ -237,12 +230,18 @@ def quarter_window(quarters: DataFrame, key: str, order: Sequence[Column], n: in
 
 def trailing(value: str, first: int = 1, last: int = 4) -> Column:
     """WIN-11 as an aggregate over ranks: NULL unless all rows exist and none is NULL."""
-    return null_poisoned_sum(value, F.col("_rn").between(first, last), rows=last - first + 1)
+    here = f"_rn BETWEEN {first} AND {last}"
+    n = last - first + 1
+    return F.expr(
+        f"CASE WHEN count_if({here}) = {n} AND count(CASE WHEN {here} THEN {value} END) = {n} THEN sum(CASE WHEN {here} THEN {value} END) END"
+    )
 
 
 def at_rank(value: Column | str, rank: int) -> Column:
     """WIN-12 as an aggregate: the value ``rank - 1`` rows back."""
-    return F.max(F.when(F.col("_rn") == rank, F.col(value) if isinstance(value, str) else value))
+    if isinstance(value, str):
+        return F.expr(f"max(CASE WHEN _rn = {rank} THEN {value} END)")
+    return F.max(F.when(F.col("_rn") == rank, value))
 
 
 def factor_inputs(quarters: DataFrame, key: str = "security_id") -> DataFrame:
@@ -260,7 +259,7 @@ def factor_inputs(quarters: DataFrame, key: str = "security_id") -> DataFrame:
         "free_cash_flow", "total_debt", "cash_and_equivalents", "current_assets", "current_liabilities",
         "stockholders_equity", "tangible_book_value",
     )
-    shares = F.coalesce("shares_diluted", "shares_basic")
+    shares = "coalesce(shares_diluted, shares_basic)"
     return ranked.groupBy(key).agg(
         F.max("_rn").alias("n"),
         *[trailing(c).alias(name) for c, name in TRAILING.items()],

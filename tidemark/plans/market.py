@@ -68,7 +68,7 @@ class MarketHistory:
     def __init__(self, candidates: DataFrame, splits: DataFrame, aliases: DataFrame, oldest_active: Column, min_session_rows: int) -> None:
         self.candidates = candidates
         self._splits, self._aliases = splits, aliases
-        self._oldest, self._min_rows = oldest_active, min_session_rows
+        self.oldest_active, self._min_rows = oldest_active, min_session_rows
 
     @cached_property
     def current(self) -> DataFrame:
@@ -78,15 +78,15 @@ class MarketHistory:
         of the rank.
         """
         newest = F.max("session_date").over(Window.partitionBy("security_id"))
-        return self.candidates.withColumn("_newest", newest).filter(F.col("_newest") >= self._oldest).drop("_newest")
+        return self.candidates.withColumn("_newest", newest).filter(F.col("_newest") >= self.oldest_active).drop("_newest")
 
     @cached_property
     def active(self) -> DataFrame:
-        return active_securities(self.candidates, self._oldest)[0].select("security_id")
+        return active_securities(self.candidates, self.oldest_active)[0].select("security_id")
 
     @cached_property
     def stale(self) -> DataFrame:
-        return active_securities(self.candidates, self._oldest)[1]
+        return active_securities(self.candidates, self.oldest_active)[1]
 
     @cached_property
     def prices(self) -> DataFrame:
@@ -134,9 +134,12 @@ def build_market_history(
     n: int = 320, gap_days: int = 45, ratio: float = 4.0, min_session_rows: int = 100,
     lane: str = REFRESH_LANE, hot_rows: int | None = None,
 ) -> MarketHistory:
-    """PIP-02 from scanned, conflict-free rows."""
+    """PIP-02 from scanned, conflict-free rows.
+
+    Identical rows need no collapsing first: the alias choice keeps one row per security
+    and session.
+    """
     one_task = hot_rows is None and fits_one_task(prices)
-    prices, splits = prices.distinct(), splits.distinct()
     candidates = history_candidates(
         prices, splits, aliases, expected=expected, n=n, gap_days=gap_days, ratio=ratio, lane=lane, hot_rows=hot_rows, one_task=one_task
     )
@@ -149,26 +152,42 @@ def market_metrics(
     history: MarketHistory, aliases: DataFrame, *, expected: Column, cutoff: Column, benchmark: str,
     minimum_history: int = 252,
 ) -> DataFrame:
-    """AGG-05, AGG-06, AGG-08 in one row, input of :func:`market_gate`."""
-    one = [
-        stats.dataset_stats(history.prices, "security_id", "session_date", is_invalid_ohlcv(), cutoff),
-        stats.depth_coverage(
-            stats.history_depth(history.prices, "security_id"), aliases.select("security_id"), "security_id", minimum_history
-        ),
-        stats.session_coverage(
-            history.candidates, history.active, "security_id", "session_date", expected, ~is_invalid_ohlcv()
-        ).select(F.col("coverage").alias("latest_session_coverage"), "valid_securities", "active_securities"),
-        history.common_mode.agg(F.count(F.lit(1)).alias("common_mode_sessions")),
-        history.invalid_rows.agg(F.count(F.lit(1)).alias("excluded_rows")),
-        history.stale.agg(F.count(F.lit(1)).alias("stale_histories")),
-        history.truncations.agg(F.count(F.lit(1)).alias("truncated_histories")),
-        history.candidates.filter((F.col("ticker") == benchmark.upper()) & (F.col("session_date") == expected) & ~is_invalid_ohlcv())
-        .agg((F.count(F.lit(1)) > 0).alias("benchmark_valid")),
-    ]
-    out = one[0]
-    for row in one[1:]:  # one-row tables
-        out = out.join(row, how="cross")
-    return out
+    """AGG-05, AGG-06, AGG-08 of one build in one row, input of :func:`market_gate`.
+
+    One pass over the candidates: cells (security, session), then securities, then the
+    total, so distinct counts need no row expansion.
+    """
+    day, ok = F.col("session_date"), F.col("n") > 0
+    cells = history.candidates.groupBy("security_id", "session_date").agg(
+        F.count_if(~is_invalid_ohlcv()).alias("n"), F.count_if(is_invalid_ohlcv()).alias("bad"),
+        F.max("ticker").alias("ticker"), F.bool_or(F.col("previous_segment_latest_date").isNotNull()).alias("cut"),
+    )
+    per_id = cells.groupBy("security_id").agg(
+        F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.count_if(ok).alias("sessions"), F.max(day).alias("latest"),
+        F.min(F.when(ok, day)).alias("lo"), F.max(F.when(ok, day)).alias("hi"), F.bool_or("cut").alias("cut"),
+        F.sum(F.when(day > cutoff, F.col("n")).otherwise(0)).alias("late"),
+        F.bool_or(ok & (day == expected)).alias("current"), F.max("ticker").alias("ticker"),
+    ).withColumn("active", F.col("latest") >= history.oldest_active)
+    live = F.col("active")
+    matched = live & (F.col("sessions") > 0)
+    total = lambda c: F.coalesce(F.sum(F.when(live, F.col(c))), F.lit(0)).cast("bigint")
+    measured = per_id.agg(
+        total("n").alias("rows"), F.count_if(matched).alias("securities"), F.min(F.when(live, F.col("lo"))).alias("min_date"),
+        F.max(F.when(live, F.col("hi"))).alias("max_date"), F.lit(0).cast("bigint").alias("invalid_rows"),
+        (total("n") - total("sessions")).alias("duplicate_rows"), total("late").alias("after_cutoff"),
+        F.count_if(matched & (F.col("n") >= minimum_history)).alias("adequate"),
+        F.count_if(live & F.col("current")).alias("valid_securities"), F.count_if(live).alias("active_securities"),
+        total("bad").alias("excluded_rows"), F.count_if(~live).alias("stale_histories"), F.count_if("cut").alias("truncated_histories"),
+        F.coalesce(F.bool_or((F.col("ticker") == benchmark.upper()) & F.col("current")), F.lit(False)).alias("benchmark_valid"),
+    )
+    admitted = aliases.select("security_id").distinct().agg(F.count(F.lit(1)).alias("admitted"))
+    bad_sessions = history.common_mode.agg(F.count(F.lit(1)).alias("common_mode_sessions"))
+    out = measured.join(admitted, how="cross").join(bad_sessions, how="cross")  # one-row tables
+    share = lambda a, b: F.coalesce(F.try_divide(F.col(a), F.col(b)), F.lit(0.0))
+    return out.withColumns({
+        "coverage": share("securities", "admitted"), "adequate_coverage": share("adequate", "securities"),
+        "latest_session_coverage": share("valid_securities", "active_securities"),
+    })
 
 
 def market_gate(
