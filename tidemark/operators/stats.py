@@ -56,14 +56,22 @@ def history_depth(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("sessions"))
 
 
+def side_by_side(*one_row: DataFrame) -> DataFrame:
+    """One-row frames with different columns put into one row, by union and maximum."""
+    names = [c for df in one_row for c in df.columns]
+    stacked = one_row[0]
+    for df in one_row[1:]:
+        stacked = stacked.unionByName(df, allowMissingColumns=True)
+    return stacked.agg(*[F.max(c).alias(c) for c in names])
+
+
 def depth_coverage(depth: DataFrame, admitted: DataFrame, key: str, minimum: int) -> DataFrame:
     """AGG-06. Matched coverage of the admitted keys and share with enough history."""
     matched = depth.agg(
         F.count(F.lit(1)).alias("matched"), F.count_if(F.col("sessions") >= minimum).alias("adequate")
     )
     total = admitted.select(key).distinct().agg(F.count(F.lit(1)).alias("admitted"))
-    # two one-row tables
-    return matched.join(total, how="cross").select(
+    return side_by_side(matched, total).select(
         "admitted", "matched", "adequate",
         F.coalesce(F.try_divide(F.col("matched"), F.col("admitted")), F.lit(0.0)).alias("coverage"),
         F.coalesce(F.try_divide(F.col("adequate"), F.col("matched")), F.lit(0.0)).alias("adequate_coverage"),
@@ -126,7 +134,7 @@ def universe_counts(universe: DataFrame) -> DataFrame:
 def admitted_drift(current: DataFrame, previous: DataFrame, maximum: float) -> DataFrame:
     """AGG-10. abs(new - old) / old of the admitted counts against a maximum."""
     one = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
-    return one(current, "admitted").join(one(previous, "previous_admitted"), how="cross").withColumn(
+    return side_by_side(one(current, "admitted"), one(previous, "previous_admitted")).withColumn(
         "drift", F.try_divide(F.abs(F.col("admitted") - F.col("previous_admitted")), F.col("previous_admitted"))
     ).withColumn("within_limit", F.coalesce(F.col("drift") <= maximum, F.lit(False)))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import hash_id
@@ -122,8 +122,10 @@ def lane_summary(
 
 def certify_lane(rows: DataFrame, summary: DataFrame, members: int, key: str = "ticker") -> DataFrame:
     """All or none: the rows only when every one of ``members`` is certified."""
-    verdict = summary.agg((F.count_if("certified") == members).alias("_all"))
-    return rows.join(verdict.filter("_all").select(F.lit(1).alias("_one")), how="cross").drop("_one")  # one row or none
+    # the summary has one row per member
+    whole = Window.partitionBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    verdict = summary.withColumn("_n", F.count_if("certified").over(whole)).filter(F.col("_n") == members)
+    return rows.join(verdict.select(key), key, "left_semi")
 
 
 def build_distributions(

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.stats import side_by_side
+
 
 def coverage_states(
     universe: DataFrame, observed: DataFrame, *, key: str, date: str, expected: Column, valid: Column,
@@ -31,8 +33,9 @@ def coverage_states(
     else:
         out = out.withColumn("_failed", F.lit(None).cast("boolean"))
     if quarantined is not None:
-        bad = quarantined.filter(F.col(date) == expected).agg((F.count(F.lit(1)) > 0).alias("_quarantined"))
-        out = out.join(bad, how="cross")  # one row
+        bad = quarantined.filter(F.col(date) == expected).select(F.col(date).alias("_expected")).distinct()
+        out = out.withColumn("_expected", expected).join(bad.withColumn("_quarantined", F.lit(True)), "_expected", "left")
+        out = out.withColumn("_quarantined", F.coalesce("_quarantined", F.lit(False)))
     else:
         out = out.withColumn("_quarantined", F.lit(False))
     ok = F.coalesce(F.col("_valid"), F.lit(False))
@@ -111,7 +114,4 @@ def domain_warnings(master: DataFrame, quarters: DataFrame, holdings: DataFrame,
         holdings.agg(F.count_if(F.col("security_mapping_method") == "UNIQUE_SEC_ISSUER_NAME").alias("name_mapped_positions")),
         facts.agg((F.count_if(F.col("taxonomy") == "ifrs-full") > 0).alias("has_ifrs")),
     ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.join(p, how="cross")  # one-row tables
-    return out
+    return side_by_side(*parts)

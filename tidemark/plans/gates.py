@@ -159,10 +159,11 @@ def capability_states(groups: DataFrame, capabilities: DataFrame, lane: DataFram
         F.col("observed_at").alias("_observed"),
     )
     l = lane.select(
+        F.lit("LANE").alias("rule"),
         F.col("state").alias("_l_state"), F.col("identity_state").alias("_l_identity"), F.col("market_state").alias("_l_market"),
         F.col("identity_observed_at").alias("_l_identity_at"), F.col("observed_at").alias("_l_at"),
     )
-    rows = capabilities.join(g, "source_group", "left").join(F.broadcast(l), F.lit(True), "left")  # at most one lane row
+    rows = capabilities.join(g, "source_group", "left").join(l, "rule", "left")  # at most one lane row
     usable = F.coalesce(F.col("_group_state").isin(*USABLE_STATES), F.lit(False))
     age_limit = F.col("maximum_age_seconds")
     hours = F.col("lag_hours")

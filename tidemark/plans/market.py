@@ -182,7 +182,7 @@ def market_metrics(
     )
     admitted = aliases.select("security_id").distinct().agg(F.count(F.lit(1)).alias("admitted"))
     bad_sessions = history.common_mode.agg(F.count(F.lit(1)).alias("common_mode_sessions"))
-    out = measured.join(admitted, how="cross").join(bad_sessions, how="cross")  # one-row tables
+    out = stats.side_by_side(measured, admitted, bad_sessions)
     share = lambda a, b: F.coalesce(F.try_divide(F.col(a), F.col(b)), F.lit(0.0))
     return out.withColumns({
         "coverage": share("securities", "admitted"), "adequate_coverage": share("adequate", "securities"),
