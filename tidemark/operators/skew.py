@@ -39,6 +39,17 @@ def fits_one_task(df: DataFrame) -> bool:
     return input_bytes(df) <= split_bytes(df)
 
 
+def gather_small(df: DataFrame, *keys: str) -> DataFrame:
+    """Partition an input below one split by ``keys`` once, ahead of several steps on them.
+
+    Small inputs come as one or two tasks; this puts all cores to work and later windows
+    and aggregations on the keys need no shuffle. Larger inputs are returned unchanged,
+    because there each step combines or limits before its own shuffle and a hot key must
+    not be gathered.
+    """
+    return df.repartition(*keys) if fits_one_task(df) else df
+
+
 def as_columns(order: Sequence[Column | str] | Column | str) -> list[Column]:
     if isinstance(order, (str, Column)):
         order = [order]

@@ -13,6 +13,7 @@ from tidemark.functions import (
 )
 from tidemark.operators.keys import recent_n
 from tidemark.operators.quality import quarantine
+from tidemark.operators.skew import gather_small
 from tidemark.plans.concepts import (
     CONCEPT_MAP_VERSION, CORE_FIELDS, DERIVABLE_FIELDS, DURATION_DAYS, FLOW_FIELDS, SHARE_FIELDS, YTD_DAYS,
 )
@@ -92,7 +93,7 @@ def choose_facts(
     keep = [F.expr(f"{fn}({c}) AS {c}") for c, fn in carried.items()]
 
     # both are the reviewed map, a few dozen rows
-    mapped = facts.join(F.broadcast(concepts), "concept").join(F.broadcast(taxonomies), "taxonomy", "left")
+    mapped = gather_small(facts, *group).join(F.broadcast(concepts), "concept").join(F.broadcast(taxonomies), "taxonomy", "left")
     per_concept = mapped.groupBy(*filing, "target", "concept_rank").agg(F.min(candidate).alias("_c"), *keep)
     usable = F.when(F.col("_c.unusable") == 0, F.struct("concept_rank", F.col("_c.value").alias("value"), F.col("_c.days").alias("days")))
     per_target = per_concept.groupBy(*filing, "target").agg(F.min(usable).alias("_best"), *keep)

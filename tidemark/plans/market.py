@@ -11,7 +11,7 @@ from tidemark.contracts import PRICES, SPLITS
 from tidemark.functions import is_invalid_ohlcv, ohlcv_invalid_reason
 from tidemark.operators import segments, stats
 from tidemark.operators.keys import latest_per_key, recent_n
-from tidemark.operators.skew import fits_one_task
+from tidemark.operators.skew import fits_one_task, gather_small
 from tidemark.session import stage
 
 REFRESH_LANE = "CHART_REFRESH"
@@ -20,7 +20,7 @@ BAR = ["open", "high", "low", "close", "volume"]
 
 def best_alias(prices: DataFrame, aliases: DataFrame, date: str = "session_date", lane: str = REFRESH_LANE) -> DataFrame:
     """JOI-02. One row per (security, date): priority, symbol, refresh lane, newest, revision."""
-    joined = prices.join(aliases, "source_symbol")
+    joined = gather_small(prices.join(aliases, "source_symbol"), "security_id")
     order = [F.col("priority"), F.col("source_symbol")]
     if date == "session_date":
         order += [
