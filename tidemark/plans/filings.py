@@ -136,7 +136,7 @@ def build_filings(rows: DataFrame, primary: DataFrame, *, cutoff: Column, retrie
             "reject_reasons", F.array(F.lit("CONFLICTING_METADATA"))
         ).select(*bad.columns)
     )
-    return filings.join(conflicts, ["cik", "accession_number"], "left_anti"), rejected
+    return filings.join(conflicts, ["cik", "accession_number"], "left_anti").select(*filings.columns), rejected
 
 
 def conflicting_filings(filings: DataFrame) -> DataFrame:

@@ -73,18 +73,20 @@ def identity_conflicts(rows: DataFrame, master: DataFrame, cik: str = "issuer_ci
 def insider_rows(submissions: DataFrame, nonderivative: DataFrame, derivative: DataFrame, cutoff: Column) -> tuple[DataFrame, DataFrame]:
     """JOI-09. Both transaction tables with their submission: (rows, rows without one)."""
     def shaped(df: DataFrame, key: str, is_derivative: bool) -> DataFrame:
+        # a derivative table may lack columns of the other one
         text = lambda c: blank_to_null(c) if c in df.columns else F.lit(None).cast("string")
+        number = lambda c: finite_number(text(c))
         return df.select(
             F.col("ACCESSION_NUMBER").alias("accession_number"),
             F.concat(F.lit("D:" if is_derivative else "N:"), F.col(key)).alias("transaction_id"),
             parse_source_date("TRANS_DATE").alias("transaction_date"), text("TRANS_FORM_TYPE").alias("_form"),
             text("SECURITY_TITLE").alias("security_title"), text("TRANS_CODE").alias("transaction_code"),
             text("TRANS_ACQUIRED_DISP_CD").alias("acquired_disposed"),
-            finite_number("TRANS_SHARES").alias("shares"), finite_number("TRANS_PRICEPERSHARE").alias("price_per_share"),
+            number("TRANS_SHARES").alias("shares"), number("TRANS_PRICEPERSHARE").alias("price_per_share"),
             F.coalesce(text("NATURE_OF_OWNERSHIP"), text("DIRECT_INDIRECT_OWNERSHIP")).alias("ownership_nature"),
-            finite_number("SHRS_OWND_FOLWNG_TRANS").alias("shares_owned_after"), F.lit(is_derivative).alias("is_derivative"),
-            (finite_number("CONV_EXERCISE_PRICE") if is_derivative else F.lit(None).cast("double")).alias("exercise_price"),
-            (parse_source_date("EXPIRATION_DATE") if is_derivative else F.lit(None).cast("date")).alias("expiration_date"),
+            number("SHRS_OWND_FOLWNG_TRANS").alias("shares_owned_after"), F.lit(is_derivative).alias("is_derivative"),
+            (number("CONV_EXERCISE_PRICE") if is_derivative else F.lit(None).cast("double")).alias("exercise_price"),
+            (parse_source_date(text("EXPIRATION_DATE")) if is_derivative else F.lit(None).cast("date")).alias("expiration_date"),
         )
 
     rows = shaped(nonderivative, "NONDERIV_TRANS_SK", False).unionByName(shaped(derivative, "DERIV_TRANS_SK", True))
@@ -133,7 +135,7 @@ def build_insider_transactions(
             "accession_number", "transaction_id", F.lit("NO_REPORTING_OWNER").alias("reason")))
         .unionByName(conflicts.select("accession_number", "transaction_id", F.lit("CONFLICTING_TRANSACTION").alias("reason")))
     )
-    return out.join(conflicts, key, "left_anti"), rejected, broken
+    return out.join(conflicts, key, "left_anti").select(*out.columns), rejected, broken
 
 
 def insider_signals(

@@ -43,8 +43,8 @@ def gate_quotes_stream(
         at = F.col(f"_{name}_at")
         return (
             (F.col(key) == F.col(f"_{name}_key"))
-            & (at >= F.col("cutoff_utc") - F.make_dt_interval(secs=F.lit(age)))
-            & (at <= F.col("cutoff_utc") + F.make_dt_interval(secs=F.lit(policy.clock_skew)))
+            & (at >= F.col("cutoff_utc") - F.expr(f"interval {age} seconds"))
+            & (at <= F.col("cutoff_utc") + F.expr(f"interval {policy.clock_skew} seconds"))
         )
 
     base = [key, "cutoff_utc", "generated_at_utc", "requested_at_utc", "received_at_utc", "quote"]
@@ -128,7 +128,8 @@ def segment_batches(
             rows = marked.filter(~is_late).select(*columns, F.lit(True).alias("_new")).unionByName(
                 carried.drop("segment_id").withColumn("_new", F.lit(False)), allowMissingColumns=True
             )
-        cut = segment_history(rows, keys, time, price, gap=gap, ratio=ratio, hot_rows=hot_rows)
+        # the written batch has a known size and is read by several passes
+        cut = segment_history(stage(rows, "batch"), keys, time, price, gap=gap, ratio=ratio, hot_rows=hot_rows)
         if carried is not None:
             base = carried.select(*keys, F.col("segment_id").alias("_base"))
             cut = cut.join(base, list(keys), "left").withColumn("segment_id", F.col("segment_id") + F.coalesce("_base", F.lit(0))).drop("_base")
