@@ -1,21 +1,23 @@
 """Ordered per-key computations that survive one key holding much of the table.
 
 A window over a key runs in one task. :class:`OrderedKeys` keeps that plan while the
-whole input is no larger than one scan split, and otherwise cuts the keys above a row
-limit into order-contiguous chunks: running values are computed inside each chunk, one
-summary row per chunk is carried forward, and the two are combined. Chunk bounds are
-quantiles of the first order column, so rows with equal values stay together.
+whole input is no larger than one scan split or no key exceeds a row limit. Otherwise it
+cuts the larger keys into order-contiguous chunks: running values are computed inside
+each chunk, one summary row per chunk is carried forward, and the two are combined. Chunk
+bounds are quantiles of the first order column, so rows with equal values stay together.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 4_000_000
-CHUNKS = 200
+HOT_ROWS = 4_000_000  # rows of one key that a single task may order
+HOT_KEYS = 2_000  # at most so many keys are cut
+MAX_CHUNKS = 1_024  # at most so many pieces per key
 
 
 def split_bytes(df: DataFrame) -> int:
@@ -71,29 +73,42 @@ class OrderedKeys:
     ) -> None:
         self.keys = list(keys)
         self.order = list(order)
-        self.split = hot_rows is not None or not (fits_one_task(df) if one_task is None else one_task)
-        self.df = self._with_chunks(df, hot_rows or HOT_ROWS) if self.split else df
+        self.df = df
+        self.split = False
+        if hot_rows is not None or not (fits_one_task(df) if one_task is None else one_task):
+            self._cut_hot_keys(hot_rows or HOT_ROWS)
 
-    def _with_chunks(self, df: DataFrame, hot_rows: int) -> DataFrame:
-        """Add ``_chunk`` (0 outside hot keys) and ``_hot``.
+    def _cut_hot_keys(self, hot_rows: int) -> None:
+        """Add ``_chunk`` (0 outside hot keys) and ``_hot`` when a key is above the limit.
 
-        At most rows / hot_rows keys are hot, so the two broadcast tables hold at most
-        that many rows with ``CHUNKS`` bounds each.
+        One small action measures the largest key. The limit rises with the table so that
+        at most ``HOT_KEYS`` keys can exceed it; their bounds, the only broadcast table,
+        then hold at most HOT_KEYS x MAX_CHUNKS values (16 MB).
         """
-        first = self.order[0]
-        hot = df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
-        fractions = [i / CHUNKS for i in range(1, CHUNKS)]
+        sizes = self.df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_n"))
+        largest, total = sizes.agg(F.max("_n"), F.sum("_n")).first()
+        limit = max(hot_rows, (total or 0) // HOT_KEYS)
+        if (largest or 0) <= limit:
+            return
+        self.split = True
+        # root x root chunks of about half the limit for the largest key
+        root = min(math.isqrt(MAX_CHUNKS), max(2, math.isqrt(2 * largest // limit) + 1))
+        first = F.col(self.order[0])
+        fractions = [i / root**2 for i in range(1, root**2)]
         bounds = (
-            df.join(F.broadcast(hot.drop("_n")), self.keys, "left_semi")
-            .groupBy(*self.keys)
-            .agg(F.percentile_approx(first, fractions, 10 * CHUNKS).alias("_bounds"))
+            self.df.join(F.broadcast(sizes.filter(F.col("_n") > limit).drop("_n")), self.keys, "left_semi")
+            .groupBy(*self.keys).agg(F.percentile_approx(first, fractions, 10 * root**2).alias("_bounds"))
+            .withColumn("_coarse", F.transform(F.sequence(F.lit(root), F.lit(root**2 - 1), F.lit(root)), lambda i: F.element_at("_bounds", i)))
         )
-        below = F.size(F.filter("_bounds", lambda b: b < F.col(first)))
-        return (
-            df.join(F.broadcast(bounds), self.keys, "left")
+        # find the coarse piece, then the place inside it
+        piece = F.size(F.filter("_coarse", lambda b: b < first))
+        inside = F.size(F.filter(F.slice("_bounds", F.col("_piece") * root + 1, F.lit(root - 1)), lambda b: b < first))
+        self.df = (
+            self.df.join(F.broadcast(bounds), self.keys, "left")
             .withColumn("_hot", F.col("_bounds").isNotNull())
-            .withColumn("_chunk", F.when(F.col("_hot"), below).otherwise(F.lit(0)))
-            .drop("_bounds")
+            .withColumn("_piece", F.when(F.col("_hot"), piece))
+            .withColumn("_chunk", F.when(F.col("_hot"), F.col("_piece") * root + inside).otherwise(F.lit(0)))
+            .drop("_bounds", "_coarse", "_piece")
         )
 
     def running(
@@ -134,8 +149,8 @@ class OrderedKeys:
             *inside, *[make[kind](F.col(f"_c_{n}")).over(before).alias(f"_b_{n}") for n, _, kind, _ in specs]
         )
         local = self.df.withColumns({f"_l_{n}": make[kind](c).over(frames[end]) for n, c, kind, end in specs})
-        # carry has at most CHUNKS rows per hot key
-        joined = local.join(F.broadcast(carry), inside, "left")
+        # one row per chunk; the large side is already partitioned by these keys
+        joined = local.join(carry, inside, "left")
 
         def combine(name: str, kind: str) -> Column:
             b, l = F.col(f"_b_{name}"), F.col(f"_l_{name}")
