@@ -102,3 +102,42 @@ def flagship(t: Tables) -> DataFrame:
     )
 
 
+
+
+@query("missing_provenance", f"WITH {FILINGS} SELECT accession_number, form FROM filed WHERE acceptance_datetime_utc IS NULL")
+def missing_provenance(t: Tables) -> DataFrame:
+    from tidemark.operators.quality import missing_provenance as without
+
+    return without(filings(t), "acceptance_datetime_utc").select("accession_number", "form")
+
+
+@query("evidence_rules", f"""WITH {EVENTS}, e AS (SELECT accession_number AS id, security_id, acceptance_datetime_utc AS known, primary_document AS locator FROM filed)
+SELECT rule, violations FROM (SELECT 'KNOWN_AT_UTC' AS rule, count(*) FILTER (WHERE known IS NULL) AS violations FROM e UNION ALL SELECT 'SOURCE_LOCATOR', count(*) FILTER (WHERE locator IS NULL) FROM e
+UNION ALL SELECT 'EVIDENCE_ID', 0 UNION ALL SELECT 'SECURITY_ID', 0 UNION ALL SELECT 'EVIDENCE_KIND', 0 UNION ALL SELECT 'REVISION', 0)""")
+def evidence_rules(t: Tables) -> DataFrame:
+    """DQ-11 on unchecked filings, where acceptance and document may be missing."""
+    from tidemark.operators import quality
+
+    rows = filings(t).select(
+        F.col("accession_number").alias("evidence_id"), "security_id", F.lit("SEC_FILING").alias("evidence_kind"), F.col("acceptance_datetime_utc").alias("known_at_utc"),
+        F.col("accession_number").alias("revision"), F.col("primary_document").alias("source_locator"),
+    )
+    return quality.rule_counts(rows, quality.evidence_rules())
+
+
+@query("distribution_row_rules", """WITH d AS (SELECT CASE WHEN o_orderstatus = 'F' THEN -o_totalprice ELSE o_totalprice END AS cash, o_orderpriority AS p FROM orders)
+SELECT rule, violations FROM (SELECT 'CASH' AS rule, count(*) FILTER (WHERE NOT cash > 0) AS violations FROM d UNION ALL SELECT 'CURRENCY', count(*) FILTER (WHERE p <> '5-LOW') FROM d UNION ALL SELECT 'IDENTITY', 0 UNION ALL SELECT 'TYPE', count(*) FILTER (WHERE p = '1-URGENT') FROM d)""")
+def distribution_row_rules(t: Tables) -> DataFrame:
+    from tidemark.operators import quality
+
+    rows = t.orders.select(
+        F.col("o_custkey").alias("security_id"), F.lit("T").alias("ticker"), F.to_date("o_orderdate").alias("ex_date"),
+        F.when(F.col("o_orderstatus") == "F", -F.col("o_totalprice")).otherwise(F.col("o_totalprice")).alias("cash_amount"),
+        F.when(F.col("o_orderpriority") == "5-LOW", "USD").alias("currency"), F.when(F.col("o_orderpriority") != "1-URGENT", "CASH_DISTRIBUTION").otherwise("?").alias("distribution_type"),
+    )
+    return quality.rule_counts(rows, {n: r for n, r in quality.distribution_row_rules().items() if n != "PROVENANCE"})
+
+
+@query("as_of_filter", f"WITH {FILINGS} SELECT accession_number, form FROM filed WHERE available <= DATE '1999-12-31'")
+def as_of_filter(t: Tables) -> DataFrame:
+    return keys.as_of_filter(filings(t), "source_publication_date", day("1999-12-31")).select("accession_number", "form")

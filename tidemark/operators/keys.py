@@ -28,17 +28,23 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
 
 
 def previous_value(
-    df: DataFrame, keys: Sequence[str], order: str, columns: dict[str, str], hot_rows: int | None = None
+    df: DataFrame, keys: Sequence[str], order: str, columns: dict[str, str], hot_rows: int | None = None,
+    one_task: bool | None = None,
 ) -> DataFrame:
     """WIN-02. Previous row's values as new columns {new: old}; ``order`` unique per key."""
     olds = [c for c in dict.fromkeys(columns.values()) if c != order]
-    ordered = OrderedKeys(df, keys, [order], hot_rows)
+    ordered = OrderedKeys(df, keys, [order], hot_rows, one_task)
     ordered.running(maxima_before={"_prev": F.struct(order, *olds)})
     return ordered.with_columns(
         {new: F.col(f"_prev.{old}") for new, old in columns.items()}
     ).result().drop("_prev")
 
 
+def as_of_filter(df: DataFrame, known_at: str, cutoff: Column) -> DataFrame:
+    """EXP-19. Rows known at the cutoff; a missing date is not known."""
+    return df.filter(F.col(known_at) <= cutoff)
+
+
 def missing_in(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """JOI-05 / SET-04. Rows of ``df`` whose key is absent from ``other``."""
     return df.join(other.select(*keys).distinct(), list(keys), "left_anti")
