@@ -192,12 +192,12 @@ def group_rules(t: Tables) -> DataFrame:
 
 
 @query("session_lag", """WITH s AS (SELECT d, row_number() OVER (ORDER BY d) AS o FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders WHERE isodow(o_orderdate) < 6))
-SELECT l_orderkey, l_linenumber, (SELECT max(o) FROM s WHERE d <= DATE '2001-06-29') - (SELECT max(o) FROM s WHERE d <= CAST(l_shipdate AS DATE)) AS lag_sessions FROM lineitem WHERE CAST(l_shipdate AS DATE) <= DATE '2001-06-29'
-  AND (SELECT max(o) FROM s WHERE d <= CAST(l_shipdate AS DATE)) IS NOT NULL""")
+SELECT l_orderkey, l_linenumber, b.o - a.o AS lag_sessions FROM lineitem ASOF JOIN s a ON CAST(l_shipdate AS DATE) >= a.d ASOF JOIN s b ON last_day(l_shipdate) >= b.d""")
 def session_lag(t: Tables) -> DataFrame:
+    """Sessions from the ship date to the end of its month."""
     days = calendar.session_dimension(t.orders.select(F.to_date("o_orderdate").alias("session_date")).filter(F.weekday("session_date") < 5))
-    rows = t.lineitem.select("l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("observed"), day("2001-06-29").alias("expected"))
-    out = calendar.session_lag(rows.filter(F.col("observed") <= F.col("expected")), "observed", "expected", days, until=day("2001-12-31"))
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("observed"), F.last_day("l_shipdate").alias("expected"))
+    out = calendar.session_lag(rows, "observed", "expected", days, until=day("2001-12-31"))
     return out.filter("lag_sessions is not null").select("l_orderkey", "l_linenumber", "lag_sessions")
 
 

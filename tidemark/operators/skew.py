@@ -15,6 +15,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import stage
+
 HOT_ROWS = 4_000_000  # rows of one key that a single task may order
 HOT_KEYS = 2_000  # at most so many keys are cut
 MAX_CHUNKS = 1_024  # at most so many pieces per key
@@ -52,6 +54,11 @@ def gather_small(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(*keys) if fits_one_task(df) else df
 
 
+def stage_large(df: DataFrame, name: str) -> DataFrame:
+    """Write a table that several branches read, unless its input is below one split."""
+    return df if fits_one_task(df) else stage(df, name)
+
+
 def as_columns(order: Sequence[Column | str] | Column | str) -> list[Column]:
     if isinstance(order, (str, Column)):
         order = [order]

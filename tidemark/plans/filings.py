@@ -9,7 +9,7 @@ from tidemark.functions import (
     accession_ok, available_date, filing_attribution, filing_url, hash_id, market_time_class, pit_columns,
     ticker_variants,
 )
-from tidemark.operators.skew import OrderedKeys
+from tidemark.operators.skew import OrderedKeys, stage_large
 
 PARSER_VERSION = "sec-events-1.0.0"
 
@@ -130,6 +130,7 @@ def build_filings(rows: DataFrame, primary: DataFrame, *, cutoff: Column, retrie
         *pit_columns(event, F.col("filing_date"), F.col("acceptance_datetime_utc"),
                      available_date("filing_date", "acceptance_datetime_utc"), retrieved_at),
     ).distinct()
+    filings = stage_large(filings, "filings")
     conflicts = conflicting_filings(filings)
     rejected = bad.unionByName(
         filings.join(conflicts, ["cik", "accession_number"], "left_semi").withColumn(

@@ -144,7 +144,7 @@ def build_market_history(
         prices, splits, aliases, expected=expected, n=n, gap_days=gap_days, ratio=ratio, lane=lane, hot_rows=hot_rows, one_task=one_task
     )
     if not one_task:
-        candidates = stage(candidates, "candidates")
+        candidates = stage(candidates, "candidates")  # read by every table of the build
     return MarketHistory(candidates, splits, aliases, oldest_active, min_session_rows)
 
 
