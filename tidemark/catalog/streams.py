@@ -6,16 +6,33 @@ the driver's own event file, read as a stream.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.catalog.base import Tables, naive, query
+from tidemark.catalog.base import Tables, listed, naive, query
+from tidemark.catalog.gates import quotes
+from tidemark.functions import QuotePolicy
 from tidemark.session import scratch_table
-from tidemark.streaming import run_available, segment_batches, session_stream, upsert_batches
+from tidemark.streaming import gate_quotes_stream, run_available, segment_batches, session_stream, upsert_batches
+
+
+@contextmanager
+def one_partition_per_core(t: Tables):
+    """State stores are written per shuffle partition; start these streams with one per core."""
+    conf, name = t.spark.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(name)
+    conf.set(name, str(min(int(before), t.spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        conf.set(name, before)
 
 
 def event_stream(t: Tables) -> DataFrame:
-    return t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet").parquet(t.directory)
+    schema = t.spark.read.parquet(f"{t.directory}/events.parquet").schema
+    return t.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(t.directory)
 
 
 @query("streaming_upsert", """SELECT user_id, CAST(ts AS DATE) AS session_date, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event_id DESC) = 1""")
@@ -24,7 +41,8 @@ def streaming_upsert(t: Tables) -> DataFrame:
     out, log = scratch_table(t.spark, "upsert-table"), scratch_table(t.spark, "upsert-log")
     delta = event_stream(t).select("user_id", F.to_date("ts").alias("session_date"), "event_id", "value")
     writer = upsert_batches(out, ["user_id", "session_date"], "session_date", [F.col("event_id").desc()])
-    run_available(delta.writeStream.foreachBatch(writer), log)
+    with one_partition_per_core(t):
+        run_available(delta.writeStream.foreachBatch(writer), log)
     return t.spark.read.parquet(out).select("user_id", "session_date", "event_id", "value")
 
 
@@ -39,7 +57,8 @@ def streaming_segments(t: Tables) -> DataFrame:
     writer = segment_batches(
         out, state, ["user_id"], "ts", "value", gap=micros("ts") - micros("previous_session") > 86_400_000_000, ratio=50.0
     )
-    run_available(rows.writeStream.foreachBatch(writer), log)
+    with one_partition_per_core(t):
+        run_available(rows.writeStream.foreachBatch(writer), log)
     return t.spark.read.parquet(out).select("event_id", "user_id", "segment_break_reason", "segment_id")
 
 
@@ -52,5 +71,41 @@ def streaming_sessions(t: Tables) -> DataFrame:
     out, log = scratch_table(t.spark, "sessions-out"), scratch_table(t.spark, "sessions-log")
     rows = event_stream(t).select("user_id", F.col("ts").cast("timestamp").alias("ts"), "value")
     closed = session_stream(rows, ["user_id"], "ts", "value", gap="6 hours", delay="1 hour")
-    run_available(closed.writeStream.format("parquet").option("path", out).outputMode("append"), log)
+    with one_partition_per_core(t):
+        run_available(closed.writeStream.format("parquet").option("path", out).outputMode("append"), log)
     return t.spark.read.parquet(out).select("user_id", "rows", naive("first_at"), naive("last_at"), F.round("total", 4).alias("total"))
+
+
+_GATED = """q AS (SELECT event_id, user_id, event_type, value, CAST(json_extract(props, '$.k') AS DOUBLE) AS k, ts FROM events),
+st AS (SELECT q.event_id, arg_max(s.k, s.at) AS sk FROM q JOIN (SELECT user_id, k, ts - CASE WHEN k = 54 THEN INTERVAL 7 SECOND ELSE INTERVAL 0 SECOND END AS at FROM q) s ON s.user_id = q.user_id AND s.at BETWEEN q.ts - INTERVAL 5 SECOND AND q.ts + INTERVAL 2 SECOND GROUP BY 1),
+br AS (SELECT q.event_id, arg_max(b.k, b.at) AS bk, max(b.at) AS bat FROM q JOIN (SELECT user_id, k, ts - CASE WHEN k = 58 THEN INTERVAL 400 SECOND ELSE INTERVAL 0 SECOND END AS at FROM q) b ON b.user_id = q.user_id AND b.at BETWEEN q.ts - INTERVAL 300 SECOND AND q.ts + INTERVAL 2 SECOND GROUP BY 1),
+f AS (SELECT q.*, list_sort(list_filter([
+  CASE WHEN event_type = 'error' THEN 'UNACCEPTABLE_QUOTE_FEED' END, CASE WHEN event_type = 'signup' THEN 'QUOTE_UNAVAILABLE' END, CASE WHEN event_type <> 'signup' AND k = 7 THEN 'UNKNOWN_MARKET_SESSION' END,
+  CASE WHEN event_type <> 'signup' AND k < 10 THEN 'CROSSED_MARKET' END, CASE WHEN event_type <> 'signup' AND ((value * (1 + (k - 10) / 1000)) - value) / (((value * (1 + (k - 10) / 1000)) + value) / 2) * 10000 > 500 THEN 'SPREAD_TOO_WIDE' END,
+  CASE WHEN event_type <> 'signup' AND k - 3 < 0 THEN 'NEGATIVE_BID_SIZE' END, CASE WHEN event_type <> 'signup' AND k > 90 THEN 'STALE_QUOTE' END, CASE WHEN event_type <> 'signup' AND k = 90 THEN 'QUOTE_AFTER_CUTOFF' END,
+  CASE WHEN event_type <> 'signup' AND k = 90 THEN 'QUOTE_AFTER_SNAPSHOT' END, CASE WHEN sk = 50 THEN 'SECURITY_HALTED' END, CASE WHEN sk = 51 OR sk IS NULL THEN 'HALT_STATUS_UNKNOWN' END, CASE WHEN sk = 52 THEN 'LULD_PAUSED' END,
+  CASE WHEN sk = 53 OR sk IS NULL THEN 'LULD_STATUS_UNKNOWN' END, CASE WHEN sk IS NULL THEN 'STALE_MARKET_STATUS' END, CASE WHEN sk = 55 THEN 'INVALID_LULD_BANDS' END, CASE WHEN bk = 56 OR bk IS NULL THEN 'BROKER_INELIGIBLE_OR_UNKNOWN' END,
+  CASE WHEN bk = 57 OR bk IS NULL THEN 'INVALID_BROKER_REASON_CODES' END, CASE WHEN bk IS NULL THEN 'STALE_BROKER_ELIGIBILITY' END, CASE WHEN bat > ts + INTERVAL 1 SECOND THEN 'BROKER_STATUS_AFTER_SNAPSHOT' END,
+  CASE WHEN k = 59 THEN 'RESPONSE_PRECEDES_REQUEST' END, CASE WHEN k = 60 THEN 'RESPONSE_AFTER_SNAPSHOT' END], lambda x: x IS NOT NULL)) AS reasons FROM q LEFT JOIN st USING (event_id) LEFT JOIN br USING (event_id))"""
+
+
+@query("streaming_quotes", f"WITH {_GATED} SELECT user_id AS security_id, ts AS cutoff_utc, array_to_string(reasons, '|') AS block_reasons, CASE WHEN len(reasons) = 0 THEN 'READY' ELSE 'BLOCKED' END AS status FROM f WHERE ts <= (SELECT max(ts) FROM events) - INTERVAL 15 MINUTE")
+def streaming_quotes(t: Tables) -> DataFrame:
+    """STR-01: quotes, status and broker records as three streams joined on time.
+
+    Quotes within fifteen minutes of the newest event are still open behind the watermark.
+    """
+    class Streamed(Tables):
+        events = property(event_stream)
+
+    out, log = scratch_table(t.spark, "quotes-out"), scratch_table(t.spark, "quotes-log")
+    rows = quotes(Streamed(t.spark, t.directory))
+    gated = gate_quotes_stream(
+        rows.select("security_id", "cutoff_utc", "generated_at_utc", "requested_at_utc", "received_at_utc", "quote"),
+        rows.select("security_id", "market_status"), rows.select("security_id", "broker_eligibility"), QuotePolicy(spread_bps=500.0),
+    )
+    with one_partition_per_core(t):
+        run_available(gated.writeStream.format("parquet").option("path", out).outputMode("append"), log)
+    newest = t.events.agg(F.max(F.col("ts").cast("timestamp")).alias("newest")).first()["newest"]
+    closed = t.spark.read.parquet(out).filter(F.col("cutoff_utc") <= F.lit(newest) - F.expr("interval 15 minutes"))
+    return closed.select("security_id", naive("cutoff_utc"), listed("block_reasons").alias("block_reasons"), "status")

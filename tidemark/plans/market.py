@@ -45,6 +45,8 @@ def history_candidates(
     if one_task is None:
         one_task = hot_rows is None and fits_one_task(prices)
     best = best_alias(prices.filter(F.col("session_date") <= expected), aliases, lane=lane)
+    if not one_task:
+        best = stage(best, "best_alias")  # the ordered pass reads its input several times
     actions = splits.join(aliases, "source_symbol").select("security_id", "event_date", "priority")
     segmented = segments.segment_history(
         best, ["security_id"], "session_date", "close",
