@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import rules, toxicity
+from tidemark.llm import decontaminate, jaccard, rules, toxicity
 from tidemark.llm.frames import held_out
 
 ENTRIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,15 @@ def op4(spark: SparkSession, d: str) -> DataFrame:
     """Quality counts and the risk-controlled verdict of every document."""
     judged = rules.judge(table(spark, d, "documents"), table(spark, d, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@entry("op7_ngram_jaccard")
+def op7(spark: SparkSession, d: str) -> DataFrame:
+    """Near-duplicate components of all documents on five-word shingles."""
+    return jaccard.join_similar(table(spark, d, "documents").select("doc_id", "text"))
+
+
+@entry("op1_decontamination")
+def op1(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item and the evidence."""
+    return decontaminate.find_leaks(table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "benchmark"))
