@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, jaccard, rules, toxicity
+from tidemark.llm import decontaminate, jaccard, pieces, rules, toxicity
 from tidemark.llm.frames import held_out
 
 ENTRIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,19 @@ def op7(spark: SparkSession, d: str) -> DataFrame:
 def op1(spark: SparkSession, d: str) -> DataFrame:
     """Documents that hold a benchmark item, with the item and the evidence."""
     return decontaminate.find_leaks(table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "benchmark"))
+
+
+@entry("op9_sentencepiece")
+def op9(spark: SparkSession, d: str) -> DataFrame:
+    """Piece ids of every document, and whether decoding them returns the text."""
+    encoded = pieces.encode_documents(table(spark, d, "documents"))
+    decoded = pieces.decode_documents(encoded)
+    return decoded.select("doc_id", "n_chunks", "n_tokens", "ids", (F.xxhash64("text") == F.col("text_hash")).alias("round_trip"))
+
+
+@entry("pipeline")
+def pipeline(spark: SparkSession, d: str) -> DataFrame:
+    """All stages of the corpus pipeline over the documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, d)
