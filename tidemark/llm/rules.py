@@ -53,9 +53,12 @@ def _removed(text: Column, pattern: str) -> Column:
     return (F.length(text) - F.length(F.regexp_replace(text, pattern, ""))).cast("long")
 
 
-def measure(docs: DataFrame, text: str = "text", settings: Settings = Settings(), names: dict[str, str] | None = None) -> DataFrame:
+def measure(docs: DataFrame, text: str = "text", settings: Settings = Settings(), names: dict[str, str] | None = None, row: str | None = None) -> DataFrame:
     """``docs`` with the counts of each text; ``names`` renames the added columns.
 
+    ``row`` adds a row number under that name. A filter that reads it stays above this step: the
+    optimizer would otherwise copy the whole computation into the filter, once per use.
+
     Intermediate arrays are columns of their own and are referred to twice in the next step,
     which keeps the optimizer from computing them again for every element.
     """
@@ -88,7 +91,8 @@ def measure(docs: DataFrame, text: str = "text", settings: Settings = Settings()
     values = dict(zip(added, [
         F.col(f"{tmp}_n"), F.col(f"{tmp}_chars"), F.col(f"{tmp}_sym"), F.col(f"{tmp}_dup"), F.coalesce(covered, F.lit(0)).cast("long"),
         F.col(f"{tmp}_nl"), F.col(f"{tmp}_cap"), F.col(f"{tmp}_exc")], strict=True))
-    return step.select(*own, *(v.alias(names.get(k, k)) for k, v in values.items()))
+    numbered = [F.monotonically_increasing_id().alias(row)] if row else []
+    return step.select(*own, *(v.alias(names.get(k, k)) for k, v in values.items()), *numbered)
 
 
 def base_failed(settings: Settings = Settings(), prefix: str = "") -> Column:
@@ -184,7 +188,8 @@ def drop_rejected(docs: DataFrame, labels: DataFrame, stratum: str = "lang", set
     measured = staged(measure(docs.select("doc_id", stratum, "text"), "text", settings).drop("text"), "quality-measures")
     table = cutoffs(measured, labels, stratum, settings)
     prefix, added = "q_", ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals", "n_exclamations"]
-    while any(f"{prefix}{a}".lower() in {c.lower() for c in docs.columns} for a in [*added, "kept"]):
+    while any(f"{prefix}{a}".lower() in {c.lower() for c in docs.columns} for a in [*added, "kept", "row"]):
         prefix = f"_{prefix}"
-    judged = verdict(measure(docs, "text", settings, {a: f"{prefix}{a}" for a in added}), table, stratum, settings, f"{prefix}kept", prefix)
-    return judged.filter(f"`{prefix}kept`").select(*[F.col(f"`{c}`") for c in docs.columns])
+    measured = measure(docs, "text", settings, {a: f"{prefix}{a}" for a in added}, f"{prefix}row")
+    judged = verdict(measured, table, stratum, settings, f"{prefix}kept", prefix)
+    return judged.filter(f"`{prefix}kept` AND `{prefix}row` >= 0").select(*[F.col(f"`{c}`") for c in docs.columns])
