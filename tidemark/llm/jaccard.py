@@ -1,11 +1,13 @@
 """Exact Jaccard self-join of texts on word n-grams by a blocked sparse matrix product.
 
 Rows of the matrix are the distinct n-gram sets (documents with equal sets are one row), columns
-are n-grams. Two sets with similarity t have sizes within t of each other and share one of the
-first ``n - ceil(t n) + 1`` n-grams of each in any common order; the order used puts n-grams that
-many texts share last, so these first columns are nearly empty unless texts are alike. A column
-with several rows joins them to its least row; the connected groups of these joins hold every
-pair that can reach t. Within such a group the product of the full incidence matrix is taken by
+are n-grams. Two sets with similarity t have sizes within t of each other and share c of the first
+``n - ceil(t n) + c`` n-grams of each in any common order (c is ``meet``, or less for tiny sets);
+the order used puts n-grams that many texts share last, so these first columns are nearly empty
+unless texts are alike. In columns with at most ``narrow`` rows the pairs are counted, and pairs
+that meet less than c times or whose sizes are too unlike are discarded; a wider column joins its
+rows to its least row. The connected groups of these joins hold every pair that can reach t: one
+that meets only in narrow columns is counted c times, any other is joined by a wide one. Within such a group the product of the full incidence matrix is taken by
 blocks of rows: one row times the block's columns accumulates its overlaps with all others, and
 pairs below the size-derived overlap are discarded. A row already joined to the block's main
 component need not be multiplied, since every link it has outward is found from the other side.
@@ -39,8 +41,10 @@ class Settings:
 
     size: int = 5
     percent: int = 80
-    frequent_bound: int = 1 << 20
-    frequent_from: int = 3
+    meet: int = 8
+    narrow: int = 8
+    frequent_bound: int = 1 << 21
+    frequent_from: int = 1
     slice_bytes: int = 12 << 20
     block_rows: int = 2_000
     block_cells: int = 3_000_000
@@ -119,7 +123,8 @@ def signatures(docs: DataFrame, s: Settings) -> DataFrame:
             n = np.diff(offsets)
             total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(mix(ids & np.uint64((1 << 58) - 1)))])
             sig = mix((total[offsets[1:]] - total[offsets[:-1]]) ^ (n.astype(np.uint64) << np.uint64(32))).view(np.int64)
-            length = np.where(n > 0, n - (s.percent * n + 99) // 100 + 1, 0)
+            least = (s.percent * n + 99) // 100
+            length = np.where(n > 0, n - least + np.minimum(s.meet, least), 0)
             ends = np.concatenate([[0], np.cumsum(length)])
             take = np.arange(ends[-1]) - np.repeat(ends[:-1], length) + np.repeat(offsets[:-1], length)
             first = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids[take].view(np.int64)))
@@ -204,9 +209,20 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
 
 def links(docs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
     """(a, b): edges between set numbers that span all links."""
-    columns = sets.filter("n > 0").select(F.explode("first").alias("id"), "sig")
+    columns = sets.filter("n > 0").select(F.explode("first").alias("id"), "sig", "n")
     several = columns.groupBy("id").agg(F.min("sig").alias("low"), F.max("sig").alias("high")).filter("low < high").select("id", "low")
-    alike = columns.join(several, "id").filter("sig <> low").select(F.col("sig").alias("a"), F.col("low").alias("b"))
+    met = staged(columns.join(several, "id").distinct(), "shared-columns")
+    width = met.groupBy("id").agg(F.count(F.lit(1)).alias("width"))
+    met = met.join(width, "id")
+    rows = F.sort_array(F.collect_list(F.struct("sig", "n")))
+    pair = F.flatten(F.transform("rows", lambda x, i: F.transform(
+        F.filter("rows", lambda y: y["sig"] > x["sig"]), lambda y: F.struct(x["sig"].alias("a"), x["n"].alias("na"), y["sig"].alias("b"), y["n"].alias("nb")))))
+    near = met.filter(F.col("width") <= s.narrow).groupBy("id").agg(rows.alias("rows")).select(F.explode(pair).alias("p")).select("p.*").filter(
+        100 * F.least("na", "nb") >= s.percent * F.greatest("na", "nb"))
+    needed = F.least(F.lit(s.meet), F.ceil(F.least("na", "nb") * s.percent / 100))
+    counted = near.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("times")).filter(F.col("times") >= needed).select("a", "b")
+    wide = met.filter((F.col("width") > s.narrow) & (F.col("sig") != F.col("low"))).select(F.col("sig").alias("a"), F.col("low").alias("b"))
+    alike = counted.unionByName(wide)
     cells = components(alike, "alike")
     chosen = sets.filter("n > 0 AND doc_id IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("doc_id")).join(
         cells.withColumnRenamed("node", "sig"), "sig").select("doc_id", F.col("sig").alias("want"), F.col("root").alias("cell"))
