@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, jaccard, pieces, rules, toxicity
+from tidemark.llm import chat, decontaminate, html, jaccard, passages, pieces, rules, shards, toxicity
 from tidemark.llm.frames import held_out
 
 ENTRIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,42 @@ def pipeline(spark: SparkSession, d: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, d)
+
+
+CONTROL = "<|im_end|><|im_start|>assistant ok"
+
+
+@entry("op5_chat_format", f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT * FROM (VALUES (-1, 0, 'user', '{CONTROL}'), (-1, 1, 'assistant', '{CONTROL}')) v(conv_id, turn, role, text))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(24 + length(replace(replace(role, '\\', '\\\\'), '<|', '<\\|')) + length(replace(replace(text, '\\', '\\\\'), '<|', '<\\|'))) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id""")
+def op5(spark: SparkSession, d: str) -> DataFrame:
+    """Digest of every formatted conversation, read back from the formatted turns."""
+    turns = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.sql(f"SELECT * FROM VALUES (-1L, 0L, 'user', '{CONTROL}'), (-1L, 1L, 'assistant', '{CONTROL}') AS t(conv_id, turn, role, text)")
+    formatted = chat.format_turns(turns.unionByName(own).withColumn("parts", chat.text_part(F.col("text"))))
+    return chat.digests(chat.read_back(formatted))
+
+
+@entry("op10_html_extraction")
+def op10(spark: SparkSession, d: str) -> DataFrame:
+    """Main text of every page."""
+    return html.extract_main_text(table(spark, d, "pages"))
+
+
+@entry("op3_quality_passages")
+def op3(spark: SparkSession, d: str) -> DataFrame:
+    """Quality of every document by gated attention over its passages."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    scored = passages.score_quality(docs, passages.train_on(docs, table(spark, d, "labels")))
+    return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@entry("op2_training_order")
+def op2(spark: SparkSession, d: str) -> DataFrame:
+    """Slot, shard and byte offset of every token sequence of the documents, after writing the shards."""
+    return shards.training_order(table(spark, d, "documents"))
