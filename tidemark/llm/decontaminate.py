@@ -6,8 +6,8 @@
    singular vectors of their TF-IDF matrix. Items go in blocks of ``items`` at most, so the basis
    has a size bound (words of the block x ``rank``) and is broadcast.
 3. Every window of two blocks of every document is folded in and compared with all passages by
-   cosine. A window whose weight inside the benchmark's vocabulary is too small to reach the
-   threshold is left out before any product; that bound is exact.
+   cosine. A word counts once per window. A window whose weight inside the benchmark's vocabulary
+   is too small to reach the threshold is left out before any product; that bound is exact.
 4. Around each candidate the longest common subsequence with the item's words, weighted by their
    inverse frequencies, is taken: a share of ``direct`` decides alone; a paraphrase (``loose``)
    also needs the item's answer, its ``answer`` column or else its last quarter, to be found.
@@ -33,12 +33,12 @@ from tidemark.llm.words import distinct, hash_words, pieces
 
 @dataclass(frozen=True)
 class Settings:
-    bits: int = 16
+    bits: int = 18
     block: int = 16
     items: int = 256
     rank: int = 256
     power: int = 2
-    cosine: float = 0.4
+    cosine: float = 0.6
     direct: float = 0.75
     loose: float = 0.55
     answer: float = 0.6
@@ -105,7 +105,7 @@ def latent_index(items: DataFrame, idf: np.ndarray, s: Settings) -> dict | None:
         w, o = hash_words(texts)
         for k in range(len(texts)):
             for passage in _item_passages(w[o[k]:o[k + 1]], s):
-                bins = (passage >> shift).astype(np.int64)
+                bins = distinct(passage >> shift).astype(np.int64)
                 weight = idf[bins].astype(np.float64)
                 yield place[bins], weight / max(1e-12, np.sqrt((weight**2).sum()))
 
@@ -168,7 +168,6 @@ def _matches(texts: pa.Array, idf: np.ndarray, index: dict, s: Settings) -> list
     where = index["place"][bins]
     starts, text = _blocks(offsets, s.block)
     ends = np.append(starts[1:], len(words))
-    energy = np.add.reduceat(square, starts)
     inside = np.add.reduceat(np.where(where >= 0, square, 0), starts)
     joined = np.zeros(len(starts), dtype=bool)
     joined[:-1] = text[1:] == text[:-1]
@@ -177,23 +176,27 @@ def _matches(texts: pa.Array, idf: np.ndarray, index: dict, s: Settings) -> list
     window = np.flatnonzero(joined | first)  # the last block of a text stands alone only if it is the first
     after = np.where(joined[window], np.minimum(window + 1, len(starts) - 1), window)
     alone = after == window
-    total = energy[window] + np.where(alone, 0, energy[after])
-    within = inside[window] + np.where(alone, 0, inside[after])
-    live = np.flatnonzero(within >= s.cosine**2 * total * 0.999)
+    live = np.flatnonzero(inside[window] + np.where(alone, 0, inside[after]) > 0)
     found: dict[tuple[int, int], tuple[float, float, float]] = {}
     for k in range(0, len(live), 2048):
         some = live[k:k + 2048]
         begin, end = starts[window[some]], ends[after[some]]
         length = end - begin
         tokens = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length) + np.repeat(begin, length)
-        row = np.repeat(np.arange(len(some)), length)
-        known = where[tokens] >= 0
-        tokens, row = tokens[known], row[known]
-        latent = np.zeros((len(some), index["basis"].shape[1]), dtype=np.float32)
-        if len(tokens):
-            heads = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-            latent[row[heads]] = np.add.reduceat(index["basis"][where[tokens]] * weight[tokens][:, None], heads, axis=0)
-        cosine = latent @ index["queries"].T / np.sqrt(np.maximum(total[some], 1e-12))[:, None]
+        row = np.repeat(np.arange(len(some), dtype=np.uint64), length)
+        once = distinct((row << np.uint64(s.bits)) | bins[tokens].astype(np.uint64))  # a word counts once per window
+        row, own = (once >> np.uint64(s.bits)).astype(np.int64), (once & np.uint64((1 << s.bits) - 1)).astype(np.int64)
+        norm = np.bincount(row, weights=idf[own] ** 2, minlength=len(some))
+        known = index["place"][own] >= 0
+        enough = np.bincount(row[known], weights=idf[own[known]] ** 2, minlength=len(some)) >= s.cosine**2 * norm * 0.999
+        known &= enough[row]
+        row, own = row[known], own[known]
+        if not len(row):
+            continue
+        heads = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+        some, begin, end, norm = (v[row[heads]] for v in (some, begin, end, norm))
+        latent = np.add.reduceat(index["basis"][index["place"][own]] * idf[own][:, None], heads, axis=0)
+        cosine = latent @ index["queries"].T / np.sqrt(np.maximum(norm, 1e-12))[:, None].astype(np.float32)
         at, query = np.nonzero(cosine >= s.cosine)
         pairs: dict[tuple[int, int], float] = {}
         for a, q in zip(at.tolist(), query.tolist(), strict=True):
@@ -201,6 +204,8 @@ def _matches(texts: pa.Array, idf: np.ndarray, index: dict, s: Settings) -> list
             pairs[key] = max(pairs.get(key, 0.0), float(cosine[a, q]))
         for (a, item), value in pairs.items():
             owner = int(text[window[some[a]]])
+            if (owner, item) in found:
+                continue
             item_words = index["words"][item]
             reach = len(item_words)
             region = words[max(offsets[owner], begin[a] - reach):min(offsets[owner + 1], end[a] + reach)]
@@ -212,8 +217,7 @@ def _matches(texts: pa.Array, idf: np.ndarray, index: dict, s: Settings) -> list
             v = idf[(answer >> np.uint64(64 - s.bits)).astype(np.int64)].astype(np.float64) + 1e-6
             answered = common_weight(answer, v, region) / v.sum()
             if share >= s.direct or answered >= s.answer:
-                before = found.get((owner, item), (0.0, 0.0, 0.0))
-                found[owner, item] = max(before, (share, answered, value))
+                found[owner, item] = (share, answered, value)
     return [(t, i, v, share, answered) for (t, i), (share, answered, v) in sorted(found.items())]
 
 
