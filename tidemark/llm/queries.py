@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, html, jaccard, passages, pieces, rules, shards, toxicity
+from tidemark.llm import chat, decontaminate, html, jaccard, katz, passages, pieces, rules, shards, toxicity
 from tidemark.llm.frames import held_out
 
 ENTRIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,10 @@ def op3(spark: SparkSession, d: str) -> DataFrame:
 def op2(spark: SparkSession, d: str) -> DataFrame:
     """Slot, shard and byte offset of every token sequence of the documents, after writing the shards."""
     return shards.training_order(table(spark, d, "documents"))
+
+
+@entry("op6_katz_backoff")
+def op6(spark: SparkSession, d: str) -> DataFrame:
+    """Katz log probability of every document, and the unigram base score."""
+    docs = katz.with_held_out(table(spark, d, "documents"))
+    return katz.score_katz(docs, katz.train_katz(docs))
