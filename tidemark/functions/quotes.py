@@ -51,9 +51,13 @@ def quote_block_reasons(
     quote_age = seconds_between(cut, q("quote_at_utc"))
     status_age = seconds_between(cut, s("observed_at_utc"))
     broker_age = seconds_between(cut, b("observed_at_utc"))
-    positive = (bid > 0) & (ask > 0) & (q("last").isNull() | (q("last") > 0)) & q("bid_size").isNotNull() & q("ask_size").isNotNull()
+    finite = lambda c: ~F.isnan(c) & (F.abs(c) < float("inf"))
+    positive = (
+        (bid > 0) & (ask > 0) & finite(bid) & finite(ask) & (q("last").isNull() | ((q("last") > 0) & finite(q("last"))))
+        & finite(q("bid_size").cast("double")) & finite(q("ask_size").cast("double"))
+    )
     bands_given = s("lower_band").isNotNull() | s("upper_band").isNotNull()
-    bands_ok = (s("lower_band") > 0) & (s("upper_band") > 0) & (s("lower_band") < s("upper_band"))
+    bands_ok = (s("lower_band") > 0) & (s("upper_band") > 0) & (s("lower_band") < s("upper_band")) & finite(s("lower_band")) & finite(s("upper_band"))
     codes_ok = b("reason_codes").isNotNull() & ~F.exists(
         b("reason_codes"), lambda c: F.coalesce(c, F.lit("")) == ""
     )

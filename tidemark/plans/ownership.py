@@ -28,17 +28,19 @@ def issuer_decisions(requests: DataFrame, master: DataFrame, universe: DataFrame
     classes = master.filter("cik is not null and cik <> ''").groupBy(cik10("cik").alias("issuer_cik")).agg(
         F.count(F.lit(1)).alias("_classes"), F.min("security_id").alias("_only")
     )
-    by_ticker, _ = resolve_tickers(pairs, universe, "issuer_symbol", ["issuer_cik"])
+    named = pairs.filter("issuer_symbol IS NOT NULL").select("issuer_symbol").distinct()
+    resolved, clashing = resolve_tickers(named, universe, "issuer_symbol", [])
+    tickers = resolved.select("issuer_symbol", F.col("security_id").alias("_ticker_id"), F.lit(False).alias("_clash")).filter("_ticker_id IS NOT NULL").unionByName(
+        clashing.select("issuer_symbol", F.lit(None).cast("string").alias("_ticker_id"), F.lit(True).alias("_clash")).distinct())
+    by_ticker = pairs.join(tickers, "issuer_symbol", "left")
     owner = master.select(F.col("security_id").alias("_ticker_id"), cik10("cik").alias("_ticker_cik"))
-    joined = (
-        by_ticker.withColumnRenamed("security_id", "_ticker_id")
-        .join(owner, "_ticker_id", "left").join(classes, "issuer_cik", "left")
-    )
+    joined = by_ticker.join(owner, "_ticker_id", "left").join(classes, "issuer_cik", "left")
     n, ticker = F.coalesce("_classes", F.lit(0)), F.col("_ticker_id")
     in_class = ticker.isNotNull() & (F.col("_ticker_cik") == F.col("issuer_cik"))
     chosen = F.when(n == 1, F.col("_only")).when((n > 1) & in_class, ticker)
     reason = (
         F.when(chosen.isNotNull(), F.lit(None).cast("string"))
+        .when(F.col("_clash"), F.lit("AMBIGUOUS_TICKER"))
         .when(ticker.isNotNull() & F.col("_ticker_cik").isNull(), F.lit("MISSING_CANONICAL_CIK"))
         .when(ticker.isNotNull(), F.lit("TICKER_CIK_CONFLICT"))
         .when(n > 1, F.lit("AMBIGUOUS_SHARE_CLASS"))
@@ -49,7 +51,9 @@ def issuer_decisions(requests: DataFrame, master: DataFrame, universe: DataFrame
 
 def resolve_issuer(rows: DataFrame, master: DataFrame, universe: DataFrame) -> tuple[DataFrame, DataFrame]:
     """JOI-10 applied: (rows with security_id, rejected rows with reject_reason)."""
-    decided = rows.join(issuer_decisions(rows, master, universe), ["issuer_cik", "issuer_symbol"], "left")
+    decisions = issuer_decisions(rows, master, universe).withColumnsRenamed({"issuer_cik": "_cik", "issuer_symbol": "_symbol"})
+    same = F.col("issuer_cik").eqNullSafe(F.col("_cik")) & F.col("issuer_symbol").eqNullSafe(F.col("_symbol"))
+    decided = rows.join(decisions, same, "left").drop("_cik", "_symbol")
     return (
         decided.filter("security_id is not null").drop("reject_reason"),
         decided.filter("security_id is null").drop("security_id"),

@@ -36,10 +36,13 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, from ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (tests, one machine) a temporary folder is used.
+    Only where the setting is absent on one machine (tests) a temporary folder is used; on a
+    cluster that would leave parts of a table on every executor, so it is refused.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = os.environ.get("TIDEMARK_LOCAL_DIR") or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         os.environ["TIDEMARK_LOCAL_DIR"] = configured
     if spark.sparkContext.getCheckpointDir() is None:

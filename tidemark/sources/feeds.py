@@ -90,12 +90,21 @@ def read_registry(
 
 
 def read_tsv_table(spark: SparkSession, directory: str, name: str, columns: Sequence[str]) -> DataFrame:
-    """SRC-08. A tab-separated table of an extracted archive; NULL becomes ''."""
+    """SRC-08. A tab-separated table of an extracted archive, read by column name; NULL becomes ''.
+
+    Archives carry more columns than asked for, in any order; a missing one is an error.
+    """
+    path = f"{directory.rstrip('/')}/{name}"
+    first = spark.read.text(path).limit(1).collect()
+    header = [c.strip().lstrip("\ufeff") for c in first[0][0].split("\t")] if first else list(columns)
+    missing = [c for c in columns if c not in header]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
     raw = (
-        spark.read.schema(_text_schema(columns)).option("sep", "\t").option("header", True)
-        .option("enforceSchema", True).csv(f"{directory.rstrip('/')}/{name}")
+        spark.read.schema(_text_schema(header)).option("sep", "\t").option("header", True)
+        .option("enforceSchema", False).csv(path)
     )
-    return _trimmed(raw, columns)
+    return _trimmed(raw.select(*[F.col(f"`{c}`") for c in columns]), columns)
 
 
 # Output column, current field name, older field name.
@@ -136,10 +145,16 @@ def normalize_short_interest(raw: DataFrame) -> DataFrame:
     )
 
 
-def read_short_interest(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-09 from JSON records (an array or one object per line)."""
+def read_short_interest(spark: SparkSession, path: str, layout: str = "array") -> DataFrame:
+    """SRC-09 from JSON records: one ``array`` per file, or one object per line (``lines``, splittable).
+
+    A malformed record stops the read.
+    """
+    if layout not in ("array", "lines"):
+        raise ValueError("layout is 'array' or 'lines'")
     schema = _text_schema([c for _, new, old in SHORT_INTEREST_FIELDS for c in (new, old) if c])
-    return normalize_short_interest(spark.read.schema(schema).option("multiLine", True).json(path))
+    reader = spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", layout == "array")
+    return normalize_short_interest(reader.json(path))
 
 
 def read_publication_schedule(spark: SparkSession, path: str, cutoff: Column) -> tuple[DataFrame, DataFrame]:

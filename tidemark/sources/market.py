@@ -110,13 +110,13 @@ def read_charts(spark: SparkSession, path: str) -> DataFrame:
     Documents without a result keep a NULL symbol so that the caller can reject them.
     """
     doc = spark.read.schema(CHART_SCHEMA).option("multiLine", True).json(path)
-    r = F.col("chart.result")[0]
-    q = r["indicators"]["quote"][0]
+    r = F.get("chart.result", 0)
+    q = F.get(r["indicators"]["quote"], 0)
     return doc.select(
         F.upper(r["meta"]["symbol"]).alias("symbol"), r["meta"]["currency"].alias("currency"),
         r["timestamp"].alias("timestamp"),
         *[q[c].alias(c) for c in ("open", "high", "low", "close", "volume")],
-        r["indicators"]["adjclose"][0]["adjclose"].alias("adjusted_close"),
+        F.get(r["indicators"]["adjclose"], 0)["adjclose"].alias("adjusted_close"),
         r["events"]["dividends"].alias("dividends"), r["events"]["splits"].alias("splits"),
     )
 

@@ -64,7 +64,9 @@ def _table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame |
     """The table at ``path``, or None before its first write."""
     try:
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
