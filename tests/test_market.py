@@ -11,19 +11,20 @@ from tidemark import sources
 from tidemark.operators import keys
 from tidemark.plans import market
 
+# LUMO: two spellings, a repeated row, a stray row decades before, one after the cutoff. KAR-C: plain.
+# VYX: twelvefold overnight. TWIN: a split explains its fall. OLDY: stopped trading. STRAY: no security.
 PRICES = [
-    ("aapl ", "2024-01-08", 100.0, 105.0, 99.0, 104.0, 1000.5), ("AAPL", "2024-01-09", 104.0, 107.0, 103.0, 106.0, 1100.0),
-    ("AAPL", "2024-01-10", 106.0, 109.0, 105.0, 108.0, 1200.0), ("AAPL", "2024-01-10", 106.0, 109.0, 105.0, 108.0, 1200.0),
-    ("BRK-B", "2024-01-08", 350.0, 352.0, 348.0, 351.0, 500.0), ("BRK-B", "2024-01-09", 351.0, 354.0, 350.0, 353.0, 550.0),
-    ("BRK-B", "2024-01-10", 353.0, 356.0, 352.0, 355.0, 600.0), ("AAPL", "2024-01-11", 108.0, 110.0, 107.0, 109.0, 1300.0),
-    ("AAPL", "1990-01-02", 0.0, 10.0, 9.0, 9.5, 100.0), ("OTHER", "2024-01-10", 1.0, 1.0, 1.0, 1.0, 1.0),
-    ("SPCX", "2024-01-07", 20.0, 21.0, 19.0, 20.0, 1000.0), ("SPCX", "2024-01-08", 0.0, 100.0, 100.0, 100.0, 0.0),
-    ("SPCX", "2024-01-09", 100.0, 102.0, 99.0, 101.0, 2000.0), ("SPCX", "2024-01-10", 101.0, 103.0, 100.0, 102.0, 2100.0),
-    ("SPLT", "2024-01-08", 400.0, 401.0, 399.0, 400.0, 10.0), ("SPLT", "2024-01-10", 100.0, 101.0, 99.0, 100.0, 40.0),
-    ("MSFT", "2023-12-01", 100.0, 101.0, 99.0, 100.5, 1000.0),
+    ("LUMO", "2004-06-01", 0.0, 3.2, 2.9, 3.1, 40.0), ("lumo ", "2031-03-11", 41.0, 42.5, 40.2, 42.0, 740.5), ("LUMO", "2031-03-12", 42.0, 43.0, 41.1, 41.5, 810.0),
+    ("LUMO", "2031-03-13", 41.5, 44.0, 41.0, 43.7, 905.0), ("LUMO", "2031-03-13", 41.5, 44.0, 41.0, 43.7, 905.0), ("LUMO", "2031-03-14", 43.7, 45.0, 43.0, 44.4, 990.0),
+    ("LUMO", "2031-03-17", 44.4, 46.0, 44.0, 45.1, 700.0),
+    ("KAR-C", "2031-03-12", 7.1, 7.4, 7.0, 7.3, 64.0), ("KAR-C", "2031-03-14", 7.3, 7.5, 7.2, 7.4, 61.0),
+    ("VYX", "2031-03-10", 9.0, 9.4, 8.8, 9.1, 12.0), ("VYX", "2031-03-12", 108.0, 113.0, 107.0, 110.0, 15.0), ("VYX", "2031-03-13", 110.0, 112.0, 109.0, 111.0, 18.0),
+    ("VYX", "2031-03-14", 111.0, 114.0, 110.0, 113.0, 11.0),
+    ("TWIN", "2031-03-11", 90.0, 91.5, 89.0, 90.6, 30.0), ("TWIN", "2031-03-14", 9.0, 9.3, 8.9, 9.1, 300.0),
+    ("OLDY", "2031-01-20", 5.0, 5.2, 4.9, 5.1, 8.0), ("STRAY", "2031-03-14", 2.0, 2.0, 2.0, 2.0, 2.0),
 ]
-SECURITIES = [("XNAS:AAPL", "AAPL"), ("XNYS:BRK.B", "BRK.B"), ("XNAS:SPCX", "SPCX"), ("XNAS:SPLT", "SPLT"), ("XNAS:MSFT", "MSFT"), ("XNAS:NONE", "NONE")]
-CUTOFF = "2024-01-10"
+SECURITIES = [("X:LUMO", "LUMO"), ("Y:KAR.C", "KAR.C"), ("X:VYX", "VYX"), ("X:TWIN", "TWIN"), ("X:OLDY", "OLDY"), ("X:VOID", "VOID")]
+CUTOFF, WEEK_BEFORE = "2031-03-14", "2031-03-07"
 
 
 def day(text):
@@ -34,10 +35,10 @@ def day(text):
 def feed(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("feed"))
     spark.createDataFrame(PRICES, "symbol string, report_date string, open double, high double, low double, close double, volume double").write.parquet(f"{path}/p")
-    spark.createDataFrame([("SPLT", "2024-01-09", "4:1"), ("splt", "2024-01-09", "4:1"), ("AAPL", "2020-08-31", ""), ("AAPL", None, "2:1")],
+    spark.createDataFrame([("TWIN", "2031-03-13", "10:1"), ("twin", "2031-03-13", "10:1"), ("LUMO", "2027-05-05", ""), ("KAR-C", None, "3:2")],
                           "symbol string, report_date string, split_factor string").write.parquet(f"{path}/s")
     aliases = sources.alias_table(spark.createDataFrame(SECURITIES, "security_id string, ticker string"))
-    options = dict(dataset="SNAPSHOT", revision="r1", observed_at="2024-01-10T22:00:00Z")
+    options = dict(dataset="SNAPSHOT", revision="r1", observed_at="2031-03-14T22:00:00Z")
     prices = sources.scan_prices(spark, f"{path}/p", aliases, day(CUTOFF), **options)
     splits, bad = sources.scan_splits(spark, f"{path}/s", aliases, day(CUTOFF), **options)
     return prices, splits, bad, aliases
@@ -46,16 +47,16 @@ def feed(spark, tmp_path_factory):
 @pytest.fixture(scope="module")
 def history(feed):
     prices, splits, _, aliases = feed
-    return market.build_market_history(prices, splits, aliases, expected=day(CUTOFF), oldest_active=day("2024-01-03"))
+    return market.build_market_history(prices, splits, aliases, expected=day(CUTOFF), oldest_active=day(WEEK_BEFORE))
 
 
 def test_scan(feed, rows):
     prices, splits, bad, aliases = feed
     assert prices.count() == 15  # unknown symbols and rows after the cutoff are gone
-    assert prices.filter("source_symbol = 'AAPL' and session_date = '2024-01-08'").first()["volume"] == 1000  # ties to even
+    assert prices.filter("source_symbol = 'LUMO' and session_date = '2031-03-11'").first()["volume"] == 740  # ties to even
     assert splits.count() == 2
     assert sorted(r["reject_reasons"][0] for r in bad.collect()) == ["BAD_DATE", "BLANK_FACTOR"]
-    assert rows(aliases.filter("ticker = 'BRK.B'"), "source_symbol", "priority") == [("BRK-B", 1), ("BRK.B", 0)]
+    assert rows(aliases.filter("ticker = 'KAR.C'"), "source_symbol", "priority") == [("KAR-C", 1), ("KAR.C", 0)]
 
 
 def test_conflicts_and_duplicates(feed, spark):
@@ -63,8 +64,8 @@ def test_conflicts_and_duplicates(feed, spark):
     values = ["open", "high", "low", "close", "volume"]
     assert keys.conflicting_groups(prices, ["source_symbol", "session_date"], values).count() == 0
     assert keys.identical_duplicates(prices, ["source_symbol", "session_date", *values]).first()[0] == 1
-    wrong = prices.unionByName(prices.filter("source_symbol = 'BRK-B'").withColumn("close", F.col("close") + 1))
-    assert keys.conflicting_groups(wrong, ["source_symbol", "session_date"], values).count() == 3
+    wrong = prices.unionByName(prices.filter("source_symbol = 'KAR-C'").withColumn("close", F.col("close") + 1))
+    assert keys.conflicting_groups(wrong, ["source_symbol", "session_date"], values).count() == 2
 
 
 def test_aliases(spark, rows):
@@ -74,36 +75,37 @@ def test_aliases(spark, rows):
 
 
 def test_history(history, rows):
-    assert rows(history.prices.groupBy("security_id").count()) == [("XNAS:AAPL", 3), ("XNAS:SPCX", 2), ("XNAS:SPLT", 2), ("XNYS:BRK.B", 3)]
+    assert rows(history.prices.groupBy("security_id").count()) == [("X:LUMO", 4), ("X:TWIN", 2), ("X:VYX", 3), ("Y:KAR.C", 2)]
     truncated = {r["security_id"]: (r["previous_latest"], r["segment_start"], r["reason"]) for r in history.truncations.collect()}
-    assert truncated["XNAS:SPCX"] == (date(2024, 1, 7), date(2024, 1, 9), "INVALID_PRICE_DISCONTINUITY")
-    assert truncated["XNAS:AAPL"] == (date(1990, 1, 2), date(2024, 1, 8), "SESSION_GAP")
-    assert set(truncated) == {"XNAS:SPCX", "XNAS:AAPL"}
+    assert truncated == {
+        "X:VYX": (date(2031, 3, 10), date(2031, 3, 12), "INVALID_PRICE_DISCONTINUITY"),
+        "X:LUMO": (date(2004, 6, 1), date(2031, 3, 11), "SESSION_GAP"),
+    }
     assert rows(history.unmatched, "security_id", "reason") == [
-        ("XNAS:MSFT", "SOURCE_HISTORY_STALE:latest_session=2023-12-01"), ("XNAS:NONE", "NO_SOURCE_SYMBOL_MATCH")
+        ("X:OLDY", "SOURCE_HISTORY_STALE:latest_session=2031-01-20"), ("X:VOID", "NO_SOURCE_SYMBOL_MATCH")
     ]
-    assert rows(history.splits, "security_id", "event_date", "split_factor") == [("XNAS:SPLT", date(2024, 1, 9), "4:1")]
+    assert rows(history.splits, "security_id", "event_date", "split_factor") == [("X:TWIN", date(2031, 3, 13), "10:1")]
 
 
 def test_metrics_and_gate(history, feed):
-    metrics = market.market_metrics(history, feed[3], expected=day(CUTOFF), cutoff=day(CUTOFF), benchmark="aapl", minimum_history=2)
+    metrics = market.market_metrics(history, feed[3], expected=day(CUTOFF), cutoff=day(CUTOFF), benchmark="lumo", minimum_history=2)
     row = market.market_gate(metrics, expected=day(CUTOFF), minimum_coverage=0.5).first()
-    assert (row["rows"], row["securities"], row["admitted"], row["duplicate_rows"], row["after_cutoff"]) == (10, 4, 6, 0, 0)
+    assert (row["rows"], row["securities"], row["admitted"], row["duplicate_rows"], row["after_cutoff"]) == (11, 4, 6, 0, 0)
     assert (row["valid_securities"], row["active_securities"], row["latest_session_coverage"], row["benchmark_valid"]) == (4, 4, 1.0, True)
     assert (row["state"], row["errors"]) == ("READY_NEW", [])
     assert row["warnings"] == ["HISTORIES_TRUNCATED", "STALE_HISTORIES_EXCLUDED"]
-    late = market.market_gate(metrics, expected=day("2024-01-11"), minimum_coverage=0.9).first()
+    late = market.market_gate(metrics, expected=day("2031-03-17"), minimum_coverage=0.9).first()
     assert late["state"] == "QUARANTINED" and "SESSIONS_BEHIND" in late["errors"] and "MATCHED_COVERAGE_BELOW_MINIMUM" in late["errors"]
 
 
 def test_coverage_98_percent_is_ready_with_exclusions(spark):
     bars = [(f"S{i:03d}", CUTOFF, 10.0, 11.0, 9.0, 0.0 if i < 2 else 10.0 + i / 100, 5 + i) for i in range(100)]
-    bars += [(f"S{i:03d}", "2024-01-09", 10.0, 11.0, 9.0, 10.0, 5 + i) for i in range(100)]
+    bars += [(f"S{i:03d}", "2031-03-13", 10.0, 11.0, 9.0, 10.0, 5 + i) for i in range(100)]
     raw = spark.createDataFrame(bars, "symbol string, report_date string, open double, high double, low double, close double, volume int")
     aliases = sources.alias_table(spark.createDataFrame([(s, s) for s in {b[0] for b in bars}], "security_id string, ticker string"))
     prices = sources.normalize_prices(raw, aliases, day(CUTOFF), dataset="SNAPSHOT", revision="r", observed_at="t")
     none = spark.createDataFrame([], "source_symbol string, event_date date, split_factor string, source_dataset string, source_revision string, observed_at_utc string")
-    h = market.build_market_history(prices, none, aliases, expected=day(CUTOFF), oldest_active=day("2024-01-03"))
+    h = market.build_market_history(prices, none, aliases, expected=day(CUTOFF), oldest_active=day(WEEK_BEFORE))
     m = market.market_metrics(h, aliases, expected=day(CUTOFF), cutoff=day(CUTOFF), benchmark="S005", minimum_history=1)
     row = market.market_gate(m, expected=day(CUTOFF)).first()
     assert row["latest_session_coverage"] == pytest.approx(0.98) and row["state"] == "READY_WITH_EXCLUSIONS"
@@ -116,7 +118,7 @@ def test_common_mode_session_is_an_error(spark):
     aliases = sources.alias_table(spark.createDataFrame([(b[0], b[0]) for b in same], "security_id string, ticker string"))
     prices = sources.normalize_prices(raw, aliases, day(CUTOFF), dataset="SNAPSHOT", revision="r", observed_at="t")
     none = spark.createDataFrame([], "source_symbol string, event_date date, split_factor string, source_dataset string, source_revision string, observed_at_utc string")
-    h = market.build_market_history(prices, none, aliases, expected=day(CUTOFF), oldest_active=day("2024-01-03"))
+    h = market.build_market_history(prices, none, aliases, expected=day(CUTOFF), oldest_active=day(WEEK_BEFORE))
     bad = h.common_mode.first()
     assert (bad["common_mode_rows"], bad["total_rows"]) == (40, 120)
     assert h.prices.count() == 120  # reported, not removed
