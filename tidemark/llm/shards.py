@@ -19,6 +19,7 @@ gives no shard.
 from __future__ import annotations
 
 import base64
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.frames import staged
-from tidemark.llm.words import mix, pieces
+from tidemark.llm.words import buffers, mix, pieces
 from tidemark.session import scratch_table
 
 END_ID = 50_256
@@ -42,7 +43,7 @@ class Settings:
     per_shard: int = 16_384
     key: int = 0x5EED
     rounds: int = 6
-    cached_words: int = 300_000
+    cached_words: int = 400_000
 
 
 def slots(index: np.ndarray, total: int, key: int, rounds: int) -> np.ndarray:
@@ -74,34 +75,63 @@ class Tokenizer:
         self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.most, self.known = most, {}
 
-    def word(self, word: str) -> np.ndarray:
+    def word(self, word: str) -> list[int]:
         ids = self.known.get(word)
         if ids is None:
-            ids = np.array(self.encoding.encode_ordinary(word), dtype=np.uint16)
+            ids = self.encoding.encode_ordinary(word)
             if len(self.known) >= self.most:
                 self.known.clear()
             self.known[word] = ids
         return ids
 
-    def batch(self, texts: pa.Array) -> list[np.ndarray]:
-        """Ids of every text. A space between two other characters starts a new pre-token, so the
-        words may be encoded apart; texts with other white space around spaces are encoded whole."""
+    def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, offsets) of all texts. A space between two other characters starts a new pre-token,
+        so the words may be encoded apart; texts with more white space around spaces go whole."""
         texts = pc.fill_null(texts, "")
-        odd = pc.match_substring_regex(texts, r"(^ )|( $)|( \s)|(\s )").to_numpy(zero_copy_only=False)
-        usual = np.flatnonzero(~odd)
+        odd = np.zeros(len(texts), dtype=bool)
+        for pair in ("  ", " \n", "\n ", " \t", "\t ", " \r", "\r "):
+            odd |= pc.match_substring(texts, pair).to_numpy(zero_copy_only=False)
+        odd |= pc.starts_with(texts, " ").to_numpy(zero_copy_only=False) | pc.ends_with(texts, " ").to_numpy(zero_copy_only=False)
+        raw, bounds = buffers(texts)
+        rare = np.flatnonzero((raw == 11) | (raw == 12) | ((raw >= 28) & (raw <= 31)) | (raw == 194) | ((raw >= 225) & (raw <= 227)))  # other white space may follow
+        odd[np.searchsorted(bounds, rare, side="right") - 1] = True
+        usual = np.flatnonzero(~odd & (np.diff(bounds) > 0))
         lists = pc.split_pattern(texts.take(pa.array(usual)), " ")
-        inner = lists.flatten().dictionary_encode()
-        words, codes = inner.dictionary.to_pylist(), inner.indices.to_numpy(zero_copy_only=False)
-        counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+        counts = np.zeros(len(texts), dtype=np.int64)
+        counts[usual] = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+        coded = lists.flatten().dictionary_encode()
+        words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         ends = np.concatenate([[0], np.cumsum(counts)])
-        out: list[np.ndarray] = [np.zeros(0, dtype=np.uint16)] * len(texts)
-        spaced = [self.word(" " + w) for w in words]
-        for k, a, b in zip(usual.tolist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-            if b > a and words[codes[a]]:
-                out[k] = np.concatenate([self.word(words[codes[a]]), *(spaced[c] for c in codes[a + 1:b])])
-        for k in np.flatnonzero(odd).tolist():
-            out[k] = np.array(self.encoding.encode_ordinary(texts[k].as_py()), dtype=np.uint16)
-        return out
+        heads = ends[:-1][counts > 0]
+        plain, at_head = np.unique(codes[heads], return_inverse=True) if len(heads) else (heads, heads)
+        made = [self.word(" " + w) for w in words] + [self.word(words[c]) for c in plain.tolist()]  # the first word has no space
+        codes[heads] = len(words) + at_head
+        length = np.fromiter(map(len, made), dtype=np.int64, count=len(made))
+        flat = np.fromiter((i for x in made for i in x), dtype=np.uint16, count=int(length.sum()))
+        per = length[codes] if len(codes) else codes
+        before = np.concatenate([[0], np.cumsum(per)]).astype(np.int64)
+        first = np.cumsum(length) - length
+        ids = flat[np.arange(before[-1]) - np.repeat(before[:-1], per) + np.repeat(first[codes], per)] if len(codes) else flat
+        offsets = before[ends]
+        strange = np.flatnonzero(odd)
+        if len(strange):
+            rows = [ids[a:b] for a, b in zip(offsets, offsets[1:], strict=False)]
+            for k in strange.tolist():
+                rows[k] = np.array(self.encoding.encode_ordinary(texts[k].as_py()), dtype=np.uint16)
+            offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+            ids = np.concatenate(rows)
+        return ids, offsets
+
+
+_kept: dict[str, Tokenizer] = {}
+
+
+def _tokenizer(shared, name: str, most: int) -> Tokenizer:
+    """The worker's tokenizer; a worker that Spark uses again has its words at hand."""
+    if name not in _kept:
+        _kept.clear()
+        _kept[name] = Tokenizer(*shared.value, most)
+    return _kept[name]
 
 
 def _ranks(path: str | None) -> tuple[dict[bytes, int], str]:
@@ -122,13 +152,14 @@ def materialise(docs: DataFrame, folder: str, path: str | None = None, settings:
     shared = spark.sparkContext.broadcast(_ranks(path))
     docs = docs.select("doc_id", "text")
 
-    def tokens(batch: pa.RecordBatch, tokenizer: Tokenizer) -> list[np.ndarray]:
-        return tokenizer.batch(batch.column("text"))
+    name = f"{path}-{uuid.uuid4().hex}"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, n = Tokenizer(*shared.value, s.cached_words), 0
+        from tidemark.llm.shards import _tokenizer
+
+        tokenizer, n = _tokenizer(shared, name, s.cached_words), 0
         for batch in pieces(batches, "text", 2 << 20):
-            n += sum(-(-len(t) // s.length) for t in tokens(batch, tokenizer))
+            n += int((-(-np.diff(tokenizer.batch(batch.column("text"))[1]) // s.length)).sum())
         yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([n], pa.int64())], names=["task", "n"])
 
     counted = docs.mapInArrow(count, "task int, n long").toArrow().to_pydict()
@@ -140,21 +171,23 @@ def materialise(docs: DataFrame, folder: str, path: str | None = None, settings:
     places = spark.sparkContext.broadcast((first, found))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, task = Tokenizer(*shared.value, s.cached_words), TaskContext.get().partitionId()
+        from tidemark.llm.shards import _tokenizer
+
+        tokenizer, task = _tokenizer(shared, name, s.cached_words), TaskContext.get().partitionId()
         firsts, counts = places.value
         begin = at = firsts.get(task, 0)
         for batch in pieces(batches, "text", 2 << 20):
-            made = tokens(batch, tokenizer)
-            n = np.array([-(-len(t) // s.length) for t in made], dtype=np.int64)
+            ids, offsets = tokenizer.batch(batch.column("text"))
+            sizes_of = np.diff(offsets)
+            n = -(-sizes_of // s.length)
             rows = int(n.sum())
-            data = np.full((rows, s.length), END_ID, dtype="<u2")
-            sizes, r = np.zeros(rows, dtype=np.int32), 0
-            for t, k in zip(made, n.tolist(), strict=True):
-                if k:
-                    data[r:r + k].reshape(-1)[:len(t)] = t
-                    sizes[r:r + k] = s.length
-                    sizes[r + k - 1] = len(t) - (k - 1) * s.length
-                    r += k
+            start = np.cumsum(n) - n  # first sequence of each text
+            data = np.full(rows * s.length, END_ID, dtype="<u2")
+            data[np.arange(len(ids)) - np.repeat(offsets[:-1], sizes_of) + np.repeat(start * s.length, sizes_of)] = ids
+            data = data.reshape(rows, s.length)
+            sizes = np.full(rows, s.length, dtype=np.int32)
+            some = n > 0
+            sizes[(start + n - 1)[some]] = (sizes_of - (n - 1) * s.length)[some]
             slot = slots(np.arange(at, at + rows), total, s.key, s.rounds)
             at += rows
             part = (np.arange(rows) - np.repeat(np.cumsum(n) - n, n)).astype(np.int32)
@@ -170,8 +203,6 @@ def materialise(docs: DataFrame, folder: str, path: str | None = None, settings:
     stride = 2 * s.length
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import uuid
-
         from pyarrow import fs
 
         system, root = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
