@@ -34,7 +34,7 @@ def best_alias(prices: DataFrame, aliases: DataFrame, date: str = "session_date"
 
 def history_candidates(
     prices: DataFrame, splits: DataFrame, aliases: DataFrame, *, expected: Column, n: int = 320,
-    gap_days: int = 45, ratio: float = 4.0, lane: str = REFRESH_LANE, hot_rows: int | None = None,
+    gap_days: int = 14, ratio: float = 4.0, lane: str = REFRESH_LANE, hot_rows: int | None = None,
     one_task: bool | None = None,
 ) -> DataFrame:
     """WIN-02..05 on the alias-matched rows; invalid rows take part in segmentation.
@@ -133,7 +133,7 @@ class MarketHistory:
 
 def build_market_history(
     prices: DataFrame, splits: DataFrame, aliases: DataFrame, *, expected: Column, oldest_active: Column,
-    n: int = 320, gap_days: int = 45, ratio: float = 4.0, min_session_rows: int = 100,
+    n: int = 320, gap_days: int = 14, ratio: float = 4.0, min_session_rows: int = 100,
     lane: str = REFRESH_LANE, hot_rows: int | None = None,
 ) -> MarketHistory:
     """PIP-02 from scanned, conflict-free rows.
@@ -193,8 +193,8 @@ def market_metrics(
 
 
 def market_gate(
-    metrics: DataFrame, *, expected: Column, require_benchmark: bool = True, minimum_coverage: float = 0.9,
-    minimum_adequate: float = 0.7,
+    metrics: DataFrame, *, expected: Column, require_benchmark: bool = False, minimum_coverage: float = 0.80,
+    minimum_adequate: float = 0.50,
 ) -> DataFrame:
     """AGG-09 over :func:`market_metrics`."""
     c = F.col
