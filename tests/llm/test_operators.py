@@ -189,6 +189,49 @@ def test_leak_recall(docs, spark):
     assert docs.count() - decontaminate.drop_leaks(docs, bench).count() == len({d for d, _ in got})
 
 
+def planted(spark, docs, replaced, seed=3):
+    """Items of the smallest benchmark, each with a share of its words replaced, inside words of a document."""
+    rng = np.random.default_rng(seed)
+    around = [w for r in docs.select("text").dropna().collect() for w in split(r["text"])]
+    rows = []
+    for i in spark.read.parquet(f"{SF}/benchmark.parquet").collect():
+        words = split(i["text"])
+        other = [f"{w}x{k}" if rng.random() < replaced else w for k, w in enumerate(words)]
+        at, size = int(rng.integers(0, len(around) - 700)), int(rng.integers(100, 350))
+        rows.append((100_000 + i["item_id"], " ".join(around[at:at + size] + other + around[at + size:at + 2 * size])))
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def brute(rows, bench, idf, s):
+    """(doc_id, item_id) that the subsequence rule accepts anywhere in a document."""
+    want = set()
+    bins = lambda w: (w >> np.uint64(64 - s.bits)).astype(np.int64)
+    for i in bench.collect():
+        item, _ = hash_words(pa.array([i["text"]]))
+        w = idf[bins(item)].astype(np.float64) + 1e-6
+        tail = slice(-max(1, len(item) // 4), None)
+        for doc, text in rows:
+            words, _ = hash_words(pa.array([text]))
+            for k in range(0, max(1, len(words) - len(item)), 8):
+                region = words[k:k + 2 * len(item)]
+                if w[np.isin(item, region)].sum() >= s.loose * w.sum() and (share := decontaminate.common_weight(item, w, region) / w.sum()) >= s.loose and (
+                        share >= s.direct or decontaminate.common_weight(item[tail], w[tail], region) >= s.answer * w[tail].sum()):
+                    want.add((doc, i["item_id"]))
+                    break
+    return want
+
+
+@pytest.mark.parametrize("replaced", [0.2, 0.3])
+def test_leak_recall_of_paraphrases(spark, docs, replaced):
+    s = decontaminate.Settings()
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    everything = docs.select("doc_id", "text").filter("doc_id < 20").unionByName(planted(spark, docs, replaced))
+    rows = [(r["doc_id"], r["text"]) for r in everything.collect()]
+    want = brute(rows, bench, decontaminate.inverse_frequencies(everything, s), s)
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(everything, bench).collect()}
+    assert len([d for d, _ in want if d and d >= 100_000]) >= 10 and want <= got
+
+
 def test_pieces_return_every_text(docs, empty):
     for settings in (pieces.Settings(), pieces.Settings(chunk=300, fan=3)):
         encoded = pieces.encode_documents(docs, settings=settings)

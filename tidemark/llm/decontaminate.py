@@ -1,15 +1,21 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 1. Inverse frequencies of hashed words over all passages (``block`` words each) of all documents.
-2. The benchmark items are cut into passages; a randomised range finder with power iterations,
-   whose products with the passage matrix are summed over Spark tasks, gives the leading right
-   singular vectors of their TF-IDF matrix. Items go in blocks of ``items`` at most, so the basis
-   has a size bound (words of the block x ``rank``) and is broadcast.
-3. Every window of two blocks of every document is folded in and compared with all passages by
-   cosine. A word counts once per window. A window whose weight inside the benchmark's vocabulary
-   is too small to reach the threshold is left out before any product; that bound is exact.
-4. Around each candidate the longest common subsequence with the item's words, weighted by their
-   inverse frequencies, is taken: a share of ``direct`` decides alone; a paraphrase (``loose``)
+2. The benchmark items are cut into equal passages of two blocks at most; a randomised range
+   finder with power iterations, whose products with the passage matrix are summed over Spark
+   tasks, gives the leading right singular vectors of their TF-IDF matrix, as many as there are
+   passages, so no part of a passage is lost. Items go in blocks of ``items`` at most, and
+   the basis (words of the block x passages) is broadcast.
+3. Every window of ``window`` blocks of every document is folded in. A word counts once per window
+   and weighs the root of its inverse frequency, so the product of window and passage is the
+   weight of the words they share: no less than that of their common subsequence, whatever else
+   the window holds. Pairs sharing ``loose`` of the passage's weight are candidates. An item whose
+   share is ``loose`` has a passage whose share is; if its words lie within ``window - 1`` blocks
+   they are in one window, so no candidate is lost. Windows without any of the rarest words that
+   a passage cannot do without are left out before any product; that bound is exact.
+4. Around each candidate, in stretches of three times the item's length (item and two blocks more
+   than twice for long ones), the longest common subsequence with the item's words, weighted by
+   their inverse frequencies, is taken: a share of ``direct`` decides alone; a paraphrase (``loose``)
    also needs the item's answer, its ``answer`` column or else its last quarter, to be found.
 
 Defined cases: words as in :mod:`words`; null or empty texts and items match nothing; a document
@@ -35,10 +41,9 @@ from tidemark.llm.words import distinct, hash_words, pieces
 class Settings:
     bits: int = 18
     block: int = 16
+    window: int = 4
     items: int = 256
-    rank: int = 256
     power: int = 2
-    cosine: float = 0.6
     direct: float = 0.75
     loose: float = 0.55
     answer: float = 0.6
@@ -79,15 +84,17 @@ def inverse_frequencies(docs: DataFrame, s: Settings) -> np.ndarray:
 
 
 def _item_passages(words: np.ndarray, s: Settings) -> list[np.ndarray]:
-    """Windows of two blocks over an item's words, half a block apart, the last at its end."""
-    size = 2 * s.block
-    if len(words) <= size:
-        return [words] if len(words) else []
-    return [words[k:k + size] for k in [*range(0, len(words) - size, s.block // 2), len(words) - size]]
+    """An item's words in equal parts of two blocks at most: one has no less than the item's share."""
+    count = -(-len(words) // (2 * s.block))
+    return np.array_split(words, count) if count else []
+
+
+def _weights(idf: np.ndarray, bins: np.ndarray) -> np.ndarray:
+    return idf[bins].astype(np.float64) + 1e-6
 
 
 def latent_index(items: DataFrame, idf: np.ndarray, s: Settings) -> dict | None:
-    """Basis and passages of one block of items (item_id, text, answer), at most ``s.items`` rows."""
+    """Basis and passages of one block of items (item_id, text, answer)."""
     shift = np.uint64(64 - s.bits)
     rows = items.toArrow()
     words, offsets = hash_words(rows["text"])
@@ -96,7 +103,7 @@ def latent_index(items: DataFrame, idf: np.ndarray, s: Settings) -> dict | None:
     if not len(words):
         return None
     vocabulary = distinct(words >> shift).astype(np.int64)
-    width = min(s.rank, len(vocabulary))
+    width = min(len(vocabulary), sum(len(_item_passages(w, s)) for w in found))
     spark = items.sparkSession
     place = np.full(1 << s.bits, -1, dtype=np.int32)
     place[vocabulary] = np.arange(len(vocabulary))
@@ -105,9 +112,9 @@ def latent_index(items: DataFrame, idf: np.ndarray, s: Settings) -> dict | None:
         w, o = hash_words(texts)
         for k in range(len(texts)):
             for passage in _item_passages(w[o[k]:o[k + 1]], s):
-                bins = distinct(passage >> shift).astype(np.int64)
-                weight = idf[bins].astype(np.float64)
-                yield place[bins], weight / max(1e-12, np.sqrt((weight**2).sum()))
+                bins, count = np.unique((passage >> shift).astype(np.int64), return_counts=True)
+                weight = _weights(idf, bins)
+                yield place[bins], count * np.sqrt(weight) / (count * weight).sum()
 
     def product(basis: np.ndarray) -> np.ndarray:
         """(A'A) basis, with the passages A spread over Spark's tasks and the sums made there."""
@@ -133,15 +140,22 @@ def latent_index(items: DataFrame, idf: np.ndarray, s: Settings) -> dict | None:
     basis = np.linalg.qr(np.random.Generator(np.random.PCG64(7)).standard_normal((len(vocabulary), width)))[0]
     for _ in range(s.power):
         basis = np.linalg.qr(product(basis))[0]
-    owner, queries = [], []
+    owner, queries, norms = [], [], []
+    root = np.sqrt(_weights(idf, vocabulary))
+    needed = np.zeros(len(vocabulary), dtype=bool)
     for k in range(rows.num_rows):
         for where, weight in row_vectors(pa.array([rows["text"][k].as_py()], pa.string())):
             owner.append(k)
             queries.append(weight @ basis[where])
-    full = np.zeros((len(vocabulary), width), dtype=np.float32)
-    full[:] = basis
+            norms.append(np.sqrt((weight**2).sum()))
+            rare = where[np.argsort(-root[where], kind="stable")]
+            part = np.zeros(len(vocabulary))
+            part[where] = weight * root[where]
+            rest = 1 - np.cumsum(part[rare])
+            needed[rare[:int(np.argmax(rest < s.loose * 0.99)) + 1]] = True  # the words after these alone are too few
+    shared = (basis * root[:, None]) @ np.array(queries).T
     return {
-        "place": place, "basis": full, "queries": np.array(queries, dtype=np.float32), "owner": np.array(owner),
+        "place": place, "shared": shared.astype(np.float32), "needed": needed, "owner": np.array(owner), "norm": np.array(norms),
         "ids": np.array(rows["item_id"].to_pylist(), dtype=np.int64), "words": found,
         "answers": [answers[answer_offsets[k]:answer_offsets[k + 1]] if answer_offsets[k + 1] > answer_offsets[k] else w[-max(1, len(w) // 4):] for k, w in enumerate(found)],
     }
@@ -157,51 +171,54 @@ def common_weight(item: np.ndarray, weight: np.ndarray, region: np.ndarray) -> f
     return float(best[-1])
 
 
+def _share(item: np.ndarray, weight: np.ndarray, region: np.ndarray, s: Settings) -> tuple[float, np.ndarray]:
+    """Largest share of an item's weight in any stretch of a region, and that stretch."""
+    total = weight.sum()
+    size, step = min(2 * s.block, len(item)) + 2 * len(item), min(s.block, len(item))
+    share = common_weight(item, weight, region) / total
+    if share < s.loose or len(region) <= size:
+        return share, region
+    best = (0.0, region)
+    for k in [*range(0, len(region) - size, step), len(region) - size]:
+        share = common_weight(item, weight, region[k:k + size]) / total
+        if share > best[0]:
+            best = (share, region[k:k + size])
+    return best
+
+
 def _matches(texts: pa.Array, idf: np.ndarray, index: dict, s: Settings) -> list[tuple[int, int, float, float, float]]:
     """(text, item, cosine, share, answer share) of every contaminated text and item."""
     words, offsets = hash_words(texts)
     if not len(words):
         return []
     bins = (words >> np.uint64(64 - s.bits)).astype(np.int64)
-    weight = idf[bins]
-    square = weight * weight
     where = index["place"][bins]
     starts, text = _blocks(offsets, s.block)
     ends = np.append(starts[1:], len(words))
-    inside = np.add.reduceat(np.where(where >= 0, square, 0), starts)
-    joined = np.zeros(len(starts), dtype=bool)
-    joined[:-1] = text[1:] == text[:-1]
+    last = np.searchsorted(text, text, side="right") - 1  # last block of the same text
     first = np.ones(len(starts), dtype=bool)
     first[1:] = text[1:] != text[:-1]
-    window = np.flatnonzero(joined | first)  # the last block of a text stands alone only if it is the first
-    after = np.where(joined[window], np.minimum(window + 1, len(starts) - 1), window)
-    alone = after == window
-    live = np.flatnonzero(inside[window] + np.where(alone, 0, inside[after]) > 0)
+    window = np.flatnonzero(first | (np.arange(len(starts)) + s.window - 1 <= last))  # shorter ones lie inside another
+    begins, stops = starts[window], ends[np.minimum(window + s.window - 1, last[window])]
+    needed = np.concatenate([[0], np.cumsum((where >= 0) & index["needed"][where])])
+    live = np.flatnonzero(needed[stops] > needed[begins])
     found: dict[tuple[int, int], tuple[float, float, float]] = {}
-    for k in range(0, len(live), 2048):
-        some = live[k:k + 2048]
-        begin, end = starts[window[some]], ends[after[some]]
+    for k in range(0, len(live), 512):
+        some = live[k:k + 512]
+        begin, end = begins[some], stops[some]
         length = end - begin
         tokens = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length) + np.repeat(begin, length)
-        row = np.repeat(np.arange(len(some), dtype=np.uint64), length)
-        once = distinct((row << np.uint64(s.bits)) | bins[tokens].astype(np.uint64))  # a word counts once per window
-        row, own = (once >> np.uint64(s.bits)).astype(np.int64), (once & np.uint64((1 << s.bits) - 1)).astype(np.int64)
-        norm = np.bincount(row, weights=idf[own] ** 2, minlength=len(some))
-        known = index["place"][own] >= 0
-        enough = np.bincount(row[known], weights=idf[own[known]] ** 2, minlength=len(some)) >= s.cosine**2 * norm * 0.999
-        known &= enough[row]
-        row, own = row[known], own[known]
-        if not len(row):
-            continue
-        heads = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-        some, begin, end, norm = (v[row[heads]] for v in (some, begin, end, norm))
-        latent = np.add.reduceat(index["basis"][index["place"][own]] * idf[own][:, None], heads, axis=0)
-        cosine = latent @ index["queries"].T / np.sqrt(np.maximum(norm, 1e-12))[:, None].astype(np.float32)
-        at, query = np.nonzero(cosine >= s.cosine)
+        row = np.repeat(np.arange(len(some)), length)
+        known = where[tokens] >= 0
+        once = distinct((row[known] << s.bits) | where[tokens[known]])  # a word counts once per window
+        row, own = once >> s.bits, once & ((1 << s.bits) - 1)
+        heads = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))  # every live window has a word
+        shared = np.add.reduceat(index["shared"][own], heads, axis=0)
+        at, query = np.nonzero(shared >= s.loose * 0.99)
         pairs: dict[tuple[int, int], float] = {}
         for a, q in zip(at.tolist(), query.tolist(), strict=True):
             key = (a, int(index["owner"][q]))
-            pairs[key] = max(pairs.get(key, 0.0), float(cosine[a, q]))
+            pairs[key] = max(pairs.get(key, 0.0), float(shared[a, q] / index["norm"][q]))
         for (a, item), value in pairs.items():
             owner = int(text[window[some[a]]])
             if (owner, item) in found:
@@ -209,15 +226,16 @@ def _matches(texts: pa.Array, idf: np.ndarray, index: dict, s: Settings) -> list
             item_words = index["words"][item]
             reach = len(item_words)
             region = words[max(offsets[owner], begin[a] - reach):min(offsets[owner + 1], end[a] + reach)]
-            w = idf[(item_words >> np.uint64(64 - s.bits)).astype(np.int64)].astype(np.float64) + 1e-6
-            share = common_weight(item_words, w, region) / w.sum()
+            w = _weights(idf, (item_words >> np.uint64(64 - s.bits)).astype(np.int64))
+            share, stretch = _share(item_words, w, region, s)
             if share < s.loose:
                 continue
             answer = index["answers"][item]
-            v = idf[(answer >> np.uint64(64 - s.bits)).astype(np.int64)].astype(np.float64) + 1e-6
-            answered = common_weight(answer, v, region) / v.sum()
+            v = _weights(idf, (answer >> np.uint64(64 - s.bits)).astype(np.int64))
+            answered = common_weight(answer, v, stretch) / v.sum()
             if share >= s.direct or answered >= s.answer:
-                found[owner, item] = (share, answered, value)
+                norm = np.sqrt(_weights(idf, distinct(bins[begin[a]:end[a]])).sum())
+                found[owner, item] = (share, answered, min(1.0, value / norm))
     return [(t, i, v, share, answered) for (t, i), (share, answered, v) in sorted(found.items())]
 
 
