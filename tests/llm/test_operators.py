@@ -232,6 +232,21 @@ def test_leak_recall_of_paraphrases(spark, docs, replaced):
     assert len([d for d, _ in want if d and d >= 100_000]) >= 10 and want <= got
 
 
+@pytest.mark.parametrize("length", [5, 12, 60, 150, 300])
+def test_verbatim_recall_by_length(spark, docs, length):
+    """256 items of one length in 64 documents, beginning anywhere in a block."""
+    rng = np.random.default_rng(length)
+    common = [w for r in docs.filter("doc_id < 20").select("text").dropna().collect() for w in split(r["text"])]
+    items = [" ".join(common[int(rng.integers(len(common)))] if rng.random() < 0.5 else f"rare{k}x{j}" for j in range(length)) for k in range(256)]
+    texts = []
+    for k in range(0, 256, 4):
+        parts = [" ".join(common[at:at + int(rng.integers(20, 90))]) for at in rng.integers(0, len(common) - 100, 5)]
+        texts.append((k, " ".join(x for pair in zip(parts, [*items[k:k + 4], ""], strict=True) for x in pair)))
+    own = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(own, spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()}
+    assert {(k - k % 4, k) for k in range(256)} <= got
+
+
 def test_pieces_return_every_text(docs, empty):
     for settings in (pieces.Settings(), pieces.Settings(chunk=300, fan=3)):
         encoded = pieces.encode_documents(docs, settings=settings)

@@ -4,8 +4,9 @@
 2. The benchmark items are cut into equal passages of two blocks at most; a randomised range
    finder with power iterations, whose products with the passage matrix are summed over Spark
    tasks, gives the leading right singular vectors of their TF-IDF matrix, as many as there are
-   passages, so no part of a passage is lost. Items go in blocks of ``items`` at most, and
-   the basis (words of the block x passages) is broadcast.
+   passages, so no part of a passage is lost. Items go in blocks of ``rank``
+   passages at most (a longer item is alone), and the basis (words of the block x passages) is
+   broadcast.
 3. Every window of ``window`` blocks of every document is folded in. A word counts once per window
    and weighs the root of its inverse frequency, so the product of window and passage is the
    weight of the words they share: no less than that of their common subsequence, whatever else
@@ -42,7 +43,7 @@ class Settings:
     bits: int = 18
     block: int = 16
     window: int = 4
-    items: int = 256
+    rank: int = 256
     power: int = 2
     direct: float = 0.75
     loose: float = 0.55
@@ -245,11 +246,21 @@ def indexes(docs: DataFrame, benchmark: DataFrame, s: Settings) -> tuple[np.ndar
     answer = F.col("answer").cast("string") if "answer" in benchmark.columns else F.lit(None).cast("string")
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"), answer.alias("answer")).filter(
         "item_id IS NOT NULL").groupBy("item_id").agg(F.max("text").alias("text"), F.max("answer").alias("answer"))
-    blocks = max(1, -(-items.count() // s.items))
-    made = []
-    for k in range(blocks):
-        block = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k) if blocks > 1 else items
-        made.append(latent_index(block, idf, s))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text"):
+            _, offsets = hash_words(batch.column("text"))
+            yield pa.RecordBatch.from_arrays([batch.column("item_id"), pa.array(-(-np.diff(offsets) // (2 * s.block)))], names=["item_id", "passages"])
+
+    sizes = items.select("item_id", "text").mapInArrow(count, "item_id long, passages long").filter("passages > 0").toArrow().sort_by("item_id")
+    blocks, room = [], 0  # first and last item_id
+    for item, passages in zip(sizes["item_id"].to_pylist(), sizes["passages"].to_pylist(), strict=True):
+        if passages > room:
+            blocks.append([item, item])
+            room = s.rank
+        blocks[-1][1] = item
+        room -= passages
+    made = [latent_index(items.filter(F.col("item_id").between(*ends)), idf, s) for ends in blocks]
     return idf, [m for m in made if m]
 
 
