@@ -392,6 +392,18 @@ def test_main_text(spark):
     assert {r["page_id"]: r["text"] for r in html.extract_main_text(pages).collect()} == want
 
 
+def test_main_text_keeps_the_whole_article():
+    long = "".join(f"<p>Sentence number {k} of a long enough paragraph, with words.</p>" for k in range(150))
+    want = [f"Sentence number {k} of a long enough paragraph, with words." for k in range(150)]
+    box = "<aside><p>a</p><p>b</p><p>c</p><p>d</p></aside>"
+    last = "Closing words. " * 20
+    page = f"<body><article>{long}{box}<p>{last}</p><ul><li><a href=x>A linked reference</a></li></ul><div class=share><p>x</p><p>y</p><p>z</p><p>w</p></div><p>The end.</p></article>"
+    assert html.main_text(page).split("\n") == [*want, last.strip(), "A linked reference", "The end."]
+    plain = "".join(f"<p>Sentence number {k} of a long enough paragraph, with words.</p>" for k in range(5))
+    linked = "<ul><li><a href=x>A</a></li><li><a href=x>B</a></li><li><a href=x>C</a></li></ul>"
+    assert html.main_text(f"<ul><li><a href=x>Home</a></li></ul>{plain}{linked}{plain}").split("\n") == [*want[:5], "A", "B", "C", *want[:5]]
+
+
 def test_feistel_is_a_permutation():
     for total in (1, 2, 5, 64, 1000, 4097):
         assert sorted(shards.slots(np.arange(total), total, 3, 6).tolist()) == list(range(total))

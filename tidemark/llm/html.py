@@ -2,10 +2,12 @@
 
 Markup is stripped first: comments, scripts and styles go; block elements end a line; lines inside
 menus, headers, footers, side bars, notices, adverts, forms and reader comments (by element, role,
-class or id), lines that are mostly links, and, where the page marks an article, lines outside it
-count as having no text. Over windows of ``WINDOW`` lines the text lengths are summed. A stretch
-starts at the surge where the sum passes ``SURGE`` (or, if none does, where it leaves zero) and ends
-at the dive where it is zero again. Stretches much smaller than the largest are left out.
+class or id) count as having no text; an element with a marked article (``article``, ``main``) in it
+is never one of these. Where the page marks an article, every other line inside it is kept. Where it
+marks none, lines that are mostly links count as having no text too, and over windows of ``WINDOW``
+lines the text lengths are summed. A stretch starts at the surge where the sum passes ``SURGE`` (or,
+if none does, where it leaves zero) and ends at the dive where it is zero again. The article reaches
+from the first stretch that is not much smaller than the largest to the last.
 
 Defined cases: null, empty and text-free pages give an empty text; unclosed elements reach to the
 end of the page; repeated pages are each extracted.
@@ -36,6 +38,8 @@ BOILERPLATE = ("ad ads advert adverts advertisement advertising banner breadcrum
                "sidebar signup social sponsor sponsored subscribe toolbar").split()
 
 _RAW = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|head)\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>", re.S | re.I)
+_MARKED = re.compile(r"<(article|main)(?=[\s/>])", re.I)
+_OPENED = re.compile(r"</?[a-zA-Z]")
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>")
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _skipped, _blocks, _void, _words = map(frozenset, (SKIPPED, BLOCKS, VOID, BOILERPLATE))
@@ -54,9 +58,9 @@ def _boilerplate(name: str, attributes: str) -> bool:
 
 
 def lines_of(page: str) -> list[tuple[str, int]]:
-    """(text, weight) of every line; the weight is its length, or 0 where it is no main text."""
+    """(text, weight) of every line: its length, 0 where no article is marked and it is mostly links, -1 where excluded."""
     page = _RAW.sub(" ", page)
-    marked = re.search(r"<(article|main)\b", page, re.I)
+    marked = _MARKED.search(page)
     container, lines, buffer = (marked.group(1).lower() if marked else None), [], []
     depth_in, skip_name, skip_depth, linked, in_link, at = 0, None, 0, 0, 0, 0
 
@@ -64,8 +68,10 @@ def lines_of(page: str) -> list[tuple[str, int]]:
         nonlocal linked
         text = " ".join(html.unescape("".join(buffer)).split())
         if text:
-            dead = skip_name is not None or (container is not None and depth_in == 0) or linked > 0.6 * len(text)
-            lines.append((text, 0 if dead else len(text)))
+            if skip_name is not None or (container is not None and depth_in == 0):
+                lines.append((text, -1))
+            else:
+                lines.append((text, 0 if container is None and linked > 0.6 * len(text) else len(text)))
         buffer.clear()
         linked = 0
 
@@ -93,17 +99,21 @@ def lines_of(page: str) -> list[tuple[str, int]]:
         elif not closing and name not in _void and not attributes.rstrip().endswith("/") and _boilerplate(name, attributes):
             end()
             skip_name, skip_depth = name, 1
-    buffer.append(page[at:] if "<" not in page[at:] else page[at:page.index("<", at)])
+    cut = _OPENED.search(page, at)
+    buffer.append(page[at:cut.start()] if cut else page[at:])
     end()
     return lines
 
 
 def main_text(page: str | None) -> str:
-    lines = lines_of(page or "")
+    page = page or ""
+    lines = lines_of(page)
+    if _MARKED.search(_RAW.sub(" ", page)):
+        return "\n".join(text for text, weight in lines if weight >= 0)
     n = len(lines)
     total = [0]
     for _, weight in lines:
-        total.append(total[-1] + weight)
+        total.append(total[-1] + max(0, weight))
     window = [total[min(n, i + WINDOW)] - total[i] for i in range(n)]
     least = SURGE if any(w >= SURGE for w in window) else 1
     stretches, i = [], 0
@@ -113,7 +123,7 @@ def main_text(page: str | None) -> str:
             while dive < n and window[dive] > 0:
                 dive += 1
             begin = i
-            while begin > 0 and window[begin - 1] > 0 and lines[begin - 1][1]:  # short lines before the surge
+            while begin > 0 and window[begin - 1] > 0 and lines[begin - 1][1] > 0:  # short lines before the surge
                 begin -= 1
             stretches.append((begin, dive))
             i = dive
@@ -122,7 +132,13 @@ def main_text(page: str | None) -> str:
     if not stretches:
         return ""
     size = [total[b] - total[a] for a, b in stretches]
-    return "\n".join(text for (a, b), s in zip(stretches, size, strict=True) if s >= SMALL * max(size) for text, weight in lines[a:b] if weight)
+    large = [k for k, x in enumerate(size) if x >= SMALL * max(size)]
+    begin, dive = stretches[large[0]][0], stretches[large[-1]][1]
+    while lines[begin][1] <= 0:  # a stretch starts up to WINDOW lines before its text
+        begin += 1
+    while lines[dive - 1][1] <= 0:
+        dive -= 1
+    return "\n".join(text for text, weight in lines[begin:dive] if weight >= 0)
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
