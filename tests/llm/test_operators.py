@@ -404,6 +404,18 @@ def test_main_text_keeps_the_whole_article():
     assert html.main_text(f"<ul><li><a href=x>Home</a></li></ul>{plain}{linked}{plain}").split("\n") == [*want[:5], "A", "B", "C", *want[:5]]
 
 
+def test_main_text_inside_wrappers():
+    nav, aside = "<div class='site-nav'><p>menu</p></div>", "<aside><article><p>Teaser.</p></article></aside>"
+    for wrapper in ("class='content-with-sidebar'", "id=page-no-header", "class='x has-comments'", "class=sidebar", "role=banner"):
+        assert html.main_text(f"<body>{nav}{aside}<div {wrapper}><main><p>The article itself.</p></main></div><p>out</p>") == "The article itself."
+        assert html.main_text(f"<body>{nav}<div {wrapper}><main><p>The article itself.</p></main></div><p>out</p>") == "The article itself."
+        assert html.main_text(f"<body>{nav}<div {wrapper}><p>The text of a page without a mark.</p></div>") == "The text of a page without a mark."
+    comments = "<div id=comments>" + "<article class=comment><p>A long comment by a reader.</p></article>" * 9 + "</div>"
+    assert html.main_text(f"<main><article><p>Short post.</p></article>{comments}</main>") == "Short post."
+    assert html.main_text("<article><p>we ask if 1 < 2</p><p>and if 3 < 5 then go on") == "we ask if 1 < 2\nand if 3 < 5 then go on"
+    assert html.main_text("<article><p>cut within a tag <a href='x") == "cut within a tag"
+
+
 def test_feistel_is_a_permutation():
     for total in (1, 2, 5, 64, 1000, 4097):
         assert sorted(shards.slots(np.arange(total), total, 3, 6).tolist()) == list(range(total))

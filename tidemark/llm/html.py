@@ -2,8 +2,8 @@
 
 Markup is stripped first: comments, scripts and styles go; block elements end a line; lines inside
 menus, headers, footers, side bars, notices, adverts, forms and reader comments (by element, role,
-class or id) count as having no text; an element with a marked article (``article``, ``main``) in it
-is never one of these. Where the page marks an article, every other line inside it is kept. Where it
+class or id) count as having no text; an element that holds the page's marked article (``article``,
+``main``) is never one of these, nor one with most of the text if nothing else were left. Where the page marks an article, every other line inside it is kept. Where it
 marks none, lines that are mostly links count as having no text too, and over windows of ``WINDOW``
 lines the text lengths are summed. A stretch starts at the surge where the sum passes ``SURGE`` (or,
 if none does, where it leaves zero) and ends at the dive where it is zero again. The article reaches
@@ -36,13 +36,14 @@ VOID = "area base br col embed hr img input link meta param source track wbr".sp
 BOILERPLATE = ("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments comment-list consent cookie cookies disqus "
                "footer header masthead menu nav navbar navigation newsletter notice pagination popup promo promoted related reply respond share sharing "
                "sidebar signup social sponsor sponsored subscribe toolbar").split()
+PLACES = "site main page top bottom left right primary secondary global".split()
 
 _RAW = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|head)\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>", re.S | re.I)
 _MARKED = re.compile(r"<(article|main)(?=[\s/>])", re.I)
 _OPENED = re.compile(r"</?[a-zA-Z]")
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>")
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_skipped, _blocks, _void, _words = map(frozenset, (SKIPPED, BLOCKS, VOID, BOILERPLATE))
+_skipped, _blocks, _void, _words, _places = map(frozenset, (SKIPPED, BLOCKS, VOID, BOILERPLATE, PLACES))
 
 
 def _boilerplate(name: str, attributes: str) -> bool:
@@ -52,18 +53,52 @@ def _boilerplate(name: str, attributes: str) -> bool:
         return False
     for _, a, b, c in _ATTRIBUTE.findall(attributes):
         value = (a or b or c).lower()
-        if any(word in _words or any(p in _words for p in re.split(r"[-_]+", word)) for word in value.split()):
+        if any(word in _words or _compound(re.split(r"[-_]+", word)) for word in value.split()):
             return True
     return False
 
 
-def lines_of(page: str) -> list[tuple[str, int]]:
+def _compound(parts: list[str]) -> bool:
+    """cookie-notice, comments-area, main-nav or site-footer, but not content-with-sidebar, no-header or has-comments."""
+    return parts[0] in _words or (parts[-1] in _words and all(p in _places for p in parts[:-1]))
+
+
+def _wrappers(page: str, tags: list[re.Match], fallback: bool) -> set[int]:
+    """Positions in ``tags`` of the elements that may not be excluded since they hold the article.
+
+    Such an element holds the first article or main and most of the marked text; with ``fallback``
+    most of the marked text (of all text, if none is marked) is enough.
+    """
+    marks = [k for k, tag in enumerate(tags) if not tag.group(1) and tag.group(2).lower() in ("article", "main")]
+    seen = [tags[k].group(2).lower() for k in marks]
+    first = [marks[seen.index(name)] for name in ("article", "main") if name in seen]
+    total, close, opened, depth, at = [], [len(tags)] * len(tags), {}, 0, 0
+    for k, tag in enumerate(tags):  # total: letters of the text before each tag
+        size = len("".join(page[at:tag.start()].split())) if depth or not marks else 0
+        total.append((total[-1] if total else 0) + size)
+        at, name = tag.end(), tag.group(2).lower()
+        if name in ("article", "main"):
+            depth = max(0, depth + (-1 if tag.group(1) else 1))
+        if not tag.group(1):
+            if name not in _void:
+                opened.setdefault(name, []).append(k)
+        elif opened.get(name):
+            close[opened[name].pop()] = k
+    total.append((total[-1] if total else 0) + (len("".join(page[at:].split())) if depth or not marks else 0))
+    return {k for k, tag in enumerate(tags) if not tag.group(1) and (fallback or any(k < f < close[k] for f in first)) and 2 * (total[close[k]] - total[k]) > total[-1]}
+
+
+def lines_of(page: str, fallback: bool = False) -> list[tuple[str, int]]:
     """(text, weight) of every line: its length, 0 where no article is marked and it is mostly links, -1 where excluded."""
     page = _RAW.sub(" ", page)
     marked = _MARKED.search(page)
-    container, lines, buffer = (marked.group(1).lower() if marked else None), [], []
+    container, lines, buffer = None, [], []
+    if marked:  # an article before main may be a teaser, so main counts as well
+        container = ("main",) if marked.group(1).lower() == "main" else ("article", "main")
     depth_in, skip_name, skip_depth, linked, in_link, at = 0, None, 0, 0, 0, 0
 
+    tags, wrappers = list(_TAG.finditer(page)), None
+
     def end() -> None:
         nonlocal linked
         text = " ".join(html.unescape("".join(buffer)).split())
@@ -75,7 +110,7 @@ def lines_of(page: str) -> list[tuple[str, int]]:
         buffer.clear()
         linked = 0
 
-    for tag in _TAG.finditer(page):
+    for k, tag in enumerate(tags):
         run = page[at:tag.start()]
         at = tag.end()
         if run:
@@ -88,7 +123,7 @@ def lines_of(page: str) -> list[tuple[str, int]]:
             end()
         if name == "a":
             in_link = 0 if closing else 1
-        if name == container:
+        if container is not None and name in container:
             depth_in = max(0, depth_in + (-1 if closing else 1))
         if skip_name is not None:
             if name == skip_name:
@@ -97,8 +132,11 @@ def lines_of(page: str) -> list[tuple[str, int]]:
                     end()
                     skip_name = None
         elif not closing and name not in _void and not attributes.rstrip().endswith("/") and _boilerplate(name, attributes):
-            end()
-            skip_name, skip_depth = name, 1
+            if wrappers is None:
+                wrappers = _wrappers(page, tags, fallback)
+            if k not in wrappers:
+                end()
+                skip_name, skip_depth = name, 1
     cut = _OPENED.search(page, at)
     buffer.append(page[at:cut.start()] if cut else page[at:])
     end()
@@ -108,6 +146,8 @@ def lines_of(page: str) -> list[tuple[str, int]]:
 def main_text(page: str | None) -> str:
     page = page or ""
     lines = lines_of(page)
+    if lines and all(weight < 0 for _, weight in lines):
+        lines = lines_of(page, fallback=True)
     if _MARKED.search(_RAW.sub(" ", page)):
         return "\n".join(text for text, weight in lines if weight >= 0)
     n = len(lines)
