@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from tests.test_gates import quote_frame, quote_row
+from tidemark.catalog.streams import event_batches
 from tidemark.operators.segments import segment_history
 from tidemark.streaming import gate_quotes_stream, run_available, segment_batches, upsert_batches
 
@@ -31,6 +32,22 @@ def test_upsert_batches(spark, tmp_path, rows):
     assert rows(spark.read.parquet(late).select("key", "value")) == [("b", 0.5)]
 
 
+def test_upsert_batches_keep_the_newest_row_of_all_batches(spark, tmp_path, rows):
+    data = [(1, "a", "d1", 5.0, 5), (1, "n", None, 1.0, 1), (2, "a", "d1", 3.0, 3), (2, "m", None, 2.0, 2), (2, "b", "d1", 1.0, 1), (3, "b", "d1", 2.0, 2), (4, "b", "d1", 9.0, 2), (4, "a", "d1", 4.0, 4)]
+    df = spark.createDataFrame(data, "batch int, key string, day string, value double, version int")
+    src, out = (str(tmp_path / n) for n in ("in", "table"))
+    write_batches(df, src, "batch", [1, 2, 3, 4])
+    writer = upsert_batches(out, ["key", "day"], "day", [F.col("version").desc()])
+    run_available(stream(spark, src, df.drop("batch").schema).writeStream.foreachBatch(writer), str(tmp_path / "log"))
+    assert rows(spark.read.parquet(out).select("key", "day", "value")) == [("a", "d1", 5.0), ("b", "d1", 9.0), ("m", None, 2.0), ("n", None, 1.0)]
+
+
+def test_the_upsert_query_runs_several_batches(spark, tables, tmp_path):
+    seen = []
+    run_available(event_batches(tables).writeStream.foreachBatch(lambda batch, k: seen.append(batch.count())), str(tmp_path / "log"))
+    assert len(seen) == 4 and all(seen) and sum(seen) == tables.events.count()
+
+
 def test_segment_batches_equal_the_batch_operator(spark, tmp_path, rows):
     t0 = datetime(2026, 7, 1)
     data, at = [], t0

@@ -1,7 +1,7 @@
 """Streaming operators over the event table as a file stream.
 
 A private folder is made for each run under the shared checkpoint folder; the source is
-the driver's own event file, read as a stream.
+the driver's own event file, read as a stream, or that file dealt over several ones.
 """
 
 from __future__ import annotations
@@ -35,11 +35,20 @@ def event_stream(t: Tables) -> DataFrame:
     return t.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(t.directory)
 
 
+def event_batches(t: Tables, batches: int = 4) -> DataFrame:
+    """The events as a stream of so many micro-batches, in no order of time or id."""
+    path, files = scratch_table(t.spark, "events-in"), max(batches, t.spark.sparkContext.defaultParallelism)
+    rows = t.spark.read.parquet(f"{t.directory}/events.parquet")
+    rows.repartition(files).write.parquet(path)
+    schema = t.spark.read.parquet(path).schema
+    return t.spark.readStream.schema(schema).option("maxFilesPerTrigger", -(-files // batches)).parquet(path)
+
+
 @query("streaming_upsert", """SELECT user_id, CAST(ts AS DATE) AS session_date, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event_id DESC) = 1""")
 def streaming_upsert(t: Tables) -> DataFrame:
     """STR-02: the last event of each (user, day) kept in a table partitioned by day."""
     out, log = scratch_table(t.spark, "upsert-table"), scratch_table(t.spark, "upsert-log")
-    delta = event_stream(t).select("user_id", F.to_date("ts").alias("session_date"), "event_id", "value")
+    delta = event_batches(t).select("user_id", F.to_date("ts").alias("session_date"), "event_id", "value")
     writer = upsert_batches(out, ["user_id", "session_date"], "session_date", [F.col("event_id").desc()])
     with one_partition_per_core(t):
         run_available(delta.writeStream.foreachBatch(writer), log)

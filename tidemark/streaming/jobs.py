@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidemark.functions import QuotePolicy, quote_block_reasons
-from tidemark.operators.keys import latest_per_key, upsert
+from tidemark.operators.keys import latest_per_key
 from tidemark.operators.segments import segment_history
 from tidemark.session import stage
 
@@ -74,7 +74,8 @@ def upsert_batches(
     path: str, keys: Sequence[str], partition: str, order: Sequence[Column], *, late_path: str | None = None,
     late_before: Callable[[DataFrame], Column] | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """STR-02. ``foreachBatch`` writer applying JOI-06 to a table partitioned by ``partition``.
+    """STR-02. ``foreachBatch`` writer that keeps the first row by ``order`` of each key, whatever
+    batch it came in, in a table partitioned by ``partition``; among equals the later batch wins.
 
     ``partition`` must be a function of ``keys``. Only the partitions a batch touches are
     read, merged, staged and replaced, so the cost follows the delta. Rows for which
@@ -90,8 +91,10 @@ def upsert_batches(
         known = _table(spark, path, batch.schema)
         merged = newest
         if known is not None:
-            touched = known.join(newest.select(partition).distinct(), partition, "left_semi")
-            merged = upsert(touched.select(*newest.columns), newest, keys)
+            parts = newest.select(F.col(partition).alias("_part")).distinct()
+            touched = known.join(parts, F.col(partition).eqNullSafe(F.col("_part")), "left_semi").select(*newest.columns)
+            both = touched.withColumn("_delta", F.lit(0)).unionByName(newest.withColumn("_delta", F.lit(1)))
+            merged = latest_per_key(both, keys, [*order, F.col("_delta").desc()]).drop("_delta")
         staged = stage(merged, "upsert")
         (
             staged.repartition(partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
