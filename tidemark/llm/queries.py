@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, html, jaccard, katz, passages, pieces, rules, shards, toxicity
+from tidemark.llm import chat, collocations, decontaminate, html, jaccard, katz, passages, pieces, rules, shards, spelling, toxicity
 from tidemark.llm.frames import held_out
 
 ENTRIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,3 +129,32 @@ def op6(spark: SparkSession, d: str) -> DataFrame:
     """Katz log probability of every document, and the unigram base score."""
     docs = katz.with_held_out(table(spark, d, "documents"))
     return katz.score_katz(docs, katz.train_katz(docs))
+
+
+@entry("op12_collocations", """
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM t),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]'), lambda x: x <> '') AS words FROM p),
+s AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM w WHERE len(words) > 0),
+g AS (SELECT lang, words[i:i + k - 1] AS phrase, k FROM s, (VALUES (1), (2), (3), (4)) q(k) WHERE i + k - 1 <= len(words)),
+f AS (SELECT lang, phrase, k, count(*) AS a FROM g GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE k > 1 AND a >= 30),
+cuts AS (SELECT c.*, unnest(range(1, k)) AS cut FROM c),
+halves AS (SELECT cuts.lang, cuts.phrase, cuts.k, cuts.a, cut, x.a AS l, y.a AS r, (2000000 * cuts.a::HUGEINT) // (x.a + y.a)::HUGEINT AS score FROM cuts
+  JOIN f x ON x.lang = cuts.lang AND x.phrase = cuts.phrase[1:cut] JOIN f y ON y.lang = cuts.lang AND y.phrase = cuts.phrase[cut + 1:]),
+scored AS (SELECT * FROM halves QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+parts AS (SELECT lang, a, phrase[i:i + m - 1] AS part FROM (SELECT lang, phrase, k, a, m, unnest(range(1, k - m + 2)) AS i FROM (SELECT lang, phrase, k, a, unnest(range(2, k)) AS m FROM c))),
+longer AS (SELECT lang, part, max(a) AS longest FROM parts GROUP BY ALL),
+kept AS (SELECT s.lang, array_to_string(s.phrase, ' ') AS phrase, a, l, r, CAST(score AS BIGINT) AS score FROM scored s LEFT JOIN longer o ON o.lang = s.lang AND o.part = s.phrase
+  WHERE coalesce(100 * longest::HUGEINT < 80 * a::HUGEINT, true))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000""")
+def op12(spark: SparkSession, d: str) -> DataFrame:
+    """The strongest phrases of every language."""
+    return collocations.collocations(table(spark, d, "documents").select("text", "lang"))
+
+
+@entry("op13_spelling_variants")
+def op13(spark: SparkSession, d: str) -> DataFrame:
+    """Every word with its form, its root and the number of its near words."""
+    return spelling.group_variants(table(spark, d, "documents").select("doc_id", "text"))
