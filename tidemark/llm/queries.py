@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, collocations, decontaminate, html, jaccard, katz, passages, pieces, rules, shards, spelling, toxicity
+from tidemark.llm import chat, collocations, decontaminate, html, jaccard, katz, passages, pieces, privacy, rules, shards, spelling, toxicity
 from tidemark.llm.frames import held_out
 
 ENTRIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -158,3 +158,11 @@ def op12(spark: SparkSession, d: str) -> DataFrame:
 def op13(spark: SparkSession, d: str) -> DataFrame:
     """Every word with its form, its root and the number of its near words."""
     return spelling.group_variants(table(spark, d, "documents").select("doc_id", "text"))
+
+
+@entry("op11_private_spans")
+def op11(spark: SparkSession, d: str) -> DataFrame:
+    """Personal data in every document: pattern counts and digest, and all spans."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    found = privacy.find_private(docs, privacy.fit(docs))
+    return found.select("doc_id", *[f"n_{k}" for k in privacy.KINDS], "base_sha256", "spans")
