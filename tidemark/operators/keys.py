@@ -28,12 +28,12 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
 
 
 def previous_value(
-    df: DataFrame, keys: Sequence[str], order: str, columns: dict[str, str], hot_rows: int | None = None,
-    one_task: bool | None = None,
+    df: DataFrame, keys: Sequence[str], order: str, columns: dict[str, str], chunk_rows: int | None = None,
+    bounded: bool = False,
 ) -> DataFrame:
     """WIN-02. Previous row's values as new columns {new: old}; ``order`` unique per key."""
     olds = [c for c in dict.fromkeys(columns.values()) if c != order]
-    ordered = OrderedKeys(df, keys, [order], hot_rows, one_task)
+    ordered = OrderedKeys(df, keys, [order], chunk_rows, bounded)
     ordered.running(maxima_before={"_prev": F.struct(order, *olds)})
     return ordered.with_columns(
         {new: F.col(f"_prev.{old}") for new, old in columns.items()}
@@ -132,7 +132,7 @@ def orphan_counts(tables: dict[str, DataFrame], dim: DataFrame, key: str) -> Dat
 
 def without_event_between(
     df: DataFrame, events: DataFrame, keys: Sequence[str], low: str, high: str,
-    event: str, hot_rows: int | None = None,
+    event: str, chunk_rows: int | None = None,
 ) -> DataFrame:
     """JOI-03. Rows for which no event of the key has low < event <= high.
 
@@ -143,7 +143,7 @@ def without_event_between(
     rows = df.withColumns({"_t": F.col(high), "_row": F.lit(1), "_e": F.lit(None).cast(df.schema[high].dataType)})
     marks = events.select(*keys, F.col(event).alias("_t"), F.lit(0).alias("_row"), F.col(event).alias("_e"))
     merged = rows.unionByName(marks.distinct(), allowMissingColumns=True)
-    ordered = OrderedKeys(merged, keys, ["_t", "_row"], hot_rows).running(maxima={"_last": F.col("_e")})
+    ordered = OrderedKeys(merged, keys, ["_t", "_row"], chunk_rows).running(maxima={"_last": F.col("_e")})
     hit = F.coalesce(F.col("_last") > F.col(low), F.lit(False))
     return ordered.result().filter((F.col("_row") == 1) & ~hit).select(*payload)
 

@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.keys import recent_n
-from tidemark.operators.skew import OrderedKeys, fits_one_task
+from tidemark.operators.skew import OrderedKeys
 
 
 def segment_history(
     df: DataFrame, keys: Sequence[str], date: str, price: str, *,
     gap: Column, ratio: float, actions: DataFrame | None = None, action_date: str = "event_date",
-    slot: str | None = None, slots: int = 1, hot_rows: int | None = None, one_task: bool | None = None,
+    slot: str | None = None, slots: int = 1, chunk_rows: int | None = None,
 ) -> DataFrame:
     """WIN-03. Adds previous_session, previous_close, segment_break_reason, segment_id.
 
@@ -36,7 +36,7 @@ def segment_history(
     else:
         slots = 0
     is_row = F.col("_row") == 1
-    ordered = OrderedKeys(source, keys, ["_t", "_row"], hot_rows, one_task).running(
+    ordered = OrderedKeys(source, keys, ["_t", "_row"], chunk_rows).running(
         maxima_before={"_prev": F.when(is_row, F.struct(F.col(date), F.col(price)))},
         maxima={f"_a{i}": F.when(~is_row & (F.col("_slot") == i), F.col("_t")) for i in range(slots)},
     )
@@ -73,46 +73,24 @@ def segment_summary(segmented: DataFrame, keys: Sequence[str], date: str, valid:
     )
 
 
-def annotate_latest(segmented: DataFrame, keys: Sequence[str], date: str, valid: Column, one_task: bool) -> DataFrame:
+def annotate_latest(segmented: DataFrame, keys: Sequence[str], date: str, valid: Column) -> DataFrame:
     """Rows of each key's last segment from its first valid date on.
 
-    ``one_task``: windows over the key, which reuse the partitioning of the segment
-    pass. Otherwise the last segment is found by aggregation and joined back, where
-    adaptive skew handling splits a hot key.
+    The last segment is found by aggregation and joined back, where adaptive skew handling
+    splits a hot key; ``segmented`` is read twice.
     """
-    if one_task:
-        by_key = Window.partitionBy(*keys)
-        by_segment = Window.partitionBy(*keys, "segment_id")
-        out = (
-            segmented.withColumn("_latest", F.max("segment_id").over(by_key))
-            .filter(F.col("segment_id") == F.col("_latest")).drop("_latest")
-            .withColumns({
-                "valid_segment_start_date": F.min(F.when(valid, F.col(date))).over(by_segment),
-                "previous_segment_latest_date": F.max(
-                    F.when(F.col("segment_break_reason").isNotNull(), F.col("previous_session"))
-                ).over(by_segment),
-                "latest_segment_break_reason": F.max("segment_break_reason").over(by_segment),
-            })
-        )
-    else:
-        latest = segment_summary(segmented, keys, date, valid).groupBy(*keys).agg(
-            F.max(F.struct(
-                "segment_id", "valid_segment_start_date", "previous_segment_latest_date",
-                "latest_segment_break_reason",
-            )).alias("_s")
-        ).select(*keys, "_s.*")
-        out = segmented.join(latest, [*keys, "segment_id"], "inner")
-    return out.filter(F.col(date) >= F.col("valid_segment_start_date"))
-
-
-def latest_segment(
-    segmented: DataFrame, keys: Sequence[str], date: str, valid: Column, n: int, one_task: bool | None = None
-) -> DataFrame:
+    latest = segment_summary(segmented, keys, date, valid).groupBy(*keys).agg(
+        F.max(F.struct(
+            "segment_id", "valid_segment_start_date", "previous_segment_latest_date",
+            "latest_segment_break_reason",
+        )).alias("_s")
+    ).select(*keys, "_s.*")
+    return segmented.join(latest, [*keys, "segment_id"], "inner").filter(F.col(date) >= F.col("valid_segment_start_date"))
+
+
+def latest_segment(segmented: DataFrame, keys: Sequence[str], date: str, valid: Column, n: int) -> DataFrame:
     """WIN-05. Newest ``n`` rows of the last segment, with ``history_rank``."""
-    if one_task is None:
-        one_task = fits_one_task(segmented)
-    rows = annotate_latest(segmented, keys, date, valid, one_task)
-    return recent_n(rows, keys, [F.col(date).desc()], n, rank="history_rank")
+    return recent_n(annotate_latest(segmented, keys, date, valid), keys, [F.col(date).desc()], n, rank="history_rank")
 
 
 def history_truncations(latest: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -1,62 +1,25 @@
-"""Ordered per-key computations that survive one key holding much of the table.
-
-A window over a key runs in one task. :class:`OrderedKeys` keeps that plan while the
-whole input is no larger than one scan split or no key exceeds a row limit. Otherwise it
-cuts the larger keys into order-contiguous chunks: running values are computed inside
-each chunk, one summary row per chunk is carried forward, and the two are combined. Chunk
-bounds are quantiles of the first order column, so rows with equal values stay together.
+"""Ordered per-key computations as a distributed prefix scan.
+
+A window over a key runs in one task, however many rows the key has. :class:`OrderedKeys`
+cuts every key into order-contiguous chunks of about ``CHUNK_ROWS`` rows: running values are
+computed inside each chunk, one summary row per (key, chunk) is carried forward, and the two
+are combined. The bounds come from a sample that a hash of key and order chooses, so they are
+the same in every run, on every cluster and at every size; a key shorter than a chunk simply
+has none. Nothing is capped: a longer key has more chunks.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import stage
 
-HOT_ROWS = 4_000_000  # rows of one key that a single task may order
-HOT_KEYS = 2_000  # at most so many keys are cut
-MAX_CHUNKS = 1_024  # at most so many pieces per key
-
-
-def split_bytes(df: DataFrame) -> int:
-    text = df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes", "128MB")
-    digits = "".join(ch for ch in text if ch.isdigit())
-    unit = text[len(digits):].strip().lower().rstrip("b")
-    return int(digits) * {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(unit, 1)
-
-
-def input_bytes(df: DataFrame) -> int:
-    """Catalyst's size of the tables the plan reads; nothing is executed.
-
-    The leaves are summed because estimates above a join multiply both sides.
-    """
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-
-
-def fits_one_task(df: DataFrame) -> bool:
-    """True when everything the plan reads is no larger than one scan split."""
-    return input_bytes(df) <= split_bytes(df)
-
-
-def gather_small(df: DataFrame, *keys: str) -> DataFrame:
-    """Partition an input below one split by ``keys`` once, ahead of several steps on them.
-
-    Small inputs come as one or two tasks; this puts all cores to work and later windows
-    and aggregations on the keys need no shuffle. Larger inputs are returned unchanged,
-    because there each step combines or limits before its own shuffle and a hot key must
-    not be gathered.
-    """
-    return df.repartition(*keys) if fits_one_task(df) else df
-
-
-def stage_large(df: DataFrame, name: str) -> DataFrame:
-    """Write a table that several branches read, unless its input is below one split."""
-    return df if fits_one_task(df) else stage(df, name)
+CHUNK_ROWS = 1 << 20  # rows of one key that a single task orders, about
+SAMPLES = 16  # sampled rows a chunk
 
 
 def as_columns(order: Sequence[Column | str] | Column | str) -> list[Column]:
@@ -65,58 +28,50 @@ def as_columns(order: Sequence[Column | str] | Column | str) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
+def same_keys(keys: Sequence[str], prefix: str) -> Column:
+    """Equality of each key with its prefixed copy; NULL keys are a group like any other."""
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
+
+
 class OrderedKeys:
-    """Rows of ``df`` grouped by ``keys`` and ordered ascending by ``order``.
+    """Rows of ``df`` grouped by ``keys`` and ordered ascending by the columns ``order``.
 
-    ``order`` names columns; the first must be numeric, date or timestamp, and together
-    they must be a total order within the key. ``hot_rows`` overrides the size check:
-    keys with more rows than it are cut into chunks. ``one_task`` passes in a check
-    already made.
+    ``order`` must be a total order within the key. ``bounded`` says that the caller has
+    already limited the rows of a key (a top-n), so that no key needs cutting. An input that
+    is the result of joins or windows should be staged by the caller: bounds, chunks and
+    summaries each read it.
     """
 
     def __init__(
-        self, df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int | None = None,
-        one_task: bool | None = None,
+        self, df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_rows: int | None = None, bounded: bool = False,
     ) -> None:
         self.keys = list(keys)
         self.order = list(order)
         self.df = df
-        self.split = False
-        if hot_rows is not None or not (fits_one_task(df) if one_task is None else one_task):
-            self._cut_hot_keys(hot_rows or HOT_ROWS)
+        self.split = not bounded and self._cut(chunk_rows or CHUNK_ROWS)
 
-    def _cut_hot_keys(self, hot_rows: int) -> None:
-        """Add ``_chunk`` (0 outside hot keys) and ``_hot`` when a key is above the limit.
+    def _cut(self, chunk_rows: int) -> bool:
+        """Add ``_chunk`` and ``_long`` (whether the key has bounds); False when no key has any.
 
-        One small action measures the largest key. The limit rises with the table so that
-        at most ``HOT_KEYS`` keys can exceed it; their bounds, the only broadcast table,
-        then hold at most HOT_KEYS x MAX_CHUNKS values (16 MB).
+        The bounds are one row per long key with one value per ``chunk_rows`` rows. They are
+        written, so that the planner knows their size when it chooses the join.
         """
-        sizes = self.df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_n"))
-        largest, total = sizes.agg(F.max("_n"), F.sum("_n")).first()
-        limit = max(hot_rows, (total or 0) // HOT_KEYS)
-        if (largest or 0) <= limit:
-            return
-        self.split = True
-        # root x root chunks of about half the limit for the largest key
-        root = min(math.isqrt(MAX_CHUNKS), max(2, math.isqrt(2 * largest // limit) + 1))
-        first = F.col(self.order[0])
-        fractions = [i / root**2 for i in range(1, root**2)]
-        bounds = (
-            self.df.join(F.broadcast(sizes.filter(F.col("_n") > limit).drop("_n")), self.keys, "left_semi")
-            .groupBy(*self.keys).agg(F.percentile_approx(first, fractions, 10 * root**2).alias("_bounds"))
-            .withColumn("_coarse", F.transform(F.sequence(F.lit(root), F.lit(root**2 - 1), F.lit(root)), lambda i: F.element_at("_bounds", i)))
-        )
-        # find the coarse piece, then the place inside it
-        piece = F.size(F.filter("_coarse", lambda b: b < first))
-        inside = F.size(F.filter(F.slice("_bounds", F.col("_piece") * root + 1, F.lit(root - 1)), lambda b: b < first))
-        self.df = (
-            self.df.join(F.broadcast(bounds), self.keys, "left")
-            .withColumn("_hot", F.col("_bounds").isNotNull())
-            .withColumn("_piece", F.when(F.col("_hot"), piece))
-            .withColumn("_chunk", F.when(F.col("_hot"), F.col("_piece") * root + inside).otherwise(F.lit(0)))
-            .drop("_bounds", "_coarse", "_piece")
-        )
+        me = F.struct(*self.order)
+        every = max(1, chunk_rows // SAMPLES)
+        drawn = self.df.filter(F.pmod(F.xxhash64(*self.keys, *self.order), F.lit(every)) == 0).select(*self.keys, me.alias("_o"))
+        place = F.row_number().over(Window.partitionBy(*self.keys).orderBy("_o"))
+        bounds = drawn.withColumn("_i", place).filter(F.col("_i") % SAMPLES == 0).groupBy(
+            *[F.col(k).alias(f"_b_{k}") for k in self.keys]).agg(F.sort_array(F.collect_list("_o")).alias("_bounds"))
+        powers = F.transform(F.sequence(F.floor(F.log2(F.size("_bounds"))).cast("int"), F.lit(0)), lambda x: F.pow(F.lit(2), x).cast("int"))
+        bounds = stage(bounds.withColumn("_powers", powers), "bounds")
+        if not bounds.head(1):
+            return False
+        # how many bounds lie before the row, by binary search
+        before = F.aggregate("_powers", F.lit(0), lambda at, p: F.when(F.get("_bounds", at + p - 1) < me, at + p).otherwise(at))
+        self.df = self.df.join(bounds, same_keys(self.keys, "_b_"), "left").withColumns({
+            "_chunk": F.coalesce(before, F.lit(0)), "_long": F.col("_bounds").isNotNull(),
+        }).drop("_bounds", "_powers", *[f"_b_{k}" for k in self.keys])
+        return True
 
     def running(
         self,
@@ -138,26 +93,21 @@ class OrderedKeys:
             *[(n, c, "product", 0) for n, c in (products or {}).items()],
         ]
         make = {"sum": F.sum, "max": F.max, "product": F.product}
+        inside = [*self.keys, "_chunk"] if self.split else self.keys
+        w = Window.partitionBy(*inside).orderBy(*self.order)
+        frames = {0: w.rowsBetween(Window.unboundedPreceding, 0), -1: w.rowsBetween(Window.unboundedPreceding, -1)}
         if not self.split:
-            w = Window.partitionBy(*self.keys).orderBy(*self.order)
-            frames = {0: w.rowsBetween(Window.unboundedPreceding, 0), -1: w.rowsBetween(Window.unboundedPreceding, -1)}
             self.df = self.df.withColumns({n: make[kind](c).over(frames[end]) for n, c, kind, end in specs})
             return self
 
-        inside = [*self.keys, "_chunk"]
-        w = Window.partitionBy(*inside).orderBy(*self.order)
-        frames = {0: w.rowsBetween(Window.unboundedPreceding, 0), -1: w.rowsBetween(Window.unboundedPreceding, -1)}
-        totals = (
-            self.df.filter("_hot").groupBy(*inside)
-            .agg(*[make[kind](c).alias(f"_c_{n}") for n, c, kind, _ in specs])
-        )
-        before = Window.partitionBy(*self.keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-        carry = totals.select(
-            *inside, *[make[kind](F.col(f"_c_{n}")).over(before).alias(f"_b_{n}") for n, _, kind, _ in specs]
-        )
+        totals = self.df.filter("_long").groupBy(*[F.col(k).alias(f"_c_{k}") for k in inside]).agg(
+            *[make[kind](c).alias(f"_t_{n}") for n, c, kind, _ in specs])
+        copies = [f"_c_{k}" for k in inside]
+        before = Window.partitionBy(*copies[:-1]).orderBy(copies[-1]).rowsBetween(Window.unboundedPreceding, -1)
+        carry = totals.select(*copies, *[make[kind](F.col(f"_t_{n}")).over(before).alias(f"_b_{n}") for n, _, kind, _ in specs])
         local = self.df.withColumns({f"_l_{n}": make[kind](c).over(frames[end]) for n, c, kind, end in specs})
         # one row per chunk; the large side is already partitioned by these keys
-        joined = local.join(carry, inside, "left")
+        joined = local.join(carry, same_keys(inside, "_c_"), "left")
 
         def combine(name: str, kind: str) -> Column:
             b, l = F.col(f"_b_{name}"), F.col(f"_l_{name}")
@@ -167,7 +117,7 @@ class OrderedKeys:
             return F.coalesce(both, b, l)
 
         self.df = joined.withColumns({n: combine(n, kind) for n, _, kind, _ in specs}).drop(
-            *[f"_b_{n}" for n, *_ in specs], *[f"_l_{n}" for n, *_ in specs]
+            *copies, *[f"_b_{n}" for n, *_ in specs], *[f"_l_{n}" for n, *_ in specs]
         )
         return self
 
@@ -176,7 +126,7 @@ class OrderedKeys:
         return self
 
     def result(self) -> DataFrame:
-        return self.df.drop("_hot", "_chunk") if self.split else self.df
+        return self.df.drop("_long", "_chunk") if self.split else self.df
 
 
 def previous_row(order: str, *columns: str) -> Column:

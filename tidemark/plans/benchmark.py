@@ -18,15 +18,15 @@ MAXIMUM_SESSIONS, MINIMUM_SESSIONS, MINIMUM_WEEKS = 320, 140, 26
 BENCHMARK_ROLES = {"VTI": "FUNDED_EQUITY_BENCHMARK", "SPY": "US_EQUITY_REFERENCE", "BIL": "CASH_REFERENCE"}
 
 
-def compound_index(df: DataFrame, keys: Sequence[str], order: str, rate: str, base: float = 100.0, out: str = "total_return_index", hot_rows: int | None = None, one_task: bool | None = None) -> DataFrame:
+def compound_index(df: DataFrame, keys: Sequence[str], order: str, rate: str, base: float = 100.0, out: str = "total_return_index", chunk_rows: int | None = None, bounded: bool = False) -> DataFrame:
     """WIN-14. base x running product of (1 + rate)."""
-    ordered = OrderedKeys(df, keys, [order], hot_rows, one_task).running(products={out: F.lit(1.0) + F.col(rate)})
+    ordered = OrderedKeys(df, keys, [order], chunk_rows, bounded).running(products={out: F.lit(1.0) + F.col(rate)})
     return ordered.with_columns({out: F.col(out) * base}).result()
 
 
-def verify_compounding(df: DataFrame, keys: Sequence[str], order: str = "session_date", tolerance: float = 1e-10, hot_rows: int | None = None) -> DataFrame:
+def verify_compounding(df: DataFrame, keys: Sequence[str], order: str = "session_date", tolerance: float = 1e-10, chunk_rows: int | None = None) -> DataFrame:
     """WIN-15. Rows whose index, price return or cash return does not follow from the previous row."""
-    rows = previous_value(df, keys, order, {"_index": "total_return_index", "_close": "raw_close"}, hot_rows)
+    rows = previous_value(df, keys, order, {"_index": "total_return_index", "_close": "raw_close"}, chunk_rows)
     off = lambda e: F.coalesce(F.abs(e) > tolerance, F.lit(False))
     c = F.col
     wrong = (
@@ -37,7 +37,7 @@ def verify_compounding(df: DataFrame, keys: Sequence[str], order: str = "session
     return rows.filter(c("_index").isNotNull() & wrong).drop("_index", "_close")
 
 
-def lineage_hash(sessions: DataFrame, events: DataFrame, keys: Sequence[str], session: str, event_date: str, content: Sequence[str], out: str, hot_rows: int | None = None, one_task: bool | None = None) -> DataFrame:
+def lineage_hash(sessions: DataFrame, events: DataFrame, keys: Sequence[str], session: str, event_date: str, content: Sequence[str], out: str, chunk_rows: int | None = None, bounded: bool = False) -> DataFrame:
     """WIN-16. Per session, one hash of all events up to it.
 
     The running sum of 60-bit event digests and the running count identify the set of
@@ -49,7 +49,7 @@ def lineage_hash(sessions: DataFrame, events: DataFrame, keys: Sequence[str], se
     )
     joined = sessions.join(per_day, [*keys, session], "left")
     zero = F.lit(0).cast("decimal(38,0)")
-    ordered = OrderedKeys(joined, keys, [session], hot_rows, one_task).running(
+    ordered = OrderedKeys(joined, keys, [session], chunk_rows, bounded).running(
         sums={"_ds": F.coalesce("_d", zero), "_ns": F.coalesce("_n", F.lit(0))}
     )
     return ordered.with_columns({out: F.sha2(F.concat_ws("|", F.col("_ns").cast("string"), F.col("_ds").cast("string")), 256)}).result().drop(
@@ -59,7 +59,7 @@ def lineage_hash(sessions: DataFrame, events: DataFrame, keys: Sequence[str], se
 
 def benchmark_returns(
     prices: DataFrame, dividends: DataFrame, splits: DataFrame, *, key: str = "ticker", target: Column | None = None, tolerance: float = TOLERANCE,
-    sessions: int = MAXIMUM_SESSIONS, hot_rows: int | None = None,
+    sessions: int = MAXIMUM_SESSIONS,
 ) -> DataFrame:
     """PIP-15 rows. Price, distribution and total return of the newest sessions.
 
@@ -69,8 +69,7 @@ def benchmark_returns(
     rows = prices if target is None else prices.filter(F.col("session_date") <= target)
     # one row more than kept, so that the first kept row has a predecessor
     newest = recent_n(rows, [key], [F.col("session_date").desc()], sessions + 1)
-    # the limit bounds the rows per member, so a plain window is safe on any table
-    prior = previous_value(newest, [key], "session_date", {"_close": "close", "_adjusted": "adjusted_close"}, hot_rows, one_task=hot_rows is None)
+    prior = previous_value(newest, [key], "session_date", {"_close": "close", "_adjusted": "adjusted_close"}, bounded=True)
     day = lambda df: df.withColumnRenamed("event_date", "session_date")
     cash = daily_cash(day(dividends), [key, "session_date"], "cash_amount")
     factor = day(splits).groupBy(key, "session_date").agg(F.max("split_factor").alias("split_factor"))
@@ -146,15 +145,15 @@ def build_distributions(
 
 def build_benchmark_lane(
     rows: DataFrame, dividends: DataFrame, splits: DataFrame, identity: DataFrame, *, benchmark_id: str, locator: str,
-    revision: str, retrieved_at: Column, certified_at: Column, hot_rows: int | None = None,
+    revision: str, retrieved_at: Column, certified_at: Column,
 ) -> DataFrame:
     """PIP-15 table under its contract, from certified rows and (ticker, security_id)."""
     from tidemark.contracts import BENCHMARK_RETURNS
 
-    small = hot_rows is None  # certified rows are limited per member
-    indexed = compound_index(rows, ["ticker"], "session_date", "total_return", hot_rows=hot_rows, one_task=small)
-    with_cash = lineage_hash(indexed, dividends, ["ticker"], "session_date", "event_date", ["event_id", "event_date", "cash_amount"], "distribution_lineage_sha256", hot_rows, small)
-    full = lineage_hash(with_cash, splits, ["ticker"], "session_date", "event_date", ["event_id", "event_date", "split_factor"], "corporate_action_lineage_sha256", hot_rows, small)
+    # certified rows are limited per member
+    indexed = compound_index(rows, ["ticker"], "session_date", "total_return", bounded=True)
+    with_cash = lineage_hash(indexed, dividends, ["ticker"], "session_date", "event_date", ["event_id", "event_date", "cash_amount"], "distribution_lineage_sha256", bounded=True)
+    full = lineage_hash(with_cash, splits, ["ticker"], "session_date", "event_date", ["event_id", "event_date", "split_factor"], "corporate_action_lineage_sha256", bounded=True)
     role = F.element_at(F.create_map(*[F.lit(x) for kv in BENCHMARK_ROLES.items() for x in kv]), F.col("ticker"))
     return full.join(identity.select("ticker", "security_id"), "ticker").withColumns({
         "benchmark_id": F.lit(benchmark_id), "benchmark_role": role, "currency": F.lit("USD"),

@@ -9,7 +9,8 @@ from tidemark.functions import (
     accession_ok, available_date, filing_attribution, filing_url, hash_id, market_time_class, pit_columns,
     ticker_variants,
 )
-from tidemark.operators.skew import OrderedKeys, stage_large
+from tidemark.operators.skew import OrderedKeys
+from tidemark.session import stage
 
 PARSER_VERSION = "sec-events-1.0.0"
 
@@ -38,10 +39,10 @@ def active_overrides(overrides: DataFrame, cutoff: Column) -> DataFrame:
     ).select("security_id", F.col("cik").alias("override_cik"))
 
 
-def override_overlaps(overrides: DataFrame, key: str = "security_id", hot_rows: int | None = None) -> DataFrame:
+def override_overlaps(overrides: DataFrame, key: str = "security_id", chunk_rows: int | None = None) -> DataFrame:
     """WIN-18. Periods starting on or before the end of the previous one of the key."""
     ends = overrides.withColumn("_end", F.coalesce("effective_to", F.lit("9999-12-31").cast("date")))
-    ordered = OrderedKeys(ends, [key], ["effective_from", "_end"], hot_rows).running(
+    ordered = OrderedKeys(ends, [key], ["effective_from", "_end"], chunk_rows).running(
         maxima_before={"_prev": F.struct("effective_from", "_end")}
     )
     return ordered.with_columns({"previous_to": F.col("_prev._end")}).result().filter(
@@ -130,7 +131,7 @@ def build_filings(rows: DataFrame, primary: DataFrame, *, cutoff: Column, retrie
         *pit_columns(event, F.col("filing_date"), F.col("acceptance_datetime_utc"),
                      available_date("filing_date", "acceptance_datetime_utc"), retrieved_at),
     ).distinct()
-    filings = stage_large(filings, "filings")
+    filings = stage(filings, "filings")
     conflicts = conflicting_filings(filings)
     rejected = bad.unionByName(
         filings.join(conflicts, ["cik", "accession_number"], "left_semi").withColumn(

@@ -11,7 +11,6 @@ from tidemark.contracts import PRICES, SPLITS
 from tidemark.functions import is_invalid_ohlcv, ohlcv_invalid_reason
 from tidemark.operators import segments, stats
 from tidemark.operators.keys import latest_per_key, recent_n
-from tidemark.operators.skew import fits_one_task, gather_small
 from tidemark.session import stage
 
 REFRESH_LANE = "CHART_REFRESH"
@@ -20,7 +19,7 @@ BAR = ["open", "high", "low", "close", "volume"]
 
 def best_alias(prices: DataFrame, aliases: DataFrame, date: str = "session_date", lane: str = REFRESH_LANE) -> DataFrame:
     """JOI-02. One row per (security, date): priority, symbol, refresh lane, newest, revision."""
-    joined = gather_small(prices.join(aliases, "source_symbol"), "security_id")
+    joined = prices.join(aliases, "source_symbol")
     order = [F.col("priority"), F.col("source_symbol")]
     if date == "session_date":
         order += [
@@ -34,28 +33,22 @@ def best_alias(prices: DataFrame, aliases: DataFrame, date: str = "session_date"
 
 def history_candidates(
     prices: DataFrame, splits: DataFrame, aliases: DataFrame, *, expected: Column, n: int = 320,
-    gap_days: int = 14, ratio: float = 4.0, lane: str = REFRESH_LANE, hot_rows: int | None = None,
-    one_task: bool | None = None,
+    gap_days: int = 14, ratio: float = 4.0, lane: str = REFRESH_LANE, chunk_rows: int | None = None,
 ) -> DataFrame:
     """WIN-02..05 on the alias-matched rows; invalid rows take part in segmentation.
 
     A split explains a jump only for rows of its own source symbol, so splits carry the
     alias priority as slot.
     """
-    if one_task is None:
-        one_task = hot_rows is None and fits_one_task(prices)
-    best = best_alias(prices.filter(F.col("session_date") <= expected), aliases, lane=lane)
-    if not one_task:
-        best = stage(best, "best_alias")  # the ordered pass reads its input several times
+    # the ordered pass reads its input several times
+    best = stage(best_alias(prices.filter(F.col("session_date") <= expected), aliases, lane=lane), "best_alias")
     actions = splits.join(aliases, "source_symbol").select("security_id", "event_date", "priority")
     segmented = segments.segment_history(
         best, ["security_id"], "session_date", "close",
         gap=F.datediff("session_date", "previous_session") > gap_days, ratio=ratio,
-        actions=actions, slot="priority", slots=3, hot_rows=hot_rows, one_task=one_task,
+        actions=actions, slot="priority", slots=3, chunk_rows=chunk_rows,
     )
-    if not one_task:
-        segmented = stage(segmented, "segmented")
-    return segments.latest_segment(segmented, ["security_id"], "session_date", ~is_invalid_ohlcv(), n, one_task)
+    return segments.latest_segment(stage(segmented, "segmented"), ["security_id"], "session_date", ~is_invalid_ohlcv(), n)
 
 
 def active_securities(candidates: DataFrame, oldest_active: Column) -> tuple[DataFrame, DataFrame]:
@@ -134,19 +127,17 @@ class MarketHistory:
 def build_market_history(
     prices: DataFrame, splits: DataFrame, aliases: DataFrame, *, expected: Column, oldest_active: Column,
     n: int = 320, gap_days: int = 14, ratio: float = 4.0, min_session_rows: int = 100,
-    lane: str = REFRESH_LANE, hot_rows: int | None = None,
+    lane: str = REFRESH_LANE, chunk_rows: int | None = None,
 ) -> MarketHistory:
     """PIP-02 from scanned, conflict-free rows.
 
     Identical rows need no collapsing first: the alias choice keeps one row per security
     and session.
     """
-    one_task = hot_rows is None and fits_one_task(prices)
     candidates = history_candidates(
-        prices, splits, aliases, expected=expected, n=n, gap_days=gap_days, ratio=ratio, lane=lane, hot_rows=hot_rows, one_task=one_task
+        prices, splits, aliases, expected=expected, n=n, gap_days=gap_days, ratio=ratio, lane=lane, chunk_rows=chunk_rows
     )
-    if not one_task:
-        candidates = stage(candidates, "candidates")  # read by every table of the build
+    candidates = stage(candidates, "candidates")  # at most n rows a security; read by every table of the build
     return MarketHistory(candidates, splits, aliases, oldest_active, min_session_rows)
 
 

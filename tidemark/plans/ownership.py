@@ -13,7 +13,7 @@ from tidemark.functions import (
 )
 from tidemark.operators.keys import latest_per_key
 from tidemark.operators.quality import quarantine
-from tidemark.operators.skew import stage_large
+from tidemark.session import stage
 from tidemark.operators.stats import top_share
 from tidemark.plans.filings import resolve_tickers
 
@@ -132,7 +132,7 @@ def build_insider_transactions(
         *pit_columns(F.col("transaction_date"), F.col("filing_date"), F.col("_acceptance"),
                      available_date("filing_date", "_acceptance"), retrieved_at),
     ).distinct()
-    out = stage_large(out, "insiders")
+    out = stage(out, "insiders")
     key = ["accession_number", "reporting_owner_cik", "transaction_id"]
     conflicts = out.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
     broken = (
@@ -342,7 +342,7 @@ def period_over_period(rows: DataFrame, key: str, period: str, member: str, valu
 
 def build_ownership_signals(holdings: DataFrame, *, retrieved_at: Column) -> DataFrame:
     """PIP-13. One holding per (security, period, manager): the newest filing of it."""
-    one = stage_large(latest_per_key(
+    one = stage(latest_per_key(
         holdings, ["security_id", "report_period", "manager_cik"], [F.col("filing_date").desc(), F.col("accession_number").desc()]
     ), "holdings")
     key = ["security_id", "report_period"]

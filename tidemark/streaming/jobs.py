@@ -112,7 +112,7 @@ def session_stream(events: DataFrame, keys: Sequence[str], time: str, value: str
 
 
 def segment_batches(
-    out_path: str, state_path: str, keys: Sequence[str], time: str, price: str, *, gap: Column, ratio: float, hot_rows: int | None = None,
+    out_path: str, state_path: str, keys: Sequence[str], time: str, price: str, *, gap: Column, ratio: float, chunk_rows: int | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """STR-03 with gap and ratio: ``foreachBatch`` writer that carries each key's last row.
 
@@ -134,7 +134,7 @@ def segment_batches(
                 carried.drop("segment_id").withColumn("_new", F.lit(False)), allowMissingColumns=True
             )
         # the written batch has a known size and is read by several passes
-        cut = segment_history(stage(rows, "batch"), keys, time, price, gap=gap, ratio=ratio, hot_rows=hot_rows)
+        cut = segment_history(stage(rows, "batch"), keys, time, price, gap=gap, ratio=ratio, chunk_rows=chunk_rows)
         if carried is not None:
             base = carried.select(*keys, F.col("segment_id").alias("_base"))
             cut = cut.join(base, list(keys), "left").withColumn("segment_id", F.col("segment_id") + F.coalesce("_base", F.lit(0))).drop("_base")
