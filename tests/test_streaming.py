@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tests.test_gates import quote_frame, quote_row
 from tidemark.catalog.streams import event_batches
 from tidemark.operators.segments import segment_history
-from tidemark.streaming import gate_quotes_stream, run_available, segment_batches, upsert_batches
+from tidemark.streaming import gate_quotes_stream, run_available, segment_stream, upsert_batches
 
 
 def stream(spark, path, schema):
@@ -22,14 +22,20 @@ def write_batches(df, path, column, batches):
 
 
 def test_upsert_batches(spark, tmp_path, rows):
-    data = [(1, "a", "d1", 1.0, 1), (1, "b", "d1", 2.0, 2), (2, "a", "d1", 9.0, 3), (2, "a", "d2", 3.0, 4), (3, "b", "d1", 0.5, 1), (3, "c", "d3", 7.0, 5), (3, "c", "d3", 8.0, 6)]
-    df = spark.createDataFrame(data, "batch int, key string, day string, value double, version int")
+    t0 = datetime(2026, 7, 1)
+    data = [(1, "a", "d1", 1.0, 1, 0), (1, "b", "d1", 2.0, 2, 5), (2, "a", "d1", 9.0, 3, 4), (2, "a", "d2", 3.0, 4, 9), (2, "b", "d1", 7.0, 3, 1), (3, "b", "d1", 0.5, 9, 6), (3, "c", "d3", 7.0, 5, 8), (3, "c", "d3", 8.0, 6, 7)]
+    df = spark.createDataFrame([(*r[:5], t0 + timedelta(hours=r[5])) for r in data], "batch int, key string, day string, value double, version int, at timestamp")
     src, out, late = (str(tmp_path / n) for n in ("in", "table", "late"))
     write_batches(df, src, "batch", [1, 2, 3])
-    writer = upsert_batches(out, ["key", "day"], "day", [F.col("version").desc()], late_path=late, late_before=lambda b: (F.col("key") == "b") & (F.col("version") < 2))
-    run_available(stream(spark, src, df.drop("batch").schema).writeStream.foreachBatch(writer), str(tmp_path / "log"))
+    once = stream(spark, src, df.drop("batch").schema)
+    writer = upsert_batches(out, ["key", "day"], "day", [F.col("version").desc()], late_path=late, time="at", delay="2 hours")
+    run_available(once.unionByName(once).writeStream.foreachBatch(writer), str(tmp_path / "log"))
+    # hours 1 and 6 come after hours 5 and 9 were seen, more than two hours late; delivered twice, kept twice
     assert rows(spark.read.parquet(out).select("key", "day", "value")) == [("a", "d1", 9.0), ("a", "d2", 3.0), ("b", "d1", 2.0), ("c", "d3", 8.0)]
-    assert rows(spark.read.parquet(late).select("key", "value")) == [("b", 0.5)]
+    assert rows(spark.read.parquet(late).select("key", "value")) == [("b", 0.5), ("b", 0.5), ("b", 7.0), ("b", 7.0)]
+    before = rows(spark.read.parquet(out))
+    writer(df.filter("batch = 3").drop("batch"), 2)  # a replayed batch decides alike
+    assert rows(spark.read.parquet(out)) == before and spark.read.parquet(late).filter("batch_id = 2").count() == 1
 
 
 def test_upsert_batches_keep_the_newest_row_of_all_batches(spark, tmp_path, rows):
@@ -45,27 +51,28 @@ def test_upsert_batches_keep_the_newest_row_of_all_batches(spark, tmp_path, rows
 def test_the_upsert_query_runs_several_batches(spark, tables, tmp_path):
     seen = []
     run_available(event_batches(tables).writeStream.foreachBatch(lambda batch, k: seen.append(batch.count())), str(tmp_path / "log"))
-    assert len(seen) == 4 and all(seen) and sum(seen) == tables.events.count()
+    assert len(seen) == 4 and all(seen) and sum(seen) == tables.events.count()  # noqa: PT018
 
 
-def test_segment_batches_equal_the_batch_operator(spark, tmp_path, rows):
+def test_segment_stream_equals_the_batch_operator(spark, tmp_path, rows):
     t0 = datetime(2026, 7, 1)
     data, at = [], t0
     for i in range(120):
         at += timedelta(hours=30 if i % 17 == 0 else 2)
         data.append((i // 30, i % 3, at, 100.0 * (9 if i % 23 == 0 else 1) + i, i))
     df = spark.createDataFrame(data, "batch int, k int, ts timestamp, v double, n int")
-    src, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
     write_batches(df, src, "batch", [0, 1, 2, 3])
-    late = spark.createDataFrame([(0, t0, 1.0, 999)], "k int, ts timestamp, v double, n int")
+    late = spark.createDataFrame([(0, t0, 1.0, 999), (7, t0, 1.0, 1000), (7, t0, 2.0, 1001)], "k int, ts timestamp, v double, n int")
     late.coalesce(1).write.mode("append").parquet(src)
-    options = dict(gap=F.unix_micros("ts") - F.unix_micros("previous_session") > 86_400_000_000, ratio=5.0)
-    writer = segment_batches(out, state, ["k"], "ts", "v", **options)
-    run_available(stream(spark, src, df.drop("batch").schema).writeStream.foreachBatch(writer), str(tmp_path / "log"))
-    want = segment_history(df.drop("batch"), ["k"], "ts", "v", **options)
+    cut = segment_stream(stream(spark, src, df.drop("batch").schema), ["k"], "ts", "v", gap_seconds=86_400, ratio=5.0, expire_ms=3_600_000)
+    run_available(cut.writeStream.format("parquet").option("path", out).outputMode("append"), str(tmp_path / "log"))
+    want = segment_history(df.drop("batch"), ["k"], "ts", "v", gap=F.unix_micros("ts") - F.unix_micros("previous_session") > 86_400_000_000, ratio=5.0)
     assert want.filter("segment_id > 3").count() > 0
-    assert rows(spark.read.parquet(out).select("k", "n", "segment_break_reason", "segment_id")) == rows(want.select("k", "n", "segment_break_reason", "segment_id"))
-    assert rows(spark.read.parquet(out + "_late").select("n")) == [(999,)]
+    got = spark.read.parquet(out)
+    assert rows(got.filter("not late and k < 3").select("k", "n", "segment_break_reason", "segment_id")) == rows(want.select("k", "n", "segment_break_reason", "segment_id"))
+    assert rows(got.filter("late").select("n", "segment_id", "segment_break_reason")) == [(1001, None, None), (999, None, None)]
+    assert rows(got.filter("k = 7 and not late").select("n", "segment_id")) == [(1000, 0)]
 
 
 def test_quote_stream(spark, tmp_path):

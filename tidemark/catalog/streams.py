@@ -1,91 +1,115 @@
-"""Streaming operators over the event table as a file stream.
+"""Streaming operators over the event table as a file stream of several micro-batches.
 
-A private folder is made for each run under the shared checkpoint folder; the source is
-the driver's own event file, read as a stream, or that file dealt over several ones.
+Each run lands the events in a private folder under the shared checkpoint folder, in four
+batches by time; every ``every``-th event of the first batch comes with the last one, late.
+Streams run in sessions of their own, so settings of the caller's session stay as they are.
 """
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.catalog.base import Tables, listed, naive, query
 from tidemark.catalog.gates import quotes
 from tidemark.functions import QuotePolicy
 from tidemark.session import scratch_table
-from tidemark.streaming import gate_quotes_stream, run_available, segment_batches, session_stream, upsert_batches
+from tidemark.streaming import gate_quotes_stream, run_available, segment_stream, session_stream, state_session, upsert_batches
+
+BATCHES, LATE = 4, 50
 
+# batch that an event arrives with, and whether it belongs to an earlier one
+ARRIVAL = f"""arrival AS (SELECT e.*, part, CASE WHEN part = 0 AND event_id % {LATE} = 0 THEN {BATCHES - 1} ELSE part END AS batch FROM (
+  SELECT *, (epoch_us(ts) - (SELECT min(epoch_us(ts)) FROM events)) * {BATCHES} // ((SELECT max(epoch_us(ts)) - min(epoch_us(ts)) FROM events) + 1) AS part FROM events) e)"""
 
-@contextmanager
-def one_partition_per_core(t: Tables):
-    """State stores are written per shuffle partition; start these streams with one per core."""
-    conf, name = t.spark.conf, "spark.sql.shuffle.partitions"
-    before = conf.get(name)
-    conf.set(name, str(min(int(before), t.spark.sparkContext.defaultParallelism)))
-    try:
-        yield
-    finally:
-        conf.set(name, before)
 
+def arrivals(t: Tables) -> DataFrame:
+    """The events with ``part`` (quarter of the time span) and ``batch`` (arrival)."""
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    lo, hi = t.events.agg(F.min(micros), F.max(micros)).first()
+    part = F.call_function("div", (micros - F.lit(lo or 0)) * BATCHES, F.lit((hi or 0) - (lo or 0) + 1))
+    return t.events.withColumn("part", part).withColumn("batch", F.when((F.col("part") == 0) & (F.col("event_id") % LATE == 0), BATCHES - 1).otherwise(F.col("part")))
 
-def event_stream(t: Tables) -> DataFrame:
-    schema = t.spark.read.parquet(f"{t.directory}/events.parquet").schema
-    return t.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(t.directory)
 
+def land(t: Tables, name: str) -> str:
+    """Folder with the events, one set of files a batch, in order of arrival."""
+    path, rows = scratch_table(t.spark, name), arrivals(t)
+    for k in range(BATCHES):
+        rows.filter(F.col("batch") == k).drop("part", "batch").coalesce(1).write.mode("append").parquet(path)
+    return path
 
-def event_batches(t: Tables, batches: int = 4) -> DataFrame:
-    """The events as a stream of so many micro-batches, in no order of time or id."""
-    path, files = scratch_table(t.spark, "events-in"), max(batches, t.spark.sparkContext.defaultParallelism)
-    rows = t.spark.read.parquet(f"{t.directory}/events.parquet")
-    rows.repartition(files).write.parquet(path)
+
+def event_batches(t: Tables, spark: SparkSession | None = None) -> DataFrame:
+    """The events as a stream of ``BATCHES`` micro-batches."""
+    path = land(t, "events-in")
     schema = t.spark.read.parquet(path).schema
-    return t.spark.readStream.schema(schema).option("maxFilesPerTrigger", -(-files // batches)).parquet(path)
+    return (spark or t.spark).readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def cores(t: Tables) -> int:
+    """State stores are written per shuffle partition: one per core serves these streams."""
+    return min(int(t.spark.conf.get("spark.sql.shuffle.partitions")), t.spark.sparkContext.defaultParallelism)
+
+
+_KEPT = f"""{ARRIVAL}, marks AS (SELECT *, (SELECT max(ts) FROM arrival b WHERE b.batch < a.batch) AS mark FROM arrival a),
+judged AS (SELECT *, coalesce(ts < mark - INTERVAL 1 DAY, false) AS late FROM marks)"""
 
 
-@query("streaming_upsert", """SELECT user_id, CAST(ts AS DATE) AS session_date, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event_id DESC) = 1""")
+def _upserted(t: Tables) -> tuple[str, str]:
+    out, late, log = (scratch_table(t.spark, n) for n in ("upsert-table", "upsert-late", "upsert-log"))
+    with state_session(t.spark, cores(t)) as own:
+        delta = event_batches(t, own).select("user_id", F.to_date("ts").alias("session_date"), "event_id", "value", "ts")
+        # every row is delivered twice
+        twice = delta.unionByName(delta)
+        writer = upsert_batches(out, ["user_id", "session_date"], "session_date", [F.col("event_id").desc()], late_path=late, time="ts", delay="1 day")
+        run_available(twice.writeStream.foreachBatch(writer), log)
+    return out, late
+
+
+@query("streaming_upsert", f"""WITH {_KEPT} SELECT user_id, CAST(ts AS DATE) AS session_date, event_id, value FROM judged WHERE NOT late
+QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event_id DESC) = 1""")
 def streaming_upsert(t: Tables) -> DataFrame:
-    """STR-02: the last event of each (user, day) kept in a table partitioned by day."""
-    out, log = scratch_table(t.spark, "upsert-table"), scratch_table(t.spark, "upsert-log")
-    delta = event_batches(t).select("user_id", F.to_date("ts").alias("session_date"), "event_id", "value")
-    writer = upsert_batches(out, ["user_id", "session_date"], "session_date", [F.col("event_id").desc()])
-    with one_partition_per_core(t):
-        run_available(delta.writeStream.foreachBatch(writer), log)
-    return t.spark.read.parquet(out).select("user_id", "session_date", "event_id", "value")
+    """STR-02: the last event of each (user, day) kept in a table partitioned by day; late rows are kept apart."""
+    return t.spark.read.parquet(_upserted(t)[0]).select("user_id", "session_date", "event_id", "value")
+
+
+@query("streaming_late_rows", f"WITH {_KEPT} SELECT event_id, user_id, value, CAST(count(*) * 2 AS BIGINT) AS deliveries FROM judged WHERE late GROUP BY ALL")
+def streaming_late_rows(t: Tables) -> DataFrame:
+    """STR-02: the late-rows sink of :func:`streaming_upsert`."""
+    return t.spark.read.parquet(_upserted(t)[1]).groupBy("event_id", "user_id", "value").agg(F.count(F.lit(1)).alias("deliveries"))
 
 
-@query("streaming_segments", """WITH p AS (SELECT *, lag(ts) OVER w AS pt, lag(value) OVER w AS pv FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+@query("streaming_segments", f"""WITH {ARRIVAL}, r AS (SELECT *, max(ts) OVER (PARTITION BY user_id ORDER BY batch, ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM arrival),
+late AS (SELECT event_id FROM r WHERE ts <= seen), kept AS (SELECT * FROM arrival WHERE event_id NOT IN (FROM late)),
+p AS (SELECT *, lag(ts) OVER w AS pt, lag(value) OVER w AS pv FROM kept WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
 b AS (SELECT *, CASE WHEN pt IS NOT NULL AND epoch_us(ts) - epoch_us(pt) > 86400000000 THEN 'SESSION_GAP' WHEN greatest(value / pv, pv / value) >= 50 THEN 'INVALID_PRICE_DISCONTINUITY' END AS segment_break_reason FROM p)
-SELECT event_id, user_id, segment_break_reason, CAST(sum(CASE WHEN segment_break_reason IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS BIGINT) AS segment_id FROM b""")
+SELECT event_id, user_id, segment_break_reason, CAST(sum(CASE WHEN segment_break_reason IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS BIGINT) AS segment_id, false AS late FROM b
+UNION ALL SELECT event_id, user_id, NULL, NULL, true FROM arrival WHERE event_id IN (FROM late)""")
 def streaming_segments(t: Tables) -> DataFrame:
-    """STR-03 with gap and ratio: equal to the batch operator on the whole table."""
-    out, state, log = (scratch_table(t.spark, n) for n in ("segments-out", "segments-state", "segments-log"))
-    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
-    rows = event_stream(t).select("event_id", "user_id", "ts", "value")
-    writer = segment_batches(
-        out, state, ["user_id"], "ts", "value", gap=micros("ts") - micros("previous_session") > 86_400_000_000, ratio=50.0
-    )
-    with one_partition_per_core(t):
-        run_available(rows.writeStream.foreachBatch(writer), log)
-    return t.spark.read.parquet(out).select("event_id", "user_id", "segment_break_reason", "segment_id")
-
-
-@query("streaming_sessions", """WITH p AS (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS pt FROM events),
+    """STR-03 with gap and ratio, late rows marked."""
+    out, log = scratch_table(t.spark, "segments-out"), scratch_table(t.spark, "segments-log")
+    with state_session(t.spark, cores(t)) as own:
+        rows = event_batches(t, own).select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), "value")
+        cut = segment_stream(rows, ["user_id"], "ts", "value", gap_seconds=86_400, ratio=50.0)
+        run_available(cut.writeStream.format("parquet").option("path", out).outputMode("append"), log)
+    return t.spark.read.parquet(out).select("event_id", "user_id", "segment_break_reason", "segment_id", "late")
+
+
+@query("streaming_sessions", f"""WITH {ARRIVAL}, kept AS (SELECT * FROM arrival WHERE part = batch), p AS (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS pt FROM kept),
 s AS (SELECT *, sum(CASE WHEN pt IS NULL OR epoch_us(ts) - epoch_us(pt) >= 21600000000 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM p)
 SELECT user_id, count(*) AS rows, min(ts) AS first_at, max(ts) AS last_at, round(sum(value), 4) AS total FROM s GROUP BY user_id, sid
 HAVING max(ts) + INTERVAL 6 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
 def streaming_sessions(t: Tables) -> DataFrame:
-    """STR-03 with the gap rule: sessions the watermark has closed."""
+    """STR-03 with the gap rule: sessions the watermark has closed; rows behind it are left out."""
     out, log = scratch_table(t.spark, "sessions-out"), scratch_table(t.spark, "sessions-log")
-    rows = event_stream(t).select("user_id", F.col("ts").cast("timestamp").alias("ts"), "value")
-    closed = session_stream(rows, ["user_id"], "ts", "value", gap="6 hours", delay="1 hour")
-    with one_partition_per_core(t):
+    with state_session(t.spark, cores(t)) as own:
+        rows = event_batches(t, own).select("user_id", F.col("ts").cast("timestamp").alias("ts"), "value")
+        closed = session_stream(rows, ["user_id"], "ts", "value", gap="6 hours", delay="1 hour")
         run_available(closed.writeStream.format("parquet").option("path", out).outputMode("append"), log)
     return t.spark.read.parquet(out).select("user_id", "rows", naive("first_at"), naive("last_at"), F.round("total", 4).alias("total"))
 
 
-_GATED = """q AS (SELECT event_id, user_id, event_type, value, CAST(json_extract(props, '$.k') AS DOUBLE) AS k, ts FROM events),
+_GATED = ARRIVAL + """, q AS (SELECT event_id, user_id, event_type, value, CAST(json_extract(props, '$.k') AS DOUBLE) AS k, ts FROM arrival WHERE part = batch),
 st AS (SELECT q.event_id, arg_max(s.k, s.at) AS sk FROM q JOIN (SELECT user_id, k, ts - CASE WHEN k = 54 THEN INTERVAL 7 SECOND ELSE INTERVAL 0 SECOND END AS at FROM q) s ON s.user_id = q.user_id AND s.at BETWEEN q.ts - INTERVAL 5 SECOND AND q.ts + INTERVAL 2 SECOND GROUP BY 1),
 br AS (SELECT q.event_id, arg_max(b.k, b.at) AS bk, max(b.at) AS bat FROM q JOIN (SELECT user_id, k, ts - CASE WHEN k = 58 THEN INTERVAL 400 SECOND ELSE INTERVAL 0 SECOND END AS at FROM q) b ON b.user_id = q.user_id AND b.at BETWEEN q.ts - INTERVAL 300 SECOND AND q.ts + INTERVAL 2 SECOND GROUP BY 1),
 f AS (SELECT q.*, list_sort(list_filter([
@@ -100,20 +124,20 @@ f AS (SELECT q.*, list_sort(list_filter([
 
 @query("streaming_quotes", f"WITH {_GATED} SELECT user_id AS security_id, ts AS cutoff_utc, array_to_string(reasons, '|') AS block_reasons, CASE WHEN len(reasons) = 0 THEN 'READY' ELSE 'BLOCKED' END AS status FROM f WHERE ts <= (SELECT max(ts) FROM events) - INTERVAL 15 MINUTE")
 def streaming_quotes(t: Tables) -> DataFrame:
-    """STR-01: quotes, status and broker records as three streams joined on time.
+    """STR-01: quotes, status and broker records as three streams; records behind the watermark are left out.
 
     Quotes within fifteen minutes of the newest event are still open behind the watermark.
     """
-    class Streamed(Tables):
-        events = property(event_stream)
-
     out, log = scratch_table(t.spark, "quotes-out"), scratch_table(t.spark, "quotes-log")
-    rows = quotes(Streamed(t.spark, t.directory))
-    gated = gate_quotes_stream(
-        rows.select("security_id", "cutoff_utc", "generated_at_utc", "requested_at_utc", "received_at_utc", "quote"),
-        rows.select("security_id", "market_status"), rows.select("security_id", "broker_eligibility"), QuotePolicy(spread_bps=500.0),
-    )
-    with one_partition_per_core(t):
+    with state_session(t.spark, cores(t)) as own:
+        class Streamed(Tables):
+            events = event_batches(t, own)
+
+        rows = quotes(Streamed(own, t.directory))
+        gated = gate_quotes_stream(
+            rows.select("security_id", "cutoff_utc", "generated_at_utc", "requested_at_utc", "received_at_utc", "quote"),
+            rows.select("security_id", "market_status"), rows.select("security_id", "broker_eligibility"), QuotePolicy(spread_bps=500.0),
+        )
         run_available(gated.writeStream.format("parquet").option("path", out).outputMode("append"), log)
     newest = t.events.agg(F.max(F.col("ts").cast("timestamp")).alias("newest")).first()["newest"]
     closed = t.spark.read.parquet(out).filter(F.col("cutoff_utc") <= F.lit(newest) - F.expr("interval 15 minutes"))
