@@ -65,7 +65,7 @@ def test_segment_stream_equals_the_batch_operator(spark, tmp_path, rows):
     write_batches(df, src, "batch", [0, 1, 2, 3])
     late = spark.createDataFrame([(0, t0, 1.0, 999), (7, t0, 1.0, 1000), (7, t0, 2.0, 1001)], "k int, ts timestamp, v double, n int")
     late.coalesce(1).write.mode("append").parquet(src)
-    cut = segment_stream(stream(spark, src, df.drop("batch").schema), ["k"], "ts", "v", gap_seconds=86_400, ratio=5.0, expire_ms=3_600_000)
+    cut = segment_stream(stream(spark, src, df.drop("batch").schema), ["k"], "ts", "v", gap_seconds=86_400, ratio=5.0)
     run_available(cut.writeStream.format("parquet").option("path", out).outputMode("append"), str(tmp_path / "log"))
     want = segment_history(df.drop("batch"), ["k"], "ts", "v", gap=F.unix_micros("ts") - F.unix_micros("previous_session") > 86_400_000_000, ratio=5.0)
     assert want.filter("segment_id > 3").count() > 0
@@ -75,6 +75,18 @@ def test_segment_stream_equals_the_batch_operator(spark, tmp_path, rows):
     assert rows(got.filter("k = 7 and not late").select("n", "segment_id")) == [(1000, 0)]
 
 
+def test_segment_state_expires(spark, tmp_path, rows):
+    t0 = datetime(2026, 7, 1)
+    df = spark.createDataFrame([(b, k, t0 + timedelta(hours=h), v) for b, k, h, v in ((0, 1, 0, 1.0), (0, 2, 0, 1.0), (1, 2, 30, 1.0), (2, 2, 60, 1.0), (3, 1, 61, 1.0), (3, 2, 62, 9.0))], "batch int, k int, ts timestamp, v double")
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    write_batches(df, src, "batch", [0, 1, 2, 3])
+    cut = segment_stream(stream(spark, src, df.drop("batch").schema), ["k"], "ts", "v", gap_seconds=40 * 3600, ratio=5.0, expire_seconds=40 * 3600, delay="1 hour")
+    run_available(cut.writeStream.format("parquet").option("path", out).outputMode("append"), str(tmp_path / "log"))
+    got = rows(spark.read.parquet(out).select("k", F.hour("ts").alias("h"), "segment_break_reason", "segment_id"))
+    # key 1 was silent for 61 hours: its state is gone, so it starts anew instead of breaking at a gap
+    assert got == [(1, 0, None, 0), (1, 13, None, 0), (2, 0, None, 0), (2, 12, None, 0), (2, 14, "INVALID_PRICE_DISCONTINUITY", 1), (2, 6, None, 0)]
+
+
 def test_quote_stream(spark, tmp_path):
     t0 = datetime(2026, 7, 6, 14)
     at = lambda s: t0 + timedelta(seconds=s)
