@@ -132,8 +132,8 @@ def quarantine(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, D
     return good, marked.filter(F.size("reject_reasons") > 0)
 
 
-def contract_violations(df: DataFrame, contract: TableContract) -> DataFrame:
-    """DQ-01..03, DQ-06 for one table: (rule, violations)."""
+def contract_rules(contract: TableContract) -> dict[str, Column]:
+    """DQ-02, DQ-03, DQ-06: the row rules of one table, true where a row breaks one."""
     key_null = F.lit(False)
     for k in contract.key:
         key_null = key_null | F.col(k).isNull()
@@ -142,6 +142,12 @@ def contract_violations(df: DataFrame, contract: TableContract) -> DataFrame:
         rules["NULL_KEY"] = key_null
     if contract.point_in_time:
         rules["MISSING_PROVENANCE"] = F.col("source_retrieved_at_utc").isNull()
+    return rules
+
+
+def contract_violations(df: DataFrame, contract: TableContract) -> DataFrame:
+    """DQ-01..03, DQ-06 for one table: (rule, violations)."""
+    rules = contract_rules(contract)
     rows = rule_counts(df, rules) if rules else None
     duplicates = duplicate_keys(df, contract.key).agg(
         F.coalesce(F.sum(F.col("key_rows") - 1), F.lit(0)).cast("bigint").alias("violations")

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import EXCHANGE_ZONE, finite_number, first_not_blank, parse_source_date
 from tidemark.operators.quality import quarantine
+from tidemark.sources.rejects import Rejects, read_delimited, read_documents
 
 __all__ = [
     "NASDAQ_FEED_COLUMNS", "OTHER_FEED_COLUMNS", "read_directory_feed", "read_universe", "read_registry",
@@ -36,15 +37,12 @@ def _trimmed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*[F.coalesce(F.trim(F.col(f"`{c}`")), F.lit("")).alias(c) for c in columns])
 
 
-def read_directory_feed(spark: SparkSession, path: str, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def read_directory_feed(spark: SparkSession, path: str, columns: Sequence[str], rejects: Rejects | None = None) -> tuple[DataFrame, DataFrame]:
     """SRC-03. (listing rows, one-row creation time in UTC) of a pipe-separated feed.
 
     The trailer line carries the creation time in exchange-local time.
     """
-    lines = (
-        spark.read.schema(_text_schema(columns))
-        .option("sep", "|").option("header", True).option("enforceSchema", False).csv(path)
-    )
+    lines = read_delimited(spark, path, columns, "|", "directory_feed", rejects)
     first = F.trim(F.col(f"`{columns[0]}`"))
     is_trailer = F.coalesce(first.startswith(_TRAILER), F.lit(False))
     rows = _trimmed(lines.filter(~is_trailer), columns)
@@ -55,11 +53,9 @@ def read_directory_feed(spark: SparkSession, path: str, columns: Sequence[str])
     return rows, created.agg(F.max("created_at_utc").alias("created_at_utc"))
 
 
-def read_universe(spark: SparkSession, path: str, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def read_universe(spark: SparkSession, path: str, columns: Sequence[str], rejects: Rejects | None = None) -> tuple[DataFrame, DataFrame]:
     """SRC-04. (admitted rows, rejected rows with reasons) of a universe CSV."""
-    raw = _trimmed(
-        spark.read.schema(_text_schema(columns)).option("header", True).option("enforceSchema", False).csv(path), columns
-    )
+    raw = _trimmed(read_delimited(spark, path, columns, ",", "universe", rejects), columns)
     admitted = raw.filter(F.upper("universe_admission_status").isin("ADMITTED", "ADMITTED_ETF"))
     required = [c for c in ("security_id", "ticker", "exchange_mic") if c in columns]
     rules = {f"BLANK_{c.upper()}": F.col(c) == "" for c in required}
@@ -71,16 +67,14 @@ def read_universe(spark: SparkSession, path: str, columns: Sequence[str]) -> tup
 
 def read_registry(
     spark: SparkSession, path: str, fields: Sequence[str], key: Sequence[str], *,
-    required: Sequence[str] = (), upper: Sequence[str] = (),
+    required: Sequence[str] = (), upper: Sequence[str] = (), rejects: Rejects | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """SRC-05. (good, bad) rows of a reviewed CSV whose header must be exactly ``fields``.
 
     Blank rows are skipped; blank key parts, blank required fields and repeated keys are
     rejected.
     """
-    raw = _trimmed(
-        spark.read.schema(_text_schema(fields)).option("header", True).option("enforceSchema", False).csv(path), fields
-    )
+    raw = _trimmed(read_delimited(spark, path, fields, ",", "registry", rejects), fields)
     rows = raw.withColumns({c: F.upper(c) for c in {*key, *upper}})
     rows = rows.filter(F.concat(*[F.col(f) for f in fields]) != "")
     repeated = rows.groupBy(*key).agg((F.count(F.lit(1)) > 1).alias("_repeated"))
@@ -89,7 +83,7 @@ def read_registry(
     return good.select(*fields), bad.select(*fields, "reject_reasons")
 
 
-def read_tsv_table(spark: SparkSession, directory: str, name: str, columns: Sequence[str]) -> DataFrame:
+def read_tsv_table(spark: SparkSession, directory: str, name: str, columns: Sequence[str], rejects: Rejects | None = None) -> DataFrame:
     """SRC-08. A tab-separated table of an extracted archive, read by column name; NULL becomes ''.
 
     Archives carry more columns than asked for, in any order; a missing one is an error.
@@ -100,10 +94,7 @@ def read_tsv_table(spark: SparkSession, directory: str, name: str, columns: Sequ
     missing = [c for c in columns if c not in header]
     if missing:
         raise ValueError(f"{path} has no column {', '.join(missing)}")
-    raw = (
-        spark.read.schema(_text_schema(header)).option("sep", "\t").option("header", True)
-        .option("enforceSchema", False).csv(path)
-    )
+    raw = read_delimited(spark, path, header, "\t", "tsv_table", rejects)
     return _trimmed(raw.select(*[F.col(f"`{c}`") for c in columns]), columns)
 
 
@@ -145,23 +136,24 @@ def normalize_short_interest(raw: DataFrame) -> DataFrame:
     )
 
 
-def read_short_interest(spark: SparkSession, path: str, layout: str = "array") -> DataFrame:
+def read_short_interest(spark: SparkSession, path: str, layout: str = "array", rejects: Rejects | None = None) -> DataFrame:
     """SRC-09 from JSON records: one ``array`` per file, or one object per line (``lines``, splittable).
 
-    A malformed record stops the read.
+    A malformed record stops the read, or goes to ``rejects`` where given.
     """
     if layout not in ("array", "lines"):
         raise ValueError("layout is 'array' or 'lines'")
     schema = _text_schema([c for _, new, old in SHORT_INTEREST_FIELDS for c in (new, old) if c])
+    if rejects is not None:
+        return normalize_short_interest(read_documents(spark, path, schema, "short_interest", rejects, lines=layout == "lines"))
     reader = spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", layout == "array")
     return normalize_short_interest(reader.json(path))
 
 
-def read_publication_schedule(spark: SparkSession, path: str, cutoff: Column) -> tuple[DataFrame, DataFrame]:
+def read_publication_schedule(spark: SparkSession, path: str, cutoff: Column, rejects: Rejects | None = None) -> tuple[DataFrame, DataFrame]:
     """SRC-12. (published settlement dates, rows published before their settlement)."""
     raw = _trimmed(
-        spark.read.schema(_text_schema(["settlement_date", "publication_date", "source_url"]))
-        .option("header", True).option("enforceSchema", False).csv(path),
+        read_delimited(spark, path, ["settlement_date", "publication_date", "source_url"], ",", "publication_schedule", rejects),
         ["settlement_date", "publication_date"],
     ).select(
         parse_source_date("settlement_date").alias("settlement_date"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import blank_to_null, cik10, finite_number, parse_source_date, parse_utc
+from tidemark.sources.rejects import Rejects, read_documents
 
 __all__ = [
     "read_submissions", "explode_registrants", "explode_filings", "read_company_facts", "explode_company_facts",
@@ -31,9 +32,9 @@ _FILING_ARRAYS = (
 )
 
 
-def read_submissions(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-06. One row per registrant document."""
-    return spark.read.schema(SUBMISSIONS_SCHEMA).option("multiLine", True).json(path)
+def read_submissions(spark: SparkSession, path: str, rejects: Rejects | None = None, lines: bool = False) -> DataFrame:
+    """SRC-06. One row per registrant document; ``lines``: one document per line, splittable."""
+    return read_documents(spark, path, SUBMISSIONS_SCHEMA, "submissions", rejects, lines)
 
 
 def explode_registrants(documents: DataFrame) -> DataFrame:
@@ -63,9 +64,9 @@ def explode_filings(documents: DataFrame) -> DataFrame:
     )
 
 
-def read_company_facts(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-07. One row per document, facts still nested."""
-    return spark.read.schema(FACTS_SCHEMA).option("multiLine", True).json(path)
+def read_company_facts(spark: SparkSession, path: str, rejects: Rejects | None = None, lines: bool = False) -> DataFrame:
+    """SRC-07. One row per document, facts still nested; ``lines``: one document per line, splittable."""
+    return read_documents(spark, path, FACTS_SCHEMA, "company_facts", rejects, lines)
 
 
 def explode_company_facts(documents: DataFrame) -> DataFrame:
@@ -86,10 +87,10 @@ def explode_company_facts(documents: DataFrame) -> DataFrame:
     )
 
 
-def read_concept_map(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_concept_map(spark: SparkSession, path: str, rejects: Rejects | None = None) -> tuple[DataFrame, DataFrame]:
     """SRC-13. (target, concept, concept_rank) and (taxonomy, taxonomy_rank)."""
     schema = "version string, taxonomy_precedence array<string>, concepts map<string, array<string>>"
-    doc = spark.read.schema(schema).option("multiLine", True).json(path)
+    doc = read_documents(spark, path, schema, "concept_map", rejects)
     concepts = doc.select("version", F.explode("concepts").alias("target", "_l")).select(
         "version", "target", F.posexplode("_l").alias("concept_rank", "concept")
     )

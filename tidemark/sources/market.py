@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import clean_symbol, round_half_even_long
+from tidemark.sources.rejects import Rejects, read_documents
 
 __all__ = [
     "normalize_prices", "scan_prices", "normalize_splits", "scan_splits", "alias_table",
@@ -104,12 +105,12 @@ CHART_SCHEMA = (
 )
 
 
-def read_charts(spark: SparkSession, path: str) -> DataFrame:
+def read_charts(spark: SparkSession, path: str, rejects: Rejects | None = None, lines: bool = False) -> DataFrame:
     """One row per chart document: symbol, currency, timestamp, quote arrays, event maps.
 
     Documents without a result keep a NULL symbol so that the caller can reject them.
     """
-    doc = spark.read.schema(CHART_SCHEMA).option("multiLine", True).json(path)
+    doc = read_documents(spark, path, CHART_SCHEMA, "charts", rejects, lines)
     r = F.get("chart.result", 0)
     q = F.get(r["indicators"]["quote"], 0)
     return doc.select(
