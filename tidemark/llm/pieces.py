@@ -129,7 +129,7 @@ class Encoder:
     """Encodes words, remembering a bounded number of them."""
 
     def __init__(self, model: Model, most: int) -> None:
-        self.model, self.most, self.known = model, most, {}
+        self.model, self.most, self.known, self.weights = model, most, {}, {}
 
     def word(self, word: str) -> list[int]:
         ids = self.known.get(word)
@@ -141,6 +141,17 @@ class Encoder:
                 self.known[word] = ids
         return ids
 
+    def weight(self, word: str) -> int:
+        """Weight of the word's best path."""
+        found = self.weights.get(word)
+        if found is None:
+            found = self.model.lattice(word, 0, len(word), len(word))[0][-1]
+            if len(self.weights) >= self.most:
+                self.weights.clear()
+            if len(word) <= 64:
+                self.weights[word] = found
+        return found
+
     def text(self, text: str) -> list[int]:
         return [i for w in _WORD.findall(normalised(text)) if w for i in self.word(w)]
 
@@ -177,10 +188,9 @@ def transfer(model: Model, encoder: Encoder, text: str, ahead: str) -> np.ndarra
     size, n, full = model.longest, len(text), text + ahead[:model.longest - 1]
     out = np.full((size, size), _LOWEST, dtype=np.int64)
     cuts = _cuts(full, n)
-    weight = lambda w: model.lattice(w, 0, len(w), len(w))[0][-1]
     if cuts:
         first, last = cuts[0], cuts[-1]
-        middle = sum(weight(full[a:b]) for a, b in zip(cuts, cuts[1:], strict=False))
+        middle = sum(encoder.weight(full[a:b]) for a, b in zip(cuts, cuts[1:], strict=False))
         tail = model.lattice(full, last, n, len(full))[0] if last < n else [0]
         tail = np.array((tail[n - last:] + [_LOWEST] * size)[:size])
         for s in range(min(size, first + 1)):
