@@ -39,6 +39,8 @@ BOILERPLATE = ("ad ads advert adverts advertisement advertising banner breadcrum
 PLACES = "site main page top bottom left right primary secondary global".split()
 
 _RAW = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|head)\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>", re.S | re.I)
+_UNSEEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
+_OPEN_HEAD = re.compile(r"<head\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?=<(?:body|" + "|".join(b for b in BLOCKS if b not in ("head", "html", "title")) + r")(?=[\s/>])|\Z)", re.S | re.I)
 _MARKED = re.compile(r"<(article|main)(?=[\s/>])", re.I)
 _OPENED = re.compile(r"</?[a-zA-Z]")
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>")
@@ -46,10 +48,10 @@ _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\
 _skipped, _blocks, _void, _words, _places = map(frozenset, (SKIPPED, BLOCKS, VOID, BOILERPLATE, PLACES))
 
 
-def _boilerplate(name: str, attributes: str) -> bool:
+def _boilerplate(name: str, attributes: str, exempt: bool) -> bool:
     if name in _skipped:
         return True
-    if name in ("html", "body", "article", "main"):
+    if exempt or name in ("html", "body"):
         return False
     for _, a, b, c in _ATTRIBUTE.findall(attributes):
         value = (a or b or c).lower()
@@ -90,6 +92,8 @@ def _wrappers(page: str, tags: list[re.Match], fallback: bool) -> set[int]:
 
 def lines_of(page: str, fallback: bool = False) -> list[tuple[str, int]]:
     """(text, weight) of every line: its length, 0 where no article is marked and it is mostly links, -1 where excluded."""
+    if "</head" not in page.lower():  # its end tag may be left out: the first element of the body ends it
+        page = _OPEN_HEAD.sub(" ", _UNSEEN.sub(" ", page), count=1)
     page = _RAW.sub(" ", page)
     marked = _MARKED.search(page)
     container, lines, buffer = None, [], []
@@ -97,7 +101,7 @@ def lines_of(page: str, fallback: bool = False) -> list[tuple[str, int]]:
         container = ("main",) if marked.group(1).lower() == "main" else ("article", "main")
     depth_in, skip_name, skip_depth, linked, in_link, at = 0, None, 0, 0, 0, 0
 
-    tags, wrappers = list(_TAG.finditer(page)), None
+    tags, wrappers, met = list(_TAG.finditer(page)), None, set()
 
     def end() -> None:
         nonlocal linked
@@ -125,13 +129,17 @@ def lines_of(page: str, fallback: bool = False) -> list[tuple[str, int]]:
             in_link = 0 if closing else 1
         if container is not None and name in container:
             depth_in = max(0, depth_in + (-1 if closing else 1))
+        # the first article and the first main are never boilerplate; later ones, such as comments, may be
+        exempt = name in ("article", "main") and not closing and name not in met
+        if exempt:
+            met.add(name)
         if skip_name is not None:
             if name == skip_name:
                 skip_depth += -1 if closing else 1
                 if skip_depth == 0:
                     end()
                     skip_name = None
-        elif not closing and name not in _void and not attributes.rstrip().endswith("/") and _boilerplate(name, attributes):
+        elif not closing and name not in _void and not attributes.rstrip().endswith("/") and _boilerplate(name, attributes, exempt):
             if wrappers is None:
                 wrappers = _wrappers(page, tags, fallback)
             if k not in wrappers:

@@ -228,6 +228,10 @@ def links(docs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
         cells.withColumnRenamed("node", "sig"), "sig").select("doc_id", F.col("sig").alias("want"), F.col("root").alias("cell"))
     chosen = staged(chosen, "alike-sets")
 
+    # sets that only rows without an id hold take part by one such row each
+    nameless = sets.filter("n > 0").groupBy("sig").agg(F.count("doc_id").alias("named")).filter("named = 0").join(
+        cells.withColumnRenamed("node", "sig"), "sig").select("sig", F.col("root").alias("cell"))
+
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
             ids, offsets = _distinct_per_text(*_sets(batch.column("text"), s.size))
@@ -236,12 +240,16 @@ def links(docs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
             packed = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((offsets * 8).astype(np.int32).tobytes()), data])
             total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(mix(ids))])
             sig = mix((total[offsets[1:]] - total[offsets[:-1]]) ^ (n.astype(np.uint64) << np.uint64(32))).view(np.int64)
-            same = pa.array(sig == batch.column("want").to_numpy(zero_copy_only=False))
-            made = pa.RecordBatch.from_arrays([batch.column("cell"), batch.column("want"), pa.array(n.astype(np.int64)), packed], names=["cell", "sig", "n", "ids"])
+            want = batch.column("want")
+            same = pa.array((sig == want.fill_null(0).to_numpy(zero_copy_only=False)) | want.is_null().to_numpy(zero_copy_only=False))
+            made = pa.RecordBatch.from_arrays([batch.column("cell"), pa.array(sig), pa.array(n.astype(np.int64)), packed], names=["cell", "sig", "n", "ids"])
             yield made.filter(same)
 
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id").mapInArrow(full, "cell long, sig long, n long, ids binary")
-    rows = staged(rows, "alike-rows")
+    schema = "cell long, sig long, n long, ids binary"
+    rows = docs.select("doc_id", "text").join(chosen, "doc_id").mapInArrow(full, schema)
+    none = docs.filter("doc_id IS NULL").select("doc_id", "text", F.lit(None).cast("long").alias("want"), F.lit(None).cast("long").alias("cell"))
+    others = none.mapInArrow(full, schema).drop("cell").groupBy("sig").agg(F.first("n").alias("n"), F.first("ids").alias("ids")).join(nameless, "sig").select("cell", "sig", "n", "ids")
+    rows = staged(rows.unionByName(others), "alike-rows")
     size = rows.groupBy("cell").agg(F.greatest(
         F.ceil(F.count(F.lit(1)) / s.block_rows), F.ceil(F.sum("n") / s.block_cells)).cast("int").alias("blocks"))
     cut = rows.join(size, "cell").withColumn("own", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int")).withColumn(
