@@ -41,7 +41,7 @@ def coverage_diagnostic(t: Tables) -> DataFrame:
 _GROUPS = {"click": "identity", "error": "market", "purchase": "filings_events", "signup": "total_returns", "view": "fundamentals"}
 _GROUP_SQL = "CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _GROUPS.items()) + " END"
 _AS_OF = "TIMESTAMP '2024-01-02 06:00:00'"
-_FRESH = f"""obs AS (SELECT {_GROUP_SQL} AS group_id, min(ts) AS observed_at FROM events WHERE value > 100 GROUP BY 1),
+_FRESH = f"""obs AS (SELECT {_GROUP_SQL} AS group_id, min(ts) AS observed_at FROM events GROUP BY 1),
 fresh AS (SELECT *, greatest(0.0, (epoch_us({_AS_OF}) - epoch_us(observed_at)) / 3600000000.0) AS lag_hours FROM obs),
 grp AS (SELECT *, CASE WHEN lag_hours <= CASE WHEN group_id = 'identity' THEN 24 ELSE 192 END THEN 'READY' WHEN lag_hours <= CASE WHEN group_id = 'identity' THEN 72 ELSE 336 END THEN 'REUSED_WITH_PENALTY' ELSE 'DISABLED' END AS freshness_state FROM fresh)"""
 
@@ -52,7 +52,7 @@ def _as_of():
 
 def freshness(t: Tables) -> DataFrame:
     group = F.element_at(F.create_map(*[F.lit(x) for kv in _GROUPS.items() for x in kv]), F.col("event_type"))
-    rows = t.events.filter("value > 100").select(group.alias("group_id"), F.col("ts").cast("timestamp").alias("source_retrieved_at_utc"))
+    rows = t.events.select(group.alias("group_id"), F.col("ts").cast("timestamp").alias("source_retrieved_at_utc"))
     return g.group_freshness(rows, _as_of())
 
 
@@ -69,7 +69,8 @@ _CAPS = f"""caps AS (SELECT * FROM (VALUES {', '.join('(' + ', '.join(_sql(v) fo
 ph AS (SELECT * FROM (VALUES {', '.join(f"('{p}', '{c}', '{role}')" for p, a, b, e in g.PHASES for role, cs in (('REQUIRED', a), ('OPTIONAL', b), ('EXTERNAL', e)) for c in cs)}) p(phase_id, capability_id, role))"""
 _STATE = f"""{_FRESH}, {_CAPS}, lane AS (SELECT CASE WHEN count(*) >= 3 THEN 'READY' ELSE 'INVALID' END AS state, 'READY' AS identity_state, CASE WHEN max(ts) > TIMESTAMP '2024-01-30' THEN 'READY' ELSE 'STALE' END AS market_state,
   min(ts) AS identity_at, TIMESTAMP '2024-01-02 05:30:00' AS lane_at FROM events WHERE event_type = 'signup'),
-cs AS (SELECT capability_id, source_group, maximum_age_seconds, CASE WHEN rule = 'LANE' THEN CASE WHEN capability_id = 'benchmark_identity' THEN identity_at ELSE lane_at END WHEN rule NOT IN ('EXTERNAL', 'ABSENT') THEN grp.observed_at END AS observed_at,
+cs0 AS (SELECT rule, freshness_state, CASE capability_id WHEN 'benchmark_identity' THEN identity_state WHEN 'benchmark_market_current' THEN market_state ELSE lane.state END AS lane_state,
+  capability_id, source_group, maximum_age_seconds, CASE WHEN rule = 'LANE' THEN CASE WHEN capability_id = 'benchmark_identity' THEN identity_at ELSE lane_at END WHEN rule NOT IN ('EXTERNAL', 'ABSENT') THEN grp.observed_at END AS observed_at,
   CASE rule WHEN 'EXTERNAL' THEN 'CONSUMER_REQUIRED' WHEN 'ABSENT' THEN 'NOT_CONFIGURED'
   WHEN 'LANE' THEN CASE WHEN (CASE capability_id WHEN 'benchmark_identity' THEN identity_state WHEN 'benchmark_market_current' THEN market_state ELSE state END) <> 'READY' THEN (CASE capability_id WHEN 'benchmark_identity' THEN identity_state WHEN 'benchmark_market_current' THEN market_state ELSE state END)
      WHEN freshness_state IS NULL THEN 'NOT_CONFIGURED' WHEN freshness_state = 'DISABLED' THEN 'STALE_DISABLED'
@@ -77,6 +78,9 @@ cs AS (SELECT capability_id, source_group, maximum_age_seconds, CASE WHEN rule =
   ELSE CASE WHEN freshness_state IS NULL THEN 'NOT_CONFIGURED' WHEN freshness_state = 'DISABLED' THEN 'STALE_DISABLED' WHEN rule = 'LAG' AND source_group <> 'market' THEN 'STALE'
      WHEN maximum_age_seconds IS NOT NULL AND lag_hours * 3600 > maximum_age_seconds THEN 'STALE' ELSE 'READY' END END AS state
   FROM caps LEFT JOIN grp ON grp.group_id = caps.source_group CROSS JOIN lane),
+cs AS (SELECT capability_id, source_group, maximum_age_seconds, observed_at, state, CASE WHEN rule = 'EXTERNAL' THEN 'supplied by the consumer' WHEN rule = 'ABSENT' THEN 'lane is not configured' WHEN state = 'READY' THEN NULL
+  WHEN rule = 'LANE' AND lane_state <> 'READY' THEN 'benchmark lane is ' || lane_state WHEN freshness_state IS NULL THEN 'source group is absent' WHEN freshness_state = 'DISABLED' THEN 'source group is STALE_DISABLED'
+  WHEN rule = 'LAG' THEN 'market is behind its expected session' WHEN state = 'STALE' THEN 'source is older than ' || maximum_age_seconds || ' seconds' END AS reason FROM cs0),
 pr AS (SELECT ph.*, coalesce(cs.state, 'NOT_CONFIGURED') AS state FROM ph LEFT JOIN cs USING (capability_id)),
 ps AS (SELECT phase_id, count(*) FILTER (WHERE role = 'REQUIRED' AND state <> 'READY') AS rd, count(*) FILTER (WHERE role = 'OPTIONAL' AND state <> 'READY') AS od, count(*) FILTER (WHERE role = 'EXTERNAL') AS ext,
   coalesce(string_agg(DISTINCT CASE WHEN role <> 'EXTERNAL' AND state <> 'READY' THEN 'CAPABILITY_' || upper(capability_id) || '_' || state END, '|' ORDER BY CASE WHEN role <> 'EXTERNAL' AND state <> 'READY' THEN 'CAPABILITY_' || upper(capability_id) || '_' || state END), '') AS codes,
@@ -96,7 +100,7 @@ def capabilities(t: Tables) -> DataFrame:
     return g.capability_states(groups, g.capability_dimension(t.spark), lane, _as_of())
 
 
-@query("capability_states", f"WITH {_STATE} SELECT capability_id, state, source_group, observed_at, maximum_age_seconds FROM cs")
+@query("capability_states", f"WITH {_STATE} SELECT capability_id, state, source_group, observed_at, maximum_age_seconds, reason FROM cs")
 def capability_states(t: Tables) -> DataFrame:
     return capabilities(t).withColumn("observed_at", F.col("observed_at").cast("timestamp_ntz"))
 

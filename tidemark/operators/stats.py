@@ -155,15 +155,19 @@ def lane_stats(df: DataFrame, lane: str, date: str, uncertified: Column) -> Data
     )
 
 
-def lane_status(stats: DataFrame, lane: str, required: Sequence[str], expected: Column, *, min_sessions: int = 140, min_weeks: int = 26) -> DataFrame:
-    """AGG-16. One row: the lane is READY only when every required member is."""
+def lane_status(stats: DataFrame, lane: str, required: Sequence[str], expected: Column, *, min_sessions: int = 140, min_weeks: int = 26,
+                distributions: DataFrame | None = None) -> DataFrame:
+    """AGG-16. One row: the lane is READY only when every required member is.
+
+    With ``distributions`` (see :func:`invalid_distributions`) not one of them may be invalid.
+    """
     current = F.coalesce(F.count_if(F.col("maximum_session") == expected) == len(required), F.lit(False))
     complete = (F.count(F.lit(1)) == len(required)) & (F.count_if(F.col(lane).isin(*required)) == len(required))
     valid = (
         current & complete & (F.sum("uncertified_rows") == 0)
         & (F.min("sessions") >= min_sessions) & (F.min("weekly_observations") >= min_weeks)
     )
-    return stats.agg(
+    out = stats.agg(
         F.when(F.coalesce(valid, F.lit(False)), "READY").otherwise("INVALID").alias("state"),
         F.when(F.coalesce(current & complete, F.lit(False)), "READY").otherwise("STALE").alias("market_state"),
         F.coalesce(F.min("sessions"), F.lit(0)).alias("sessions"),
@@ -171,6 +175,18 @@ def lane_status(stats: DataFrame, lane: str, required: Sequence[str], expected:
         F.count(F.lit(1)).alias("securities"),
         (F.count(F.lit(1)) / F.lit(len(required))).alias("coverage"),
     )
+    if distributions is None:
+        return out
+    return side_by_side(out, invalid_distributions(distributions)).withColumn(
+        "state", F.when(F.col("invalid_distributions") > 0, "INVALID").otherwise(F.col("state"))
+    )
+
+
+def invalid_distributions(distributions: DataFrame) -> DataFrame:
+    """AGG-16. (invalid_distributions): rows without positive USD cash of the cash type and a retrieval time."""
+    c = F.col
+    good = (c("cash_amount") > 0) & (c("currency") == "USD") & (c("distribution_type") == "CASH_DISTRIBUTION") & c("source_retrieved_at_utc").isNotNull()
+    return distributions.agg(F.count_if(~F.coalesce(good, F.lit(False))).alias("invalid_distributions"))
 
 
 def rejections_by_reason(rejected: DataFrame, reason: str, sample: str, samples: int = 20) -> DataFrame:

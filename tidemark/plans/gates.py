@@ -85,6 +85,12 @@ def phase_dimension(spark: SparkSession) -> DataFrame:
     return values_table(spark, "phase_id string, capability_id string, role string", rows)
 
 
+def hours_since(at: Column, as_of: Column) -> Column:
+    """Hours from ``at`` to ``as_of``, 0 for later times and NULL without one."""
+    hours = (F.unix_micros(as_of) - F.unix_micros(at.cast("timestamp"))) / F.lit(3.6e9)
+    return F.when(hours < 0, 0.0).otherwise(hours)
+
+
 def group_freshness(observed: DataFrame, as_of: Column, *, group: str = "group_id", at: str = "source_retrieved_at_utc") -> DataFrame:
     """AGG-19. Lag in hours from the oldest retrieval time and its state.
 
@@ -92,7 +98,7 @@ def group_freshness(observed: DataFrame, as_of: Column, *, group: str = "group_i
     DISABLED beyond, UNKNOWN without a time.
     """
     oldest = observed.groupBy(group).agg(F.min(at).alias("observed_at"))
-    hours = F.greatest(F.lit(0.0), (F.unix_micros(as_of) - F.unix_micros(F.col("observed_at").cast("timestamp"))) / F.lit(3.6e9))
+    hours = hours_since(F.col("observed_at"), as_of)
     identity = F.col(group) == "identity"
     ready, disabled = F.when(identity, 24).otherwise(8 * 24), F.when(identity, 3 * 24).otherwise(14 * 24)
     return oldest.withColumn("lag_hours", hours).withColumn("lag_days", F.floor(F.col("lag_hours") / 24)).withColumn(
@@ -194,12 +200,34 @@ def capability_states(groups: DataFrame, capabilities: DataFrame, lane: DataFram
         .when(rule == "LANE", benchmark).otherwise(plain)
     )
     observed = F.when(rule == "LANE", lane_at).when(~rule.isin("EXTERNAL", "ABSENT"), F.col("_observed"))
-    return rows.select("capability_id", state.alias("state"), "source_group", observed.alias("observed_at"), "maximum_age_seconds")
+    found = F.coalesce(F.col("_group_state"), F.lit("absent"))
+    lane_reason = (
+        F.when(lane_state.isNull(), "benchmark lane is absent")
+        .when(lane_state != "READY", F.concat(F.lit("benchmark lane is "), lane_state))
+        .when(~usable, F.concat(F.lit("source group is "), found))
+    )
+    group_reason = F.when(~usable, F.concat(F.lit("source group is "), found)).when(
+        plain.isin("STALE", "UNKNOWN_FRESHNESS") & (rule == "LAG"), "market is behind its expected session"
+    )
+    by_age = F.when(state == "STALE", F.concat(F.lit("source is older than "), age_limit.cast("string"), F.lit(" seconds"))).when(
+        state == "UNKNOWN_FRESHNESS", "source has no retrieval time").when(state == "INVALID", "source lies after the cutoff")
+    reason = (
+        F.when(rule == "EXTERNAL", "supplied by the consumer").when(rule == "ABSENT", "lane is not configured")
+        .when(state == "READY", F.lit(None).cast("string"))
+        .otherwise(F.coalesce(F.when(rule == "LANE", lane_reason).otherwise(group_reason), by_age))
+    )
+    return rows.select(
+        "capability_id", state.alias("state"), "source_group", observed.alias("observed_at"), "maximum_age_seconds", reason.alias("reason")
+    )
 
 
 def phase_states(capabilities: DataFrame, phases: DataFrame) -> DataFrame:
-    """PIP-20. BLOCKED, DEGRADED or READY with rejection codes and operating modes."""
-    rows = phases.join(capabilities.select("capability_id", "state"), "capability_id", "left").withColumn(
+    """PIP-20. BLOCKED, DEGRADED or READY with rejection codes and operating modes.
+
+    ``capabilities`` may be told per phase (``phase_id``), as the target session gates do.
+    """
+    on = [c for c in ("phase_id", "capability_id") if c in capabilities.columns]
+    rows = phases.join(capabilities.select(*on, "state"), on, "left").withColumn(
         "state", F.coalesce("state", F.lit("NOT_CONFIGURED"))
     )
     down = F.col("state") != "READY"

@@ -60,8 +60,10 @@ def active_securities(candidates: DataFrame, oldest_active: Column) -> tuple[Dat
 class MarketHistory:
     """Tables of one market build; each is planned when first asked for."""
 
-    def __init__(self, candidates: DataFrame, splits: DataFrame, aliases: DataFrame, oldest_active: Column, min_session_rows: int) -> None:
-        self.candidates = candidates
+    def __init__(
+        self, candidates: DataFrame, splits: DataFrame, aliases: DataFrame, oldest_active: Column, min_session_rows: int, n: int = 320,
+    ) -> None:
+        self.candidates, self.n = candidates, n
         self._splits, self._aliases = splits, aliases
         self.oldest_active, self._min_rows = oldest_active, min_session_rows
 
@@ -138,7 +140,7 @@ def build_market_history(
         prices, splits, aliases, expected=expected, n=n, gap_days=gap_days, ratio=ratio, lane=lane, chunk_rows=chunk_rows
     )
     candidates = stage(candidates, "candidates")  # at most n rows a security; read by every table of the build
-    return MarketHistory(candidates, splits, aliases, oldest_active, min_session_rows)
+    return MarketHistory(candidates, splits, aliases, oldest_active, min_session_rows, n)
 
 
 def market_metrics(
@@ -158,7 +160,6 @@ def market_metrics(
     per_id = cells.groupBy("security_id").agg(
         F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.count_if(ok).alias("sessions"), F.max(day).alias("latest"),
         F.min(F.when(ok, day)).alias("lo"), F.max(F.when(ok, day)).alias("hi"), F.bool_or("cut").alias("cut"),
-        F.sum(F.when(day > cutoff, F.col("n")).otherwise(0)).alias("late"),
         F.bool_or(ok & (day == expected)).alias("current"), F.max("ticker").alias("ticker"),
     ).withColumn("active", F.col("latest") >= history.oldest_active)
     live = F.col("active")
@@ -166,8 +167,7 @@ def market_metrics(
     total = lambda c: F.coalesce(F.sum(F.when(live, F.col(c))), F.lit(0)).cast("bigint")
     measured = per_id.agg(
         total("n").alias("rows"), F.count_if(matched).alias("securities"), F.min(F.when(live, F.col("lo"))).alias("min_date"),
-        F.max(F.when(live, F.col("hi"))).alias("max_date"), F.lit(0).cast("bigint").alias("invalid_rows"),
-        (total("n") - total("sessions")).alias("duplicate_rows"), total("late").alias("after_cutoff"),
+        F.max(F.when(live, F.col("hi"))).alias("max_date"),
         F.count_if(matched & (F.col("n") >= minimum_history)).alias("adequate"),
         F.count_if(live & F.col("current")).alias("valid_securities"), F.count_if(live).alias("active_securities"),
         total("bad").alias("excluded_rows"), F.count_if(~live).alias("stale_histories"), F.count_if("cut").alias("truncated_histories"),
@@ -175,7 +175,8 @@ def market_metrics(
     )
     admitted = aliases.select("security_id").distinct().agg(F.count(F.lit(1)).alias("admitted"))
     bad_sessions = history.common_mode.agg(F.count(F.lit(1)).alias("common_mode_sessions"))
-    out = stats.side_by_side(measured, admitted, bad_sessions)
+    published = published_metrics(history.prices, history.splits, cutoff=cutoff, n=history.n).drop("published_rows")
+    out = stats.side_by_side(measured, admitted, bad_sessions, published)
     share = lambda a, b: F.coalesce(F.try_divide(F.col(a), F.col(b)), F.lit(0.0))
     return out.withColumns({
         "coverage": share("securities", "admitted"), "adequate_coverage": share("adequate", "securities"),
@@ -183,12 +184,50 @@ def market_metrics(
     })
 
 
+# Columns that a split row needs.
+SPLIT_FIELDS = ("security_id", "ticker", "source_symbol", "event_date", "split_factor", "source_dataset", "source_revision", "observed_at_utc")
+
+
+def published_metrics(prices: DataFrame, splits: DataFrame, *, cutoff: Column, n: int = 320) -> DataFrame:
+    """AGG-05 of the tables as they are or will be published, whoever made them, in one row.
+
+    Prices fold into cells (security, session), then securities, then the total.
+    """
+    cells = prices.groupBy("security_id", "session_date").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.coalesce(is_invalid_ohlcv(), F.lit(True)) | F.col("session_date").isNull()).alias("bad")
+    )
+    per_id = cells.groupBy("security_id").agg(
+        F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.sum(F.col("n") - 1).alias("again"),
+        F.sum(F.when(F.col("session_date") > cutoff, F.col("n")).otherwise(0)).alias("late"),
+    )
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    rows = per_id.agg(
+        total("n").alias("published_rows"), total("bad").alias("invalid_rows"), total("again").alias("duplicate_rows"),
+        total("late").alias("after_cutoff"), F.count_if(F.col("n") > n).alias("histories_over_limit"),
+    )
+    whole = F.col("split_factor") != ""
+    for field in SPLIT_FIELDS:
+        whole = whole & F.col(field).isNotNull()
+    actions = splits.groupBy("security_id", "event_date").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(~F.coalesce(whole, F.lit(False))).alias("bad")
+    ).agg(total(F.col("n") - 1).alias("split_duplicate_rows"), total("bad").alias("split_invalid_rows"))
+    return stats.side_by_side(rows, actions)
+
+
+def collapsed_rows(rows: DataFrame) -> DataFrame:
+    """(collapsed_rows): rows that repeat another one in every column, before they are folded."""
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_n")).agg(
+        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("collapsed_rows")
+    )
+
+
 def market_gate(
     metrics: DataFrame, *, expected: Column, require_benchmark: bool = False, minimum_coverage: float = 0.80,
     minimum_adequate: float = 0.50,
 ) -> DataFrame:
-    """AGG-09 over :func:`market_metrics`."""
+    """AGG-09 over :func:`market_metrics`; ``collapsed_rows`` beside the metrics adds its warning."""
     c = F.col
+    collapsed = c("collapsed_rows") if "collapsed_rows" in metrics.columns else F.lit(0)
     return stats.market_state(
         metrics, coverage="latest_session_coverage",
         errors={
@@ -198,10 +237,12 @@ def market_gate(
             "HISTORY_COVERAGE_BELOW_MINIMUM": c("adequate_coverage") < minimum_adequate,
             "NO_ROWS": c("rows") == 0, "INVALID_ROWS": c("invalid_rows") > 0, "DUPLICATE_KEYS": c("duplicate_rows") > 0,
             "ROWS_AFTER_CUTOFF": c("after_cutoff") > 0, "SESSIONS_BEHIND": c("max_date").isNull() | (c("max_date") < expected),
+            "SPLIT_DUPLICATE_KEYS": c("split_duplicate_rows") > 0, "SPLIT_INVALID_ROWS": c("split_invalid_rows") > 0,
+            "HISTORY_OVER_SESSION_LIMIT": c("histories_over_limit") > 0,
         },
         warnings={
             "INVALID_ROWS_EXCLUDED": c("excluded_rows") > 0, "STALE_HISTORIES_EXCLUDED": c("stale_histories") > 0,
-            "HISTORIES_TRUNCATED": c("truncated_histories") > 0,
+            "HISTORIES_TRUNCATED": c("truncated_histories") > 0, "IDENTICAL_ROWS_COLLAPSED": collapsed > 0,
         },
     )
 

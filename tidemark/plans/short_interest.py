@@ -26,8 +26,28 @@ def lagged_growth(
     })
 
 
+def unplaced_short_interest(records: DataFrame, schedule: DataFrame, universe: DataFrame) -> DataFrame:
+    """Records that :func:`build_short_interest` can not place, with all columns and a reason.
+
+    TICKER_IDENTITY_CONFLICT (spellings that name two securities; a release stops on these), NO_SECURITY or
+    UNSCHEDULED_SETTLEMENT_DATE, in this order; a record has one reason, a null symbol has no security.
+    """
+    symbols, clashing = resolve_tickers(records.select("symbol").distinct(), universe, "symbol", [])
+    verdicts = symbols.select("symbol", F.when(F.col("security_id").isNull(), "NO_SECURITY").alias("_why")).unionByName(
+        clashing.select("symbol", F.lit("TICKER_IDENTITY_CONFLICT").alias("_why"))
+    )
+    dates = schedule.select("settlement_date").distinct().withColumn("_due", F.lit(True))
+    why = F.when(F.col("symbol").isNull(), "NO_SECURITY").otherwise(F.col("_why"))
+    return records.join(verdicts, "symbol", "left").join(dates, "settlement_date", "left").withColumn(
+        "reason", F.coalesce(why, F.when(F.col("_due").isNull(), "UNSCHEDULED_SETTLEMENT_DATE"))
+    ).drop("_why", "_due").filter("reason is not null")
+
+
 def build_short_interest(records: DataFrame, schedule: DataFrame, universe: DataFrame, *, retrieved_at: Column) -> DataFrame:
-    """PIP-14 from normalized records; only scheduled settlement dates are kept (JOI-13)."""
+    """PIP-14 from normalized records; only scheduled settlement dates are kept (JOI-13).
+
+    What is left out is in :func:`unplaced_short_interest`.
+    """
     published = records.join(schedule.select("settlement_date", "publication_date"), "settlement_date")
     symbols, _ = resolve_tickers(records.select("symbol").distinct(), universe, "symbol", [])
     rows = published.join(symbols.filter("security_id is not null"), "symbol")
