@@ -36,6 +36,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes a table of our own under ``spark.checkpoint.dir`` that no later step reads."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def fresh(taken: list[str], name: str) -> str:
     """``name``, with underscores before it until no column is called so (letter case aside)."""
     used = {c.lower() for c in taken}

@@ -8,9 +8,9 @@ ids, little endian, padded with the end id), so slot s is at byte ``(s % per_sha
 shard ``s // per_shard`` and reading can resume at any slot.
 
 A shard is written under a name of its own attempt and moved into place, with equal bytes each
-time, so repeated or lost tasks leave one whole file. Sequence numbers follow the stored order of
-the documents; both passes scan the same table, and a pass that meets other counts than the first
-fails rather than misplace a sequence.
+time, so repeated or lost tasks leave one whole file. Sequence numbers follow the order in which
+the documents were read: ids are written once with task and number in the task, and the totals of
+the tasks come from that table, so a task run again meets the same numbers.
 
 Defined cases: null or empty text has no sequence; repeated rows are sequences each; an empty table
 gives no shard.
@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import staged
+from tidemark.llm.frames import discard, staged
 from tidemark.llm.words import buffers, mix, pieces
 from tidemark.session import scratch_table
 
@@ -141,65 +141,69 @@ def _ranks(path: str | None) -> tuple[dict[bytes, int], str]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}, public_tokenizers.PATTERN
 
 
-def materialise(docs: DataFrame, folder: str, path: str | None = None, settings: Settings = Settings()) -> DataFrame:
+def materialise(docs: DataFrame, folder: str, encoded: str, path: str | None = None, settings: Settings = Settings()) -> DataFrame:
     """Write the shards under ``folder``; returns doc_id, part, n_tokens, slot, shard, offset, stored.
 
     ``stored`` tells whether the record read back from the shard has the bytes that were to be written.
-    ``docs`` must be a stored table (it is scanned twice).
+    The ids are kept in a table at ``encoded`` until the shards are written: texts are tokenised once.
     """
     s = settings
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(_ranks(path))
     docs = docs.select("doc_id", "text")
 
+    kind = docs.schema["doc_id"].dataType.simpleString()
     name = f"{path}-{uuid.uuid4().hex}"
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from tidemark.llm.shards import _tokenizer
 
-        tokenizer, n = _tokenizer(shared, name, s.cached_words), 0
+        tokenizer, task, at = _tokenizer(shared, name, s.cached_words), TaskContext.get().partitionId(), 0
         for batch in pieces(batches, "text", 2 << 20):
-            n += int((-(-np.diff(tokenizer.batch(batch.column("text"))[1]) // s.length)).sum())
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([n], pa.int64())], names=["task", "n"])
-
-    counted = docs.mapInArrow(count, "task int, n long").toArrow().to_pydict()
+            ids, offsets = tokenizer.batch(batch.column("text"))
+            n = -(-np.diff(offsets) // s.length)
+            first = at + np.cumsum(n) - n
+            at += int(n.sum())
+            some = np.flatnonzero(n > 0)
+            raw = memoryview(ids.astype("<u2").tobytes())
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc_id").take(pa.array(some)), pa.array(np.full(len(some), task, dtype=np.int32)), pa.array(first[some]), pa.array(n[some]),
+                pa.array([raw[2 * a:2 * b] for a, b in zip(offsets[some].tolist(), offsets[some + 1].tolist(), strict=True)], pa.binary())],
+                names=["doc_id", "task", "first", "sequences", "ids"])
+
+    schema = f"doc_id {kind}, task int, first long, sequences long, ids binary"
+    docs.mapInArrow(encode, schema).write.option("compression", "zstd").parquet(encoded)
+    coded = spark.read.schema(schema).parquet(encoded)
+    counted = coded.groupBy("task").agg(F.sum("sequences").alias("n")).toArrow().to_pydict()  # one row a task
     found = dict(zip(counted["task"], counted["n"], strict=True))
-    first, total = {}, 0
+    before, total = {}, 0
     for task in sorted(found):
-        first[task] = total
+        before[task] = total
         total += found[task]
-    places = spark.sparkContext.broadcast((first, found))
+    places = spark.sparkContext.broadcast(before)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tidemark.llm.shards import _tokenizer
-
-        tokenizer, task = _tokenizer(shared, name, s.cached_words), TaskContext.get().partitionId()
-        firsts, counts = places.value
-        begin = at = firsts.get(task, 0)
-        for batch in pieces(batches, "text", 2 << 20):
-            ids, offsets = tokenizer.batch(batch.column("text"))
-            sizes_of = np.diff(offsets)
-            n = -(-sizes_of // s.length)
+        before = places.value
+        for batch in pieces(batches, "ids", 1 << 20):
+            raw, bounds = buffers(batch.column("ids"))
+            ids, sizes_of = np.ascontiguousarray(raw[bounds[0]:bounds[-1]]).view("<u2"), np.diff(bounds) // 2
+            n = batch.column("sequences").to_numpy(zero_copy_only=False)
             rows = int(n.sum())
             start = np.cumsum(n) - n  # first sequence of each text
             data = np.full(rows * s.length, END_ID, dtype="<u2")
-            data[np.arange(len(ids)) - np.repeat(offsets[:-1], sizes_of) + np.repeat(start * s.length, sizes_of)] = ids
+            data[np.arange(len(ids)) - np.repeat(np.cumsum(sizes_of) - sizes_of, sizes_of) + np.repeat(start * s.length, sizes_of)] = ids
             data = data.reshape(rows, s.length)
             sizes = np.full(rows, s.length, dtype=np.int32)
-            some = n > 0
-            sizes[(start + n - 1)[some]] = (sizes_of - (n - 1) * s.length)[some]
-            slot = slots(np.arange(at, at + rows), total, s.key, s.rounds)
-            at += rows
-            part = (np.arange(rows) - np.repeat(np.cumsum(n) - n, n)).astype(np.int32)
+            sizes[start + n - 1] = sizes_of - (n - 1) * s.length
+            head = np.fromiter((before[t] for t in batch.column("task").to_pylist()), dtype=np.int64, count=len(n)) + batch.column("first").to_numpy(zero_copy_only=False)
+            part = np.arange(rows) - np.repeat(start, n)
+            slot = slots(np.repeat(head, n) + part, total, s.key, s.rounds)
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id").take(pa.array(np.repeat(np.arange(len(n)), n))), pa.array(part), pa.array(sizes), pa.array(slot),
+                batch.column("doc_id").take(pa.array(np.repeat(np.arange(len(n)), n))), pa.array(part.astype(np.int32)), pa.array(sizes), pa.array(slot),
                 pa.array((slot // s.per_shard).astype(np.int32)), pa.array([row.tobytes() for row in data], pa.binary())],
                 names=["doc_id", "part", "n_tokens", "slot", "shard", "record"])
-        if at - begin != counts.get(task, 0):
-            raise RuntimeError("the documents changed between the two passes")
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    placed = docs.mapInArrow(place, f"doc_id {kind}, part int, n_tokens int, slot long, shard int, record binary")
+    placed = coded.mapInArrow(place, f"doc_id {kind}, part int, n_tokens int, slot long, shard int, record binary")
     stride = 2 * s.length
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,4 +266,8 @@ def read_from(folder: str, slot: int, settings: Settings = Settings()) -> Iterat
 
 def training_order(docs: DataFrame, folder: str | None = None, path: str | None = None, settings: Settings = Settings()) -> DataFrame:
     """The shards of ``docs`` written in the shared folder, and their manifest as a stored table."""
-    return staged(materialise(docs, folder or scratch_table(docs.sparkSession, "token-shards"), path, settings), "token-manifest")
+    spark = docs.sparkSession
+    encoded = scratch_table(spark, "token-ids")
+    manifest = staged(materialise(docs, folder or scratch_table(spark, "token-shards"), encoded, path, settings), "token-manifest")
+    discard(spark, encoded)
+    return manifest

@@ -48,7 +48,7 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         texts = texts.combine_chunks()
     if texts.null_count:
         texts = texts.fill_null("")
-    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    kind = np.int64 if pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type) else np.int32
     if len(texts) == 0:
         return np.zeros(0, dtype=np.uint8), np.zeros(1, dtype=np.int64)
     offsets = np.frombuffer(texts.buffers()[1], dtype=kind)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
