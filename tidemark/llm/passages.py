@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.frames import held_out, labelled_sample, with_text_columns
+from tidemark.llm.frames import fresh, held_out, labelled_sample, with_text_columns
 from tidemark.llm.words import buffers, distinct, hash_words, pieces
 
 
@@ -148,7 +148,8 @@ def fit_quality(sample: DataFrame, settings: Settings = Settings()) -> dict | No
 
 
 def score_quality(docs: DataFrame, model: dict | None, text: str = "text", name: str = "score", settings: Settings = Settings()) -> DataFrame:
-    """``docs`` and a double column ``name`` from 0 to 1."""
+    """``docs`` and a double column ``name`` from 0 to 1 (with underscores before it where ``docs`` has one of that name)."""
+    name = fresh(docs.columns, name)
     if model is None:
         return docs.withColumn(name, F.lit(0.5))
     shared = docs.sparkSession.sparkContext.broadcast(model)

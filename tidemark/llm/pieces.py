@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.frames import staged
+from tidemark.llm.frames import fresh, staged
 from tidemark.llm.words import pieces
 
 MARK, LITERAL = "▁", "\udb81"
@@ -339,7 +339,8 @@ def encode_documents(docs: DataFrame, path: str | None = None, settings: Setting
 
 
 def decode_documents(encoded: DataFrame, path: str | None = None, name: str = "text") -> DataFrame:
-    """``encoded`` and the text that its ``ids`` spell."""
+    """``encoded`` and the text that its ``ids`` spell, as ``name`` (with underscores before it where that is taken)."""
+    name = fresh(encoded.columns, name)
     shared = encoded.sparkSession.sparkContext.broadcast(Model(path or default_path()).spelled)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -105,7 +105,8 @@ def fit_toxicity(sample: DataFrame, settings: Settings = Settings()) -> tuple[np
 
 
 def score_toxicity(docs: DataFrame, model, text: str = "text", name: str = "score", settings: Settings = Settings()) -> DataFrame:
-    """``docs`` and a double column ``name`` from 0 to 1."""
+    """``docs`` and a double column ``name`` from 0 to 1 (with underscores before it where ``docs`` has one of that name)."""
+    name = fresh(docs.columns, name)
     if model is None:
         return docs.withColumn(name, F.lit(0.0))
     shared = docs.sparkSession.sparkContext.broadcast(model)
