@@ -72,6 +72,9 @@ def encode_passages(texts: pa.Array, s: Settings) -> tuple[np.ndarray, np.ndarra
     length = np.diff(np.append(begin, len(raw)))  # white space after a word belongs to it
     own = raw[begin[0]:]
     counts = np.bincount(np.repeat(passage * _CLASSES, length) + _CLASS[own], minlength=ends[-1] * _CLASSES).reshape(-1, _CLASSES)
+    after = np.append(begin[1:], len(raw))
+    for k in np.flatnonzero(after > bounds[text_of + 1]).tolist():  # white space that opens the texts after it
+        counts[passage[k]] -= np.bincount(_CLASS[raw[bounds[text_of[k] + 1]:after[k]]], minlength=_CLASSES)
     out[:, :_CLASSES] = np.sqrt(counts / np.maximum(1, counts.sum(axis=1, keepdims=True)))
     size = np.bincount(passage, minlength=ends[-1])
     some = np.maximum(1, size)
