@@ -33,9 +33,8 @@ def coverage_states(
     else:
         out = out.withColumn("_failed", F.lit(None).cast("boolean"))
     if quarantined is not None:
-        bad = quarantined.filter(F.col(date) == expected).select(F.col(date).alias("_expected")).distinct()
-        out = out.withColumn("_expected", expected).join(bad.withColumn("_quarantined", F.lit(True)), "_expected", "left")
-        out = out.withColumn("_quarantined", F.coalesce("_quarantined", F.lit(False)))
+        bad = quarantined.filter(F.col(date) == expected).agg((F.count(F.lit(1)) > 0).alias("_bad"))
+        out = out.withColumn("_quarantined", bad.scalar())  # one value, computed once beside the plan
     else:
         out = out.withColumn("_quarantined", F.lit(False))
     ok = F.coalesce(F.col("_valid"), F.lit(False))

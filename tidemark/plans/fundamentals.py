@@ -93,16 +93,17 @@ def choose_facts(
 
     # both are the reviewed map, a few dozen rows
     mapped = facts.join(F.broadcast(concepts), "concept").join(F.broadcast(taxonomies), "taxonomy", "left")
+    dated = mapped.groupBy(*filing).agg(F.max("filed_date").alias("_filed"))
+    newest_filing = dated.groupBy(*group).agg(F.max(F.struct("_filed", "accession_number")).alias("_f")).select(
+        *group, F.col("_f.accession_number").alias("accession_number"))
+    mapped = mapped.join(newest_filing, filing, "left_semi")
     per_concept = mapped.groupBy(*filing, "target", "concept_rank").agg(F.min(candidate).alias("_c"), *keep)
     usable = F.when(F.col("_c.unusable") == 0, F.struct("concept_rank", F.col("_c.value").alias("value"), F.col("_c.days").alias("days")))
     per_target = per_concept.groupBy(*filing, "target").agg(F.min(usable).alias("_best"), *keep)
     of = lambda t, f, name: F.expr(f"max(CASE WHEN target = '{t}' THEN _best.{f} END) AS {name}")
-    wide = per_target.groupBy(*filing).agg(
+    return per_target.groupBy(*filing).agg(
         *[of(t, "value", t) for t in targets], *[of(t, "days", f"_days_{t}") for t in targets if t in DERIVABLE_FIELDS], *keep,
     )
-    rest = [c for c in wide.columns if c not in {*filing, "filed_date"}]
-    newest_filing = wide.groupBy(*group).agg(F.max(F.struct("filed_date", "accession_number", *rest)).alias("_f"))
-    return newest_filing.select(*group, "_f.*")
 
 
 def _missing(source: str) -> Column:

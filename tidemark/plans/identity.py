@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Matching levels in order; a level needs all its fields non-blank.
@@ -20,23 +20,39 @@ def reconcile_cascade(
     """JOI-20. Adds ``matched_id``, ``match_level`` and ``match_status``.
 
     The first level with any match decides: one match is MATCHED, more is AMBIGUOUS, and
-    no level at all is UNMATCHED. Each level joins one row per key of the dimension
-    (count and least id), so ambiguous keys never multiply the positions.
+    no level at all is UNMATCHED. All levels are looked up in one pass: the distinct key
+    profiles of the positions and the dimension are exploded into (level, key), the
+    dimension with a count and least id per key, and each profile keeps its least level.
+    Repeated profiles are looked up once, ambiguous keys never multiply the positions, and
+    positions without any key meet no key at all.
     """
     clean = lambda c: F.nullif(F.upper(F.trim(F.col(c).cast("string"))), F.lit(""))
     fields = list(dict.fromkeys(f for _, fs in levels for f in fs))
-    out = positions.withColumns({f"_p_{f}": clean(f) for f in fields})
-    for name, fs in levels:
-        keyed = dim.select(F.col(target).alias("_id"), *[clean(f).alias(f"_d_{f}") for f in fs]).dropna(subset=[f"_d_{f}" for f in fs])
-        owners = keyed.groupBy(*[f"_d_{f}" for f in fs]).agg(F.count(F.lit(1)).alias(f"_n_{name}"), F.min("_id").alias(f"_id_{name}"))
-        condition = F.lit(True)
-        for f in fs:
-            condition = condition & (F.col(f"_p_{f}") == F.col(f"_d_{f}"))
-        out = out.join(owners, condition, "left").drop(*[f"_d_{f}" for f in fs])
-    level = F.coalesce(*[F.when(F.col(f"_n_{n}") >= 1, F.lit(n)) for n, _ in levels])
-    count = F.coalesce(*[F.when(F.col(f"_n_{n}") >= 1, F.col(f"_n_{n}")) for n, _ in levels], F.lit(0))
-    found = F.coalesce(*[F.when(F.col(f"_n_{n}") >= 1, F.col(f"_id_{n}")) for n, _ in levels])
+
+    def keys(prefix: str) -> Column:
+        """(level, key) of every level all of whose fields are present; a key is its fields in JSON."""
+        made = []
+        for n, (_, fs) in enumerate(levels):
+            present = F.lit(True)
+            for f in fs:
+                present = present & F.col(f"{prefix}{f}").isNotNull()
+            made.append(F.when(present, F.struct(F.lit(n).alias("level"), F.to_json(F.array(*[F.col(f"{prefix}{f}") for f in fs])).alias("key"))))
+        return F.array_compact(F.array(*made))
+
+    named = positions.withColumns({f"_p_{f}": clean(f) for f in fields})
+    profile = [f"_p_{f}" for f in fields]
+    owners = dim.select(F.col(target).alias("_id"), *[clean(f).alias(f"_d_{f}") for f in fields]).select(
+        "_id", F.inline(keys("_d_"))).groupBy("level", "key").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_id"))
+    wanted = named.select(*profile).distinct().select(*profile, F.inline(keys("_p_")))
+    decided = wanted.join(owners, ["level", "key"]).groupBy(*profile).agg(
+        F.min(F.struct("level", "_n", "_id")).alias("_best")
+    ).select(*[F.col(c).alias(f"_q{c}") for c in profile], "_best.*")
+    same = F.lit(True)
+    for c in profile:
+        same = same & F.col(c).eqNullSafe(F.col(f"_q{c}"))
+    out = named.join(decided, same, "left")
+    names = F.array(*[F.lit(n) for n, _ in levels])
     return out.withColumns({
-        "match_level": level, "matched_id": F.when(count == 1, found),
-        "match_status": F.when(count == 1, F.lit("MATCHED")).when(count > 1, F.lit("AMBIGUOUS")).otherwise(F.lit("UNMATCHED")),
+        "match_level": F.get(names, F.col("level")), "matched_id": F.when(F.col("_n") == 1, F.col("_id")),
+        "match_status": F.when(F.col("_n") == 1, F.lit("MATCHED")).when(F.col("_n") > 1, F.lit("AMBIGUOUS")).otherwise(F.lit("UNMATCHED")),
     }).select(*positions.columns, "matched_id", "match_level", "match_status")
