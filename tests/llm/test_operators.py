@@ -112,13 +112,59 @@ def test_binomial_tail_is_exact(spark):
         assert value == pytest.approx(math.log(sum(math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log(1 - p)) for i in range(k + 1))), abs=1e-8)
 
 
+MEASURED = "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_capitals long, n_exclamations long"
+
+
 def test_cutoffs_keep_their_promise(spark):
-    """Good texts above every cutoff stay below the certified share; a small stratum has no cutoff."""
-    rows = [(k, "big", 20 + k % 50, 100, k % 97 // 90, 0, 0, 5, 0, 0) for k in range(6000)] + [(10_000 + k, "small", 50, 100, 0, 0, 0, 5, 0, 0) for k in range(50)]
-    measured = spark.createDataFrame(rows, "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_capitals long, n_exclamations long")
+    """Good texts that any rule rejects stay below the certified share; a small stratum has no cutoff."""
+    rows = [(k, lang, 60, 100, k * 7919 % 100 // 97 * (1 + k % 40), 0, k * 31 % 60 // 59 * (k % 17), 5, k % 3, 0) for lang, ids in (("big", range(6000)), ("mid", range(6000, 6300)), ("small", range(10_000, 10_150))) for k in ids]
+    measured = spark.createDataFrame(rows, MEASURED)
     table = rules.cutoffs(measured, measured.select("doc_id", F.lit(1).alias("quality")))
-    found = {(r["stratum"], r["rule"]): r["cutoff"] for r in table.collect()}
-    assert {s for s, _ in found} == {"big"} and found["big", "symbol_share"] == pytest.approx(0.01) and found["big", "capital_share"] == 0
+    found = {r["stratum"]: r for r in table.collect()}
+    assert found["small"]["level"] is None and found["small"]["symbol_share"] is None
+    assert found["big"]["level"] >= 0 and found["big"]["exclamations"] == 0 and found["mid"]["level"] is not None
+    judged = rules.verdict(measured, table, certified="sure")
+    lost = {r["lang"]: (r["lost"], r["sure"]) for r in judged.groupBy("lang").agg(F.avg(F.when(F.col("kept"), 0).otherwise(1)).alias("lost"), F.max("sure").alias("sure")).collect()}
+    assert 0 < lost["big"][0] <= 0.02 and lost["mid"][0] <= 0.02 and lost["small"] == (0, False) and lost["big"][1]
+
+
+def test_cutoffs_against_brute_force(spark):
+    """Levels, the walk of exact bounds and the joint cutoffs, recomputed text by text."""
+    s = rules.Settings()
+    rows = [(k, ("a", "b", None)[k % 3], 60, 200, k * 37 % 53 // 40 * (k % 11), k * 13 % 29 // 27, 0, 5, k * 17 % 41, k % 5) for k in range(3000)]
+    measured = spark.createDataFrame(rows, MEASURED)
+    table = {r["stratum"]: r for r in rules.cutoffs(measured, measured.select("doc_id", F.lit(1).alias("quality"))).collect()}
+    path = {r[0] for r in measured.filter(F.pmod(F.xxhash64("doc_id"), F.lit(s.path_of)) == 0).select("doc_id").collect()}
+    steps = {r[0]: [math.ceil(min(1.0, v) * s.steps) for v in (r[4] / r[3], r[5] / r[7], r[6] / r[2], r[8] / r[3], r[9] / r[2])] for r in rows}
+    ordered = [[steps[k][m] for k in path] for m in range(5)]
+
+    def level(k):
+        found = []
+        for m in range(5):
+            at = [x for x in ordered[m] if x >= steps[k][m]]
+            found.append(math.ceil(len(at) * s.levels / len(path)) if at else 0)
+        return min(found)
+
+    def tail(k, n, p):
+        return sum(math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log(1 - p)) for i in range(k + 1))
+
+    for stratum in ("a", "b", "\0"):
+        own = [level(r[0]) for r in rows if (r[1] or "\0") == stratum and r[0] not in path]
+        certified = None
+        for c in range(s.levels + 1):
+            k = sum(x <= c for x in own)
+            if k >= len(own) * s.alpha or tail(k, len(own), s.alpha) > s.delta / 3:
+                break
+            certified = c
+        assert (table[stratum]["good"], table[stratum]["level"]) == (len(own), certified)
+    got = {r["doc_id"]: r["kept"] for r in rules.verdict(measured, rules.cutoffs(measured, measured.select("doc_id", F.lit(1).alias("quality")))).collect()}
+    assert got == {r[0]: (table[r[1] or "\0"]["level"] is None or level(r[0]) > table[r[1] or "\0"]["level"]) for r in rows}
+
+
+def test_quality_rules_on_empty_tables(labels, empty, docs):
+    assert rules.judge(empty.drop("kept"), labels).count() == 0
+    alone = rules.judge(docs.drop("kept"), labels.limit(0))
+    assert alone.count() == docs.count() and alone.filter("certified OR kept = base_failed").count() == 0
 
 
 def test_quality_stage(docs, labels, empty):

@@ -54,7 +54,7 @@ def op8(spark: SparkSession, d: str) -> DataFrame:
 def op4(spark: SparkSession, d: str) -> DataFrame:
     """Quality counts and the risk-controlled verdict of every document."""
     judged = rules.judge(table(spark, d, "documents"), table(spark, d, "labels"))
-    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "certified")
 
 
 @entry("op7_ngram_jaccard")

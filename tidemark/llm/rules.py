@@ -1,14 +1,18 @@
 """Quality rules with cutoffs whose false rejections are bounded (DataFrame functions only).
 
-Every text is measured once. For each stratum (language) and measure, the texts that people
-marked good are a holdout: a cutoff may be used only if the exact one-sided binomial bound on
-the share of good texts above it is at most the rule's part of ``alpha``. Cutoffs are tried from
-the laxest down and the walk ends at the first that fails (fixed-sequence testing), so that only
-strata and rules need a correction, which is Bonferroni's. Hence, with probability 1 - ``delta``
-over the holdout, no stratum loses more than ``alpha`` of its good texts.
+Every text is measured once. The texts that people marked good are split by a hash of their id.
+A fifth of them, all strata together, orders the cutoffs: the level of a measured value is the
+share of these texts that are as bad or worse, in steps of 1 / ``levels``, and a text's level is
+the least over its measures. Rejecting every text up to a level is one joint cutoff of all rules.
+The other good texts are the holdout: in each stratum (language) joint cutoffs are tried from the
+laxest level up, and the walk ends at the first whose exact one-sided binomial bound on the share
+of good texts it rejects is over ``alpha`` (fixed-sequence testing). The union of the rules is
+certified at once, so only the strata need a correction, which is Bonferroni's. Hence, with
+probability 1 - ``delta`` over the holdout, no stratum loses more than ``alpha`` of its good texts.
+The number of strata is not limited: cutoffs are joined to the texts.
 
 Defined cases: null text counts as empty; a null stratum is a stratum of its own; a stratum with
-too few labels for any bound gets no cutoff; labels without a document, or with null values, do
+too few labels for any bound gets no cutoff and is marked so; labels without a document, or with null values, do
 not count, and a document labelled twice counts with the smaller label; repeated rows are judged
 each; other columns pass through.
 """
@@ -24,21 +28,25 @@ from pyspark.sql import functions as F
 from tidemark.llm.frames import fresh, staged
 
 SPACES = r"[\x20\x09-\x0D]+"
-STRATA_LIMIT = 10_000
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``alpha``: good texts a stratum may lose; ``delta``: chance that the promise fails."""
+    """``alpha``: good texts a stratum may lose; ``delta``: chance that the promise fails; ``steps``:
+    grid of a measure; one good text in ``path_of`` orders the cutoffs, the others certify."""
 
     alpha: float = 0.02
     delta: float = 0.05
     steps: int = 400
+    levels: int = 2_000
+    path_of: int = 5
     min_words: int = 20
     repeat_percent: int = 30
     window: int = 8
 
 
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals", "n_exclamations"]
+
 #: Measures of a text, each a share from 0 to 1 where more is worse.
 MEASURES = {
     "symbol_share": "n_symbols / greatest(word_chars, 1)",
@@ -64,7 +72,7 @@ def measure(docs: DataFrame, text: str = "text", settings: Settings = Settings()
     """
     names = names or {}
     own = [F.col(f"`{c}`") for c in docs.columns]
-    added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals", "n_exclamations"]
+    added = COUNTS
     tmp = fresh([*docs.columns, *added, *names.values()], "m")
     t, size = F.coalesce(F.col(f"`{text}`"), F.lit("")), settings.window
     w, lines, h, s, p = (F.col(f"{tmp}_{k}") for k in ("w", "l", "h", "s", "p"))
@@ -125,69 +133,97 @@ def log_binomial_tail(k: Column, n: Column, p: Column) -> Column:
     return top + F.log(F.aggregate(terms, start, add)["total"])
 
 
+def _steps(settings: Settings, names: dict[str, str] | None = None) -> dict[str, Column]:
+    """The grid step of every measure; a text is rejected by a rule beyond its cutoff step."""
+    found = {}
+    for rule, sql in MEASURES.items():
+        for column, name in (names or {}).items():
+            sql = sql.replace(column, f"`{name}`")
+        found[rule] = F.ceil(F.least(F.lit(1.0), F.expr(sql)) * settings.steps).cast("int")
+    return found
+
+
+def _stratum(stratum: str) -> Column:
+    return F.coalesce(F.col(f"`{stratum}`").cast("string"), F.lit("\0"))
+
+
 def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str = "lang", settings: Settings = Settings()) -> DataFrame:
-    """(stratum, rule, cutoff): the strictest certified cutoff of each rule; none, no row.
+    """(stratum, good, level, and per rule the last grid step kept) for every stratum with good texts.
 
-    ``measured`` has doc_id, the stratum and the counts of :func:`measure`. Good texts are
-    counted per (stratum, rule, grid step) before anything is ordered, so the walk sees at most
-    ``steps`` rows per stratum and rule.
+    ``measured`` has doc_id, the stratum and the counts of :func:`measure`. ``level`` and the steps
+    are null where no cutoff is certified. Good texts are counted per grid step before anything
+    is ordered: the order sees ``steps`` rows per rule, the walk ``levels`` rows per stratum.
     """
-    steps = settings.steps
     good = labels.select("doc_id", F.col("quality").cast("int").alias("q")).dropna().groupBy("doc_id").agg(F.min("q").alias("q")).filter("q = 1").select("doc_id")
-    rules = F.explode(F.array(*[
-        F.struct(F.lit(name).alias("rule"), F.least(F.lit(1.0), F.expr(sql)).alias("value")) for name, sql in MEASURES.items()]))
-    held = measured.filter(~base_failed(settings)).join(good, "doc_id").select(
-        F.coalesce(F.col(stratum).cast("string"), F.lit("\0")).alias("stratum"), rules.alias("r"))
-    counts = held.groupBy("stratum", F.col("r.rule").alias("rule"), F.ceil(F.col("r.value") * steps).cast("int").alias("step")).agg(F.count(F.lit(1)).alias("n"))
-    per_rule, n_rules = Window.partitionBy("stratum", "rule"), len(MEASURES)
-    grid = counts.groupBy("stratum", "rule").agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("step", "n"))).alias("at"))
-    strata = grid.select("stratum").distinct().agg(F.count(F.lit(1)).alias("strata"))
-    # good texts above a cutoff of c / steps are those in a step beyond c
-    walk = grid.select("stratum", "rule", "n", "at", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("c")).select(
-        "stratum", "rule", F.col("n").cast("double").alias("n"), "c", F.coalesce(F.try_element_at("at", F.col("c") + 1), F.lit(0)).alias("here"))
-    walk = walk.withColumn("k", F.sum("here").over(per_rule.orderBy(F.desc("c"))).cast("double"))
-    limit = F.lit(settings.alpha / n_rules)
-    number = strata.first()["strata"]
-    allowed = math.log(settings.delta / (n_rules * max(1, number)))
-    passes = F.when(F.col("k") >= F.col("n") * limit, False).otherwise(log_binomial_tail(F.col("k"), F.col("n"), limit) <= allowed)
-    walk = walk.withColumn("failed", F.max(F.when(passes, 0).otherwise(1)).over(per_rule.orderBy(F.desc("c"))))
-    return walk.filter("failed = 0").groupBy("stratum", "rule").agg((F.min("c") / steps).alias("cutoff"))
-
-
-def cutoff_map(table: DataFrame) -> dict[tuple[str, str], float]:
-    """The cutoffs on the driver: strata x rules rows; more than STRATA_LIMIT strata are refused."""
-    rows = table.limit(STRATA_LIMIT * len(MEASURES) + 1).collect()
-    if len(rows) > STRATA_LIMIT * len(MEASURES):
-        raise ValueError(f"a stratum column may have at most {STRATA_LIMIT} values")
-    return {(r["stratum"], r["rule"]): r["cutoff"] for r in rows}
-
-
-def verdict(df: DataFrame, table: DataFrame, stratum: str = "lang", settings: Settings = Settings(), name: str = "kept", prefix: str = "") -> DataFrame:
-    """``df`` with a boolean: neither base rule nor any certified cutoff rejects the text."""
-    found = cutoff_map(table)
-    key = F.coalesce(F.col(f"`{stratum}`").cast("string"), F.lit("\0"))
+    values = F.struct(*[v.alias(r) for r, v in _steps(settings).items()])
+    ordering = F.pmod(F.xxhash64("doc_id"), F.lit(settings.path_of)) == 0
+    held = staged(measured.filter(~base_failed(settings)).join(good, "doc_id").select(
+        _stratum(stratum).alias("stratum"), ordering.alias("ordering"), values.alias("at")).select("stratum", "ordering", "at.*"), "good-texts")
+
+    # per rule: level of each grid step seen among the ordering texts, from the share at or beyond it
+    seen = held.filter("ordering").select(F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("step")) for r in MEASURES])).alias("r")).select(
+        "r.*").groupBy("rule", "step").agg(F.count(F.lit(1)).alias("n"))
+    worse, all_texts = Window.partitionBy("rule").orderBy(F.desc("step")), Window.partitionBy("rule")
+    levels = seen.select("rule", "step", F.ceil(F.sum("n").over(worse) * settings.levels / F.sum("n").over(all_texts)).cast("int").alias("level"))
+    found = {(r["rule"], r["step"]): r["level"] for r in levels.collect()}  # at most ``steps`` + 1 per rule
+    path = {}
+    for rule in MEASURES:
+        dense, level = [], 0
+        for step in range(settings.steps, -1, -1):  # a step between seen ones has the level of the next one seen
+            level = found.get((rule, step), level)
+            dense.append(level)
+        path[rule] = F.lit(dense[::-1])
+
+    tested = held.filter("NOT ordering").select("stratum", F.least(*[F.get(path[r], F.col(r)) for r in MEASURES]).alias("level")).groupBy("stratum", "level").agg(F.count(F.lit(1)).alias("n"))
+    tested = staged(tested, "good-levels")
+    number = max(1, tested.agg(F.count_distinct("stratum")).first()[0])
+    own = Window.partitionBy("stratum")
+    walk = tested.select(
+        "stratum", "level", F.sum("n").over(own).cast("double").alias("n"), F.sum("n").over(own.orderBy("level")).cast("double").alias("k"))
+    allowed, limit = math.log(settings.delta / number), F.lit(settings.alpha)
+    fails = F.when(F.col("k") >= F.col("n") * limit, True).otherwise(log_binomial_tail(F.col("k"), F.col("n"), limit) > allowed)
+    # the number rejected changes only at the levels seen, so the walk ends before the first of them that fails
+    ends = walk.withColumn("fails", fails).groupBy("stratum").agg(F.max("n").alias("good"), (F.min(F.when(F.col("fails"), F.col("level"))) - 1).alias("last"))
+    enough = F.col("good") * math.log1p(-settings.alpha) <= allowed  # even no rejection certifies nothing in a smaller stratum
+    last = F.when(enough & (F.col("last") >= 0), F.col("last"))
+
+    def kept_steps(rule: str) -> Column:
+        """Levels fall with the steps: those beyond the certified level come first."""
+        return F.when(F.col("level").isNotNull(), F.size(F.filter(path[rule], lambda x: x > F.col("level"))) - 1).alias(rule)
+
+    return ends.select("stratum", F.col("good").cast("long").alias("good"), last.cast("int").alias("level")).select(
+        "stratum", "good", "level", *[kept_steps(r) for r in MEASURES])
+
+
+def verdict(df: DataFrame, table: DataFrame, stratum: str = "lang", settings: Settings = Settings(), name: str = "kept", prefix: str = "", certified: str | None = None) -> DataFrame:
+    """``df`` with a boolean: neither base rule nor any certified cutoff rejects the text.
+
+    ``certified`` names one more boolean: whether the text's stratum has certified cutoffs. The
+    table is written first, so that the planner knows its size and broadcasts it only if small.
+    """
+    tmp = fresh([*df.columns, name], "cut")
+    table = staged(table.filter("level IS NOT NULL").select(
+        F.col("stratum").alias(f"{tmp}_s"), *[F.col(r).alias(f"{tmp}_{r}") for r in MEASURES]), "cutoffs")
+    joined = df.join(table, _stratum(stratum) == F.col(f"{tmp}_s"), "left")
     rejected = base_failed(settings, prefix)
-    for rule, sql in MEASURES.items():
-        own = [x for (s, r), c in sorted(found.items()) if r == rule for x in (F.lit(s), F.lit(c))]
-        for column in ("n_symbols", "word_chars", "n_dup_lines", "n_lines", "n_repeat_words", "n_words", "n_capitals", "n_exclamations"):
-            sql = sql.replace(column, f"`{prefix}{column}`")
-        if own:
-            rejected = rejected | F.coalesce(F.ceil(F.least(F.lit(1.0), F.expr(sql)) * settings.steps) / settings.steps > F.try_element_at(F.create_map(*own), key), F.lit(False))
-    return df.withColumn(name, ~rejected)
+    for rule, step in _steps(settings, {c: f"{prefix}{c}" for c in COUNTS}).items():
+        rejected = rejected | F.coalesce(step > F.col(f"{tmp}_{rule}"), F.lit(False))
+    more = [F.col(f"{tmp}_s").isNotNull().alias(certified)] if certified else []
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns if c != name], (~rejected).alias(name), *more)
 
 
 def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", settings: Settings = Settings()) -> DataFrame:
-    """Counts and verdict of every document: doc_id, stratum, the counts, base_failed, kept."""
+    """Counts and verdict of every document: doc_id, stratum, the counts, base_failed, kept, certified."""
     measured = staged(measure(docs.select("doc_id", stratum, "text"), "text", settings).drop("text"), "quality-measures")
     table = cutoffs(measured, labels, stratum, settings)
-    return verdict(measured.withColumn("base_failed", base_failed(settings)), table, stratum, settings)
+    return verdict(measured.withColumn("base_failed", base_failed(settings)), table, stratum, settings, certified="certified")
 
 
 def drop_rejected(docs: DataFrame, labels: DataFrame, stratum: str = "lang", settings: Settings = Settings()) -> DataFrame:
     """The rows of ``docs`` that every rule lets through, with their columns as they were."""
     measured = staged(measure(docs.select("doc_id", stratum, "text"), "text", settings).drop("text"), "quality-measures")
     table = cutoffs(measured, labels, stratum, settings)
-    prefix, added = "q_", ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals", "n_exclamations"]
+    prefix, added = "q_", COUNTS
     while any(f"{prefix}{a}".lower() in {c.lower() for c in docs.columns} for a in [*added, "kept", "row"]):
         prefix = f"_{prefix}"
     measured = measure(docs, "text", settings, {a: f"{prefix}{a}" for a in added}, f"{prefix}row")
