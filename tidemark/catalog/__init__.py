@@ -7,7 +7,7 @@ days for sessions, orders for filings, line items for facts, positions and trade
 from tidemark.catalog.base import ENTRIES, SQL
 from tidemark.catalog import (  # noqa: F401  registration
     quality, history, listings, identity, documents, fundamentals, ownership, benchmark, gates, read_model, streams, landed,
-    releases,
+    releases, disclosures,
 )
 
 __all__ = ["ENTRIES", "SQL"]
