@@ -134,7 +134,20 @@ filed AS (
   FROM filings)"""
 
 
-def raw_filings(t: Tables) -> DataFrame:
+#: accession number that stays apart for any order: the millions of its key as the filing agent
+AGENT_ACCESSION = "lpad(CAST(o_orderkey // 1000000 AS VARCHAR), 10, '0') || '-' || strftime(o_orderdate, '%y') || '-' || lpad(CAST(o_orderkey % 1000000 AS VARCHAR), 6, '0')"
+
+AGENT_FILINGS = FILINGS.replace("lpad(CAST(o_custkey AS VARCHAR), 10, '0') || '-' || strftime(o_orderdate, '%y') || '-' || lpad(CAST(o_orderkey AS VARCHAR), 6, '0')", AGENT_ACCESSION)
+
+
+def agent_accession() -> Column:
+    """:data:`AGENT_ACCESSION` of an order."""
+    return F.concat_ws("-", F.lpad(F.expr("cast(o_orderkey div 1000000 as string)"), 10, "0"), F.date_format("o_orderdate", "yy"),
+                       F.lpad((F.col("o_orderkey") % 1_000_000).cast("string"), 6, "0"))
+
+
+def raw_filings(t: Tables, accession: Column | None = None) -> DataFrame:
+    """``accession`` replaces the number made of customer, year and order."""
     o = t.orders
     status, cust = F.col("o_orderstatus"), F.lpad(F.col("o_custkey").cast("string"), 10, "0")
     forms = {"1-URGENT": "8-K", "2-HIGH": "SC 13D", "3-MEDIUM": "424B5", "4-NOT SPECIFIED": "S-3"}
@@ -145,7 +158,7 @@ def raw_filings(t: Tables) -> DataFrame:
     accepted = F.timestamp_seconds(F.unix_date(filed).cast("bigint") * 86400 + F.floor(F.col("o_totalprice") / 7))
     return o.select(
         F.concat(F.lit("C"), "o_custkey").alias("security_id"), cust.alias("cik"),
-        F.concat_ws("-", cust, F.date_format("o_orderdate", "yy"), F.lpad(F.col("o_orderkey").cast("string"), 6, "0")).alias("accession_number"),
+        (F.concat_ws("-", cust, F.date_format("o_orderdate", "yy"), F.lpad(F.col("o_orderkey").cast("string"), 6, "0")) if accession is None else accession).alias("accession_number"),
         form.alias("form"), filed.alias("filing_date"),
         F.when(~((status == "P") & (F.col("o_orderpriority") == "1-URGENT")), accepted).alias("acceptance_datetime_utc"),
         F.when(status == "F", F.date_sub(filed, 40)).alias("report_date"),
@@ -157,11 +170,11 @@ def raw_filings(t: Tables) -> DataFrame:
 RETRIEVED = "2002-01-01 00:00:00"
 
 
-def filings(t: Tables) -> DataFrame:
+def filings(t: Tables, accession: Column | None = None) -> DataFrame:
     """Contract-shaped filings; attribution is by the filer, so every form is kept here."""
     from tidemark.functions import available_date, filing_url, pit_columns
 
-    return raw_filings(t).select(
+    return raw_filings(t, accession).select(
         "*", filing_url("cik", "accession_number", "primary_document").alias("primary_document_url"),
         F.col("form").endswith("/A").alias("is_amendment"), F.lit(None).cast("string").alias("file_number"),
         F.lit(None).cast("string").alias("film_number"),

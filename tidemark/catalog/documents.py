@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.catalog.base import FILINGS, RETRIEVED, Tables, day, filings, naive, query, r6, raw_filings
+from tidemark.catalog.base import AGENT_ACCESSION, AGENT_FILINGS, FILINGS, RETRIEVED, Tables, agent_accession, day, filings, naive, query, r6, raw_filings
 from tidemark.functions import (
     available_date, cik10, cik10_strict, filing_attribution, form_emitted, hash_id, market_time_class, normalize_name, parse_source_date,
     parse_utc, source_date_unparsed, unit_status,
@@ -141,16 +141,16 @@ _FACT_ROWS = """rows AS (
   UNION ALL SELECT o_custkey, o_orderkey, o_orderstatus, 'Assets', 'EUR', o_totalprice * 3, NULL, NULL, CAST(o_orderdate AS DATE) FROM orders)"""
 
 
-@query("company_facts", f"""WITH {FILINGS}, {_FACT_ROWS}
+@query("company_facts", f"""WITH {AGENT_FILINGS}, {_FACT_ROWS}
 SELECT r.o_orderkey AS order_key, 'C' || r.o_custkey AS security_id, concept, unit, CASE WHEN unit = 'USD' THEN 'SUPPORTED' ELSE 'UNSUPPORTED' END AS unit_status, value, year(filed) AS fiscal_year, pe AS period_end,
-  f.acceptance_datetime_utc AS accepted, f.available AS published FROM rows r JOIN filed f ON f.accession_number = lpad(CAST(r.o_custkey AS VARCHAR), 10, '0') || '-' || strftime(filed, '%y') || '-' || lpad(CAST(r.o_orderkey AS VARCHAR), 6, '0')
+  f.acceptance_datetime_utc AS accepted, f.available AS published FROM rows r JOIN filed f ON f.accession_number = {AGENT_ACCESSION.replace('o_orderdate', 'filed')}
 WHERE pe IS NULL OR filed >= pe""")
 def company_facts(t: Tables) -> DataFrame:
     """One nested fact document per order, exploded and joined with its filing."""
     d = F.to_date("o_orderdate")
     text = lambda c: F.date_format(c, "yyyy-MM-dd")
     cik = F.lpad(F.col("o_custkey").cast("string"), 10, "0")
-    accession = F.concat_ws("-", cik, F.date_format(d, "yy"), F.lpad(F.col("o_orderkey").cast("string"), 6, "0"))
+    accession = agent_accession()
 
     def fact(value, start, end):
         return F.struct(
@@ -173,7 +173,7 @@ def company_facts(t: Tables) -> DataFrame:
         explode_company_facts(documents), primary, filings(t), cutoff=day("2002-01-01"), revision="r", retrieved_at=_at()
     )
     return facts.select(
-        F.substring("accession_number", 15, 6).cast("bigint").alias("order_key"), "security_id", "concept", "unit", "unit_status", "value",
+        (F.substring("accession_number", 1, 10).cast("bigint") * 1_000_000 + F.substring("accession_number", 15, 6).cast("bigint")).alias("order_key"), "security_id", "concept", "unit", "unit_status", "value",
         "fiscal_year", "period_end", F.col("source_acceptance_datetime_utc").cast("timestamp_ntz").alias("accepted"), F.col("source_publication_date").alias("published"),
     )
 
