@@ -17,10 +17,11 @@ _WINDOW = "BETWEEN DATE '2000-06-30' - 180 AND DATE '2000-06-30' + 365"
 
 
 @query("evidence_union", f"""WITH {EVENTS}
-SELECT 'sec-filing:' || security_id || ':' || accession_number AS evidence_id, 'SEC_FILING' AS evidence_kind, coalesce(acceptance_datetime_utc, retrieved) AS known_at_utc, acceptance_datetime_utc AS source_event_at, primary_document_url AS source_locator, form || ' filing' AS headline, primary_document AS summary FROM filed
-UNION ALL SELECT 'corporate-event:' || security_id || ':' || event_id, 'CORPORATE_EVENT', coalesce(acceptance_datetime_utc, retrieved), acceptance_datetime_utc, primary_document_url, 'SEC ' || form || ' filing: ' || subtype, 'Deterministic event classification from SEC form and item metadata.' FROM corporate WHERE coalesce(report_date, filing_date) {_WINDOW}
-UNION ALL SELECT 'earnings-event:' || security_id || ':' || event_id, 'EARNINGS_EVENT', coalesce(acceptance_datetime_utc, retrieved), acceptance_datetime_utc, primary_document_url, 'EARNINGS_RELEASE ', NULL FROM earnings WHERE event_date {_WINDOW}""")
+SELECT 'sec-filing:' || security_id || ':' || accession_number AS evidence_id, 'SEC_FILING' AS evidence_kind, coalesce(acceptance_datetime_utc, retrieved) AS known_at_utc, acceptance_datetime_utc AS source_event_at, primary_document_url AS source_locator, form || ' filing' AS headline, primary_document AS summary FROM (FROM filed QUALIFY row_number() OVER (PARTITION BY security_id, accession_number ORDER BY acceptance_datetime_utc DESC NULLS LAST, primary_document_url, form, primary_document NULLS LAST) = 1)
+UNION ALL SELECT 'corporate-event:' || security_id || ':' || event_id, 'CORPORATE_EVENT', coalesce(acceptance_datetime_utc, retrieved), acceptance_datetime_utc, primary_document_url, 'SEC ' || form || ' filing: ' || subtype, 'Deterministic event classification from SEC form and item metadata.' FROM (FROM corporate WHERE coalesce(report_date, filing_date) {_WINDOW} QUALIFY row_number() OVER (PARTITION BY security_id, event_id ORDER BY acceptance_datetime_utc DESC NULLS LAST, primary_document_url, form, subtype) = 1)
+UNION ALL SELECT 'earnings-event:' || security_id || ':' || event_id, 'EARNINGS_EVENT', coalesce(acceptance_datetime_utc, retrieved), acceptance_datetime_utc, primary_document_url, 'EARNINGS_RELEASE ', NULL FROM (FROM earnings WHERE event_date {_WINDOW} QUALIFY row_number() OVER (PARTITION BY security_id, event_id ORDER BY acceptance_datetime_utc DESC NULLS LAST, primary_document_url) = 1)""")
 def evidence_union(t: Tables) -> DataFrame:
+    """SET-01: one row a filing or event of a security, the newest; equally new ones by source, headline and summary."""
     out = rm.build_evidence(filings(t), corporate_events(t), earnings_events(t), day("2000-06-30"))
     return out.select("evidence_id", "evidence_kind", naive("known_at_utc"), naive("source_event_at"), "source_locator", "headline", "summary")
 

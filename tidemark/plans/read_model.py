@@ -46,14 +46,18 @@ def evidence_part(
     df: DataFrame, *, prefix: str, kind: str, revision: str, known: Sequence[str], event: Sequence[str], locator: str,
     headline: Column, summary: str, order: Sequence[Column], window: Column | None = None,
 ) -> DataFrame:
-    """One branch of SET-01, deduplicated per (security, revision) before the union."""
+    """One branch of SET-01, deduplicated per (security, revision) before the union.
+
+    Rows equal in ``order`` are told apart by what is shown of them.
+    """
     rows = df.filter(
         F.col(revision).isNotNull() & F.col("security_id").isNotNull() & F.col(locator).isNotNull()
         & F.coalesce(*known).isNotNull()
     )
     if window is not None:
         rows = rows.filter(window)
-    one = latest_per_key(rows, ["security_id", revision], order)
+    ties = [F.col(locator), headline, F.col(summary), F.coalesce(*known), F.coalesce(*event)]
+    one = latest_per_key(rows, ["security_id", revision], [*order, *[c.asc_nulls_last() for c in ties]])
     return one.select(
         F.concat(F.lit(f"{prefix}:"), "security_id", F.lit(":"), revision).alias("evidence_id"), "security_id",
         F.lit(kind).alias("evidence_kind"), F.coalesce(*known).alias("known_at_utc"), F.col(revision).alias("revision"),
