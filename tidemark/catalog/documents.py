@@ -170,7 +170,7 @@ def company_facts(t: Tables) -> DataFrame:
     )).alias("facts"))
     primary = t.orders.select(cik.alias("cik"), F.concat(F.lit("C"), "o_custkey").alias("security_id")).distinct()
     facts, _ = build_company_facts(
-        explode_company_facts(documents), primary, filings(t), cutoff=day("2002-01-01"), revision="r", retrieved_at=_at()
+        explode_company_facts(documents), primary, filings(t, accession), cutoff=day("2002-01-01"), revision="r", retrieved_at=_at()
     )
     return facts.select(
         (F.substring("accession_number", 1, 10).cast("bigint") * 1_000_000 + F.substring("accession_number", 15, 6).cast("bigint")).alias("order_key"), "security_id", "concept", "unit", "unit_status", "value",
@@ -179,8 +179,9 @@ def company_facts(t: Tables) -> DataFrame:
 
 
 @query("filings", f"""WITH {FILINGS} SELECT security_id, accession_number, form, filing_date, acceptance_datetime_utc, report_date, primary_document_url, available AS source_publication_date,
-  coalesce(report_date, filing_date) AS source_event_date FROM filed WHERE filing_date <= DATE '2000-12-31' AND form <> 'SC 13D'""")
+  coalesce(report_date, filing_date) AS source_event_date FROM (SELECT DISTINCT * FROM filed WHERE filing_date <= DATE '2000-12-31' AND form <> 'SC 13D') QUALIFY count(*) OVER (PARTITION BY cik, accession_number) = 1""")
 def filing_table(t: Tables) -> DataFrame:
+    """PIP-04: a filer's own filings; accession numbers with conflicting rows are left out."""
     raw = raw_filings(t)
     primary = raw.select("cik", "security_id").distinct()
     rows = raw.drop("security_id").withColumns({"file_number": F.lit(None).cast("string"), "film_number": F.lit(None).cast("string")})
