@@ -87,7 +87,7 @@ c AS (SELECT security, period, sum(value) FILTER (WHERE rn <= 10) / nullif(sum(v
 
 
 @query("ownership_signals", f"""WITH {_TABLE} SELECT security AS security_id, period AS report_period, known_13f_shares, manager_count, breadth AS net_manager_breadth, round(top, 6) AS top_10_manager_concentration,
-  round((exp(breadth / 5.0) - 1) / (exp(breadth / 5.0) + 1), 6) AS ownership_signal_score, filing - period AS publication_lag_days, CASE WHEN reviewed THEN 'READY' ELSE 'PARTIAL_NAME_MAPPED' END AS signal_quality_status FROM s JOIN c USING (security, period)""")
+  round(tanh(breadth / 10.0), 6) AS ownership_signal_score, filing - period AS publication_lag_days, CASE WHEN reviewed THEN 'READY' ELSE 'PARTIAL_NAME_MAPPED' END AS signal_quality_status FROM s JOIN c USING (security, period)""")
 def ownership_signals(t: Tables) -> DataFrame:
     rows = t.lineitem.filter("l_returnflag = 'A'").join(t.part, F.col("p_partkey") == F.col("l_partkey"))
     filed = rows.groupBy(
