@@ -217,6 +217,15 @@ f AS (SELECT event_id, user_id, list_sort(list_filter([
   CASE WHEN k = 57 THEN 'INVALID_BROKER_REASON_CODES' END, CASE WHEN k = 58 THEN 'STALE_BROKER_ELIGIBILITY' END, CASE WHEN k = 59 THEN 'RESPONSE_PRECEDES_REQUEST' END, CASE WHEN k = 60 THEN 'RESPONSE_AFTER_SNAPSHOT' END], lambda x: x IS NOT NULL)) AS reasons FROM q)"""
 
 
+def every_quote_rule(sql: str) -> str:
+    """``sql`` with the rule on prices that are not positive; a quote of two prices of 0 is not crossed and has no spread."""
+    sessions = "CASE WHEN event_type <> 'signup' AND k = 7 "
+    prices = "CASE WHEN event_type <> 'signup' AND NOT coalesce(value > 0 AND value * (1 + (k - 10) / 1000) > 0 AND isfinite(value) AND isfinite(k), false) THEN 'INVALID_QUOTE_VALUE' END, "
+    middle = "(((value * (1 + (k - 10) / 1000)) + value) / 2)"
+    crossed = "k < 10 THEN 'CROSSED_MARKET'"
+    return sql.replace(sessions, prices + sessions).replace(middle, f"nullif({middle}, 0)").replace(crossed, f"value <> 0 AND {crossed}")
+
+
 def quotes(t: Tables) -> DataFrame:
     k = F.from_json("props", "k double")["k"]
     ts = F.col("ts").cast("timestamp")
@@ -247,7 +256,7 @@ def quotes(t: Tables) -> DataFrame:
 _POLICY = QuotePolicy(spread_bps=500.0)
 
 
-@query("quote_reasons", f"WITH {_QUOTES} SELECT event_id, array_to_string(reasons, '|') AS block_reasons, CASE WHEN len(reasons) = 0 THEN 'READY' ELSE 'BLOCKED' END AS status FROM f")
+@query("quote_reasons", f"WITH {every_quote_rule(_QUOTES)} SELECT event_id, array_to_string(reasons, '|') AS block_reasons, CASE WHEN len(reasons) = 0 THEN 'READY' ELSE 'BLOCKED' END AS status FROM f")
 def quote_reasons(t: Tables) -> DataFrame:
     rows = quotes(t).withColumn("reasons", quote_block_reasons(policy=_POLICY))
     return rows.select("event_id", listed("reasons").alias("block_reasons"), F.when(F.size("reasons") == 0, "READY").otherwise("BLOCKED").alias("status"))
