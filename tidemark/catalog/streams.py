@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.catalog.base import Tables, listed, naive, query
-from tidemark.catalog.gates import quotes
+from tidemark.catalog.gates import every_quote_rule, quotes
 from tidemark.functions import QuotePolicy
 from tidemark.session import scratch_table
 from tidemark.streaming import gate_quotes_stream, run_available, segment_stream, session_stream, state_session, upsert_batches
@@ -122,7 +122,7 @@ f AS (SELECT q.*, list_sort(list_filter([
   CASE WHEN k = 59 THEN 'RESPONSE_PRECEDES_REQUEST' END, CASE WHEN k = 60 THEN 'RESPONSE_AFTER_SNAPSHOT' END], lambda x: x IS NOT NULL)) AS reasons FROM q LEFT JOIN st USING (event_id) LEFT JOIN br USING (event_id))"""
 
 
-@query("streaming_quotes", f"WITH {_GATED} SELECT user_id AS security_id, ts AS cutoff_utc, array_to_string(reasons, '|') AS block_reasons, CASE WHEN len(reasons) = 0 THEN 'READY' ELSE 'BLOCKED' END AS status FROM f WHERE ts <= (SELECT max(ts) FROM events) - INTERVAL 15 MINUTE")
+@query("streaming_quotes", f"WITH {every_quote_rule(_GATED)} SELECT user_id AS security_id, ts AS cutoff_utc, array_to_string(reasons, '|') AS block_reasons, CASE WHEN len(reasons) = 0 THEN 'READY' ELSE 'BLOCKED' END AS status FROM f WHERE ts <= (SELECT max(ts) FROM events) - INTERVAL 15 MINUTE")
 def streaming_quotes(t: Tables) -> DataFrame:
     """STR-01: quotes, status and broker records as three streams; records behind the watermark are left out.
 
