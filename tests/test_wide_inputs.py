@@ -41,7 +41,7 @@ def wide(tmp_path_factory):
 
 
 @pytest.mark.parametrize("name", [
-    "company_facts", "evidence_union", "filings", "ownership_signals", "quote_reasons", "streaming_quotes",
+    "company_facts", "evidence_union", "filings", "ownership_signals", "quote_reasons", "streaming_quotes", "streaming_segments",
 ])
 def test_query_equals_sql(spark, wide, name):
     problems, rows, _ = compare(spark, duck(wide), name, QUERIES[name], SQL[name], wide)

@@ -79,18 +79,18 @@ def streaming_late_rows(t: Tables) -> DataFrame:
     return t.spark.read.parquet(_upserted(t)[1]).groupBy("event_id", "user_id", "value").agg(F.count(F.lit(1)).alias("deliveries"))
 
 
-@query("streaming_segments", f"""WITH {ARRIVAL}, r AS (SELECT *, max(ts) OVER (PARTITION BY user_id ORDER BY batch, ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM arrival),
+@query("streaming_segments", f"""WITH {ARRIVAL}, r AS (SELECT *, max(ts) OVER (PARTITION BY user_id ORDER BY batch, ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM arrival),
 late AS (SELECT event_id FROM r WHERE ts <= seen), kept AS (SELECT * FROM arrival WHERE event_id NOT IN (FROM late)),
 p AS (SELECT *, lag(ts) OVER w AS pt, lag(value) OVER w AS pv FROM kept WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
-b AS (SELECT *, CASE WHEN pt IS NOT NULL AND epoch_us(ts) - epoch_us(pt) > 86400000000 THEN 'SESSION_GAP' WHEN greatest(value / pv, pv / value) >= 50 THEN 'INVALID_PRICE_DISCONTINUITY' END AS segment_break_reason FROM p)
+b AS (SELECT *, CASE WHEN pt IS NOT NULL AND epoch_us(ts) - epoch_us(pt) > 86400000000 THEN 'SESSION_GAP' WHEN value > 0 AND pv > 0 AND greatest(value / pv, pv / value) >= 50 THEN 'INVALID_PRICE_DISCONTINUITY' END AS segment_break_reason FROM p)
 SELECT event_id, user_id, segment_break_reason, CAST(sum(CASE WHEN segment_break_reason IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS BIGINT) AS segment_id, false AS late FROM b
 UNION ALL SELECT event_id, user_id, NULL, NULL, true FROM arrival WHERE event_id IN (FROM late)""")
 def streaming_segments(t: Tables) -> DataFrame:
-    """STR-03 with gap and ratio, late rows marked."""
+    """STR-03 with gap and ratio, late rows marked; of rows of one time the smallest event is kept."""
     out, log = scratch_table(t.spark, "segments-out"), scratch_table(t.spark, "segments-log")
     with state_session(t.spark, cores(t)) as own:
         rows = event_batches(t, own).select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), "value")
-        cut = segment_stream(rows, ["user_id"], "ts", "value", gap_seconds=86_400, ratio=50.0)
+        cut = segment_stream(rows, ["user_id"], "ts", "value", gap_seconds=86_400, ratio=50.0, ties=["event_id"])
         run_available(cut.writeStream.format("parquet").option("path", out).outputMode("append"), log)
     return t.spark.read.parquet(out).select("event_id", "user_id", "segment_break_reason", "segment_id", "late")
 

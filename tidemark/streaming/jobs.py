@@ -161,12 +161,12 @@ def session_stream(events: DataFrame, keys: Sequence[str], time: str, value: str
     ).drop("_w")
 
 
-def segment_stream(events: DataFrame, keys: Sequence[str], time: str, price: str, *, gap_seconds: float, ratio: float, expire_seconds: int | None = None, delay: str = "0 seconds") -> DataFrame:
+def segment_stream(events: DataFrame, keys: Sequence[str], time: str, price: str, *, gap_seconds: float, ratio: float, expire_seconds: int | None = None, delay: str = "0 seconds", ties: Sequence[str] = ()) -> DataFrame:
     """STR-03 with gap and ratio: the rows with ``segment_break_reason``, ``segment_id`` and ``late``.
 
     One state row per key, its last time, price and segment, read and written only when the key
     has rows in a batch. A row at or before its key's last time is late: it gets no segment and
-    changes nothing. With ``expire_seconds`` a key's state is dropped once the watermark
+    changes nothing; ``ties`` order the rows of one time in a batch. With ``expire_seconds`` a key's state is dropped once the watermark
     (``delay`` behind the newest time) is so far past its last row; the key then starts anew, and
     rows behind the watermark are left out.
     """
@@ -174,12 +174,12 @@ def segment_stream(events: DataFrame, keys: Sequence[str], time: str, price: str
         events = events.withWatermark(time, delay)
     made = [T.StructField("segment_break_reason", T.StringType()), T.StructField("segment_id", T.LongType()), T.StructField("late", T.BooleanType())]
     return events.groupBy(*keys).applyInPandasWithState(
-        last_row(time, price, gap_seconds, ratio, expire_seconds), T.StructType([*events.schema.fields, *made]), "at long, price double, segment long", "append",
+        last_row(time, price, gap_seconds, ratio, expire_seconds, ties), T.StructType([*events.schema.fields, *made]), "at long, price double, segment long", "append",
         GroupStateTimeout.NoTimeout if expire_seconds is None else GroupStateTimeout.EventTimeTimeout,
     )
 
 
-def last_row(time: str, price: str, gap_seconds: float, ratio: float, expire_seconds: int | None) -> Callable:
+def last_row(time: str, price: str, gap_seconds: float, ratio: float, expire_seconds: int | None, ties: Sequence[str] = ()) -> Callable:
     """State function of one key for :func:`segment_stream`."""
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -188,7 +188,7 @@ def last_row(time: str, price: str, gap_seconds: float, ratio: float, expire_sec
         known = state.get if state.exists else None
         if known and expire_seconds is not None and known[0] // 1000 + 1000 * expire_seconds <= state.getCurrentWatermarkMs():
             known = None  # rows came with the batch that would have dropped it
-        frame = pd.concat(list(frames), ignore_index=True).sort_values(time, kind="stable", ignore_index=True)
+        frame = pd.concat(list(frames), ignore_index=True).sort_values([time, *ties], kind="stable", ignore_index=True)
         at = frame[time].astype("datetime64[us]").astype("int64").to_numpy()
         lowest = known[0] if known else np.iinfo(np.int64).min
         late = at <= np.maximum(np.concatenate([[lowest], at[:-1]]), lowest)
