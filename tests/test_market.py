@@ -135,3 +135,20 @@ def test_refresh_lane_wins_and_previous_lane_is_carried(spark, rows):
     previous = spark.createDataFrame([("A", "d0", 5.0, "CHART_REFRESH"), ("B", "d0", 6.0, "CHART_REFRESH"), ("C", "d0", 7.0, "SNAPSHOT")], schema)
     carried = keys.carry_forward_absent(merged, previous, "source_symbol", ("source_dataset", "CHART_REFRESH"))
     assert carried.count() == 4 and carried.filter("source_symbol = 'B'").count() == 1
+
+
+@pytest.mark.parametrize("chunk_rows", [None, 16])
+def test_only_last_segments_leave_the_ordered_pass(feed, spark, monkeypatch, chunk_rows):
+    prices, splits, _, aliases = feed
+    staged = {}
+
+    def keep(df, name):
+        staged[name] = spark.createDataFrame(df.collect(), df.schema)
+        return staged[name]
+
+    monkeypatch.setattr(market, "stage", keep)
+    market.build_market_history(prices, splits, aliases, expected=day(CUTOFF), oldest_active=day(WEEK_BEFORE), chunk_rows=chunk_rows)
+    last = staged["segmented"].groupBy("security_id").agg(F.countDistinct("segment_id").alias("n"), F.max("session_date").alias("newest"))
+    newest = staged["best_alias"].groupBy("security_id").agg(F.max("session_date").alias("newest"))
+    assert last.filter("n <> 1").count() == 0
+    assert sorted(map(tuple, last.select("security_id", "newest").collect())) == sorted(map(tuple, newest.collect()))

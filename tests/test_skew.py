@@ -133,3 +133,12 @@ def test_latest_segment_of_bars(spark, tables, rows):
     last = lambda hot: segments.latest_segment(cut(hot), ["security_id"], "session_date", ~is_invalid_ohlcv(), 20)
     columns = ("security_id", "session_date", "segment_id", "valid_segment_start_date", "previous_segment_latest_date", "history_rank")
     assert rows(last(10), *columns) == rows(last(None), *columns)
+
+
+def test_maximum_of_the_whole_key(spark):
+    df = spark.range(3000).select((F.col("id") % 7).alias("k"), F.col("id").alias("t"), F.xxhash64("id").alias("v")).unionByName(
+        spark.range(3).select(F.lit(None).cast("long").alias("k"), F.col("id").alias("t"), F.col("id").alias("v")))
+    want = {r["k"]: r["m"] for r in df.groupBy("k").agg(F.max("v").alias("m")).collect()}
+    for chunk_rows in (None, 32):
+        got = OrderedKeys(df, ["k"], ["t"], chunk_rows).maximum("m", F.col("v")).result()
+        assert got.count() == 3003 and {(r["k"], r["m"]) for r in got.select("k", "m").distinct().collect()} == set(want.items())

@@ -14,7 +14,7 @@ from tidemark.operators.skew import OrderedKeys
 def segment_history(
     df: DataFrame, keys: Sequence[str], date: str, price: str, *,
     gap: Column, ratio: float, actions: DataFrame | None = None, action_date: str = "event_date",
-    slot: str | None = None, slots: int = 1, chunk_rows: int | None = None,
+    slot: str | None = None, slots: int = 1, chunk_rows: int | None = None, last_only: bool = False,
 ) -> DataFrame:
     """WIN-03. Adds previous_session, previous_close, segment_break_reason, segment_id.
 
@@ -22,7 +22,8 @@ def segment_history(
     ``previous_session``) or when its price moved by ``ratio`` or more against the
     previous row and no corporate action of the same key (and ``slot``, when rows carry
     one of ``slots`` numbers) lies in (previous_session, date]. ``date`` must be unique
-    per key. Actions ride the same ordered pass as the rows, so there is one shuffle.
+    per key. Actions ride the same ordered pass as the rows, so there is one shuffle. With
+    ``last_only`` the pass gives the rows of each key's last segment alone.
     """
     payload = df.columns
     source = df.withColumns({"_t": F.col(date), "_row": F.lit(1)})
@@ -54,7 +55,11 @@ def segment_history(
     ordered.with_columns({"previous_session": F.col(f"_prev.{date}"), "previous_close": F.col(f"_prev.{price}")})
     ordered.with_columns({"segment_break_reason": F.when(is_row, reason)})
     ordered.running(sums={"segment_id": F.when(F.col("segment_break_reason").isNotNull(), 1).otherwise(0)})
+    if last_only:
+        ordered.maximum("_last", F.col("segment_id"))
     out = ordered.result()
+    if last_only:
+        out = out.filter(F.col("segment_id") == F.col("_last"))
     if actions is not None:
         out = out.filter(is_row)
     return out.select(

@@ -121,6 +121,21 @@ class OrderedKeys:
         )
         return self
 
+    def maximum(self, name: str, column: Column) -> "OrderedKeys":
+        """Add the largest value of ``column`` among all rows of the key."""
+        inside = [*self.keys, "_chunk"] if self.split else self.keys
+        local = self.df.withColumn(name, F.max(column).over(Window.partitionBy(*inside)))
+        if not self.split:
+            self.df = local
+            return self
+        copies = [f"_c_{k}" for k in inside]
+        chunks = self.df.filter("_long").groupBy(*[F.col(k).alias(c) for k, c in zip(inside, copies, strict=True)]).agg(F.max(column).alias("_t"))
+        whole = chunks.select(*copies, F.max("_t").over(Window.partitionBy(*copies[:-1])).alias("_w"))
+        # one row per chunk, as in running
+        joined = local.join(whole, same_keys(inside, "_c_"), "left")
+        self.df = joined.withColumn(name, F.greatest(name, "_w")).drop(*copies, "_w")
+        return self
+
     def with_columns(self, columns: Mapping[str, Column]) -> "OrderedKeys":
         self.df = self.df.withColumns(dict(columns))
         return self

@@ -46,7 +46,7 @@ def history_candidates(
     segmented = segments.segment_history(
         best, ["security_id"], "session_date", "close",
         gap=F.datediff("session_date", "previous_session") > gap_days, ratio=ratio,
-        actions=actions, slot="priority", slots=3, chunk_rows=chunk_rows,
+        actions=actions, slot="priority", slots=3, chunk_rows=chunk_rows, last_only=True,
     )
     return segments.latest_segment(stage(segmented, "segmented"), ["security_id"], "session_date", ~is_invalid_ohlcv(), n)
 
