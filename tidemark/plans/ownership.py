@@ -75,8 +75,14 @@ def identity_conflicts(rows: DataFrame, master: DataFrame, cik: str = "issuer_ci
     return joined.withColumn("conflict", reason).filter("conflict is not null").drop("_known", "_master_cik")
 
 
-def insider_rows(submissions: DataFrame, nonderivative: DataFrame, derivative: DataFrame, cutoff: Column) -> tuple[DataFrame, DataFrame]:
-    """JOI-09. Both transaction tables with their submission: (rows, rows without one)."""
+def insider_rows(
+    submissions: DataFrame, nonderivative: DataFrame, derivative: DataFrame, master: DataFrame, universe: DataFrame, cutoff: Column,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """JOI-09. Both transaction tables with their submission and its issuer: (rows of a known
+    security, rows rejected for identity, rows without a submission).
+
+    Issuers are decided per submission, and the joined rows are parsed once and written.
+    """
     def shaped(df: DataFrame, key: str, is_derivative: bool) -> DataFrame:
         # a derivative table may lack columns of the other one
         text = lambda c: blank_to_null(c) if c in df.columns else F.lit(None).cast("string")
@@ -99,13 +105,17 @@ def insider_rows(submissions: DataFrame, nonderivative: DataFrame, derivative: D
         F.col("ACCESSION_NUMBER").alias("accession_number"), parse_source_date("FILING_DATE").alias("filing_date"),
         cik10("ISSUERCIK").alias("issuer_cik"), F.col("ISSUERTRADINGSYMBOL").alias("issuer_symbol"),
         blank_to_null("DOCUMENT_TYPE").alias("_document"), bool_value("AFF10B5ONE").alias("is_10b5_1"),
+    ).filter(accession_ok("accession_number"))
+    mapped, refused = resolve_issuer(parents, master, universe)
+    none = F.lit(None).cast("string")
+    decided = mapped.withColumn("reject_reason", none).unionByName(refused.withColumn("security_id", none.cast(mapped.schema["security_id"].dataType)))
+    joined = stage(rows.join(decided.withColumn("_found", F.lit(True)), "accession_number", "left"), "insider-rows")
+    known = joined.filter(F.col("_found") & (F.col("filing_date") <= cutoff) & F.col("transaction_date").isNotNull())
+    known = known.withColumn("form", F.coalesce("_document", "_form")).drop("_document", "_form", "_found")
+    return (
+        known.filter("security_id IS NOT NULL").drop("reject_reason"), known.filter("security_id IS NULL").drop("security_id"),
+        joined.filter("_found IS NULL"),
     )
-    lost = rows.filter(~accession_ok("accession_number")).unionByName(
-        rows.filter(accession_ok("accession_number")).join(parents, "accession_number", "left_anti")
-    )
-    joined = rows.filter(accession_ok("accession_number")).join(parents, "accession_number")
-    known = joined.filter((F.col("filing_date") <= cutoff) & F.col("transaction_date").isNotNull())
-    return known.withColumn("form", F.coalesce("_document", "_form")).drop("_document", "_form"), lost
 
 
 def build_insider_transactions(
@@ -113,8 +123,7 @@ def build_insider_transactions(
     master: DataFrame, universe: DataFrame, filings: DataFrame, cutoff: Column, retrieved_at: Column,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """PIP-10. (transactions, rejected for identity, broken rows with reasons)."""
-    rows, lost = insider_rows(submissions, nonderivative, derivative, cutoff)
-    mapped, rejected = resolve_issuer(rows, master, universe)
+    mapped, rejected, lost = insider_rows(submissions, nonderivative, derivative, master, universe, cutoff)
     people = owners.select(
         F.col("ACCESSION_NUMBER").alias("accession_number"), cik10("RPTOWNERCIK").alias("reporting_owner_cik"),
         blank_to_null("RPTOWNERNAME").alias("reporting_owner_name"),
