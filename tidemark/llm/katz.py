@@ -1,14 +1,13 @@
 """Katz back-off language model over words, counted and evaluated by Spark.
 
-An n-gram's probability is its Good-Turing discounted relative frequency where it was met at least
-``least`` times in training (rarer ones are left to the back-off, as Katz suggests for n-grams met
-once), and otherwise the back-off weight of its context times the probability of the n-gram without
-its first word. Weights are normalised exactly: what a context's kept words leave, over what the
+An n-gram's probability is its Good-Turing discounted relative frequency where it was met in
+training, if only once, and otherwise the back-off weight of its context times the probability of
+the n-gram without its first word. Weights are normalised exactly: what a context's kept words leave, over what the
 lower order leaves. Words not met in training share the mass that the discounted words leave.
 
-Because an n-gram is kept only if its shorter forms are, the recursion adds up along a text: for
-every token and order, ``log p(kept n-gram) - log weight(context) - log p(shorter form)`` if it is
-kept, and the weight of every context met. The table holds that sum per n-gram, keyed by its 64-bit
+Because an n-gram is met only if its shorter forms are, the recursion adds up along a text: for
+every token and order, ``log p(n-gram) - log weight(context) - log p(shorter form)`` if it was
+met, and the weight of every context met. The table holds that sum per n-gram, keyed by its 64-bit
 number and dealt to partitions by it. A text's n-grams go to the partitions in packed blocks, are
 looked up there, and only sums per text return; no list of n-grams or texts is gathered.
 
@@ -39,7 +38,6 @@ BEGIN, END = np.uint64(0x1B873593CC9E2D51), np.uint64(0x85EBCA6BC2B2AE35)
 @dataclass(frozen=True)
 class Settings:
     order: int = 2
-    least: int = 2
     discounted: int = 7
     floor: float = 0.1
 
@@ -92,7 +90,7 @@ def _part(keys: np.ndarray, parts: int) -> np.ndarray:
 
 
 def count_ngrams(docs: DataFrame, s: Settings, parts: int) -> DataFrame:
-    """level, key, context, suffix, c of every kept n-gram; rows with level < 0 hold the number of
+    """level, key, context, suffix, c of every n-gram; rows with level < 0 hold the number of
     n-grams (``context``) and occurrences (``suffix``) of count ``c`` (at most ``discounted`` + 2)."""
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
@@ -128,19 +126,18 @@ def count_ngrams(docs: DataFrame, s: Settings, parts: int) -> DataFrame:
         head = np.flatnonzero(np.concatenate([[True], keys[order][1:] != keys[order][:-1]]))
         c = np.add.reduceat(counts[order], head)
         first = order[head]
-        kept = np.flatnonzero(c >= (s.least if level > 1 else 1))
         real = keys[first] != BEGIN if level == 1 else np.ones(len(first), dtype=bool)
         few = np.minimum(c[real], s.discounted + 2)
         sums, times = np.bincount(few, weights=c[real]).astype(np.int64), np.bincount(few)
         some = np.flatnonzero(times)
-        zero = np.zeros(len(kept), dtype=np.int64)
-        named = lambda c: np.concatenate([_unpack(b, np.uint64) for b in table[c].to_pylist()])[first[kept]].view(np.int64) if level > 1 else zero
+        zero = np.zeros(len(first), dtype=np.int64)
+        named = lambda c: np.concatenate([_unpack(b, np.uint64) for b in table[c].to_pylist()])[first].view(np.int64) if level > 1 else zero
         return pa.table({
-            "level": pa.array(np.concatenate([np.full(len(kept), level), np.full(len(some), -level)]), pa.int32()),
-            "key": pa.array(np.concatenate([keys[first[kept]].view(np.int64), np.zeros(len(some), dtype=np.int64)])),
+            "level": pa.array(np.concatenate([np.full(len(first), level), np.full(len(some), -level)]), pa.int32()),
+            "key": pa.array(np.concatenate([keys[first].view(np.int64), np.zeros(len(some), dtype=np.int64)])),
             "context": pa.array(np.concatenate([named("contexts"), times[some]])),
             "suffix": pa.array(np.concatenate([named("suffixes"), sums[some]])),
-            "c": pa.array(np.concatenate([c[kept], some])),
+            "c": pa.array(np.concatenate([c, some])),
         })
 
     train = docs.filter("NOT held_out").select("text").mapInArrow(blocks, "part int, level int, keys binary, contexts binary, suffixes binary, counts binary")
