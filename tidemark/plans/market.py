@@ -18,7 +18,11 @@ BAR = ["open", "high", "low", "close", "volume"]
 
 
 def best_alias(prices: DataFrame, aliases: DataFrame, date: str = "session_date", lane: str = REFRESH_LANE) -> DataFrame:
-    """JOI-02. One row per (security, date): priority, symbol, refresh lane, newest, revision."""
+    """JOI-02. One row per (security, date): priority, symbol, refresh lane, newest, revision.
+
+    Nearly every key has one row, so rows are dealt by key before they are ranked: a limit before
+    the shuffle would sort the whole split of a scan in one task and drop next to nothing.
+    """
     joined = prices.join(aliases, "source_symbol")
     order = [F.col("priority"), F.col("source_symbol")]
     if date == "session_date":
@@ -28,7 +32,7 @@ def best_alias(prices: DataFrame, aliases: DataFrame, date: str = "session_date"
         ]
     else:
         order += [F.col("split_factor")]
-    return latest_per_key(joined, ["security_id", date], order)
+    return latest_per_key(joined.repartition("security_id", date), ["security_id", date], order)
 
 
 def history_candidates(
