@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import sources
-from tidemark.catalog.base import FEED, Tables, day, price_feed, query, securities, split_feed
+from tidemark.catalog.base import FEED, Tables, day, dealt_aliases, price_feed, query, securities, split_feed
 from tidemark.contracts import PRICES, SPLITS
 from tidemark.plans import market
 from tidemark.session import scratch_table
@@ -207,7 +207,7 @@ def landed_feed(t: Tables) -> DataFrame:
     path = scratch_table(t.spark, "feed")
     feed = price_feed(t).withColumnRenamed("source_symbol", "symbol").withColumn("report_date", F.date_format("session_date", "yyyy-MM-dd"))
     feed.select("symbol", "report_date", "open", "high", "low", "close", "volume").write.parquet(path)
-    aliases = sources.alias_table(securities(t))
+    aliases = dealt_aliases(t)
     return sources.scan_prices(t.spark, path, aliases, day("2001-09-30"), dataset="SNAPSHOT", revision="1", observed_at="-")
 
 
@@ -215,7 +215,7 @@ def landed_feed(t: Tables) -> DataFrame:
 SELECT b.security_id, ticker, a.source_symbol, b.session_date, count(*) AS candidates FROM best b JOIN aliases a USING (security_id, ticker) JOIN feed f ON f.source_symbol = a.source_symbol AND f.session_date = b.session_date WHERE a.priority = b.p GROUP BY ALL""")
 def published_prices(t: Tables) -> DataFrame:
     """SRC-01, JOI-02, SNK-01/02: landed prices, one row per security and session, published and read back twice."""
-    aliases, scanned, out = sources.alias_table(securities(t)), landed_feed(t), scratch_table(t.spark, "prices")
+    aliases, scanned, out = dealt_aliases(t), landed_feed(t), scratch_table(t.spark, "prices")
     chosen = market.best_alias(scanned, aliases)
     sources.write_prices(chosen.select(*PRICES.columns).withColumn("security_id", F.col("security_id").cast("string")), out)
     read = sources.write_prices(t.spark.read.parquet(out), out)  # a published table is replaced by its next version
@@ -227,7 +227,7 @@ def published_prices(t: Tables) -> DataFrame:
 SELECT security_id, ticker, source_symbol, event_date, split_factor FROM best""")
 def published_splits(t: Tables) -> DataFrame:
     """SRC-02, SNK-01/02: landed splits published and read back."""
-    path, out, aliases = scratch_table(t.spark, "splits-in"), scratch_table(t.spark, "splits-out"), sources.alias_table(securities(t))
+    path, out, aliases = scratch_table(t.spark, "splits-in"), scratch_table(t.spark, "splits-out"), dealt_aliases(t)
     split_feed(t).select(F.col("source_symbol").alias("symbol"), F.col("event_date").alias("report_date"), "split_factor").write.parquet(path)
     good, _ = sources.scan_splits(t.spark, path, aliases, day("2030-01-01"), dataset="SNAPSHOT", revision="1", observed_at="-")
     best = market.best_alias(good, aliases, "event_date").withColumn("security_id", F.col("security_id").cast("string"))
