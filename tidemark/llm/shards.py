@@ -10,7 +10,8 @@ shard ``s // per_shard`` and reading can resume at any slot.
 A shard is written under a name of its own attempt and moved into place, with equal bytes each
 time, so repeated or lost tasks leave one whole file. Sequence numbers follow the order in which
 the documents were read: ids are written once with task and number in the task, and the totals of
-the tasks come from that table, so a task run again meets the same numbers.
+the tasks come from that table, so a task run again meets the same numbers. Shards are written in
+``passes`` ranges one after the other, so only one range's records are in the shuffle at a time.
 
 Defined cases: null or empty text has no sequence; repeated rows are sequences each; an empty table
 gives no shard.
@@ -22,6 +23,7 @@ import base64
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +46,7 @@ class Settings:
     key: int = 0x5EED
     rounds: int = 6
     cached_words: int = 400_000
+    passes: int = 2
 
 
 def slots(index: np.ndarray, total: int, key: int, rounds: int) -> np.ndarray:
@@ -146,6 +149,7 @@ def materialise(docs: DataFrame, folder: str, encoded: str, path: str | None = N
 
     ``stored`` tells whether the record read back from the shard has the bytes that were to be written.
     The ids are kept in a table at ``encoded`` until the shards are written: texts are tokenised once.
+    Every pass reads that table and deals the records of its own shards; its rows are a stored table.
     """
     s = settings
     spark = docs.sparkSession
@@ -182,7 +186,7 @@ def materialise(docs: DataFrame, folder: str, encoded: str, path: str | None = N
         total += found[task]
     places = spark.sparkContext.broadcast(before)
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def place(batches: Iterator[pa.RecordBatch], low: int, high: int) -> Iterator[pa.RecordBatch]:
         before = places.value
         for batch in pieces(batches, "ids", 1 << 20):
             raw, bounds = buffers(batch.column("ids"))
@@ -198,12 +202,15 @@ def materialise(docs: DataFrame, folder: str, encoded: str, path: str | None = N
             head = np.fromiter((before[t] for t in batch.column("task").to_pylist()), dtype=np.int64, count=len(n)) + batch.column("first").to_numpy(zero_copy_only=False)
             part = np.arange(rows) - np.repeat(start, n)
             slot = slots(np.repeat(head, n) + part, total, s.key, s.rounds)
+            shard = slot // s.per_shard
+            own = np.flatnonzero((shard >= low) & (shard < high))
+            ends = pa.py_buffer(np.arange(len(own) + 1, dtype=np.int32) * (2 * s.length))
+            records = pa.Array.from_buffers(pa.binary(), len(own), [None, ends, pa.py_buffer(data[own])])
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id").take(pa.array(np.repeat(np.arange(len(n)), n))), pa.array(part.astype(np.int32)), pa.array(sizes), pa.array(slot),
-                pa.array((slot // s.per_shard).astype(np.int32)), pa.array([row.tobytes() for row in data], pa.binary())],
+                batch.column("doc_id").take(pa.array(np.repeat(np.arange(len(n)), n)[own])), pa.array(part[own].astype(np.int32)), pa.array(sizes[own]),
+                pa.array(slot[own]), pa.array(shard[own].astype(np.int32)), records],
                 names=["doc_id", "part", "n_tokens", "slot", "shard", "record"])
 
-    placed = coded.mapInArrow(place, f"doc_id {kind}, part int, n_tokens int, slot long, shard int, record binary")
     stride = 2 * s.length
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,10 +225,13 @@ def materialise(docs: DataFrame, folder: str, encoded: str, path: str | None = N
             final = f"{root}/shard-{shard:08d}.bin"
             system.move(name, final)
             with system.open_input_file(final) as back:
-                for meta, records in kept:
-                    ok = [back.read_at(stride, (slot % s.per_shard) * stride) == record for slot, record in records]
-                    offset = [(slot % s.per_shard) * stride for slot, _ in records]
-                    yield pa.RecordBatch.from_arrays([*meta.columns, pa.array(offset, pa.int64()), pa.array(ok, pa.bool_())], names=[*meta.schema.names, "offset", "stored"])
+                there = np.frombuffer(back.read(), dtype=np.uint8)
+            there = there[:len(there) // stride * stride].reshape(-1, stride)
+            for meta, records in kept:
+                place = meta.column("slot").to_numpy() % s.per_shard
+                ok = place < len(there)
+                ok[ok] = (there[place[ok]] == records[ok]).all(axis=1)
+                yield pa.RecordBatch.from_arrays([*meta.columns, pa.array(place * stride, pa.int64()), pa.array(ok, pa.bool_())], names=[*meta.schema.names, "offset", "stored"])
             kept.clear()
 
         for batch in batches:
@@ -236,16 +246,23 @@ def materialise(docs: DataFrame, folder: str, encoded: str, path: str | None = N
                     shard, name = int(own[a]), f"{root}/.{uuid.uuid4().hex}"
                     stream = system.open_output_stream(name)
                 rows = batch.slice(a, b - a)
-                records = rows.column("record").to_pylist()
-                for record in records:
-                    stream.write(record)
-                kept.append((rows.select(["doc_id", "part", "n_tokens", "slot", "shard"]), list(zip(rows.column("slot").to_pylist(), records, strict=True))))
+                raw, bounds = buffers(rows.column("record"))
+                records = raw[bounds[0]:bounds[-1]].reshape(-1, stride).copy()
+                stream.write(records)
+                kept.append((rows.select(["doc_id", "part", "n_tokens", "slot", "shard"]), records))
         if stream is not None:
             yield from close()
 
     shards = max(1, -(-total // s.per_shard))
-    dealt = placed.repartitionById(shards, F.col("shard")).sortWithinPartitions("slot")
-    return dealt.mapInArrow(write, f"doc_id {kind}, part int, n_tokens int, slot long, shard int, offset long, stored boolean")
+    passes = min(s.passes, shards)
+    cuts = [shards * k // passes for k in range(passes + 1)]
+
+    def written(low: int, high: int) -> DataFrame:
+        placed = coded.mapInArrow(lambda batches: place(batches, low, high), f"doc_id {kind}, part int, n_tokens int, slot long, shard int, record binary")
+        dealt = placed.repartitionById(high - low, F.col("shard") - low).sortWithinPartitions("slot")
+        return staged(dealt.mapInArrow(write, f"doc_id {kind}, part int, n_tokens int, slot long, shard int, offset long, stored boolean"), "token-manifest")
+
+    return reduce(DataFrame.unionByName, [written(low, high) for low, high in zip(cuts, cuts[1:], strict=False)])
 
 
 def read_from(folder: str, slot: int, settings: Settings = Settings()) -> Iterator[np.ndarray]:
@@ -268,6 +285,6 @@ def training_order(docs: DataFrame, folder: str | None = None, path: str | None
     """The shards of ``docs`` written in the shared folder, and their manifest as a stored table."""
     spark = docs.sparkSession
     encoded = scratch_table(spark, "token-ids")
-    manifest = staged(materialise(docs, folder or scratch_table(spark, "token-shards"), encoded, path, settings), "token-manifest")
+    manifest = materialise(docs, folder or scratch_table(spark, "token-shards"), encoded, path, settings)
     discard(spark, encoded)
     return manifest
