@@ -24,6 +24,7 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -110,7 +111,7 @@ class Tokenizer:
         made = [self.word(" " + w) for w in words] + [self.word(words[c]) for c in plain.tolist()]  # the first word has no space
         codes[heads] = len(words) + at_head
         length = np.fromiter(map(len, made), dtype=np.int64, count=len(made))
-        flat = np.fromiter((i for x in made for i in x), dtype=np.uint16, count=int(length.sum()))
+        flat = np.fromiter(chain.from_iterable(made), dtype=np.uint16, count=int(length.sum()))
         per = length[codes] if len(codes) else codes
         before = np.concatenate([[0], np.cumsum(per)]).astype(np.int64)
         first = np.cumsum(length) - length
@@ -163,7 +164,7 @@ def materialise(docs: DataFrame, folder: str, encoded: str, path: str | None = N
         from tidemark.llm.shards import _tokenizer
 
         tokenizer, task, at = _tokenizer(shared, name, s.cached_words), TaskContext.get().partitionId(), 0
-        for batch in pieces(batches, "text", 2 << 20):
+        for batch in pieces(batches, "text", 4 << 20):
             ids, offsets = tokenizer.batch(batch.column("text"))
             n = -(-np.diff(offsets) // s.length)
             first = at + np.cumsum(n) - n
@@ -195,7 +196,11 @@ def materialise(docs: DataFrame, folder: str, encoded: str, path: str | None = N
             rows = int(n.sum())
             start = np.cumsum(n) - n  # first sequence of each text
             data = np.full(rows * s.length, END_ID, dtype="<u2")
-            data[np.arange(len(ids)) - np.repeat(np.cumsum(sizes_of) - sizes_of, sizes_of) + np.repeat(start * s.length, sizes_of)] = ids
+            place, size = (start * s.length).tolist(), sizes_of.tolist()
+            at = 0
+            for k, own in zip(place, size, strict=True):
+                data[k:k + own] = ids[at:at + own]
+                at += own
             data = data.reshape(rows, s.length)
             sizes = np.full(rows, s.length, dtype=np.int32)
             sizes[start + n - 1] = sizes_of - (n - 1) * s.length
