@@ -50,10 +50,10 @@ def fresh(taken: list[str], name: str) -> str:
     return name
 
 
-def with_text_columns(df: DataFrame, text: str, fields: list[T.StructField], function: Callable[[pa.Array], list[pa.Array]]) -> DataFrame:
-    """All columns of ``df`` and the columns that ``function`` makes of its texts, batch by batch."""
+def with_text_columns(df: DataFrame, text: str, fields: list[T.StructField], function: Callable[[pa.Array], list[pa.Array]], most: int = 4 << 20) -> DataFrame:
+    """All columns of ``df`` and the columns that ``function`` makes of about ``most`` bytes of its texts at a time."""
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, text):
+        for batch in pieces(batches, text, most):
             made = function(batch.column(text))
             yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, *names])
 

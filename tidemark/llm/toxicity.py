@@ -27,7 +27,8 @@ from tidemark.llm.words import distinct, hash_words, mix, owners, pieces
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample_rows`` bounds the labelled documents that are learned from."""
+    """``sample_rows`` bounds the labelled documents that are learned from; features are made of
+    about ``slice_bytes`` of text at a time, each taking some 50 times as much memory."""
 
     bits: int = 20
     prefix: int = 4
@@ -37,6 +38,7 @@ class Settings:
     beta: float = 1.0
     l1: float = 1.5
     l2: float = 1.0
+    slice_bytes: int = 1 << 18
 
 
 def features(texts: pa.Array, bits: int, prefix: int) -> tuple[np.ndarray, np.ndarray]:
@@ -91,7 +93,7 @@ def fit_toxicity(sample: DataFrame, settings: Settings = Settings()) -> tuple[np
     """
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", settings.slice_bytes):
             bins, offsets = features(batch.column("text"), settings.bits, settings.prefix)
             bins = bins.astype(np.int32)
             rows += [(bins[offsets[k]:offsets[k + 1]].copy(), y) for k, y in enumerate(batch.column("label").to_pylist())]
@@ -111,17 +113,20 @@ def score_toxicity(docs: DataFrame, model, text: str = "text", name: str = "scor
         return docs.withColumn(name, F.lit(0.0))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     bits, prefix = settings.bits, settings.prefix
+    dense = []  # filled once in a task
 
     def score(texts: pa.Array) -> list[pa.Array]:
-        kept, values = shared.value
-        w = np.zeros((1 << bits) + 1)
-        w[kept] = values
+        if not dense:
+            kept, values = shared.value
+            dense.append(np.zeros((1 << bits) + 1))
+            dense[0][kept] = values
+        w = dense[0]
         bins, offsets = features(texts, bits, prefix)
         total = np.concatenate([[0.0], np.cumsum(w[bins])])
         margin = total[offsets[1:]] - total[offsets[:-1]] + w[-1]
         return [pa.array(1.0 / (1.0 + np.exp(-np.clip(margin, -35, 35))), pa.float64())]
 
-    return with_text_columns(docs, text, [T.StructField(name, T.DoubleType())], score)
+    return with_text_columns(docs, text, [T.StructField(name, T.DoubleType())], score, settings.slice_bytes)
 
 
 def train_on(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()):
