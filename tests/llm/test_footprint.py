@@ -27,3 +27,26 @@ def test_toxicity_is_scored_in_small_slices(spark, monkeypatch):
     tracemalloc.stop()
     assert peak < 40e6  # 4 MB at a time took over 100
     assert np.allclose(np.concatenate(parts), whole, rtol=1e-12)
+
+
+def test_distinct_words_are_encoded_in_one_call():
+    from tidemark.llm import shards
+
+    calls = []
+
+    class Counted:
+        def __init__(self, encoding):
+            self.encoding = encoding
+
+        def __getattr__(self, name):
+            calls.append(name)
+            return getattr(self.encoding, name)
+
+    tokenizer = shards.Tokenizer(*shards._ranks(None), 400_000)
+    plain, tokenizer.encoding = tokenizer.encoding, Counted(tokenizer.encoding)
+    texts = [" ".join(f"w{(31 * k + j) % 997}'s, çö漢" for j in range(50)) for k in range(40)]
+    texts += ["foo\n", "\nfoo bar\n", "a b\tc d", "x\ny z", "", None, "  two", "it's we'll 123 !!!", "'s 're a\r", "<|endoftext|> a"]
+    ids, offsets = tokenizer.batch(pa.array(texts))
+    assert len(calls) < 100  # one a word took over 900
+    for k, text in enumerate(texts):
+        assert ids[offsets[k]:offsets[k + 1]].tolist() == plain.encode_ordinary(text or "")

@@ -78,6 +78,8 @@ class Tokenizer:
 
         self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.most, self.known = most, {}
+        self.opens = np.zeros(1 + max(ranks.values(), default=0), dtype=bool)
+        self.opens[[i for b, i in ranks.items() if b[:1] == b" "]] = True
 
     def word(self, word: str) -> list[int]:
         ids = self.known.get(word)
@@ -88,6 +90,23 @@ class Tokenizer:
             self.known[word] = ids
         return ids
 
+    def spaced(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, lengths) of all words, each with a space before it. They are encoded as one text, cut again
+        at the ids that begin with a space; words that begin or end with white space go alone."""
+        alone = [k for k, w in enumerate(words) if w.strip() != w]
+        odd = [words[k] for k in alone]
+        for k in alone:
+            words[k] = "a"
+        ids = np.asarray(self.encoding.encode_to_numpy(" " + " ".join(words), disallowed_special=()), dtype=np.uint16) if words else np.zeros(0, dtype=np.uint16)
+        first = np.flatnonzero(self.opens[ids])
+        length = np.diff(np.append(first, len(ids)))
+        if odd:
+            rows = np.split(ids, first[1:])
+            for k, w in zip(alone, odd, strict=True):
+                rows[k] = np.array(self.word(" " + w), dtype=np.uint16)
+            ids, length = np.concatenate(rows), np.array([len(r) for r in rows], dtype=np.int64)
+        return ids, length
+
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets) of all texts. A space between two other characters starts a new pre-token,
         so the words may be encoded apart; texts with more white space around spaces go whole."""
@@ -108,10 +127,11 @@ class Tokenizer:
         ends = np.concatenate([[0], np.cumsum(counts)])
         heads = ends[:-1][counts > 0]
         plain, at_head = np.unique(codes[heads], return_inverse=True) if len(heads) else (heads, heads)
-        made = [self.word(" " + w) for w in words] + [self.word(words[c]) for c in plain.tolist()]  # the first word has no space
+        made = [self.word(words[c]) for c in plain.tolist()]  # the first word has no space
         codes[heads] = len(words) + at_head
-        length = np.fromiter(map(len, made), dtype=np.int64, count=len(made))
-        flat = np.fromiter(chain.from_iterable(made), dtype=np.uint16, count=int(length.sum()))
+        flat, length = self.spaced(words)
+        length = np.concatenate([length, np.fromiter(map(len, made), dtype=np.int64, count=len(made))])
+        flat = np.concatenate([flat, np.fromiter(chain.from_iterable(made), dtype=np.uint16)])
         per = length[codes] if len(codes) else codes
         before = np.concatenate([[0], np.cumsum(per)]).astype(np.int64)
         first = np.cumsum(length) - length
