@@ -50,3 +50,23 @@ def test_distinct_words_are_encoded_in_one_call():
     assert len(calls) < 100  # one a word took over 900
     for k, text in enumerate(texts):
         assert ids[offsets[k]:offsets[k + 1]].tolist() == plain.encode_ordinary(text or "")
+
+
+def test_usual_words_are_solved_together(monkeypatch):
+    from tidemark.llm import pieces as sp
+
+    model = sp.Model(sp.default_path())
+    plain, encoder = sp.Encoder(model, 400_000), sp.Encoder(model, 400_000)
+    calls, path = [], sp.Model.path
+    monkeypatch.setattr(sp.Model, "path", lambda self, *a: calls.append(a) or path(self, *a))
+    texts = [" ".join(f"w{(31 * k + j) % 997}unzusammenhängend's," for j in range(50)) for k in range(40)] + ["foo\n", "a b\tc d", "", None, "  two", "漢字 ok ÿ\x85 \x00", "▁a b▁c", "x" * 80 + " " + "y" * 64]
+    ids, offsets = encoder.batch(pa.array(texts))
+    assert len(calls) < 20  # one a word took over 900
+    for k, text in enumerate(texts):
+        assert ids[offsets[k]:offsets[k + 1]].tolist() == plain.text(text or "")
+    text = sp.normalised(" ".join(t or "" for t in texts))
+    fresh = sp.Encoder(model, 400_000)
+    fresh.learn([text], weights=False)
+    assert fresh.known and not fresh.weights and all(ids == plain.word(w) for w, ids in fresh.known.items())
+    fresh.learn([text], weights=True)
+    assert fresh.weights.keys() == fresh.known.keys() and all(n == plain.weight(w) for w, n in fresh.weights.items())

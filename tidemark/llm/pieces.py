@@ -4,7 +4,7 @@ A text is normalised as the model file says (a space before it, spaces written a
 and cut into vocabulary pieces so that the sum of piece weights is largest. Weights are whole
 numbers, so sums are exact in any order. No piece has a word mark after another character, which
 makes the start of every word a cut that no piece crosses: words are solved once per distinct
-word and batch.
+word and batch, words of usual characters many at a time, one column of an array each.
 
 A document over ``chunk`` characters is spread over tasks. A chunk's boundary state is the number
 of its first characters that a piece from the chunk before covers. Each chunk gives a max-plus
@@ -47,6 +47,7 @@ class Settings:
     chunk: int = 20_000
     fan: int = 256
     cached_words: int = 400_000
+    together: int = 16
 
 
 class Model:
@@ -78,6 +79,55 @@ class Model:
             self.spelled[i] = file.id_to_piece(i).replace(MARK, " ").encode()
         for b, i in self.bytes_at.items():
             self.spelled[i] = bytes([b])
+        self._tables()
+
+    def _tables(self) -> None:
+        """``table`` as arrays, for words of characters under U+0100 that are pieces themselves: ``kinds``
+        numbers the characters from 1, ``after`` holds the prefix that follows a prefix (0: none, 1: the
+        empty one), ``worth`` and ``named`` the weight and id of the prefix as a piece."""
+        usual = sorted(c for c in self.table if len(c) == 1 and self.table[c] and (ord(c) < 256 or c == MARK))
+        kind = {c: k + 1 for k, c in enumerate(usual)}
+        self.kinds, self.mark = np.zeros(257, dtype=np.int64), kind.get(MARK, 0)
+        self.kinds[[ord(c) for c in usual if c != MARK]] = [k for c, k in kind.items() if c != MARK]
+        prefixes = ["", *sorted(p for p in self.table if all(c in kind for c in p))]
+        number = {p: k + 1 for k, p in enumerate(prefixes)}
+        self.after = np.zeros((len(prefixes) + 1, len(usual) + 1), dtype=np.min_scalar_type(len(prefixes)))
+        self.worth, self.named = np.full(len(prefixes) + 1, 2 * _LOWEST, dtype=np.int64), np.zeros(len(prefixes) + 1, dtype=np.int32)
+        for p in prefixes[1:]:
+            self.after[number[p[:-1]], kind[p[-1]]] = number[p]
+            if self.table[p]:
+                self.worth[number[p]], self.named[number[p]] = self.table[p]
+
+    def words(self, kinds: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, number of ids, weights) of many words at once: column k of ``kinds`` has the characters of
+        word k, then zeros. The steps are those of :meth:`lattice`, in its order."""
+        size, n = kinds.shape
+        score = np.full((size + 1, n), _LOWEST, dtype=np.int64)
+        start, piece = np.zeros((size + 1, n), dtype=np.int32), np.zeros((size + 1, n), dtype=np.int32)
+        score[0] = 0
+        for i in range(size):
+            at = np.flatnonzero(lengths > i)
+            prefix = np.ones(len(at), dtype=self.after.dtype)
+            for j in range(i + 1, min(size, i + self.longest) + 1):
+                prefix = self.after[prefix, kinds[j - 1, at]]
+                on = np.flatnonzero(prefix)
+                if not len(on):
+                    break
+                prefix, at = prefix[on], at[on]
+                total = score[i, at] + self.worth[prefix]
+                better = total > score[j, at]
+                own = at[better]
+                score[j, own], start[j, own], piece[j, own] = total[better], i, self.named[prefix[better]]
+        every, at = np.arange(n), lengths.astype(np.int64)
+        steps, taken = [], []
+        while at.any():
+            taken.append(at > 0)
+            steps.append(piece[at, every])
+            at = np.where(at > 0, start[at, every], 0)
+        if not steps:
+            return np.zeros(0, dtype=np.int32), np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+        steps, taken = np.array(steps[::-1]).T, np.array(taken[::-1]).T
+        return steps[taken], taken.sum(axis=1), score[lengths, every]
 
     def lattice(self, text: str, start: int, stop: int, last: int) -> tuple[list[int], list[tuple[int, object]]]:
         """Best weights and last pieces to every place from ``start``; pieces begin before ``stop``
@@ -128,6 +178,8 @@ def _cuts(text: str, upto: int) -> list[int]:
 class Encoder:
     """Encodes words, remembering a bounded number of them."""
 
+    slice_words = 8_192
+
     def __init__(self, model: Model, most: int) -> None:
         self.model, self.most, self.known, self.weights = model, most, {}, {}
 
@@ -152,6 +204,39 @@ class Encoder:
                 self.weights[word] = found
         return found
 
+    def many(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(places in ``words``, ids, number of ids, weights) of slices of the words that :meth:`Model.words`
+        can take, of about one length; they have a word mark at the front and nowhere else."""
+        model = self.model
+        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        kinds = model.kinds[np.minimum(points, 256)]
+        first = np.cumsum(lengths) - lengths
+        kinds[first] = model.mark
+        strange = np.concatenate([[0], np.cumsum(kinds == 0)])
+        fit = np.flatnonzero((lengths <= 64) & (strange[first + lengths] == strange[first]))
+        fit = fit[np.argsort(lengths[fit], kind="stable")]
+        for k in range(0, len(fit), self.slice_words):
+            own = fit[k:k + self.slice_words]
+            size = int(lengths[own].max())
+            place = np.arange(size)[:, None]
+            inside = place < lengths[own]
+            yield own, *model.words(np.where(inside, kinds[np.where(inside, first[own] + place, 0)], 0), lengths[own])
+
+    def learn(self, texts: list[str], weights: bool) -> None:
+        """Remembers the words of a few texts, with their ids or their weights."""
+        known = self.weights if weights else self.known
+        new = list({w for t in texts for w in _WORD.findall(t) if 1 < len(w) <= 64 and w[0] == MARK and w[1] != MARK} - known.keys())
+        if not new:
+            return
+        if len(known) + len(new) > self.most:
+            known.clear()
+        for own, ids, n, values in self.many(new):
+            if not weights:
+                ids, ends = ids.tolist(), np.cumsum(n).tolist()
+                values = [ids[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+            known.update(zip([new[k] for k in own.tolist()], values if isinstance(values, list) else values.tolist(), strict=True))
+
     def text(self, text: str) -> list[int]:
         return [i for w in _WORD.findall(normalised(text)) if w for i in self.word(w)]
 
@@ -162,10 +247,19 @@ class Encoder:
         usual = np.flatnonzero(~odd & (pc.binary_length(texts).to_numpy(zero_copy_only=False) > 0))
         lists = pc.split_pattern(texts.take(pa.array(usual)), " ")
         coded = lists.flatten().dictionary_encode()
-        made = [np.array(self.word(MARK + w), dtype=np.int32) for w in coded.dictionary.to_pylist()]
-        length = np.array([len(x) for x in made], dtype=np.int64)
-        first = np.cumsum(length) - length
-        flat = np.concatenate(made) if made else np.zeros(0, dtype=np.int32)
+        words = [MARK + w for w in coded.dictionary.to_pylist()]
+        length, order, made = np.full(len(words), -1, dtype=np.int64), [], []
+        for own, some, n, _ in self.many(words):
+            length[own] = n
+            order.append(own)
+            made.append(some)
+        for k in np.flatnonzero(length < 0).tolist():
+            made.append(np.array(self.word(words[k]), dtype=np.int32))
+            order.append(np.array([k]))
+            length[k] = len(made[-1])
+        flat, order = (np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (made, order))
+        first = np.zeros(len(words), dtype=np.int64)  # in ``flat``, which has the words as they were made
+        first[order] = np.cumsum(length[order]) - length[order]
         codes = coded.indices.to_numpy(zero_copy_only=False)
         per = length[codes]
         before = np.concatenate([[0], np.cumsum(per)])
@@ -270,7 +364,11 @@ def _giants(docs: DataFrame, shared, s: Settings) -> DataFrame:
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value, s.cached_words)
         for batch in batches:
-            made = [_pack(transfer(shared.value, encoder, plain(p), plain(a))) for p, a in zip(batch.column("part").to_pylist(), batch.column("ahead").to_pylist(), strict=True)]
+            made = []
+            for k in range(0, batch.num_rows, s.together):
+                rows = [(plain(p), plain(a)) for p, a in zip(*(batch.column(c).slice(k, s.together).to_pylist() for c in ("part", "ahead")), strict=True)]
+                encoder.learn([p for p, _ in rows], weights=True)
+                made += [_pack(transfer(shared.value, encoder, p, a)) for p, a in rows]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("key", "block", "chunk")), pa.array(made, pa.binary())], names=["key", "block", "chunk", "m"])
 
     blocks = parts.withColumn("block", F.floor(F.col("chunk") / s.fan).cast("int"))
@@ -300,8 +398,11 @@ def _giants(docs: DataFrame, shared, s: Settings) -> DataFrame:
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value, s.cached_words)
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("part", "ahead", "enter", "leave")]
-            made = [chunk_ids(shared.value, encoder, plain(p), plain(a), i, o) for p, a, i, o in zip(*columns, strict=True)]
+            made = []
+            for k in range(0, batch.num_rows, s.together):
+                rows = [(plain(p), plain(a), i, o) for p, a, i, o in zip(*(batch.column(c).slice(k, s.together).to_pylist() for c in ("part", "ahead", "enter", "leave")), strict=True)]
+                encoder.learn([r[0] for r in rows], weights=False)
+                made += [chunk_ids(shared.value, encoder, *r) for r in rows]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("key", "doc_id", "text_hash", "chunk", "chunks")), pa.array(made, pa.list_(pa.int32()))],
                                              names=["key", "doc_id", "text_hash", "chunk", "chunks", "ids"])
 
