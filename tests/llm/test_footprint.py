@@ -70,3 +70,66 @@ def test_usual_words_are_solved_together(monkeypatch):
     assert fresh.known and not fresh.weights and all(ids == plain.word(w) for w, ids in fresh.known.items())
     fresh.learn([text], weights=True)
     assert fresh.weights.keys() == fresh.known.keys() and all(n == plain.weight(w) for w, n in fresh.weights.items())
+
+
+def test_rows_of_one_widespread_passage_are_no_group(spark, monkeypatch):
+    import random
+
+    from tidemark.llm import jaccard
+
+    queries.reachable(spark)
+    rng, passage = random.Random(3), " ".join(f"p{k}" for k in range(12))
+    rows = [(k, " ".join(f"v{rng.randrange(10**9)}" for _ in range(10)) + " " + " ".join(passage.split()[k % 6:k % 6 + 6])) for k in range(300)]
+    rows += [(k + 1000, rows[k][1] + " more") for k in range(5)]
+    kept, staged = {}, jaccard.staged
+    monkeypatch.setattr(jaccard, "staged", lambda df, name: kept.setdefault(name, []).append(staged(df, name)) or kept[name][-1])
+    monkeypatch.setattr(jaccard, "dropped", lambda *tables: None)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.join_similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {k: k - 1000 if k >= 1000 else k for k, _ in rows}
+    assert kept["alike-rows"][0].count() <= 10
+
+
+def test_stored_tables_of_the_join_go_early(spark, monkeypatch):
+    from tidemark.llm import components, jaccard
+
+    queries.reachable(spark)
+    words = [f"w{k}" for k in range(60)]
+    docs = spark.createDataFrame([(k, " ".join(words[:50] + [f"x{k}"])) for k in range(20)], "doc_id long, text string")
+    tables, staged = [], jaccard.staged
+    for module in (jaccard, components):
+        monkeypatch.setattr(module, "staged", lambda df, name: tables.append((name, staged(df, name))) or tables[-1][1])
+    got = {r["component_id"] for r in jaccard.join_similar(docs).collect()}
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    left = []
+    for name, df in tables:
+        files = df.inputFiles()
+        at = path(files[0])
+        if at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+            left.append(name)
+    assert got == {0} and sorted(left) == ["alike", "set-numbers", "similar"]
+
+
+def test_overlaps_of_a_block_are_counted_in_slices():
+    from tidemark.llm import jaccard
+
+    rng = np.random.default_rng(5)
+    common = np.sort(rng.choice(1 << 40, 600, replace=False).astype(np.uint64))
+    sets = [np.delete(common, rng.choice(600, 130, replace=False)) for _ in range(1500)]
+    sizes = np.array([len(x) for x in sets])
+    tracemalloc.start()
+    edges = jaccard.link_block(sizes, sets, 64)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 25e6  # 42 MB when all overlaps of a row were counted at once, with eight bytes for each number
+    assert sorted(edges) == sorted(jaccard.link_block(sizes, sets, 64, most=1 << 40)) and len(edges) > 1000
+
+
+def test_only_likely_rows_are_joined_with_their_texts(spark):
+    from tidemark.llm.frames import likely
+
+    docs = spark.range(20_000).selectExpr("id AS doc_id", "repeat('x', 10) AS text").unionByName(spark.createDataFrame([(None, "n")], "doc_id long, text string"))
+    chosen = spark.range(0, 20_000, 97).selectExpr("id AS doc_id", "id AS want")
+    got = likely(docs, chosen, "doc_id")
+    assert got.columns == ["doc_id", "text"]
+    ids = [r["doc_id"] for r in got.collect()]
+    assert set(range(0, 20_000, 97)) <= set(ids) and len(ids) == len(set(ids)) < 300

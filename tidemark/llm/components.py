@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import staged
+from tidemark.llm.frames import dropped, staged
 
 
 def _large(edges: DataFrame) -> DataFrame:
@@ -33,7 +33,8 @@ def components(edges: DataFrame, name: str, rounds: int = 60) -> DataFrame:
     edges = staged(edges.select("a", "b").dropna().filter("a <> b").distinct(), name)
     before = None
     for _ in range(rounds):
-        edges = staged(_small(_large(edges)), name)
+        former, edges = edges, staged(_small(_large(edges)), name)
+        dropped(former)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break

@@ -42,6 +42,27 @@ def discard(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Removes the files of tables that :func:`staged` made and no later step reads."""
+    for df in tables:
+        for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            discard(df.sparkSession, folder)
+
+
+def likely(df: DataFrame, chosen: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose ``key`` may be among those of ``chosen``: all that are, and few others.
+
+    The keys are marked in 2^24 bits (2 MB at most, whatever the input), so that a join on
+    ``key`` need not shuffle rows that have no partner.
+    """
+    spot = F.pmod(F.xxhash64(key), F.lit(1 << 24))
+    block, place = F.shiftright(spot, 15), spot.bitwiseAND(F.lit(32_767))
+    marks = chosen.select(block.alias("_block"), place.alias("_place")).groupBy("_block").agg(F.bitmap_construct_agg("_place").alias("_bits"))
+    marked = df.withColumn("_block", block).withColumn("_place", place.cast("int")).join(F.broadcast(marks), "_block")
+    byte = F.conv(F.hex(F.expr("substring(_bits, _place DIV 8 + 1, 1)")), 16, 10).cast("int")
+    return marked.withColumn("_byte", byte).filter("(shiftright(_byte, _place % 8) & 1) = 1").select(*df.columns)
+
+
 def fresh(taken: list[str], name: str) -> str:
     """``name``, with underscores before it until no column is called so (letter case aside)."""
     used = {c.lower() for c in taken}

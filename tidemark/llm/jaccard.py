@@ -6,7 +6,10 @@ are n-grams. Two sets with similarity t have sizes within t of each other and sh
 the order used puts n-grams that many texts share last, so these first columns are nearly empty
 unless texts are alike. In columns with at most ``narrow`` rows the pairs are counted, and pairs
 that meet less than c times or whose sizes are too unlike are discarded; a wider column joins its
-rows to its least row. The connected groups of these joins hold every pair that can reach t: one
+rows to its least row. A row with fewer than c columns that another row has too can reach t with
+none and is left out before, which may leave others with too few: this is done ``peels`` times, since rows
+of one widespread passage would else be joined to one group that grows faster than the input. The
+connected groups of these joins hold every pair that can reach t: one
 that meets only in narrow columns is counted c times, any other is joined by a wide one. Within such a group the product of the full incidence matrix is taken by
 blocks of rows: one row times the block's columns accumulates its overlaps with all others, and
 pairs below the size-derived overlap are discarded. A row already joined to the block's main
@@ -29,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.frames import fresh, staged
+from tidemark.llm.frames import dropped, fresh, likely, staged
 from tidemark.llm.words import _coefficients, distinct, grams, hash_words, mix, pieces
 
 
@@ -37,6 +40,8 @@ from tidemark.llm.words import _coefficients, distinct, grams, hash_words, mix,
 class Settings:
     """``percent``: least similarity. ``frequent_bound``: most n-grams known as frequent (they are
     broadcast, 9 bytes each; they only order the columns, results do not depend on them).
+    ``peels``: how often rows that meet others in too few columns are left out; results do not
+    depend on it. ``overlaps``: about so many overlaps of one row are counted at a time.
     ``block_rows`` and ``block_cells`` bound the rows and n-grams of one block."""
 
     size: int = 5
@@ -45,9 +50,11 @@ class Settings:
     narrow: int = 8
     frequent_bound: int = 1 << 21
     frequent_from: int = 1
+    peels: int = 2
     slice_bytes: int = 12 << 20
     block_rows: int = 2_000
     block_cells: int = 3_000_000
+    overlaps: int = 500_000
 
 
 def _sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -98,6 +105,7 @@ def frequent(docs: DataFrame, s: Settings) -> tuple[np.ndarray, np.ndarray]:
     while sum(c for b, c in per.items() if b >= least) > s.frequent_bound:
         least += 1
     table = counted.filter(F.col("bits") >= least).toArrow()
+    dropped(counted)
     ids, bits = table["id"].to_numpy().astype(np.uint64), table["bits"].to_numpy().astype(np.uint64)
     order = np.argsort(ids)
     return ids[order], bits[order]
@@ -154,17 +162,19 @@ class _Forest:
         return x
 
 
-def link_block(sizes: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+def link_block(sizes: np.ndarray, sets: list[np.ndarray], percent: int, most: int = Settings.overlaps) -> list[tuple[int, int]]:
     """Edges of a forest that spans the links among the rows of one block (or pair of blocks)."""
     m = len(sets)
-    row = np.repeat(np.arange(m), [len(x) for x in sets])
     flat = np.concatenate(sets)
-    order = np.argsort(flat, kind="stable")
-    new = np.concatenate([[True], flat[order][1:] != flat[order][:-1]])
-    column = np.empty(len(flat), dtype=np.int64)
-    column[order] = np.cumsum(new) - 1
-    starts = np.append(np.flatnonzero(new), len(flat))
-    members, width = row[order], np.diff(starts)
+    order = np.argsort(flat, kind="stable").astype(np.int32)
+    flat = flat[order]
+    new = np.concatenate([[True], flat[1:] != flat[:-1]])
+    del flat
+    column = np.empty(len(order), dtype=np.int32)
+    column[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+    starts = np.append(np.flatnonzero(new), len(order))
+    members, width = np.repeat(np.arange(m, dtype=np.int32), [len(x) for x in sets])[order], np.diff(starts)
+    del order, new
     ends = np.cumsum([0] + [len(x) for x in sets])
     forest, done, edges = _Forest(m), np.zeros(m, dtype=bool), []
     main, waiting = 0, list(range(m - 1, -1, -1))
@@ -177,9 +187,13 @@ def link_block(sizes: np.ndarray, sets: list[np.ndarray], percent: int) -> list[
         done[x] = True
         own = column[ends[x]:ends[x + 1]]
         own = own[width[own] > 1]
-        w = width[own]
-        places = np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w) + np.repeat(starts[own], w)
-        overlap = np.bincount(members[places], minlength=m)
+        overlap, some, upto = np.zeros(m, dtype=np.int64), 0, np.cumsum(width[own])
+        while some < len(own):
+            end = max(some + 1, int(np.searchsorted(upto, (upto[some - 1] if some else 0) + most, side="right")))
+            w = width[own[some:end]]
+            places = np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w) + np.repeat(starts[own[some:end]], w)
+            overlap += np.bincount(members[places], minlength=m)
+            some = end
         hit = np.flatnonzero((100 * np.minimum(sizes, sizes[x]) >= percent * np.maximum(sizes, sizes[x])) & (overlap > 0))
         both = sizes[hit] + sizes[x] - overlap[hit]
         for y in hit[100 * overlap[hit] >= percent * both].tolist():
@@ -207,13 +221,27 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         yield rows
 
 
-def links(docs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
-    """(a, b): edges between set numbers that span all links."""
+def peeled(met: DataFrame, s: Settings) -> DataFrame:
+    """``met`` (id, sig, n) without rows that meet others in fewer columns than any link of theirs
+    needs (the least partner of a set has ``percent`` of its size), then without columns of one row."""
+    partner = F.ceil(F.col("n") * s.percent / 100)
+    enough = met.groupBy("sig", "n").agg(F.count(F.lit(1)).alias("times")).filter(
+        F.col("times") >= F.least(F.lit(s.meet), F.ceil(partner * s.percent / 100))).select("sig")
+    rows = met.join(enough, "sig").select("id", "sig", "n")
+    several = rows.groupBy("id").agg(F.count(F.lit(1)).alias("width")).filter("width > 1").select("id")
+    return rows.join(several, "id")
+
+
+def links(docs: DataFrame, sets: DataFrame, s: Settings, made: list[DataFrame]) -> DataFrame:
+    """(a, b): edges between set numbers that span all links. The stored tables that it reads are added to ``made``."""
     columns = sets.filter("n > 0").select(F.explode("first").alias("id"), "sig", "n")
     several = columns.groupBy("id").agg(F.min("sig").alias("low"), F.max("sig").alias("high")).filter("low < high").select("id", "low")
     met = staged(columns.join(several, "id").distinct(), "shared-columns")
-    width = met.groupBy("id").agg(F.count(F.lit(1)).alias("width"))
-    met = met.join(width, "id")
+    for _ in range(s.peels):
+        before, met = met, staged(peeled(met, s), "shared-columns")
+        dropped(before)
+    width = met.groupBy("id").agg(F.count(F.lit(1)).alias("width"), F.min("sig").alias("low"))
+    shared, met = met, met.select("id", "sig", "n").join(width, "id")
     rows = F.sort_array(F.collect_list(F.struct("sig", "n")))
     pair = F.flatten(F.transform("rows", lambda x, i: F.transform(
         F.filter("rows", lambda y: y["sig"] > x["sig"]), lambda y: F.struct(x["sig"].alias("a"), x["n"].alias("na"), y["sig"].alias("b"), y["n"].alias("nb")))))
@@ -224,9 +252,11 @@ def links(docs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
     wide = met.filter((F.col("width") > s.narrow) & (F.col("sig") != F.col("low"))).select(F.col("sig").alias("a"), F.col("low").alias("b"))
     alike = counted.unionByName(wide)
     cells = components(alike, "alike")
+    dropped(shared)
     chosen = sets.filter("n > 0 AND doc_id IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("doc_id")).join(
         cells.withColumnRenamed("node", "sig"), "sig").select("doc_id", F.col("sig").alias("want"), F.col("root").alias("cell"))
     chosen = staged(chosen, "alike-sets")
+    made.append(chosen)
 
     # sets that only rows without an id hold take part by one such row each
     nameless = sets.filter("n > 0").groupBy("sig").agg(F.count("doc_id").alias("named")).filter("named = 0").join(
@@ -246,10 +276,11 @@ def links(docs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
             yield made.filter(same)
 
     schema = "cell long, sig long, n long, ids binary"
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id").mapInArrow(full, schema)
+    rows = likely(docs.select("doc_id", "text"), chosen, "doc_id").join(chosen, "doc_id").mapInArrow(full, schema)
     none = docs.filter("doc_id IS NULL").select("doc_id", "text", F.lit(None).cast("long").alias("want"), F.lit(None).cast("long").alias("cell"))
     others = none.mapInArrow(full, schema).drop("cell").groupBy("sig").agg(F.first("n").alias("n"), F.first("ids").alias("ids")).join(nameless, "sig").select("cell", "sig", "n", "ids")
     rows = staged(rows.unionByName(others), "alike-rows")
+    made.append(rows)
     size = rows.groupBy("cell").agg(F.greatest(
         F.ceil(F.count(F.lit(1)) / s.block_rows), F.ceil(F.sum("n") / s.block_cells)).cast("int").alias("blocks"))
     cut = rows.join(size, "cell").withColumn("own", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int")).withColumn(
@@ -261,7 +292,7 @@ def links(docs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
             found = {sig: np.frombuffer(ids, dtype=np.uint64) for sig, ids in group}  # a repeated row counts once
             sigs, values = list(found), list(found.values())
             if len(sigs) > 1:
-                edges = link_block(np.array([len(v) for v in values]), values, s.percent)
+                edges = link_block(np.array([len(v) for v in values]), values, s.percent, s.overlaps)
                 if edges:
                     yield pa.RecordBatch.from_arrays([pa.array([sigs[x] for x, _ in edges], pa.int64()), pa.array([sigs[y] for _, y in edges], pa.int64())], names=["a", "b"])
 
@@ -271,8 +302,11 @@ def links(docs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
 
 def join_similar(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row; the id of a component is its least doc_id."""
-    sets = staged(signatures(docs, settings), "ngram-sets")
-    roots = components(links(docs, sets, settings), "similar")
+    whole = staged(signatures(docs, settings), "ngram-sets")
+    sets = staged(whole.select("doc_id", "sig", "n"), "set-numbers")
+    made: list[DataFrame] = [whole]
+    roots = components(links(docs, whole, settings, made), "similar")
+    dropped(*made)
     own = sets.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least"))
     own = own.join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     least = own.groupBy("root").agg(F.min("least").alias("component"))
