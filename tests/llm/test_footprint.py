@@ -133,3 +133,28 @@ def test_only_likely_rows_are_joined_with_their_texts(spark):
     assert got.columns == ["doc_id", "text"]
     ids = [r["doc_id"] for r in got.collect()]
     assert set(range(0, 20_000, 97)) <= set(ids) and len(ids) == len(set(ids)) < 300
+
+
+def test_long_texts_are_spelled_a_few_at_a_time():
+    from types import SimpleNamespace
+
+    from pyspark.sql import types as T
+
+    from tidemark.llm import pieces as sp
+
+    class Stored:
+        columns = ["ids"]
+        schema = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType()))])
+        sparkSession = SimpleNamespace(sparkContext=SimpleNamespace(broadcast=lambda v: SimpleNamespace(value=v)))
+
+        def mapInArrow(self, function, schema):  # noqa: N802
+            return function
+
+    encoder = sp.Encoder(sp.Model(sp.default_path()), 1_000)
+    ids = encoder.text("some words of a long text " * 9_000)
+    lists = pa.array([ids] * 40 + [[], None, encoder.text("one"), encoder.text("ÿ 漢")], pa.list_(pa.int32()))
+    made = list(sp.decode_documents(Stored())(iter([pa.RecordBatch.from_arrays([lists], names=["ids"])])))
+    assert [t for b in made for t in b.column("text").to_pylist()] == ["some words of a long text " * 9_000] * 40 + ["", "", "one", "ÿ 漢"]
+    assert all(b.num_rows == 1 or len(b.column("ids").flatten()) <= 1 << 18 for b in made)  # all 40 were spelled at once
+    assert all(type(x) is bytes for x in encoder.known.values())  # not lists of numbers
+    assert [b.num_rows for b in sp.few(iter(made[:1]), 2)][0] == min(2, made[0].num_rows)

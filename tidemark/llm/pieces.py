@@ -175,18 +175,26 @@ def _cuts(text: str, upto: int) -> list[int]:
     return [m.start() for m in re.finditer(f"(?<=[^{MARK}]){MARK}", text) if m.start() <= upto]
 
 
+def _body(ids: list[int] | np.ndarray) -> bytes:
+    return np.asarray(ids, dtype=np.int32).tobytes()
+
+
+def _ids(body: bytes) -> np.ndarray:
+    return np.frombuffer(body, dtype=np.int32)
+
+
 class Encoder:
-    """Encodes words, remembering a bounded number of them."""
+    """Encodes words, remembering a bounded number of them; ids are kept as the bytes of 32-bit numbers."""
 
     slice_words = 8_192
 
     def __init__(self, model: Model, most: int) -> None:
         self.model, self.most, self.known, self.weights = model, most, {}, {}
 
-    def word(self, word: str) -> list[int]:
+    def word(self, word: str) -> bytes:
         ids = self.known.get(word)
         if ids is None:
-            ids = self.model.path(word, 0, len(word), len(word))
+            ids = _body(self.model.path(word, 0, len(word), len(word)))
             if len(self.known) >= self.most:
                 self.known.clear()
             if len(word) <= 64:
@@ -233,12 +241,12 @@ class Encoder:
             known.clear()
         for own, ids, n, values in self.many(new):
             if not weights:
-                ids, ends = ids.tolist(), np.cumsum(n).tolist()
+                ids, ends = _body(ids), (4 * np.cumsum(n)).tolist()
                 values = [ids[a:b] for a, b in zip([0, *ends], ends, strict=False)]
             known.update(zip([new[k] for k in own.tolist()], values if isinstance(values, list) else values.tolist(), strict=True))
 
     def text(self, text: str) -> list[int]:
-        return [i for w in _WORD.findall(normalised(text)) if w for i in self.word(w)]
+        return _ids(b"".join(self.word(w) for w in _WORD.findall(normalised(text)) if w)).tolist()
 
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets). Texts whose spaces all stand alone go by their distinct words."""
@@ -254,7 +262,7 @@ class Encoder:
             order.append(own)
             made.append(some)
         for k in np.flatnonzero(length < 0).tolist():
-            made.append(np.array(self.word(words[k]), dtype=np.int32))
+            made.append(_ids(self.word(words[k])))
             order.append(np.array([k]))
             length[k] = len(made[-1])
         flat, order = (np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (made, order))
@@ -305,15 +313,14 @@ def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def chunk_ids(model: Model, encoder: Encoder, text: str, ahead: str, entry: int, exit: int) -> list[int]:
+def chunk_ids(model: Model, encoder: Encoder, text: str, ahead: str, entry: int, exit: int) -> np.ndarray:
     n, full = len(text), text + ahead[:model.longest - 1]
     cuts = _cuts(full, n)
     if not cuts:
-        return model.path(full, entry, n, n + exit)
-    out = model.path(full, entry, cuts[0], cuts[0])
-    for a, b in zip(cuts, cuts[1:], strict=False):
-        out += encoder.word(full[a:b])
-    return out + (model.path(full, cuts[-1], n, n + exit) if cuts[-1] < n else [])
+        return _ids(_body(model.path(full, entry, n, n + exit)))
+    out = [_body(model.path(full, entry, cuts[0], cuts[0]))]
+    out += [encoder.word(full[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+    return _ids(b"".join([*out, _body(model.path(full, cuts[-1], n, n + exit) if cuts[-1] < n else [])]))
 
 
 def _states(matrices: list[np.ndarray], entry: int, exit: int) -> list[int]:
@@ -338,6 +345,23 @@ def _unpack(b: bytes) -> np.ndarray:
     return m.reshape(int(math.isqrt(len(m))), -1)
 
 
+def few(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The same rows, ``rows`` at a time at most."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
+def _decoded(ids: pa.Array, spelled: pa.Array) -> list[str]:
+    """The text of every list of ids."""
+    flat = spelled.take(ids.flatten())
+    counts = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+    ends = np.frombuffer(flat.buffers()[1], dtype=np.int64)[flat.offset:flat.offset + len(flat) + 1] if len(flat) else np.zeros(1, dtype=np.int64)
+    at = ends[np.concatenate([[0], np.cumsum(counts)])]
+    raw = memoryview(flat.buffers()[2]) if len(flat) else memoryview(b"")
+    return [str(raw[a + 1:b], "utf-8") if b > a else "" for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+
+
 def _giants(docs: DataFrame, shared, s: Settings) -> DataFrame:
     """Ids of the documents over one chunk: doc_id, text_hash, n_chunks, ids."""
     longest = shared.value.longest
@@ -363,12 +387,10 @@ def _giants(docs: DataFrame, shared, s: Settings) -> DataFrame:
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value, s.cached_words)
-        for batch in batches:
-            made = []
-            for k in range(0, batch.num_rows, s.together):
-                rows = [(plain(p), plain(a)) for p, a in zip(*(batch.column(c).slice(k, s.together).to_pylist() for c in ("part", "ahead")), strict=True)]
-                encoder.learn([p for p, _ in rows], weights=True)
-                made += [_pack(transfer(shared.value, encoder, p, a)) for p, a in rows]
+        for batch in few(batches, s.together):
+            rows = [(plain(p), plain(a)) for p, a in zip(*(batch.column(c).to_pylist() for c in ("part", "ahead")), strict=True)]
+            encoder.learn([p for p, _ in rows], weights=True)
+            made = [_pack(transfer(shared.value, encoder, p, a)) for p, a in rows]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("key", "block", "chunk")), pa.array(made, pa.binary())], names=["key", "block", "chunk", "m"])
 
     blocks = parts.withColumn("block", F.floor(F.col("chunk") / s.fan).cast("int"))
@@ -397,12 +419,10 @@ def _giants(docs: DataFrame, shared, s: Settings) -> DataFrame:
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value, s.cached_words)
-        for batch in batches:
-            made = []
-            for k in range(0, batch.num_rows, s.together):
-                rows = [(plain(p), plain(a), i, o) for p, a, i, o in zip(*(batch.column(c).slice(k, s.together).to_pylist() for c in ("part", "ahead", "enter", "leave")), strict=True)]
-                encoder.learn([r[0] for r in rows], weights=False)
-                made += [chunk_ids(shared.value, encoder, *r) for r in rows]
+        for batch in few(batches, s.together):
+            rows = [(plain(p), plain(a), i, o) for p, a, i, o in zip(*(batch.column(c).to_pylist() for c in ("part", "ahead", "enter", "leave")), strict=True)]
+            encoder.learn([r[0] for r in rows], weights=False)
+            made = [chunk_ids(shared.value, encoder, *r) for r in rows]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("key", "doc_id", "text_hash", "chunk", "chunks")), pa.array(made, pa.list_(pa.int32()))],
                                              names=["key", "doc_id", "text_hash", "chunk", "chunks", "ids"])
 
@@ -439,8 +459,10 @@ def encode_documents(docs: DataFrame, path: str | None = None, settings: Setting
     return both.select("doc_id", "text_hash", "n_chunks", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
-def decode_documents(encoded: DataFrame, path: str | None = None, name: str = "text") -> DataFrame:
-    """``encoded`` and the text that its ``ids`` spell, as ``name`` (with underscores before it where that is taken)."""
+def decode_documents(encoded: DataFrame, path: str | None = None, name: str = "text", most: int = 1 << 18) -> DataFrame:
+    """``encoded`` and the text that its ``ids`` spell, as ``name`` (with underscores before it where that is taken).
+
+    About ``most`` ids are spelled at a time."""
     name = fresh(encoded.columns, name)
     shared = encoded.sparkSession.sparkContext.broadcast(Model(path or default_path()).spelled)
 
@@ -448,15 +470,12 @@ def decode_documents(encoded: DataFrame, path: str | None = None, name: str = "t
         spelled = pa.array(shared.value, pa.large_binary())
         for batch in batches:
             ids = batch.column("ids")
-            step = 512
-            for k in range(0, batch.num_rows, step):
-                part = ids.slice(k, step)
-                flat = spelled.take(part.flatten())
-                counts = pc.fill_null(pc.list_value_length(part), 0).to_numpy(zero_copy_only=False)
-                ends = np.frombuffer(flat.buffers()[1], dtype=np.int64)[flat.offset:flat.offset + len(flat) + 1] if len(flat) else np.zeros(1, dtype=np.int64)
-                at = ends[np.concatenate([[0], np.cumsum(counts)])]
-                raw = flat.buffers()[2].to_pybytes() if len(flat) else b""
-                texts = [raw[a + 1:b].decode() if b > a else "" for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([*batch.slice(k, step).columns, pa.array(texts, pa.string())], names=[*batch.schema.names, name])
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+            k = 0
+            while k < batch.num_rows:  # a longer text is alone
+                end = max(k + 1, min(k + 512, int(np.searchsorted(ends, (ends[k - 1] if k else 0) + most, side="right"))))
+                texts = pa.array(_decoded(ids.slice(k, end - k), spelled), pa.string())
+                yield pa.RecordBatch.from_arrays([*batch.slice(k, end - k).columns, texts], names=[*batch.schema.names, name])
+                k = end
 
     return encoded.mapInArrow(decode, T.StructType([*encoded.schema.fields, T.StructField(name, T.StringType())]))
