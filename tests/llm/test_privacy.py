@@ -159,3 +159,13 @@ def test_without_rows(spark):
     assert privacy.fit(spark.createDataFrame([(1, "nothing here", "en", 1.0), (2, None, None, None)], SCHEMA)) is None
     sample = privacy.training_windows(spark.createDataFrame([(k, f"call +1 (325) 555-{8000 + k} now", "en", 1.0) for k in range(50)], SCHEMA), privacy.Settings(sample_windows=7))
     assert sample.filter("size(kinds) = 1").count() == 7
+
+
+def test_texts_are_searched_once_for_training_windows(spark, monkeypatch):
+    queries.reachable(spark)
+    tables, staged = [], privacy.staged
+    monkeypatch.setattr(privacy, "staged", lambda df, name: tables.append(staged(df, name)) or tables[-1])
+    assert privacy.fit(spark.createDataFrame([(k, f"call +1 (325) 555-{8000 + k} now", "en", 1.0) for k in range(50)], SCHEMA), privacy.Settings(hidden=3, updates=5, batch=4))
+    assert len(tables) == 1
+    at = spark._jvm.org.apache.hadoop.fs.Path(tables[0].inputFiles()[0])
+    assert not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)

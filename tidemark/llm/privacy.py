@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.frames import dropped, staged
 from tidemark.llm.words import pieces
 
 KINDS = ("email", "ip", "card", "phone")
@@ -339,6 +340,7 @@ def training_windows(docs: DataFrame, s: Settings, text: str = "text") -> DataFr
                                              names=["window", "kinds", "starts", "ends"])
 
     found = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(cut, "window string, kinds array<int>, starts array<int>, ends array<int>")
+    found = staged(found, "labelled-windows")  # texts are searched once for both kinds
     order = [F.xxhash64("window"), F.col("window")]
     some = lambda on, n: found.filter(on).dropDuplicates(["window"]).orderBy(*order).limit(n)
     return some(F.size("kinds") > 0, s.sample_windows).unionByName(some(F.size("kinds") == 0, 2 * s.sample_windows))
@@ -353,7 +355,9 @@ def fit(docs: DataFrame, settings: Settings = Settings(), text: str = "text") ->
             yield pa.RecordBatch.from_arrays([pa.array(list(w)), pa.array([list(v.shape) for v in w.values()], pa.list_(pa.int32())), pa.array([v.tobytes() for v in w.values()])],
                                              names=["name", "shape", "body"])
 
-    made = training_windows(docs, settings, text).coalesce(1).mapInArrow(train, "name string, shape array<int>, body binary").collect()
+    windows = training_windows(docs, settings, text)
+    made = windows.coalesce(1).mapInArrow(train, "name string, shape array<int>, body binary").collect()
+    dropped(windows)
     return {r["name"]: np.frombuffer(r["body"], dtype=np.float32).reshape(r["shape"]) for r in made} or None
 
 
