@@ -89,6 +89,66 @@ def test_rows_of_one_widespread_passage_are_no_group(spark, monkeypatch):
     assert kept["alike-rows"][0].count() <= 10
 
 
+def long_texts(rng, count, wide, narrow):
+    """Unlike texts that share ``wide`` phrases of 5 words with 20 others each and ``narrow`` ones with one other."""
+    texts = [[] for _ in range(count)]
+    for texts_of, phrases in ((20, count * wide // 20), (2, count * narrow // 2)):
+        for k in range(phrases):
+            for t in rng.sample(range(count), min(texts_of, count)):
+                texts[t].append(" ".join(f"s{texts_of}_{k}_{j}" for j in range(5)))
+    return [" ".join(rng.sample(t, len(t))) for t in texts]
+
+
+def test_long_texts_that_share_phrases_by_chance_are_no_group(spark, monkeypatch):
+    import random
+
+    from tidemark.llm import jaccard
+
+    queries.reachable(spark)
+    texts = long_texts(random.Random(7), 200, 10, 45)
+    rows = [*enumerate(texts), *((k + 1000, texts[k] + " more") for k in range(5))]
+    kept, staged = {}, jaccard.staged
+    monkeypatch.setattr(jaccard, "staged", lambda df, name: kept.setdefault(name, []).append(staged(df, name)) or kept[name][-1])
+    monkeypatch.setattr(jaccard, "dropped", lambda *tables: None)
+    settings = jaccard.Settings(frequent_bound=0)  # as n-grams too seldom to be known
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.join_similar(spark.createDataFrame(rows, "doc_id long, text string"), settings).collect()}
+    assert got == {k: k - 1000 if k >= 1000 else k for k, _ in rows}
+    assert kept["alike-rows"][0].count() <= 30  # 182 when every wide column joined its rows
+
+
+def test_links_through_wide_columns_are_found(spark):
+    import random
+    from itertools import combinations
+
+    from tidemark.llm import jaccard
+
+    queries.reachable(spark)
+    rng, texts = random.Random(11), []
+    for base in long_texts(rng, 12, 20, 20) + [f"a{k} b c d e" for k in range(4)]:
+        words = base.split()
+        for _ in range(9):  # versions at, below and above the least similarity, some of other sizes
+            new, at = list(words), rng.randrange(max(1, len(words) - 8))
+            new[at:at + rng.randrange(9)] = [f"y{rng.randrange(99)}" for _ in range(rng.randrange(5))]
+            texts.append(" ".join(new[:rng.choice([len(new), len(new) - len(new) // 8])]))
+    sets = [{tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set() for w in map(str.split, texts)]
+    parent = list(range(len(texts)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for x, y in combinations(range(len(texts)), 2):
+        if sets[x] and sets[y] and 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y]):
+            lo, hi = sorted((root(x), root(y)))
+            parent[hi] = lo
+    want = {k: root(k) for k in range(len(texts))}
+    assert len(set(want.values())) < len(want) - 20
+    df = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    for settings in (jaccard.Settings(frequent_bound=0), jaccard.Settings(narrow=2, share=10), jaccard.Settings(narrow=1, meet=3, share=20, frequent_bound=0)):
+        assert {r["doc_id"]: r["component_id"] for r in jaccard.join_similar(df, settings).collect()} == want
+
+
 def test_stored_tables_of_the_join_go_early(spark, monkeypatch):
     from tidemark.llm import components, jaccard
 

@@ -2,15 +2,17 @@
 
 Rows of the matrix are the distinct n-gram sets (documents with equal sets are one row), columns
 are n-grams. Two sets with similarity t have sizes within t of each other and share c of the first
-``n - ceil(t n) + c`` n-grams of each in any common order (c is ``meet``, or less for tiny sets);
+``n - ceil(t n) + c`` n-grams of each in any common order (c is ``meet``, a ``share``-th of long sets, or
+less for tiny sets; of two sizes that of the less counts);
 the order used puts n-grams that many texts share last, so these first columns are nearly empty
-unless texts are alike. In columns with at most ``narrow`` rows the pairs are counted, and pairs
-that meet less than c times or whose sizes are too unlike are discarded; a wider column joins its
-rows to its least row. A row with fewer than c columns that another row has too can reach t with
-none and is left out before, which may leave others with too few: this is done ``peels`` times, since rows
-of one widespread passage would else be joined to one group that grows faster than the input. The
-connected groups of these joins hold every pair that can reach t: one
-that meets only in narrow columns is counted c times, any other is joined by a wide one. Within such a group the product of the full incidence matrix is taken by
+unless texts are alike. A row with fewer than c columns that another row has too can reach t with
+none and is left out before, which may leave others with too few: this is done ``peels`` times. In columns
+with at most ``narrow`` rows the pairs are counted. A pair meets in no more wider columns than either of its
+rows has, so it must be counted c times less that number; pairs counted less or whose sizes are too unlike are
+discarded. Only where both rows have c wide columns or more nothing can be concluded from the count: a wide
+column joins those of its rows to the least of them. (Were all its rows joined, n-grams that long texts
+share by chance, more of them the larger the input, would make one group of unlike texts that grows faster than
+the input.) The connected groups of these joins hold every pair that can reach t. Within such a group the product of the full incidence matrix is taken by
 blocks of rows: one row times the block's columns accumulates its overlaps with all others, and
 pairs below the size-derived overlap are discarded. A row already joined to the block's main
 component need not be multiplied, since every link it has outward is found from the other side.
@@ -25,10 +27,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
@@ -41,16 +44,18 @@ class Settings:
     """``percent``: least similarity. ``frequent_bound``: most n-grams known as frequent (they are
     broadcast, 9 bytes each; they only order the columns, results do not depend on them).
     ``peels``: how often rows that meet others in too few columns are left out; results do not
-    depend on it. ``overlaps``: about so many overlaps of one row are counted at a time.
+    depend on it. ``deals``: in so many parts the columns are shuffled, one after the other. Two sets must meet in ``meet`` columns or a ``share``-th of their n-grams. ``overlaps``: about so many overlaps of one row are counted at a time.
     ``block_rows`` and ``block_cells`` bound the rows and n-grams of one block."""
 
     size: int = 5
     percent: int = 80
     meet: int = 8
+    share: int = 50
     narrow: int = 8
     frequent_bound: int = 1 << 21
     frequent_from: int = 1
     peels: int = 2
+    deals: int = 2
     slice_bytes: int = 12 << 20
     block_rows: int = 2_000
     block_cells: int = 3_000_000
@@ -132,7 +137,7 @@ def signatures(docs: DataFrame, s: Settings) -> DataFrame:
             total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(mix(ids & np.uint64((1 << 58) - 1)))])
             sig = mix((total[offsets[1:]] - total[offsets[:-1]]) ^ (n.astype(np.uint64) << np.uint64(32))).view(np.int64)
             least = (s.percent * n + 99) // 100
-            length = np.where(n > 0, n - least + np.minimum(s.meet, least), 0)
+            length = np.where(n > 0, n - least + np.minimum(np.maximum(s.meet, n // s.share), least), 0)
             ends = np.concatenate([[0], np.cumsum(length)])
             take = np.arange(ends[-1]) - np.repeat(ends[:-1], length) + np.repeat(offsets[:-1], length)
             first = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids[take].view(np.int64)))
@@ -221,38 +226,56 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         yield rows
 
 
+def must_meet(n: Column, s: Settings) -> Column:
+    """Columns in which a set of ``n`` n-grams meets any larger set that it is linked with."""
+    return F.least(F.greatest(F.lit(s.meet), F.floor(n / s.share)), F.ceil(n * s.percent / 100))
+
+
+def enough(times: Column, s: Settings) -> Column:
+    """Whether ``times`` columns suffice for some link of a row: its least partner has ``percent`` of its size."""
+    return times >= must_meet(F.ceil(F.col("n") * s.percent / 100), s)
+
+
 def peeled(met: DataFrame, s: Settings) -> DataFrame:
     """``met`` (id, sig, n) without rows that meet others in fewer columns than any link of theirs
-    needs (the least partner of a set has ``percent`` of its size), then without columns of one row."""
-    partner = F.ceil(F.col("n") * s.percent / 100)
-    enough = met.groupBy("sig", "n").agg(F.count(F.lit(1)).alias("times")).filter(
-        F.col("times") >= F.least(F.lit(s.meet), F.ceil(partner * s.percent / 100))).select("sig")
-    rows = met.join(enough, "sig").select("id", "sig", "n")
-    several = rows.groupBy("id").agg(F.count(F.lit(1)).alias("width")).filter("width > 1").select("id")
-    return rows.join(several, "id")
-
-
-def links(docs: DataFrame, sets: DataFrame, s: Settings, made: list[DataFrame]) -> DataFrame:
-    """(a, b): edges between set numbers that span all links. The stored tables that it reads are added to ``made``."""
-    columns = sets.filter("n > 0").select(F.explode("first").alias("id"), "sig", "n")
-    several = columns.groupBy("id").agg(F.min("sig").alias("low"), F.max("sig").alias("high")).filter("low < high").select("id", "low")
-    met = staged(columns.join(several, "id").distinct(), "shared-columns")
+    needs, then without columns of one row."""
+    per = lambda key: F.count(F.lit(1)).over(Window.partitionBy(key))
+    rows = met.withColumn("times", per("sig")).filter(enough(F.col("times"), s)).drop("times")
+    return rows.withColumn("width", per("id")).filter("width > 1").drop("width")
+
+
+def links(docs: DataFrame, whole: DataFrame, sets: DataFrame, s: Settings, made: list[DataFrame]) -> DataFrame:
+    """(a, b): edges between set numbers that span all links, from :func:`signatures` stored in ``whole``, which goes once it
+    is read, and its numbers in ``sets``. The stored tables that the edges are made from are added to ``made``."""
+    columns = whole.filter("n > 0").select(F.explode("first").alias("id"), "sig", "n")
+    rows_of, parts = Window.partitionBy("id"), []
+    for part in range(s.deals):
+        some = columns.filter(F.pmod("id", F.lit(s.deals)) == part)
+        # one shuffle: a join with the columns of several rows would take the columns twice
+        several = some.withColumns({"low": F.min("sig").over(rows_of), "high": F.max("sig").over(rows_of)}).filter("low < high")
+        parts.append(staged(several.select("id", "sig", "n").distinct(), "shared-columns"))
+    met = reduce(DataFrame.unionByName, parts)
+    dropped(whole)
     for _ in range(s.peels):
         before, met = met, staged(peeled(met, s), "shared-columns")
         dropped(before)
-    width = met.groupBy("id").agg(F.count(F.lit(1)).alias("width"), F.min("sig").alias("low"))
-    shared, met = met, met.select("id", "sig", "n").join(width, "id")
-    rows = F.sort_array(F.collect_list(F.struct("sig", "n")))
+    wide = F.col("width") > s.narrow
+    before, met = met, staged(met.withColumn("width", F.count(F.lit(1)).over(rows_of)).withColumn(
+        "wides", F.count_if(wide).over(Window.partitionBy("sig"))), "shared-columns")
+    dropped(before)
+    rows = F.sort_array(F.collect_list(F.struct("sig", "n", "wides")))
     pair = F.flatten(F.transform("rows", lambda x, i: F.transform(
-        F.filter("rows", lambda y: y["sig"] > x["sig"]), lambda y: F.struct(x["sig"].alias("a"), x["n"].alias("na"), y["sig"].alias("b"), y["n"].alias("nb")))))
-    near = met.filter(F.col("width") <= s.narrow).groupBy("id").agg(rows.alias("rows")).select(F.explode(pair).alias("p")).select("p.*").filter(
+        F.filter("rows", lambda y: y["sig"] > x["sig"]), lambda y: F.struct(
+            x["sig"].alias("a"), x["n"].alias("na"), y["sig"].alias("b"), y["n"].alias("nb"), F.least(x["wides"], y["wides"]).alias("wides")))))
+    near = met.filter(~wide).groupBy("id").agg(rows.alias("rows")).select(F.explode(pair).alias("p")).select("p.*").filter(
         100 * F.least("na", "nb") >= s.percent * F.greatest("na", "nb"))
-    needed = F.least(F.lit(s.meet), F.ceil(F.least("na", "nb") * s.percent / 100))
-    counted = near.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("times")).filter(F.col("times") >= needed).select("a", "b")
-    wide = met.filter((F.col("width") > s.narrow) & (F.col("sig") != F.col("low"))).select(F.col("sig").alias("a"), F.col("low").alias("b"))
-    alike = counted.unionByName(wide)
+    needed = must_meet(F.least("na", "nb"), s)
+    counted = near.groupBy("a", "b", "na", "nb", "wides").agg(F.count(F.lit(1)).alias("times")).filter(
+        F.col("times") >= needed - F.when(F.col("wides") < needed, F.col("wides")).otherwise(0)).select("a", "b")
+    heavy = met.filter(wide & enough(F.col("wides"), s)).withColumn("low", F.min("sig").over(rows_of))
+    alike = counted.unionByName(heavy.filter("sig <> low").select(F.col("sig").alias("a"), F.col("low").alias("b")))
     cells = components(alike, "alike")
-    dropped(shared)
+    dropped(met)
     chosen = sets.filter("n > 0 AND doc_id IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("doc_id")).join(
         cells.withColumnRenamed("node", "sig"), "sig").select("doc_id", F.col("sig").alias("want"), F.col("root").alias("cell"))
     chosen = staged(chosen, "alike-sets")
@@ -281,9 +304,11 @@ def links(docs: DataFrame, sets: DataFrame, s: Settings, made: list[DataFrame])
     others = none.mapInArrow(full, schema).drop("cell").groupBy("sig").agg(F.first("n").alias("n"), F.first("ids").alias("ids")).join(nameless, "sig").select("cell", "sig", "n", "ids")
     rows = staged(rows.unionByName(others), "alike-rows")
     made.append(rows)
-    size = rows.groupBy("cell").agg(F.greatest(
-        F.ceil(F.count(F.lit(1)) / s.block_rows), F.ceil(F.sum("n") / s.block_cells)).cast("int").alias("blocks"))
-    cut = rows.join(size, "cell").withColumn("own", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int")).withColumn(
+    # groups of several blocks are few; written, so that the planner knows that and need not shuffle the rows for them
+    large = staged(rows.groupBy("cell").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / s.block_rows), F.ceil(F.sum("n") / s.block_cells)).cast("int").alias("blocks")).filter("blocks > 1").coalesce(1), "large-groups")
+    made.append(large)
+    cut = rows.join(large, "cell", "left").fillna(1, "blocks").withColumn("own", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cut = cut.select("cell", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "sig", "n", "ids")
 
@@ -304,8 +329,8 @@ def join_similar(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row; the id of a component is its least doc_id."""
     whole = staged(signatures(docs, settings), "ngram-sets")
     sets = staged(whole.select("doc_id", "sig", "n"), "set-numbers")
-    made: list[DataFrame] = [whole]
-    roots = components(links(docs, whole, settings, made), "similar")
+    made: list[DataFrame] = []
+    roots = components(links(docs, whole, sets, settings, made), "similar")
     dropped(*made)
     own = sets.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least"))
     own = own.join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
