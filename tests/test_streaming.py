@@ -54,6 +54,43 @@ def test_the_upsert_query_runs_several_batches(spark, tables, tmp_path):
     assert len(seen) == 4 and all(seen) and sum(seen) == tables.events.count()  # noqa: PT018
 
 
+def test_the_state_of_open_quotes_is_small_and_on_disk(spark):
+    import json
+
+    import pandas as pd
+
+    from tidemark.streaming import state_session
+    from tidemark.streaming.jobs import newest_records
+
+    class State:
+        exists = hasTimedOut = False
+
+        def getCurrentWatermarkMs(self):
+            return 0
+
+        def update(self, row):
+            self.get, self.exists = row, True
+
+        def setTimeoutTimestamp(self, at):
+            self.ends = at
+
+        def remove(self):
+            self.exists = False
+
+    t0 = datetime(2026, 7, 1)
+    body = [json.dumps({"bid": 100.0 + k, "ask": 101.0 + k, "feed_type": "SIP_NBBO", "session": "REGULAR", "received_at_utc": str(t0 + timedelta(minutes=k))}) for k in range(200)]
+    frame = pd.DataFrame({"kind": ["quote"] * 200, "at": [t0 + timedelta(minutes=k) for k in range(200)], "body": body})
+    step, state = newest_records("k", {"status": 5, "broker": 300}, 2), State()
+    assert list(step((1,), iter([frame]), state)) == []
+    assert len(state.get[0]) < sum(map(len, body)) / 5  # a fifth over the bodies before
+    state.getCurrentWatermarkMs = lambda: 1000 * int(t0.timestamp() + 10**7)
+    assert sum(len(f) for f in step((1,), iter([]), state)) == 200
+    with state_session(spark, on_disk=True) as own:
+        assert "RocksDB" in own.conf.get("spark.sql.streaming.stateStore.providerClass")
+    with state_session(spark) as own:
+        assert "RocksDB" not in own.conf.get("spark.sql.streaming.stateStore.providerClass", "")
+
+
 def test_segment_stream_equals_the_batch_operator(spark, tmp_path, rows):
     t0 = datetime(2026, 7, 1)
     data, at = [], t0

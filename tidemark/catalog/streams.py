@@ -129,7 +129,7 @@ def streaming_quotes(t: Tables) -> DataFrame:
     Quotes within fifteen minutes of the newest event are still open behind the watermark.
     """
     out, log = scratch_table(t.spark, "quotes-out"), scratch_table(t.spark, "quotes-log")
-    with state_session(t.spark, cores(t)) as own:
+    with state_session(t.spark, cores(t), on_disk=True) as own:
         class Streamed(Tables):
             events = event_batches(t, own)
 

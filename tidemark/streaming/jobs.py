@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import zlib
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
@@ -52,7 +53,7 @@ def gate_quotes_stream(
     answered = every.groupBy(key).applyInPandasWithState(
         newest_records(key, {"status": policy.status_age, "broker": policy.broker_age}, policy.clock_skew),
         T.StructType([every.schema[key], *[T.StructField(n, T.StringType()) for n in ("quote", "status", "broker")]]),
-        "kept string", "append", GroupStateTimeout.EventTimeTimeout,
+        "kept binary", "append", GroupStateTimeout.EventTimeTimeout,
     )
     shape = lambda df, names: T.StructType([df.schema[n] for n in names])
     rows = answered.select(
@@ -71,12 +72,13 @@ def newest_records(key: str, ages: dict[str, int], skew: int) -> Callable:
 
     ``ages``: seconds that a record of each kind may precede a cutoff; ``skew``: seconds it may
     follow one. The state is one row a key; a timeout at the end of the next open quote or of the
-    newest record answers and trims it, so a key without traffic keeps nothing.
+    newest record answers and trims it, so a key without traffic keeps nothing. The row is compressed: the
+    records of a key repeat their field names, and a whole micro-batch waits for the watermark.
     """
     kinds, reach, second = ("quote", *ages), max(ages.values()), 1_000_000
 
     def step(key_values: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        kept = json.loads(state.get[0]) if state.exists else {kind: [] for kind in kinds}
+        kept = json.loads(zlib.decompress(state.get[0])) if state.exists else {kind: [] for kind in kinds}
         for frame in [] if state.hasTimedOut else frames:
             micros = frame["at"].astype("datetime64[us]").astype("int64")
             for kind, at, body in zip(frame["kind"], micros.tolist(), frame["body"], strict=True):
@@ -92,11 +94,12 @@ def newest_records(key: str, ages: dict[str, int], skew: int) -> Callable:
             kept[kind] = [r for r in kept[kind] if r[0] >= now - (skew + ages[kind]) * second]
         ends = [r[0] // 1000 + 1000 * skew + 1 for r in kept["quote"]] or [max(r[0] for k in ages for r in kept[k]) // 1000 + 1000 * (skew + reach) + 1 for _ in "1" if any(kept[k] for k in ages)]
         if ends:
-            state.update((json.dumps(kept),))
+            state.update((zlib.compress(json.dumps(kept, separators=(",", ":")).encode(), 1),))
             state.setTimeoutTimestamp(max(min(ends), now // 1000 + 1))
         elif state.exists:
             state.remove()
-        yield pd.DataFrame(answers, columns=[key, "quote", *ages])
+        if answers:
+            yield pd.DataFrame(answers, columns=[key, "quote", *ages])
 
     return step
 
@@ -214,10 +217,14 @@ def last_row(time: str, price: str, gap_seconds: float, ratio: float, expire_sec
 
 
 @contextmanager
-def state_session(spark: SparkSession, partitions: int | None = None) -> Iterator[SparkSession]:
+def state_session(spark: SparkSession, partitions: int | None = None, on_disk: bool = False) -> Iterator[SparkSession]:
     """A session of its own for a stream, in UTC and, where given, with so many state partitions;
-    settings of ``spark`` stay as they are."""
+    settings of ``spark`` stay as they are. ``on_disk`` keeps the state in RocksDB, with bounded memory,
+    for streams whose state grows with a micro-batch."""
     own = spark.newSession()
+    if on_disk:
+        own.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+        own.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
     own.conf.set("spark.sql.session.timeZone", "UTC")
     if partitions is not None:
         own.conf.set("spark.sql.shuffle.partitions", str(partitions))
