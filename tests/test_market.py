@@ -152,3 +152,26 @@ def test_only_last_segments_leave_the_ordered_pass(feed, spark, monkeypatch, chu
     newest = staged["best_alias"].groupBy("security_id").agg(F.max("session_date").alias("newest"))
     assert last.filter("n <> 1").count() == 0
     assert sorted(map(tuple, last.select("security_id", "newest").collect())) == sorted(map(tuple, newest.collect()))
+
+
+def test_tables_of_the_build_go_and_hold_what_is_read(spark, tables, monkeypatch):
+    import os
+
+    from tidemark.catalog import history
+
+    made, stage = {}, market.stage
+    monkeypatch.setattr(market, "stage", lambda df, name: made.setdefault(name, stage(df, name)))
+    metrics = history.market_metrics(tables)
+    assert set(made["best_alias"].columns) == {"security_id", "session_date", "priority", "open", "high", "low", "close", "volume", "ticker"}
+    stored = {name: [f for f in df.inputFiles() if os.path.exists(f.removeprefix("file://").removeprefix("file:"))] for name, df in made.items()}
+    assert stored["candidates"] and not stored["best_alias"] and not stored["segmented"]
+    assert metrics.count() == 1
+
+
+def test_shuffle_files_of_a_stored_table_go(spark):
+    from tidemark.session import stage
+
+    kept = lambda: sum(1 for b in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n") if "shuffle_" in b)
+    before = kept()
+    rows = stage(spark.range(1000).selectExpr("id % 7 AS k", "id").repartition(5, "k"), "rows")
+    assert kept() <= before and rows.count() == 1000

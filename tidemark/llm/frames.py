@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,21 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.words import pieces
-from tidemark.session import scratch_table
-
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-@contextmanager
-def freed_shuffles(spark: SparkSession):
-    """Shuffle files of the jobs inside are removed when each job ends."""
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(_CLEANUP, before)
-
+from tidemark.session import discard, dropped, freed_shuffles, scratch_table  # noqa: F401
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once under ``spark.checkpoint.dir`` and read back; its shuffle files go."""
@@ -36,19 +21,6 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def discard(spark: SparkSession, path: str) -> None:
-    """Removes a table of our own under ``spark.checkpoint.dir`` that no later step reads."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def dropped(*tables: DataFrame) -> None:
-    """Removes the files of tables that :func:`staged` made and no later step reads."""
-    for df in tables:
-        for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
-            discard(df.sparkSession, folder)
-
-
 def likely(df: DataFrame, chosen: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose ``key`` may be among those of ``chosen``: all that are, and few others.
 

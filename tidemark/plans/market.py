@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,10 +12,11 @@ from tidemark.contracts import PRICES, SPLITS
 from tidemark.functions import is_invalid_ohlcv, ohlcv_invalid_reason
 from tidemark.operators import segments, stats
 from tidemark.operators.keys import latest_per_key, recent_n
-from tidemark.session import stage
+from tidemark.session import dropped, stage
 
 REFRESH_LANE = "CHART_REFRESH"
 BAR = ["open", "high", "low", "close", "volume"]
+METRIC_COLUMNS = [*BAR, "ticker"]  # what :func:`market_metrics` reads of the prices besides key, date and segment
 
 
 def best_alias(prices: DataFrame, aliases: DataFrame, date: str = "session_date", lane: str = REFRESH_LANE) -> DataFrame:
@@ -38,21 +40,29 @@ def best_alias(prices: DataFrame, aliases: DataFrame, date: str = "session_date"
 def history_candidates(
     prices: DataFrame, splits: DataFrame, aliases: DataFrame, *, expected: Column, n: int = 320,
     gap_days: int = 14, ratio: float = 4.0, lane: str = REFRESH_LANE, chunk_rows: int | None = None,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """WIN-02..05 on the alias-matched rows; invalid rows take part in segmentation.
+    """WIN-02..05 on the alias-matched rows, stored; invalid rows take part in segmentation.
 
     A split explains a jump only for rows of its own source symbol, so splits carry the
-    alias priority as slot.
+    alias priority as slot. ``columns`` besides those of :data:`BAR` go through the ordered pass (default: all).
     """
-    # the ordered pass reads its input several times
-    best = stage(best_alias(prices.filter(F.col("session_date") <= expected), aliases, lane=lane), "best_alias")
+    best = best_alias(prices.filter(F.col("session_date") <= expected), aliases, lane=lane)
+    if columns is not None:
+        best = best.select(*dict.fromkeys(["security_id", "session_date", "priority", *BAR, *columns]))
+    best = stage(best, "best_alias")  # the ordered pass reads its input several times
     actions = splits.join(aliases, "source_symbol").select("security_id", "event_date", "priority")
     segmented = segments.segment_history(
         best, ["security_id"], "session_date", "close",
         gap=F.datediff("session_date", "previous_session") > gap_days, ratio=ratio,
         actions=actions, slot="priority", slots=3, chunk_rows=chunk_rows, last_only=True,
     )
-    return segments.latest_segment(stage(segmented, "segmented"), ["security_id"], "session_date", ~is_invalid_ohlcv(), n)
+    segmented = stage(segmented, "segmented")
+    dropped(best)
+    # at most n rows a security; read by every table of the build
+    candidates = stage(segments.latest_segment(segmented, ["security_id"], "session_date", ~is_invalid_ohlcv(), n), "candidates")
+    dropped(segmented)
+    return candidates
 
 
 def active_securities(candidates: DataFrame, oldest_active: Column) -> tuple[DataFrame, DataFrame]:
@@ -91,7 +101,7 @@ class MarketHistory:
 
     @cached_property
     def prices(self) -> DataFrame:
-        return self.current.filter(~is_invalid_ohlcv()).select(*PRICES.columns)
+        return self.current.filter(~is_invalid_ohlcv()).select(*[c for c in PRICES.columns if c in self.candidates.columns])
 
     @cached_property
     def splits(self) -> DataFrame:
@@ -133,17 +143,17 @@ class MarketHistory:
 def build_market_history(
     prices: DataFrame, splits: DataFrame, aliases: DataFrame, *, expected: Column, oldest_active: Column,
     n: int = 320, gap_days: int = 14, ratio: float = 4.0, min_session_rows: int = 100,
-    lane: str = REFRESH_LANE, chunk_rows: int | None = None,
+    lane: str = REFRESH_LANE, chunk_rows: int | None = None, columns: Sequence[str] | None = None,
 ) -> MarketHistory:
     """PIP-02 from scanned, conflict-free rows.
 
     Identical rows need no collapsing first: the alias choice keeps one row per security
-    and session.
+    and session. A caller that reads the prices only in part names its ``columns``, and
+    the others end with the alias choice.
     """
     candidates = history_candidates(
-        prices, splits, aliases, expected=expected, n=n, gap_days=gap_days, ratio=ratio, lane=lane, chunk_rows=chunk_rows
+        prices, splits, aliases, expected=expected, n=n, gap_days=gap_days, ratio=ratio, lane=lane, chunk_rows=chunk_rows, columns=columns,
     )
-    candidates = stage(candidates, "candidates")  # at most n rows a security; read by every table of the build
     return MarketHistory(candidates, splits, aliases, oldest_active, min_session_rows, n)
 
 

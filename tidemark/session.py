@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def build_session(app: str = "tidemark", master: str | None = None, **conf: object) -> SparkSession:
     """A session with UTC timestamps and adaptive execution (skew joins, coalescing)."""
@@ -57,17 +60,42 @@ def scratch_table(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def freed_shuffles(spark: SparkSession):
+    """Shuffle files of the jobs inside are removed when each job ends."""
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 def stage(df, name: str):
-    """Write ``df`` once to the shared folder and read it back.
+    """Write ``df`` once to the shared folder and read it back; its shuffle files go.
 
     Cuts the lineage of a table that later steps read more than once; the written files
     outlive any executor.
     """
     path = scratch_table(df.sparkSession, name)
-    df.write.parquet(path)
+    with freed_shuffles(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes a table of our own under ``spark.checkpoint.dir`` that no later step reads."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def dropped(*tables) -> None:
+    """Removes the files of tables that :func:`stage` made and no later step reads."""
+    for df in tables:
+        for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            discard(df.sparkSession, folder)
+
+
 def values_table(spark: SparkSession, columns: str, rows: list[tuple]):
     """A fixed list of rows as a local relation, so its size is known to the planner.
 
